@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from sparkloom.session import cut
 
@@ -184,19 +183,25 @@ def smallest_digest_bound(df: DataFrame, digest: Column, count: int) -> str | No
 def with_position(df: DataFrame, order: list, name: str = "position") -> DataFrame:
     """0-based global position in the given order, spread over range partitions.
 
-    Rows are range partitioned once and cut; only one count per partition
-    reaches the driver.
+    One range shuffle, then cut; only one count per partition reaches the
+    driver.  The order should end in a unique key, so that a value shared by
+    many rows is spread over several ranges.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    ranged = cut(df.repartitionByRange(n, *keys).withColumn("_part", F.spark_partition_id()))
-    counts = {r["_part"]: r["n"] for r in ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # The generated id holds the partition in the high bits and the running
+    # number inside the sorted partition in the low 33 bits.
+    ranged = cut(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                 .withColumn("_mid", F.monotonically_increasing_id()))
+    part = F.shiftright("_mid", 33)
+    counts = {r["part"]: r["n"] for r in
+              ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, total = {}, 0
-    for part in sorted(counts):
-        offsets[part] = total
-        total += counts[part]
+    for p in sorted(counts):
+        offsets[p] = total
+        total += counts[p]
     if not offsets:
         return df.withColumn(name, F.lit(None).cast("bigint"))
-    start = F.element_at(F.create_map(*[F.lit(v) for kv in offsets.items() for v in kv]), F.col("_part"))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
-    return ranged.withColumn(name, (start + local - 1).cast("bigint")).drop("_part")
+    start = F.element_at(F.create_map(*[F.lit(v).cast("bigint") for kv in offsets.items() for v in kv]), part)
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.withColumn(name, (start + local).cast("bigint")).drop("_mid")
