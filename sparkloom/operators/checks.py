@@ -109,11 +109,11 @@ def validate_input(df: DataFrame, configured: list[str]) -> list[str]:
 
 def loss_check(before: DataFrame, after: DataFrame) -> DataFrame:
     """Share of rows lost: over 50 % is an error, over 20 % a warning."""
-    b = before.agg(F.count(F.lit(1)).alias("rows_before"))
-    a = after.agg(F.count(F.lit(1)).alias("rows_after"))
+    zero = F.lit(0).cast("bigint")
+    b = before.agg(F.count(F.lit(1)).alias("rows_before"), zero.alias("rows_after"))
+    a = after.agg(zero.alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
     lost = F.try_divide(F.lit(100.0) * (F.col("rows_before") - F.col("rows_after")), F.col("rows_before"))
-    # both sides are one-row aggregates
-    return (b.join(F.broadcast(a))
+    return (b.unionByName(a).agg(F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after"))
             .withColumn("loss_pct", lost)
             .withColumn("verdict", F.when(F.col("loss_pct") > 50, "error")
                         .when(F.col("loss_pct") > 20, "warning").otherwise("ok")))

@@ -85,11 +85,9 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def entropy(df: DataFrame, columns: list[str]) -> DataFrame:
     """-sum p*log2(p + 1e-10) per column; nulls stay in the denominator."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    p = F.col("count") / F.col("rows")
+    p = F.col("count") / F.lit(df.count())
     # sum over multiplicities: many values share a count, so the log runs once per count
     return (value_counts(df, columns).groupBy("column", "count").agg(F.count(F.lit(1)).alias("times"))
-            .join(F.broadcast(rows))  # one row
             .groupBy("column").agg((-F.sum(F.col("times") * p * F.log2(p + F.lit(1e-10)))).alias("entropy")))
 
 
