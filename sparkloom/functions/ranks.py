@@ -205,3 +205,15 @@ def with_position(df: DataFrame, order: list, name: str = "position") -> DataFra
     start = F.element_at(F.create_map(*[F.lit(v).cast("bigint") for kv in offsets.items() for v in kv]), part)
     local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     return ranged.withColumn(name, (start + local).cast("bigint")).drop("_mid")
+
+
+def rank_within(df: DataFrame, group: list[str], order: list[str], name: str = "rank") -> DataFrame:
+    """1-based row number inside each group, whatever the group's size.
+
+    A window would sort a whole group in one task.  Here the global position is
+    taken over (group, order) and the group's first position subtracted.
+    """
+    placed = cut(with_position(df, [*group, *order], "_pos"))
+    first = placed.groupBy(*group).agg(F.min("_pos").alias("_first"))
+    return (placed.join(first, group).withColumn(name, (F.col("_pos") - F.col("_first") + 1).cast("bigint"))
+            .select(*df.columns, name))
