@@ -1,6 +1,6 @@
 """All registered queries; importing the modules registers them."""
 
-from sparkloom.plans import privacy_queries, tables  # noqa: F401
+from sparkloom.plans import graph_queries, missing_queries, privacy_queries, tables  # noqa: F401
 from sparkloom.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]

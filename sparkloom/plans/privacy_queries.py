@@ -136,17 +136,17 @@ def generalise_integer(spark, sf):
 
 
 # Customers with text attributes derived from their keys, so that every rule is met.
-PEOPLE = """(SELECT c_custkey, c_mktsegment,
- CASE c_custkey % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'Other' END AS gender,
- CASE c_custkey % 8 WHEN 0 THEN 'None' WHEN 1 THEN 'Primary' WHEN 2 THEN 'Secondary' WHEN 3 THEN 'High School' WHEN 4 THEN 'Bachelor'
- WHEN 5 THEN 'Master' WHEN 6 THEN 'PhD' END AS education_level,
- CASE c_custkey % 5 WHEN 0 THEN 'Good' WHEN 1 THEN 'Average' WHEN 2 THEN '5' WHEN 3 THEN 'Poor' END AS net_quality FROM customer)"""
+PEOPLE_COLUMNS = [
+    "c_custkey", "c_mktsegment",
+    "CASE c_custkey % 4 WHEN 0 THEN 'Male' WHEN 1 THEN 'Female' WHEN 2 THEN 'Other' END AS gender",
+    "CASE c_custkey % 8 WHEN 0 THEN 'None' WHEN 1 THEN 'Primary' WHEN 2 THEN 'Secondary' WHEN 3 THEN 'High School' "
+    "WHEN 4 THEN 'Bachelor' WHEN 5 THEN 'Master' WHEN 6 THEN 'PhD' END AS education_level",
+    "CASE c_custkey % 5 WHEN 0 THEN 'Good' WHEN 1 THEN 'Average' WHEN 2 THEN '5' WHEN 3 THEN 'Poor' END AS net_quality"]
+PEOPLE = f"(SELECT {', '.join(PEOPLE_COLUMNS)} FROM customer)"
 
 
 def people(spark, sf):
-    # the same CASE text is valid in both dialects
-    table(spark, sf, "customer").createOrReplaceTempView("_customer")
-    return spark.sql("SELECT * FROM " + PEOPLE.replace("FROM customer", "FROM _customer"))
+    return table(spark, sf, "customer").selectExpr(*PEOPLE_COLUMNS)
 
 
 TEXT_RULES = {
