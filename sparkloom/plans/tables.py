@@ -27,14 +27,11 @@ def numeric_projection(spark, sf):
     return checks.select_features(part, checks.numeric_columns(part, exclude=("p_partkey",)), "p_partkey")
 
 
-@query("""SELECT 'numerical_continuous' AS kind, 'p_retailprice' AS "column" UNION ALL
-SELECT 'categorical_nominal', 'p_name' UNION ALL SELECT 'categorical_nominal', 'p_brand'
-FROM (SELECT count(*) FROM part)""")
-def columns_by_kind(spark, sf):
+@query("SELECT p_partkey, p_name, p_brand FROM part")
+def nominal_projection(spark, sf):
     part = table(spark, sf, "part")
-    kinds = {"p_name": "categorical_nominal", "p_brand": "categorical_nominal", "p_retailprice": "numerical_continuous"}
-    rows = [(k, c) for k in ("numerical_continuous", "categorical_nominal") for c in checks.columns_by_kind(part, kinds, {k})]
-    return spark.createDataFrame(rows, "kind string, column string")
+    kinds = {x["column"]: x["kind"] for x in profile.column_kinds(profile.column_profile(part, medians=False)).collect()}
+    return part.select("p_partkey", *checks.columns_by_kind(part, kinds, {"categorical_nominal"}))
 
 
 @query(f"SELECT c_custkey, c_acctbal FROM {holes_sql('customer', 'c_custkey', 'c_acctbal', 0.1)} WHERE c_acctbal IS NOT NULL")
