@@ -171,10 +171,12 @@ def vector_check(df: DataFrame, vector: str, width: int | None = None) -> DataFr
     return out.withColumn("valid", same & (F.col("bad_vectors") == 0) & (F.col("empty_vectors") == 0))
 
 
-def require_vectors(df: DataFrame, vector: str, width: int | None = None) -> None:
+def require_vectors(df: DataFrame, vector: str, width: int | None = None) -> int:
+    """Raise on invalid vectors; the number of vectors otherwise."""
     row = vector_check(df, vector, width).first()
     if not row["valid"]:
         raise QualityError(f"invalid vectors: {row.asDict()}")
+    return row["vectors"]
 
 
 def check_k_range(min_k: int, max_k: int, metric: str) -> None:

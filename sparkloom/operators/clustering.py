@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
@@ -16,6 +18,8 @@ from sparkloom.operators.quality import balance
 from sparkloom.operators.missing import fill_mean
 from sparkloom.session import cut
 
+PARALLEL_STARTS = 4
+
 
 def kmeans(df: DataFrame, columns: list[str], k: int, row_id: str = "row_id", seed: int = 42, starts: int = 10,
            max_iter: int = 300) -> tuple[DataFrame, DataFrame]:
@@ -25,11 +29,14 @@ def kmeans(df: DataFrame, columns: list[str], k: int, row_id: str = "row_id", se
     """
     points = with_features(df, columns, row_id)
     vectors = points.select("row_id", array_to_vector(VECTOR).alias("v")).persist()
-    best = None
-    for s in range(starts):
-        model = KMeans(k=k, featuresCol="v", predictionCol="label", maxIter=max_iter, seed=seed + s, tol=1e-4).fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
+
+    def run(s: int):
+        return KMeans(k=k, featuresCol="v", predictionCol="label", maxIter=max_iter, seed=seed + s, tol=1e-4).fit(vectors)
+
+    # the runs are independent jobs over one cached table and share the cluster
+    with ThreadPoolExecutor(min(starts, PARALLEL_STARTS)) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(run), range(starts)))
+    best = min(models, key=lambda m: m.summary.trainingCost)
     labels = cut(best.transform(vectors).select("row_id", F.col("label").cast("int").alias("label")))
     vectors.unpersist()
     inertia = float(best.summary.trainingCost)

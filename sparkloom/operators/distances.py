@@ -34,8 +34,7 @@ def with_features(df: DataFrame, columns: list[str], row_id: str = "row_id") ->
 def checked_features(df: DataFrame, columns: list[str], row_id: str = "row_id", least: int = 2) -> tuple[DataFrame, int]:
     """Features after the vector check, with their number."""
     v = with_features(df, columns, row_id)
-    require_vectors(v, VECTOR)
-    n = v.count()
+    n = require_vectors(v, VECTOR)
     if n < least:
         raise ValueError(f"at least {least} rows are needed")
     return v, n

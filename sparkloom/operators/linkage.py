@@ -101,17 +101,17 @@ def contract(edges: DataFrame, few: int = FEW_EDGES) -> tuple[DataFrame, DataFra
     """
     spark = edges.sparkSession
     live = cut(edges.select("i", "j", "d", F.col("i").alias("ci"), F.col("j").alias("cj")))
+    if live.count() <= few:
+        kept, roots = _finish(live)
+        return spark.createDataFrame(kept, EDGE_SCHEMA), spark.createDataFrame(roots, "row_id bigint, component bigint")
     ends = live.select(F.col("i").alias("row_id")).union(live.select(F.col("j"))).distinct()
     members = ends.select("row_id", F.col("row_id").alias("component"))
     chosen: list[DataFrame] = []
     while True:
         left = live.count()
         if left <= few:
-            rows = sorted(live.select("d", "i", "j", "ci", "cj").collect())
-            forest = Forest()
-            kept = [(r["i"], r["j"], r["d"]) for r in rows if forest.join(r["ci"], r["cj"])]
+            kept, moves = _finish(live)
             chosen.append(spark.createDataFrame(kept, EDGE_SCHEMA))
-            moves = [(v, forest.root(v)) for v in forest.parent]
             if moves:
                 # at most two endpoints per edge, so below 2 * few rows
                 members = _relabel(members, spark.createDataFrame(moves, "old bigint, new bigint"))
@@ -148,6 +148,14 @@ def contract(edges: DataFrame, few: int = FEW_EDGES) -> tuple[DataFrame, DataFra
     return tree, members
 
 
+def _finish(live: DataFrame) -> tuple[list[tuple], list[tuple]]:
+    """(kept edges, (endpoint, root)) of an edge set whose small size was checked; a root is its smallest member."""
+    forest = Forest()
+    rows = sorted(live.select("d", "i", "j", "ci", "cj").collect())
+    kept = [(r["i"], r["j"], r["d"]) for r in rows if forest.join(r["ci"], r["cj"])]
+    return kept, [(v, forest.root(v)) for v in forest.parent]
+
+
 def _relabel(members: DataFrame, moves: DataFrame) -> DataFrame:
     joined = members.join(moves, members["component"] == moves["old"], "left")
     return cut(joined.select("row_id", F.coalesce("new", "component").alias("component")))
@@ -210,7 +218,12 @@ def partition(tree: DataFrame, ids: DataFrame, n: int, k: int, few: int = FEW_ED
     clusters = (members.select("component").distinct().join(last, "component", "left")
                 .select("component", F.coalesce("last.d", F.lit(-1.0)).alias("d"),
                         F.coalesce("last.i", F.lit(-1)).alias("i"), F.coalesce("last.j", F.lit(-1)).alias("j")))
-    named = with_position(clusters, ["d", "i", "j", "component"], "label")
+    if k <= few:
+        # k rows, checked
+        order = sorted(clusters.select("d", "i", "j", "component").collect())
+        named = tree.sparkSession.createDataFrame([(r["component"], n) for n, r in enumerate(order)], "component bigint, label int")
+    else:
+        named = with_position(clusters, ["d", "i", "j", "component"], "label")
     return members.join(named.select("component", F.col("label").cast("int").alias("label")), "component") \
         .select("row_id", "label")
 

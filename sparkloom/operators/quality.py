@@ -208,5 +208,5 @@ def k_report(df: DataFrame, columns: list[str], labels: DataFrame, k: int, row_i
            .groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.avg(x).alias("center_x"), F.avg(y).alias("center_y")))
     head = per.agg(F.sum("size").alias("n"), F.min("size").alias("lo"), F.max("size").alias("hi"), F.avg("size").alias("av")).first()
     return per.select("label", "size", (F.lit(100.0) * F.col("size") / F.lit(head["n"])).alias("share_pct"),
-                      F.lit(head["lo"]).alias("min_size"), F.lit(head["hi"]).alias("max_size"),
+                      F.lit(head["lo"]).cast("bigint").alias("min_size"), F.lit(head["hi"]).cast("bigint").alias("max_size"),
                       F.lit(head["av"]).alias("mean_size"), "center_x", "center_y")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import threading
 import time
 
 import duckdb
@@ -44,7 +45,12 @@ def compare(spark, con, name, run, sql, sf_dir):
     got = sorted(tuple(norm(x[c]) for c in cols) for x in rows)
     if sql is None:
         return True, f"rows only: {len(got)} rows, spark {t1 - t0:.1f}s"
-    rel = con.execute(sql)
+    guard = threading.Timer(60, con.interrupt)  # an SQL twin that does not end is a failure
+    guard.start()
+    try:
+        rel = con.execute(sql)
+    finally:
+        guard.cancel()
     desc = {d[0]: str(d[1]) for d in rel.description}
     want_rows = rel.fetchall()
     t2 = time.time()
