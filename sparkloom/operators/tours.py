@@ -35,12 +35,19 @@ def is_dense(nodes: DataFrame) -> bool:
     return top is None or top <= DENSE_NODES
 
 
-def with_graphs(tours: DataFrame, edges: DataFrame, batch_key: Column, kernel, schema: str, per_batch: int = BATCH_TOURS) -> DataFrame:
+def with_graphs(tours: DataFrame, edges: DataFrame, batch_key: Column, kernel, schema: str, per_batch: int = BATCH_TOURS,
+                batches: int | None = None) -> DataFrame:
     """Applies `kernel(key, tours, edges)` to batches of tours of one graph with that graph's edges.
 
     Only for graphs of checked size: the edges of a graph are repeated once per
-    batch of its tours.
+    batch of its tours.  `batches` is given where every graph has the same
+    number of tours, which saves counting them.
     """
+    if batches is not None:
+        batched = tours.withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.lit(batches)).cast("int"))
+        copies = edges.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
+        return (batched.groupBy("graph_id", "_batch").cogroup(copies.groupBy("graph_id", "_batch"))
+                .applyInPandas(kernel, schema))
     counts = tours.groupBy("graph_id").agg(F.ceil(F.count(F.lit(1)) / per_batch).cast("int").alias("_batches"))
     batched = (tours.join(counts, "graph_id").withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.col("_batches")).cast("int"))
                .drop("_batches"))
@@ -235,11 +242,18 @@ def reinforce(edges: DataFrame, tours: DataFrame, rho: float = 0.1, q: float = 1
     """
     added = (tour_steps(tours.where(F.col("length") > 0), ["graph_id", "length"])
              .groupBy("graph_id", "src", "dst").agg(F.sum(F.lit(q) / F.col("length")).alias("_add")))
+    marked = edges if "is_first" in edges.columns else mark_first(edges)
+    joined = marked.join(added, ["graph_id", "src", "dst"], "left")
+    plus = F.when(F.col("is_first"), F.coalesce("_add", F.lit(0.0))).otherwise(0.0)
+    return (joined.withColumn("pheromone", F.col("pheromone") * F.lit(1.0 - rho) + plus)
+            .select(*edges.columns))
+
+
+def mark_first(edges: DataFrame) -> DataFrame:
+    """edges + `is_first`: the edge is the first of its parallel ones."""
     first = first_edges(edges).select("graph_id", "src", "dst", F.col("ord").alias("_first"))
-    gain = added.join(first, ["graph_id", "src", "dst"])
-    joined = edges.join(gain, ["graph_id", "src", "dst"], "left")
-    plus = F.when(F.col("ord") == F.col("_first"), F.coalesce("_add", F.lit(0.0))).otherwise(0.0)
-    return joined.withColumn("pheromone", F.col("pheromone") * F.lit(1.0 - rho) + plus).drop("_add", "_first")
+    return (edges.join(first, ["graph_id", "src", "dst"]).withColumn("is_first", F.col("ord") == F.col("_first"))
+            .select(*edges.columns, "is_first"))
 
 
 # --- colonies ----------------------------------------------------------------------------
@@ -322,18 +336,20 @@ def _walk_kernel(seed, round_: int, alpha: float, beta: float):
 
 
 def walk_round(walkers: DataFrame, edges: DataFrame, nodes: DataFrame, seed, round_: int, alpha: float = 1.0, beta: float = 2.0,
-               template: DataFrame | None = None, dense: bool | None = None) -> DataFrame:
+               template: DataFrame | None = None, dense: bool | None = None, batches: int | None = None) -> DataFrame:
     """Closed valid tours (graph_id, walker, path, length) of one round of walks."""
     if dense is None:
         dense = is_dense(nodes)
     if dense:
         e = edges.select(F.col("graph_id").cast("int").alias("graph_id"), F.col("src").cast("bigint").alias("src"),
-                         F.col("dst").cast("bigint").alias("dst"), "weight", "ord", "pheromone")
-        if template is None:
+                         F.col("dst").cast("bigint").alias("dst"), "weight", "ord", "pheromone",
+                         *[c for c in ("template_dst",) if c in edges.columns])
+        if "template_dst" not in edges.columns and template is None:
             e = e.withColumn("template_dst", F.lit(None).cast("bigint"))
-        else:
+        elif "template_dst" not in edges.columns:
             e = e.join(template.select("graph_id", "src", F.col("dst").cast("bigint").alias("template_dst")), ["graph_id", "src"], "left")
-        return with_graphs(walkers, e, F.col("walker"), _walk_kernel(seed, round_, alpha, beta), WALK_SCHEMA)
+        return with_graphs(walkers, e, F.col("walker"), _walk_kernel(seed, round_, alpha, beta), WALK_SCHEMA,
+                           batches=batches)
     steps = node_counts(nodes).agg(F.max("n")).first()[0] or 1
     state = walkers.repartition("graph_id", "walker")
     for step in range(1, steps):
@@ -363,10 +379,16 @@ def colony(nodes: DataFrame, edges: DataFrame, num_ants: int = 10, rounds: int =
         dense = is_dense(nodes)
     template = cut(lightest_successor(edges, seed)) if use_template else None
     ranked = rank_within(nodes, ["graph_id"], ["node"], "place").persist()
-    state = cut(edges.withColumn("pheromone", F.lit(float(initial))))
+    state = mark_first(edges.withColumn("pheromone", F.lit(float(initial))))
+    if dense and template is not None:
+        state = state.join(template.select("graph_id", "src", F.col("dst").cast("bigint").alias("template_dst")), ["graph_id", "src"], "left")
+    elif dense:
+        state = state.withColumn("template_dst", F.lit(None).cast("bigint"))
+    state = cut(state)
+    batches = -(-num_ants // BATCH_TOURS)
     best = None
     for r in range(rounds):
-        tours = cut(walk_round(_ants(ranked, num_ants, seed, r), state, nodes, seed, r, alpha, beta, template, dense))
+        tours = cut(walk_round(_ants(ranked, num_ants, seed, r), state, nodes, seed, r, alpha, beta, template, dense, batches))
         top = F.min(F.struct("length", F.lit(r).alias("round"), "walker", "path")).alias("b")
         mine = tours.groupBy("graph_id").agg(top)
         best = mine if best is None else best.unionByName(mine).groupBy("graph_id").agg(F.min("b").alias("b"))
@@ -375,4 +397,4 @@ def colony(nodes: DataFrame, edges: DataFrame, num_ants: int = 10, rounds: int =
         state = cut(reinforce(state, tours, rho, q))
     if best is None:
         raise ValueError("at least one round is needed")
-    return best.select("graph_id", "b.*"), state
+    return best.select("graph_id", "b.*"), state.select(*edges.columns, "pheromone")
