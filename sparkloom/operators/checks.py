@@ -42,7 +42,7 @@ def select_features(df: DataFrame, features: list[str], row_id: str = "row_id",
 def drop_missing(df: DataFrame, column: str) -> DataFrame:
     """Rows where the column is present."""
     require_column(df, column)
-    return df.na.drop(subset=[column])
+    return df.where(~is_missing(column, df))
 
 
 def require_column(df: DataFrame, column: str) -> None:

@@ -176,7 +176,7 @@ def spanning_tree(df: DataFrame, columns: list[str], metric: str = "euclidean",
     """(edges (i, j, d), row ids, number of rows) of the unique minimum spanning tree."""
     require_metric(metric)
     points, n = checked_features(df, columns, row_id)
-    points = points.persist()
+    points = cut(points)  # read by the folding, the copies, the blocks and the caller's row ids
     folded = points.groupBy(VECTOR).agg(F.min("row_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     repeated = folded.where("copies > 1").select(VECTOR, "rep")
     zero = (points.join(repeated, VECTOR).where(F.col("row_id") != F.col("rep"))

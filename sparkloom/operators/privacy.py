@@ -49,7 +49,9 @@ def class_sizes(df: DataFrame, qis: list[str]) -> DataFrame:
     of the rows sends one row per task.
     """
     _require(df, qis)
-    return df.na.drop(subset=qis).groupBy(*qis).agg(F.count(F.lit(1)).alias("group_size"))
+    # plain null tests reach the scan, na.drop would not
+    present = reduce(lambda a, b: a & b, [~is_missing(c, df) for c in qis])
+    return df.where(present).groupBy(*qis).agg(F.count(F.lit(1)).alias("group_size"))
 
 
 def equivalence_classes(df: DataFrame, qis: list[str]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,7 +28,27 @@ def build_session(app: str = "sparkloom", master: str | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    return builder.getOrCreate()
+    return ship_package(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Makes this package importable in the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        root = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="sparkloom-code-"), "sparkloom.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, files in os.walk(root):
+                for f in files:
+                    if f.endswith(".py"):
+                        path = os.path.join(folder, f)
+                        z.write(path, os.path.join("sparkloom", os.path.relpath(path, root)))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
+    return spark
 
 
 def work_dir(spark: SparkSession) -> str:
