@@ -40,6 +40,17 @@ def checked_features(df: DataFrame, columns: list[str], row_id: str = "row_id",
     return v, n
 
 
+def spread(df: DataFrame, keys: list[str], groups: int | None = None) -> DataFrame:
+    """Hash partitions by group key for a kernel that computes much on little data.
+
+    The number is explicit, because AQE would merge small partitions by their
+    bytes and with them the work.
+    """
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks if groups is None else max(1, min(tasks, groups)), *keys)
+
+
 def block_pairs(points: DataFrame, n: int, block_rows: int = BLOCK_ROWS, keep: list[str] | None = None) -> DataFrame:
     """Every row once per pair of blocks it belongs to: (a, b, in_b, row_id, features, ...).
 
@@ -51,11 +62,13 @@ def block_pairs(points: DataFrame, n: int, block_rows: int = BLOCK_ROWS, keep: l
     keep = keep or []
     homed = points.select(home.alias("h"), "row_id", VECTOR, *keep)
     if blocks == 1:
-        return homed.select(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(False).alias("in_b"), "row_id", VECTOR, *keep)
+        return spread(homed.select(F.lit(0).alias("a"), F.lit(0).alias("b"), F.lit(False).alias("in_b"), "row_id", VECTOR, *keep),
+                      ["a", "b"], 1)
     others = F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda x: x != F.col("h"))
-    return (homed.withColumn("o", F.explode(others))
-            .select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b"),
-                    (F.col("h") > F.col("o")).alias("in_b"), "row_id", VECTOR, *keep))
+    paired = (homed.withColumn("o", F.explode(others))
+              .select(F.least("h", "o").alias("a"), F.greatest("h", "o").alias("b"),
+                      (F.col("h") > F.col("o")).alias("in_b"), "row_id", VECTOR, *keep))
+    return spread(paired, ["a", "b"], blocks * (blocks - 1) // 2)
 
 
 def matrix(pdf: pd.DataFrame, column: str = VECTOR) -> np.ndarray:
@@ -66,8 +79,7 @@ def pair_distances(df: DataFrame, columns: list[str], metric: str = "euclidean",
                    block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(i, j, d) for all i < j.
 
-    The result has n(n-1)/2 rows by definition; it is never gathered, and no
-    other operator here reads it.
+    The result has n(n-1)/2 rows by definition and is never gathered.
     """
     require_metric(metric)
     points, n = checked_features(df, columns, row_id)

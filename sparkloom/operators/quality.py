@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.distance import block_distances, choose_two, require_metric
-from sparkloom.operators.distances import BLOCK_ROWS, VECTOR, block_pairs, covers_inside, matrix, with_features
+from sparkloom.operators.distances import (BLOCK_ROWS, VECTOR, block_pairs, covers_inside, matrix, pair_distances,
+                                           with_features)
+from sparkloom.session import cut
 
 CHAIN_RATIO = 10
 
@@ -135,18 +137,13 @@ def full_statistics(df: DataFrame, columns: list[str], labels: DataFrame, row_id
 def separation_ratio(df: DataFrame, columns: list[str], labels: DataFrame, row_id: str = "row_id") -> float:
     """min(1, mean centroid distance / mean distance to the own centroid / 10).
 
-    Centroids must fit the driver: they are K vectors.  Singletons do not count
-    among the distances to centroids.
+    Singletons do not count among the distances to centroids.
     """
     labels = labels.select(F.lit(0).alias("k"), "row_id", "label")
-    table = centroids(df, columns, labels, row_id)
-    rows = sorted(table.select("label", "centroid").collect())
-    if len(rows) < 2:
+    table = cut(centroids(df, columns, labels, row_id))
+    if len(table.limit(2).collect()) < 2:
         return 0.0
-    c = np.array([r["centroid"] for r in rows])
-    # mean over pairs of centroids, one centroid at a time
-    total = sum(float(np.sqrt(((c[i + 1:] - c[i]) ** 2).sum(axis=1)).sum()) for i in range(len(c) - 1))
-    inter = total / (len(c) * (len(c) - 1) / 2)
+    inter = pair_distances(table, ["centroid"], row_id="label").agg(F.avg("d")).first()[0]
     near = table.where("size > 1").select("label", "centroid")
     points = with_features(df, columns, row_id).join(labels, "row_id").join(near, "label")
     sq = F.aggregate(F.zip_with(VECTOR, "centroid", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)

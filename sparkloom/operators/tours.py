@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkloom.functions.hashing import digest, uniform
+from sparkloom.operators.distances import spread
 from sparkloom.operators.graph import (DEAD_END, NO_CLOSING, OK, UNKNOWN_START, first_edges, lightest_successor,
                                        node_counts, score_tours, tour_steps)
 from sparkloom.session import cut
@@ -46,14 +47,14 @@ def with_graphs(tours: DataFrame, edges: DataFrame, batch_key: Column, kernel, s
     if batches is not None:
         batched = tours.withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.lit(batches)).cast("int"))
         copies = edges.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-        return (batched.groupBy("graph_id", "_batch").cogroup(copies.groupBy("graph_id", "_batch"))
-                .applyInPandas(kernel, schema))
-    counts = tours.groupBy("graph_id").agg(F.ceil(F.count(F.lit(1)) / per_batch).cast("int").alias("_batches"))
-    batched = (tours.join(counts, "graph_id").withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.col("_batches")).cast("int"))
-               .drop("_batches"))
-    copies = (edges.join(counts, "graph_id")
-              .withColumn("_batch", F.explode(F.sequence(F.lit(0), F.col("_batches") - 1))).drop("_batches"))
-    return (batched.groupBy("graph_id", "_batch").cogroup(copies.groupBy("graph_id", "_batch"))
+    else:
+        counts = tours.groupBy("graph_id").agg(F.ceil(F.count(F.lit(1)) / per_batch).cast("int").alias("_batches"))
+        batched = (tours.join(counts, "graph_id")
+                   .withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.col("_batches")).cast("int")).drop("_batches"))
+        copies = (edges.join(counts, "graph_id")
+                  .withColumn("_batch", F.explode(F.sequence(F.lit(0), F.col("_batches") - 1))).drop("_batches"))
+    keys = ["graph_id", "_batch"]
+    return (spread(batched, keys).groupBy(*keys).cogroup(spread(copies, keys).groupBy(*keys))
             .applyInPandas(kernel, schema))
 
 
