@@ -37,3 +37,9 @@ FROM marked GROUP BY doc_id
 def op10_line_dedup(spark, sf_dir):
     from sparkloom.llm.line_mph import dedup_lines
     return dedup_lines(_docs(spark, sf_dir), with_text=False)
+
+
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, sf_dir):
+    from sparkloom.llm.suffix_bpr import cut_repeats
+    return cut_repeats(_docs(spark, sf_dir), with_text=False)
