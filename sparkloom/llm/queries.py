@@ -43,3 +43,68 @@ def op10_line_dedup(spark, sf_dir):
 def op1_suffix_dedup(spark, sf_dir):
     from sparkloom.llm.suffix_bpr import cut_repeats
     return cut_repeats(_docs(spark, sf_dir), with_text=False)
+
+
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+win AS (SELECT doc_id, i, array_to_string(ws[i + 1:i + 8], ' ') AS k
+        FROM (SELECT doc_id, ws, unnest(range(len(ws) - 7)) AS i FROM d)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT win.doc_id, unnest(range(i, i + 8)) AS p FROM win
+    JOIN (SELECT doc_id, k FROM win GROUP BY doc_id, k HAVING count(*) > 1) USING (doc_id, k)) GROUP BY doc_id),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(ls) AS l FROM d)
+        WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, len(ls) AS n_lines,
+         length(regexp_replace(t, '[^\p{L}]', '', 'g')) AS n_letters, length(regexp_replace(t, '[^\p{Lu}]', '', 'g')) AS n_upper
+  FROM d LEFT JOIN dup USING (doc_id) LEFT JOIN covered USING (doc_id)),
+b AS (
+  SELECT *, (n_words < 20)::BIGINT + 2 * (100 * n_repeat_words > 30 * n_words)::BIGINT + 4 * (word_chars < 2 * n_words)::BIGINT
+    + 8 * (word_chars > 20 * n_words)::BIGINT + 16 * (10 * n_symbols > n_words)::BIGINT + 32 * (10 * n_dup_lines > 3 * n_lines)::BIGINT
+    + 64 * (2 * n_upper > n_letters)::BIGINT + 128 * (2 * n_letters < word_chars)::BIGINT AS failures FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures & 3 <> 0 AS base_failed, failures = 0 AS kept,
+       n_lines, n_letters, n_upper, failures, 'strict/2' AS policy FROM b
+"""
+
+
+@query("op2_rule_ledger", OP2_SQL)
+def op2_rule_ledger(spark, sf_dir):
+    from sparkloom.llm.rule_ledger import judged
+    return judged(_docs(spark, sf_dir))
+
+
+@query("op4_simhash_ball")
+def op4_simhash_ball(spark, sf_dir):
+    from sparkloom.llm.simhash_ball import near_duplicates
+    return near_duplicates(_docs(spark, sf_dir))
+
+
+OP9_SQL = """
+WITH RECURSIVE step(n, k, c) AS (
+  SELECT n, 0, n::BIGINT FROM range(256) t(n)
+  UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS tab FROM step WHERE k = 8),
+d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+         xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+             lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, (SELECT tab FROM crc)[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents),
+scored AS (
+  SELECT doc_id, s, 1.0::DOUBLE / -ln(((md5_number_upper(doc_id || ':' || s) >> 12)::DOUBLE + 0.5) / 4503599627370496.0) AS v
+  FROM documents, range(41) t(s)),
+best AS (SELECT doc_id, (arg_max(s, v) FILTER (s < 40))::INTEGER AS shard, arg_max(s, v)::INTEGER AS grown_shard FROM scored GROUP BY doc_id)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+FROM d JOIN best USING (doc_id)
+"""
+
+
+@query("op9_rendezvous", OP9_SQL)
+def op9_rendezvous(spark, sf_dir):
+    from sparkloom.llm.rendezvous import shard_records
+    return shard_records(_docs(spark, sf_dir), [1.0] * 40)
