@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import common
 
-STRIP = " \t\n\x0b\x0c\r"
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+STRIP = b" \t\n\x0b\x0c\r"
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))  # A-Z alone; UTF-8 stays valid
 MIN_CHARS = 10
 SHARD_KEYS = 250_000  # (pack, line) entries that a shard is planned for
 GAMMA = 2.0
@@ -77,22 +77,33 @@ def mph_slots(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 
-def _line_keys(text: str | None, min_chars: int) -> tuple[list[str], list[bytes | None]]:
-    lines = (text or "").split("\n")
-    keys = []
-    for line in lines:
+def _line_keys(raw: bytes, min_chars: int) -> list[bytes | None]:
+    """Hash of each line's key; None for keys that are too short."""
+    keys: list[bytes | None] = []
+    for line in raw.translate(LOWER).split(b"\n"):
         key = line.strip(STRIP)
-        keys.append(xxhash.xxh3_128_digest(key.translate(LOWER).encode()) if len(key) >= min_chars else None)
-    return lines, keys
+        n = len(key)  # a code point takes one to four bytes
+        long = n >= 4 * min_chars or n >= min_chars and len(key.decode()) >= min_chars
+        keys.append(xxhash.xxh3_128_digest(key) if long else None)
+    return keys
 
 
-def _asked(table: pa.Table, n_shards: int, min_chars: int):
-    """Distinct hashes of a pack in (shard, hash) order: hash halves, shard, smallest and largest doc_id."""
+def _documents(table: pa.Table, min_chars: int) -> list[tuple[int | None, bytes, list[bytes | None]]]:
+    ids, data, bounds = common.pack_bytes_of(table)
+    raw = data.tobytes()
+    texts = [raw[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    return [(i, t, _line_keys(t, min_chars)) for i, t in zip(ids, texts, strict=True)]
+
+
+def _asked(docs: list, n_shards: int):
+    """Distinct hashes of a pack in (shard, hash) order: hash halves, smallest and largest doc_id, shard."""
     span: dict[bytes, list[int]] = {}
-    for doc_id, text in zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True):
+    for doc_id, _, keys in docs:
         if doc_id is None:
             continue
-        for key in set(_line_keys(text, min_chars)[1]) - {None}:
+        for key in keys:
+            if key is None:
+                continue
             seen = span.get(key)
             if seen is None:
                 span[key] = [doc_id, doc_id]
@@ -114,7 +125,7 @@ def _ask(n_shards: int, min_chars: int):
     def run(batches):
         for batch in batches:
             for pack_id, body in zip(batch["pack_id"].to_pylist(), batch["body"], strict=True):
-                hashes, ids, shard = _asked(common.unpack(body.as_buffer()), n_shards, min_chars)
+                hashes, ids, shard = _asked(_documents(common.unpack(body.as_buffer()), min_chars), n_shards)
                 cuts = np.flatnonzero(np.diff(shard)) + 1
                 groups = list(zip(np.r_[0, cuts], np.r_[cuts, len(shard)], strict=True)) if len(shard) else []
                 yield pa.RecordBatch.from_pydict({
@@ -201,20 +212,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = T
     def finish(batches):
         for batch in batches:
             for body, replies in zip(batch["body"], batch["replies"].to_pylist(), strict=True):
-                table = common.unpack(body.as_buffer())
-                owner = _owners(table, replies or [], n_shards, min_chars)
-                yield from _kept(table, owner, min_chars, with_text)
+                found = _documents(common.unpack(body.as_buffer()), min_chars)
+                yield _kept(found, _owners(found, replies or [], n_shards), with_text)
 
     schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string" + (", text string" if with_text else "")
     return common.with_replies(held, replies).mapInArrow(finish, schema)
 
 
-def _owners(table: pa.Table, replies: list, n_shards: int, min_chars: int) -> dict[bytes, int]:
+def _owners(docs: list, replies: list, n_shards: int) -> dict[bytes, int]:
     """Smallest doc_id of each repeated line of a pack."""
-    if not replies:
-        return {}
-    hashes, _, shard = _asked(table, n_shards, min_chars)
     owner: dict[bytes, int] = {}
+    if replies:
+        hashes, _, shard = _asked(docs, n_shards)
     for r in replies:
         start = int(np.searchsorted(shard, r["shard"]))
         for place, doc_id in zip(np.frombuffer(r["places"], "<u4").tolist(), np.frombuffer(r["owners"], "<i8").tolist(), strict=True):
@@ -222,20 +231,19 @@ def _owners(table: pa.Table, replies: list, n_shards: int, min_chars: int) -> di
     return owner
 
 
-def _kept(table: pa.Table, owner: dict[bytes, int], min_chars: int, with_text: bool):
+def _kept(docs: list, owner: dict[bytes, int], with_text: bool) -> pa.RecordBatch:
     cols: dict[str, list] = {"doc_id": [], "n_lines": [], "n_dropped": [], "kept_sha256": [], "text": []}
-    for doc_id, text in zip(table["doc_id"].to_pylist(), table["text"].to_pylist(), strict=True):
-        text = text or ""
-        n, dropped, kept = text.count("\n") + 1, 0, text
+    for doc_id, raw, keys in docs:
+        kept, dropped = raw, 0
         if owner and doc_id is not None:
-            lines, keys = _line_keys(text, min_chars)
             stay = [k is None or owner.get(k, doc_id) == doc_id for k in keys]
             dropped = len(stay) - sum(stay)
             if dropped:
-                kept = "\n".join(line for line, ok in zip(lines, stay, strict=True) if ok)
-        for name, v in zip(cols, (doc_id, n, dropped, hashlib.sha256(kept.encode()).hexdigest(), kept), strict=True):
+                kept = b"\n".join(line for line, ok in zip(raw.split(b"\n"), stay, strict=True) if ok)
+        for name, v in zip(cols, (doc_id, len(keys), dropped, hashlib.sha256(kept).hexdigest(), kept), strict=True):
             cols[name].append(v)
     if not with_text:
         del cols["text"]
     types = {"doc_id": pa.int64(), "n_lines": pa.int64(), "n_dropped": pa.int64(), "kept_sha256": pa.string(), "text": pa.string()}
-    yield pa.RecordBatch.from_pydict({k: pa.array(v, types[k]) for k, v in cols.items()})
+    return pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary()).cast(types[k]) if k == "text" else pa.array(v, types[k])
+                                       for k, v in cols.items()})

@@ -92,8 +92,8 @@ crc AS (SELECT list(c ORDER BY n) AS tab FROM step WHERE k = 8),
 d AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
          xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-             lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, (SELECT tab FROM crc)[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
-  FROM documents),
+             lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, crc),
 scored AS (
   SELECT doc_id, s, 1.0::DOUBLE / -ln(((md5_number_upper(doc_id || ':' || s) >> 12)::DOUBLE + 0.5) / 4503599627370496.0) AS v
   FROM documents, range(41) t(s)),
