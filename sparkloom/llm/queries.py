@@ -95,7 +95,7 @@ d AS (
              lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, crc),
 scored AS (
-  SELECT doc_id, s, 1.0::DOUBLE / -ln(((md5_number_upper(doc_id || ':' || s) >> 12)::DOUBLE + 0.5) / 4503599627370496.0) AS v
+  SELECT doc_id, s, 1.0::DOUBLE / -ln((('0x' || substr(md5(doc_id || ':' || s), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0) AS v
   FROM documents, range(41) t(s)),
 best AS (SELECT doc_id, (arg_max(s, v) FILTER (s < 40))::INTEGER AS shard, arg_max(s, v)::INTEGER AS grown_shard FROM scored GROUP BY doc_id)
 SELECT doc_id, size, text_crc32, 'key' AS law, shard,
@@ -108,3 +108,14 @@ FROM d JOIN best USING (doc_id)
 def op9_rendezvous(spark, sf_dir):
     from sparkloom.llm.rendezvous import shard_records
     return shard_records(_docs(spark, sf_dir), [1.0] * 40)
+
+
+@query("op7_huffman_ids")
+def op7_huffman_ids(spark, sf_dir):
+    import public_tokenizers
+
+    from sparkloom.llm.huffman_ids import encode_corpus, read_ids
+    from sparkloom.session import scratch_path
+    path = scratch_path(spark, "id-files")
+    encode_corpus(_docs(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
+    return read_ids(spark, path, with_ids=False)
