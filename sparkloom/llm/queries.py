@@ -119,3 +119,9 @@ def op7_huffman_ids(spark, sf_dir):
     path = scratch_path(spark, "id-files")
     encode_corpus(_docs(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"))
     return read_ids(spark, path, with_ids=False)
+
+
+@query("op8_subword_classifier")
+def op8_subword_classifier(spark, sf_dir):
+    from sparkloom.llm.subword_classifier import quality
+    return quality(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
