@@ -125,3 +125,11 @@ def op7_huffman_ids(spark, sf_dir):
 def op8_subword_classifier(spark, sf_dir):
     from sparkloom.llm.subword_classifier import quality
     return quality(_docs(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op6_sp_wfst")
+def op6_sp_wfst(spark, sf_dir):
+    import public_tokenizers
+
+    from sparkloom.llm.sp_wfst import encode
+    return encode(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
