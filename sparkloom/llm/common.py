@@ -32,6 +32,39 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(2, spark.sparkContext.defaultParallelism)
 
 
+# ---------------------------------------------------------------------------
+# words as numbers
+# ---------------------------------------------------------------------------
+
+PIECE = 1 << 19
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
+
+
+def pieces(text: str):
+    """The text in pieces of about `PIECE` characters cut at spaces and line breaks; a longer word is cut inside."""
+    a = 0
+    while len(text) - a > PIECE:
+        cut = max(text.rfind(" ", a, a + PIECE), text.rfind("\n", a, a + PIECE))
+        b = cut + 1 if cut > a else a + PIECE
+        yield text[a:b]
+        a = b
+    yield text[a:] if a else text
+
+
+def run_hashes(points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes, starts and ends of the maximal runs where `inside` holds; its first and last values are false."""
+    n = len(points)
+    with np.errstate(over="ignore"):
+        if not _POWERS or len(_POWERS[0]) < n:
+            _POWERS[:] = [np.cumprod(np.full(n, x, np.uint64)) for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+        up, down = _POWERS
+        total = np.concatenate([[np.uint64(0)], np.cumsum(np.where(inside, points, np.uint64(0)) * up[:n], dtype=np.uint64)])
+        begin = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
+        end = np.flatnonzero(~inside[1:] & inside[:-1]) + 1
+        return (total[end] - total[begin]) * down[begin], begin, end
+
+
 # ---------------------------------------------------------------------------
 # packs: rows that hold a few megabytes of documents
 # ---------------------------------------------------------------------------

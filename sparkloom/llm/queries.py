@@ -133,3 +133,9 @@ def op6_sp_wfst(spark, sf_dir):
 
     from sparkloom.llm.sp_wfst import encode
     return encode(_docs(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op3_spaced_seeds")
+def op3_spaced_seeds(spark, sf_dir):
+    from sparkloom.llm.spaced_seeds import find_leaks
+    return find_leaks(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))

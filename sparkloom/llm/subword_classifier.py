@@ -28,11 +28,8 @@ BUCKETS = 1 << 17
 DIM = 12
 EPOCHS = 8
 SAMPLE = 4000
-PIECE = 1 << 19
 _RNG = np.random.default_rng(7)
 _ODD = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SPACE = np.uint64(1)  # stands for the ends of words
 _CONSTANT = 0
 
@@ -45,18 +42,6 @@ def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
         return (h >> np.uint64(40)).astype(np.int64) % (BUCKETS - 1) + 1
 
 
-_POWERS: list[np.ndarray] = []
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if not _POWERS or len(_POWERS[0]) < n:
-        with np.errstate(over="ignore"):
-            up = np.full(n, _BASE)
-            down = np.full(n, _BASE_INV)
-            _POWERS[:] = [np.cumprod(up), np.cumprod(down)]
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
 def features(text: str):
     """Buckets of the features of a piece of text that starts and ends at a word border, in arrays."""
     points = np.frombuffer((" " + text + " ").encode("utf-32-le"), np.uint32)
@@ -72,11 +57,7 @@ def features(text: str):
             four = three[:-1] * _ODD[6] + c[3:]
             ok = inner[1:-2] & inner[2:-1]
             yield _bucket(four[ok], 2)
-        up, down = _powers(len(c) + 1)
-        total = np.concatenate([[np.uint64(0)], np.cumsum(np.where(gap, np.uint64(0), c) * up[:len(c)], dtype=np.uint64)])
-        begin = np.flatnonzero(inner[1:] & gap[:-1]) + 1
-        end = np.flatnonzero(gap[1:] & inner[:-1]) + 1
-        words = (total[end] - total[begin]) * down[begin]
+        words = common.run_hashes(c, inner)[0]
         yield _bucket(words, 3)
         if len(words) > 1:
             pair = words[:-1] * _ODD[5] + words[1:]
@@ -84,22 +65,11 @@ def features(text: str):
             yield _bucket(pair, 4)
 
 
-def pieces(text: str):
-    """The text in pieces of about `PIECE` characters cut at white space; a longer word is cut inside."""
-    a = 0
-    while len(text) - a > PIECE:
-        cut = max(text.rfind(" ", a, a + PIECE), text.rfind("\n", a, a + PIECE))
-        b = cut + 1 if cut > a else a + PIECE
-        yield text[a:b]
-        a = b
-    yield text[a:] if a else text
-
-
 def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets and their shares of all features."""
     total = np.zeros(BUCKETS, np.int64)
     total[_CONSTANT] = 1
-    for piece in pieces(text):
+    for piece in common.pieces(text):
         for f in features(piece):
             total += np.bincount(f, minlength=BUCKETS)
     seen = np.flatnonzero(total)
@@ -111,7 +81,7 @@ def _sums(texts: list[str], values: np.ndarray) -> np.ndarray:
     out = np.empty(len(texts))
     for i, text in enumerate(texts):
         total, n = float(values[_CONSTANT]), 1
-        for piece in pieces(text):
+        for piece in common.pieces(text):
             for f in features(piece):
                 total += float(values[f].sum())
                 n += len(f)
