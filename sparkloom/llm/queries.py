@@ -139,3 +139,9 @@ def op6_sp_wfst(spark, sf_dir):
 def op3_spaced_seeds(spark, sf_dir):
     from sparkloom.llm.spaced_seeds import find_leaks
     return find_leaks(_docs(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_skip_chain_pii")
+def op5_skip_chain_pii(spark, sf_dir):
+    from sparkloom.llm.skip_chain_pii import find_personal
+    return find_personal(_docs(spark, sf_dir))
