@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_ids(docs: DataFrame) -> DataFrame:
-    """`doc_id` and `text` only; columns of other names, clashing ones included, play no part."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def with_ids(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """`doc_id`, `text` and the columns in `carry`; columns of other names, clashing ones included, play no part."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
 
 
 def default_parallelism(spark: SparkSession) -> int:
@@ -70,10 +71,9 @@ def run_hashes(points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.n
 # ---------------------------------------------------------------------------
 
 _PACK_SCHEMA = "pack_id long, n_bytes long, body binary"
-_ROWS = pa.schema([("doc_id", pa.int64()), ("text", pa.large_string())])
 
 
-def packs(docs: DataFrame, pack_bytes: int = PACK_BYTES) -> DataFrame:
+def packs(docs: DataFrame, pack_bytes: int = PACK_BYTES, carry: Sequence[str] = ()) -> DataFrame:
     """Documents gathered into compressed rows of about `pack_bytes` of text, written once to the shared folder.
 
     Operators that ask hash shards about their content name a pack as the sender, so that a common key is asked once
@@ -83,8 +83,8 @@ def packs(docs: DataFrame, pack_bytes: int = PACK_BYTES) -> DataFrame:
         base, seq = TaskContext.get().partitionId() << 32, 0
         held, size = [], 0
         for batch in batches:
-            table = pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()),
-                              "text": batch.column("text").cast(pa.large_string())})
+            table = pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()), "text": batch.column("text").cast(pa.large_string()),
+                              **{c: batch.column(c) for c in carry}})
             lengths = np.asarray(pa.compute.binary_length(table["text"]).fill_null(0).combine_chunks(), dtype=np.int64)
             start = 0
             for i, length in enumerate(lengths.tolist()):
@@ -98,13 +98,13 @@ def packs(docs: DataFrame, pack_bytes: int = PACK_BYTES) -> DataFrame:
         if held:
             yield _pack(base + seq, held)
 
-    return staged(with_ids(docs).mapInArrow(build, _PACK_SCHEMA), "packs")
+    return staged(with_ids(docs, carry).mapInArrow(build, _PACK_SCHEMA), "packs")
 
 
 def _pack(pack_id: int, tables: list[pa.Table]) -> pa.RecordBatch:
-    table = pa.concat_tables(tables).cast(_ROWS).combine_chunks()
+    table = pa.concat_tables(tables).combine_chunks()
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, _ROWS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
         writer.write_table(table)
     body = sink.getvalue().to_pybytes()
     n_bytes = int(pa.compute.sum(pa.compute.binary_length(table["text"])).as_py() or 0)

@@ -13,12 +13,14 @@ all lines and are no copy of others; extra columns play no part.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sparkloom.llm import common
 
@@ -198,10 +200,10 @@ def line_index(asked: DataFrame) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(_build, _INDEX)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = True) -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept_sha256, text): every document without the lines that a smaller doc_id owns."""
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, n_lines, n_dropped, kept_sha256, text, carry...): every document without the lines that a smaller doc_id owns."""
     spark = docs.sparkSession
-    held = common.packs(docs)
+    held = common.packs(docs, carry=carry)
     # lines are at least min_chars long, so text bytes bound the number of entries
     total = held.agg(F.sum("n_bytes")).first()[0] or 0
     n_shards = max(1, -(-total // (64 * SHARD_KEYS)), common.default_parallelism(spark) * 2)
@@ -212,10 +214,14 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = T
     def finish(batches):
         for batch in batches:
             for body, replies in zip(batch["body"], batch["replies"].to_pylist(), strict=True):
-                found = _documents(common.unpack(body.as_buffer()), min_chars)
-                yield _kept(found, _owners(found, replies or [], n_shards), with_text)
-
-    schema = "doc_id long, n_lines long, n_dropped long, kept_sha256 string" + (", text string" if with_text else "")
+                table = common.unpack(body.as_buffer())
+                found = _documents(table, min_chars)
+                out = _kept(found, _owners(found, replies or [], n_shards), with_text)
+                yield from pa.Table.from_arrays([*out.columns, *(table[c] for c in carry)], [*out.schema.names, *carry]).to_batches()
+
+    schema = StructType.fromDDL("doc_id long, n_lines long, n_dropped long, kept_sha256 string" + (", text string" if with_text else ""))
+    for c in carry:
+        schema.add(docs.schema[c])
     return common.with_replies(held, replies).mapInArrow(finish, schema)
 
 

@@ -145,3 +145,9 @@ def op3_spaced_seeds(spark, sf_dir):
 def op5_skip_chain_pii(spark, sf_dir):
     from sparkloom.llm.skip_chain_pii import find_personal
     return find_personal(_docs(spark, sf_dir))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -188,3 +188,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, part_variants: int
     classes = named.join(least, "root").select("fp", "class_size", "component_id")
     return printed.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_size")
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One document of each component, that with the smallest doc_id, with all columns; rows without a doc_id stay."""
+    found = near_duplicates(docs, shingle)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -174,6 +174,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return common.with_ids(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The documents with a score of `threshold` or more, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.values)
+
+    def run(batches):
+        for batch in batches:
+            z = _sums([t or "" for t in batch["text"].to_pylist()], shared.value)
+            yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))) >= threshold, pa.bool_()))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every document."""
     scored = score(docs, fit(docs, labels, label, sample))
