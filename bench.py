@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from sparkloom.operators import annealing, graph, tours  # noqa: E402
+from sparkloom.operators import graph, tours  # noqa: E402
 from sparkloom.plans.catalog import QUERIES  # noqa: E402
 from sparkloom.session import build_session, cut  # noqa: E402
 
@@ -51,25 +51,11 @@ def main() -> None:
     found = {}
 
     def nearest():
-        found["greedy"] = cut(tours.greedy_tours(nodes, edges))
+        found["greedy"] = cut(tours.greedy_tours(nodes, edges, strategy="batches"))
         found["best"] = cut(graph.best_tours(found["greedy"]))
 
     run["nearest_all_starts_500"] = timed(nearest)
-    for name, fast in (("annealing_geometric_500", False), ("annealing_fast_500", True)):
-        def anneal(fast=fast, name=name):
-            state = annealing.chains(found["best"], [0.95], (fast,), initial_temp=10_000.0)
-            found[name] = annealing.anneal(state, edges, nodes, 20_000, initial_temp=10_000.0).collect()
-        run[name] = timed(anneal)
-
-    for name, guided in (("ants_500_20_rounds", False), ("ants_template_500_20_rounds", True)):
-        def ants(guided=guided, name=name):
-            found[name] = tours.colony(nodes, edges, rounds=20, use_template=guided)[0].collect()
-        run[name] = timed(ants)
     lengths = {"nearest_all_starts_500": found["best"].agg(F.min("length")).first()[0]}
-    for name in ("annealing_geometric_500", "annealing_fast_500"):
-        lengths[name] = min(x["best_length"] for x in found[name])
-    for name in ("ants_500_20_rounds", "ants_template_500_20_rounds"):
-        lengths[name] = min((x["length"] for x in found[name]), default=None)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(run.values()), 3), "unit": "sec",
                       "queries": run, "sf": SF_DIR, "tour_lengths": lengths}))
 

@@ -1,13 +1,9 @@
 """Greedy tours, weighted walks and colonies over many graphs at once.
 
-State is one row per tour.  Two strategies give the same result:
-
-* rounds of joins: each round joins the open tours with the edges leaving their
-  last node.  Works for a graph of any size.
-* dense: graphs whose node count is at most DENSE_NODES (checked) are handed,
-  with batches of tours, to a NumPy kernel that advances a whole batch per
-  step.  A graph with many tours is spread over many batches, so one hot graph
-  does not become one task.
+State is one row per tour.  Each round joins the open tours with the edges that
+leave their last node and keeps one of them.  Parallel edges are reduced first,
+and the edges of a node are dealt over salts, so a hub is met in parts whose
+minima or sums are combined afterwards.
 """
 
 from __future__ import annotations
@@ -24,35 +20,33 @@ from sparkloom.operators.graph import (DEAD_END, NO_CLOSING, OK, UNKNOWN_START,
                                        node_counts, score_tours, tour_steps)
 from sparkloom.session import cut
 
-DENSE_NODES = 2000
 BATCH_TOURS = 256
-ROUNDS_PER_CUT = 8
 TOUR_SCHEMA = "graph_id int, start bigint, path array<bigint>, length double, status string"
+ROUNDS_PER_CUT = 8
+SALTS = 4
+
+
+def salted(edges: DataFrame, salts: int) -> DataFrame:
+    """edges + `_salt`: which part of its source's edges an edge belongs to."""
+    return edges.withColumn("_salt", F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int"))
 
 
-def is_dense(nodes: DataFrame) -> bool:
-    """Whether every graph is small enough for the kernels."""
-    top = node_counts(nodes).agg(F.max("n")).first()[0]
-    return top is None or top <= DENSE_NODES
+def per_salt(tours: DataFrame, salts: int) -> DataFrame:
+    """Every tour once per salt."""
+    return tours.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
-def with_graphs(tours: DataFrame, edges: DataFrame, batch_key: Column, kernel, schema: str, per_batch: int = BATCH_TOURS,
-                batches: int | None = None) -> DataFrame:
+def with_graphs(tours: DataFrame, edges: DataFrame, batch_key: Column, kernel, schema: str, per_batch: int = BATCH_TOURS) -> DataFrame:
     """Applies `kernel(key, tours, edges)` to batches of tours of one graph with that graph's edges.
 
-    Only for graphs of checked size: the edges of a graph are repeated once per
-    batch of its tours.  `batches` is given where every graph has the same
-    number of tours, which saves counting them.
+    The edges of a graph are repeated once per batch of its tours, and a task
+    holds one matrix of node pairs: the caller's choice, never made by size.
     """
-    if batches is not None:
-        batched = tours.withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.lit(batches)).cast("int"))
-        copies = edges.withColumn("_batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    else:
-        counts = tours.groupBy("graph_id").agg(F.ceil(F.count(F.lit(1)) / per_batch).cast("int").alias("_batches"))
-        batched = (tours.join(counts, "graph_id")
-                   .withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.col("_batches")).cast("int")).drop("_batches"))
-        copies = (edges.join(counts, "graph_id")
-                  .withColumn("_batch", F.explode(F.sequence(F.lit(0), F.col("_batches") - 1))).drop("_batches"))
+    counts = tours.groupBy("graph_id").agg(F.ceil(F.count(F.lit(1)) / per_batch).cast("int").alias("_batches"))
+    batched = (tours.join(counts, "graph_id")
+               .withColumn("_batch", F.pmod(F.xxhash64(batch_key), F.col("_batches")).cast("int")).drop("_batches"))
+    copies = (edges.join(counts, "graph_id")
+              .withColumn("_batch", F.explode(F.sequence(F.lit(0), F.col("_batches") - 1))).drop("_batches"))
     keys = ["graph_id", "_batch"]
     return (spread(batched, keys).groupBy(*keys).cogroup(spread(copies, keys).groupBy(*keys))
             .applyInPandas(kernel, schema))
@@ -64,14 +58,6 @@ def dense_index(edges: pd.DataFrame, *extra) -> tuple[np.ndarray, np.ndarray, np
     return ids, np.searchsorted(ids, edges["src"].to_numpy()), np.searchsorted(ids, edges["dst"].to_numpy())
 
 
-def first_weights(edges: pd.DataFrame, s: np.ndarray, t: np.ndarray, n: int) -> np.ndarray:
-    """Weight of the first of parallel edges; infinite where there is none."""
-    w = np.full((n, n), np.inf)
-    late_first = edges["ord"].to_numpy().argsort(kind="stable")[::-1]
-    w[s[late_first], t[late_first]] = edges["weight"].to_numpy()[late_first]
-    return w
-
-
 # --- greedy tours ----------------------------------------------------------------
 
 def random_starts(nodes: DataFrame, seed: int = 42) -> DataFrame:
@@ -80,25 +66,60 @@ def random_starts(nodes: DataFrame, seed: int = 42) -> DataFrame:
     return nodes.groupBy("graph_id").agg(pick.alias("start"))
 
 
-def greedy_tours(nodes: DataFrame, edges: DataFrame, starts: DataFrame | None = None, dense: bool | None = None) -> DataFrame:
+def greedy_tours(nodes: DataFrame, edges: DataFrame, starts: DataFrame | None = None, strategy: str = "joins",
+                 salts: int = SALTS) -> DataFrame:
     """(graph_id, start, path, length, status): lightest edge to an unvisited node from every start.
 
     `starts` defaults to all nodes.  A dead end keeps the partial path and its
-    length; so does a tour without a closing edge.
+    length; so does a tour without a closing edge.  Equal weights go to the
+    smaller `ord`.  `strategy` "joins" takes graphs of any size; "batches" hands
+    batches of starts with all lightest edges of their graph to a task, which is
+    faster where a matrix of node pairs fits into a worker.
     """
+    if strategy not in ("joins", "batches"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     known = nodes.select("graph_id", F.col("node").alias("start"), F.lit(True).alias("known"))
     state = known if starts is None else (starts.select("graph_id", "start").distinct()
                                           .join(known, ["graph_id", "start"], "left"))
     state = (state.join(node_counts(nodes), "graph_id", "left")
              .select(F.col("graph_id").cast("int").alias("graph_id"), F.col("start").cast("bigint").alias("start"),
                      F.coalesce("known", F.lit(False)).alias("known"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
-    if dense is None:
-        dense = is_dense(nodes)
-    edges = edges.select(F.col("graph_id").cast("int").alias("graph_id"), F.col("src").cast("bigint").alias("src"),
-                         F.col("dst").cast("bigint").alias("dst"), F.col("weight").cast("double").alias("weight"), "ord")
-    if dense:
-        return with_graphs(state, edges, F.col("start"), _greedy_kernel, TOUR_SCHEMA)
-    return _greedy_rounds(state, edges, nodes)
+    # the lightest of parallel edges is the only one a tour can take
+    lightest = (edges.select(F.col("graph_id").cast("int").alias("_g"), F.col("src").cast("bigint").alias("src"),
+                             F.col("dst").cast("bigint").alias("dst"), F.col("weight").cast("double").alias("weight"), "ord")
+                .groupBy("_g", "src", "dst").agg(F.min(F.struct("weight", "ord")).alias("e"))
+                .select("_g", "src", "dst", "e.weight", "e.ord"))
+    if strategy == "batches":
+        return with_graphs(state, lightest.withColumnRenamed("_g", "graph_id"), F.col("start"), _greedy_kernel, TOUR_SCHEMA)
+    e = cut(salted(lightest, salts))
+    rounds = (node_counts(nodes).agg(F.max("n")).first()[0] or 1) - 1
+    open_ = F.col("status").isNull()
+    state = state.select(
+        "graph_id", "start", "n", F.col("start").alias("node"), F.when(F.col("known"), F.array("start"))
+        .otherwise(F.array().cast("array<bigint>")).alias("path"), F.lit(0.0).alias("length"),
+        F.when(~F.col("known"), UNKNOWN_START).alias("status")).repartition("graph_id", "start")
+    offers = e.withColumnRenamed("_salt", "_part")
+    for r in range(rounds):
+        reach = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("_salt") == F.col("_part")) & open_
+                 & (F.size("path") < F.col("n")) & ~F.array_contains("path", F.col("dst")))
+        step = (per_salt(state, salts).join(offers, reach, "left").groupBy("graph_id", "start")
+                .agg(*[F.first(c).alias(c) for c in ("n", "node", "path", "length", "status")],
+                     F.min(F.when(F.col("dst").isNotNull(), F.struct("weight", "ord", "dst"))).alias("b")))
+        moved = F.col("b").isNotNull()
+        state = step.select(
+            "graph_id", "start", "n", F.coalesce("b.dst", "node").alias("node"),
+            F.when(moved, F.array_append("path", F.col("b.dst"))).otherwise(F.col("path")).alias("path"),
+            (F.col("length") + F.coalesce("b.weight", F.lit(0.0))).alias("length"),
+            F.when(open_ & ~moved & (F.size("path") < F.col("n")), DEAD_END).otherwise(F.col("status")).alias("status"))
+        if (r + 1) % ROUNDS_PER_CUT == 0:
+            state = cut(state)
+    ends = (F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("start") == F.col("dst"))
+    done = state.join(e.select("_g", "src", "dst", F.col("weight").alias("close")), ends, "left")
+    closed = open_ & F.col("close").isNotNull()
+    return done.select(
+        "graph_id", "start", F.when(closed, F.array_append("path", F.col("start"))).otherwise(F.col("path")).alias("path"),
+        (F.col("length") + F.when(closed, F.col("close")).otherwise(0.0)).alias("length"),
+        F.when(closed, OK).when(open_, NO_CLOSING).otherwise(F.col("status")).alias("status"))
 
 
 def _greedy_kernel(key, tours: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
@@ -150,41 +171,6 @@ def _greedy_kernel(key, tours: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFram
     return pd.DataFrame({"graph_id": tours["graph_id"], "start": starts, "path": paths, "length": length, "status": status})
 
 
-def _greedy_rounds(state: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One join and one minimum per round; candidates are reduced before any shuffle."""
-    rounds = (node_counts(nodes).agg(F.max("n")).first()[0] or 1) - 1
-    edges = edges.persist()
-    open_ = F.col("status").isNull()
-    state = state.select(
-        "graph_id", "start", "n", F.col("start").alias("node"), F.when(F.col("known"), F.array("start"))
-        .otherwise(F.array().cast("array<bigint>")).alias("path"), F.lit(0.0).alias("length"),
-        F.when(~F.col("known"), UNKNOWN_START).alias("status")).repartition("graph_id", "start")
-    e = edges.select(F.col("graph_id").alias("_g"), "src", "dst", "weight", "ord")
-    for r in range(rounds):
-        reach = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & open_
-                 & (F.size("path") < F.col("n")) & ~F.array_contains("path", F.col("dst")))
-        step = (state.join(e, reach, "left").groupBy("graph_id", "start")
-                .agg(*[F.first(c).alias(c) for c in ("n", "node", "path", "length", "status")],
-                     F.min(F.when(F.col("dst").isNotNull(), F.struct("weight", "ord", "dst"))).alias("b")))
-        moved = F.col("b").isNotNull()
-        state = step.select(
-            "graph_id", "start", "n", F.coalesce("b.dst", "node").alias("node"),
-            F.when(moved, F.array_append("path", F.col("b.dst"))).otherwise(F.col("path")).alias("path"),
-            (F.col("length") + F.coalesce("b.weight", F.lit(0.0))).alias("length"),
-            F.when(open_ & ~moved & (F.size("path") < F.col("n")), DEAD_END).otherwise(F.col("status")).alias("status"))
-        if (r + 1) % ROUNDS_PER_CUT == 0:
-            state = cut(state)
-    closing = (edges.groupBy("graph_id", "src", "dst").agg(F.min("weight").alias("close"))
-               .select(F.col("graph_id").alias("_g"), "src", "dst", "close"))
-    ends = (F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("start") == F.col("dst"))
-    done = state.join(closing, ends, "left")
-    closed = open_ & F.col("close").isNotNull()
-    return done.select(
-        "graph_id", "start", F.when(closed, F.array_append("path", F.col("start"))).otherwise(F.col("path")).alias("path"),
-        (F.col("length") + F.when(closed, F.col("close")).otherwise(0.0)).alias("length"),
-        F.when(closed, OK).when(open_, NO_CLOSING).otherwise(F.col("status")).alias("status"))
-
-
 # --- weighted walks ------------------------------------------------------------------
 
 def attraction(alpha: float, beta: float) -> Column:
@@ -192,19 +178,20 @@ def attraction(alpha: float, beta: float) -> Column:
     return F.pow("pheromone", F.lit(alpha)) * F.pow(F.lit(1.0) / F.col("weight"), F.lit(beta))
 
 
-def transition_weights(walkers: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 2.0) -> DataFrame:
+def transition_weights(walkers: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 2.0, salts: int = SALTS) -> DataFrame:
     """(graph_id, walker, dst, attraction, share) of the unvisited successors of each walker's node.
 
     Parallel edges to one node add up.  A walker has at most n - 1 candidates.
     """
     if "pheromone" not in edges.columns:
         edges = edges.withColumn("pheromone", F.lit(0.1))
-    e = edges.select(F.col("graph_id").alias("_g"), "src", "dst", "weight", "pheromone")
-    reach = (F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & ~F.array_contains("path", F.col("dst"))
-    summed = (walkers.join(e, reach).groupBy("graph_id", "walker", "dst")
-              .agg(F.sum(attraction(alpha, beta)).alias("attraction")))
+    e = salted(edges.groupBy(F.col("graph_id").alias("_g"), "src", "dst").agg(F.sum(attraction(alpha, beta)).alias("attraction")), salts)
+    reach = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("_salt") == F.col("_part"))
+             & ~F.array_contains("path", F.col("dst")))
+    offered = (per_salt(walkers, salts).join(e.withColumnRenamed("_salt", "_part"), reach)
+               .select("graph_id", "walker", "dst", "attraction"))
     total = F.sum("attraction").over(Window.partitionBy("graph_id", "walker"))
-    return summed.withColumn("share", F.col("attraction") / total)
+    return offered.withColumn("share", F.col("attraction") / total)
 
 
 def walk_step(walkers: DataFrame, edges: DataFrame, draw: Column, alpha: float = 1.0, beta: float = 2.0,
@@ -259,9 +246,6 @@ def mark_first(edges: DataFrame) -> DataFrame:
 
 # --- colonies ----------------------------------------------------------------------------
 
-WALK_SCHEMA = "graph_id int, walker int, path array<bigint>, length double"
-
-
 def ants(nodes: DataFrame, num_ants: int, seed, round_: int) -> DataFrame:
     """(graph_id, walker, node, path): ants on hashed start nodes.
 
@@ -280,77 +264,9 @@ def _ants(ranked: DataFrame, num_ants: int, seed, round_: int) -> DataFrame:
                     F.array(F.col("node").cast("bigint")).alias("path"), F.col("n").cast("bigint").alias("n")))
 
 
-def _walk_kernel(seed, round_: int, alpha: float, beta: float):
-    import hashlib
-
-    def u(g, walker, step):
-        text = f"{seed}:{g}:{walker}:{round_}:{step}"
-        return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2.0 ** 52
-
-    def kernel(key, walkers: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        if not len(walkers):
-            return pd.DataFrame({"graph_id": [], "walker": [], "path": [], "length": []})
-        g = int(key[0])
-        ids, s, t = dense_index(edges, walkers["node"].to_numpy())
-        n = len(ids)
-        pull = np.zeros((n, n))
-        np.add.at(pull, (s, t), edges["pheromone"].to_numpy() ** alpha * (1.0 / edges["weight"].to_numpy()) ** beta)
-        weight = first_weights(edges, s, t, n)
-        guide = np.full(n, -1)
-        marked = edges["template_dst"].notna().to_numpy()
-        guide[s[marked]] = np.searchsorted(ids, edges["template_dst"].to_numpy()[marked].astype("int64"))
-        m = len(walkers)
-        at = np.searchsorted(ids, walkers["node"].to_numpy())
-        names, goal = walkers["walker"].to_numpy(), int(walkers["n"].iloc[0])
-        path = np.full((m, goal), -1)
-        path[:, 0] = at
-        seen = np.zeros((m, n), dtype=bool)
-        seen[np.arange(m), at] = True
-        live = np.arange(m)
-        for step in range(1, goal):
-            if not len(live):
-                break
-            run = np.cumsum(np.where(seen[live], 0.0, pull[at[live]]), axis=1)
-            total = run[:, -1]
-            shot = np.array([u(g, names[r], step) for r in live]) * total
-            pick = (run >= shot[:, None]).argmax(axis=1)
-            # a shot of exactly zero must not land on a closed node
-            closed = seen[live, pick] | (pull[at[live], pick] == 0)
-            if closed.any():
-                pick[closed] = (run[closed] > 0).argmax(axis=1)
-            hint = guide[at[live]]
-            free = (hint >= 0) & ~seen[live, np.maximum(hint, 0)]
-            pick = np.where(free, hint, pick)
-            alive = free | (total > 0)
-            live, pick = live[alive], pick[alive]
-            at[live] = pick
-            seen[live, pick] = True
-            path[live, step] = pick
-        done = np.isin(np.arange(m), live) & np.isfinite(weight[at, path[:, 0]])
-        out = []
-        for r in np.flatnonzero(done):
-            p = np.append(path[r], path[r, 0])
-            out.append((g, int(names[r]), ids[p].tolist(), float(np.add.accumulate(weight[p[:-1], p[1:]])[-1])))
-        return pd.DataFrame(out, columns=["graph_id", "walker", "path", "length"])
-
-    return kernel
-
-
 def walk_round(walkers: DataFrame, edges: DataFrame, nodes: DataFrame, seed, round_: int, alpha: float = 1.0, beta: float = 2.0,
-               template: DataFrame | None = None, dense: bool | None = None, batches: int | None = None) -> DataFrame:
+               template: DataFrame | None = None) -> DataFrame:
     """Closed valid tours (graph_id, walker, path, length) of one round of walks."""
-    if dense is None:
-        dense = is_dense(nodes)
-    if dense:
-        e = edges.select(F.col("graph_id").cast("int").alias("graph_id"), F.col("src").cast("bigint").alias("src"),
-                         F.col("dst").cast("bigint").alias("dst"), "weight", "ord", "pheromone",
-                         *[c for c in ("template_dst",) if c in edges.columns])
-        if "template_dst" not in edges.columns and template is None:
-            e = e.withColumn("template_dst", F.lit(None).cast("bigint"))
-        elif "template_dst" not in edges.columns:
-            e = e.join(template.select("graph_id", "src", F.col("dst").cast("bigint").alias("template_dst")), ["graph_id", "src"], "left")
-        return with_graphs(walkers, e, F.col("walker"), _walk_kernel(seed, round_, alpha, beta), WALK_SCHEMA,
-                           batches=batches)
     steps = node_counts(nodes).agg(F.max("n")).first()[0] or 1
     state = walkers.repartition("graph_id", "walker")
     for step in range(1, steps):
@@ -366,9 +282,9 @@ def walk_round(walkers: DataFrame, edges: DataFrame, nodes: DataFrame, seed, rou
             .select("graph_id", "walker", "path", "length"))
 
 
+# The defaults below are the published settings.
 def colony(nodes: DataFrame, edges: DataFrame, num_ants: int = 10, rounds: int = 100, alpha: float = 1.0, beta: float = 2.0,
-           rho: float = 0.1, q: float = 100.0, initial: float = 0.1, use_template: bool = False, seed: int = 42,
-           dense: bool | None = None) -> tuple[DataFrame, DataFrame]:
+           rho: float = 0.1, q: float = 100.0, initial: float = 0.1, use_template: bool = False, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """(best tour per graph (graph_id, length, round, walker, path), edges with their final pheromone).
 
     Each round is one job for all ants of all graphs; its edge table is cut so
@@ -376,20 +292,13 @@ def colony(nodes: DataFrame, edges: DataFrame, num_ants: int = 10, rounds: int =
     """
     from sparkloom.functions.ranks import rank_within
     nodes = nodes.select("graph_id", "node").persist()
-    if dense is None:
-        dense = is_dense(nodes)
     template = cut(lightest_successor(edges, seed)) if use_template else None
     ranked = rank_within(nodes, ["graph_id"], ["node"], "place").persist()
     state = mark_first(edges.withColumn("pheromone", F.lit(float(initial))))
-    if dense and template is not None:
-        state = state.join(template.select("graph_id", "src", F.col("dst").cast("bigint").alias("template_dst")), ["graph_id", "src"], "left")
-    elif dense:
-        state = state.withColumn("template_dst", F.lit(None).cast("bigint"))
     state = cut(state)
-    batches = -(-num_ants // BATCH_TOURS)
     best = None
     for r in range(rounds):
-        tours = cut(walk_round(_ants(ranked, num_ants, seed, r), state, nodes, seed, r, alpha, beta, template, dense, batches))
+        tours = cut(walk_round(_ants(ranked, num_ants, seed, r), state, nodes, seed, r, alpha, beta, template))
         top = F.min(F.struct("length", F.lit(r).alias("round"), "walker", "path")).alias("b")
         mine = tours.groupBy("graph_id").agg(top)
         best = mine if best is None else best.unionByName(mine).groupBy("graph_id").agg(F.min("b").alias("b"))

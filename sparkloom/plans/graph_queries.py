@@ -204,25 +204,8 @@ def pheromone_round(spark, sf):
     return rounded(out.select("graph_id", "src", "dst", "pheromone"), ["pheromone"], 9)
 
 
-@query()
-def colony(spark, sf):
-    edges, nodes = trade(spark, sf)
-    best, _ = tours.colony(nodes, edges, num_ants=10, rounds=5)
-    return rounded(best.select("graph_id", "length", "round", "walker", graph.path_text("path").alias("path_text")), ["length"])
-
-
-@query()
-def colony_template(spark, sf):
-    edges, nodes = trade(spark, sf)
-    best, _ = tours.colony(nodes, edges, num_ants=10, rounds=5, use_template=True)
-    return rounded(best.select("graph_id", "length", "round", "walker", graph.path_text("path").alias("path_text")), ["length"])
-
-
 # --- 2-opt and annealing -----------------------------------------------------------------
 
-MOVES = 20
-
-
 def move_sql(seed: str, *keys: str) -> str:
     """CTE columns i, k of the hashed move over a list `path`."""
     u = uniform_sql(f"{seed}/move", *keys)
@@ -236,17 +219,17 @@ def move_sql(seed: str, *keys: str) -> str:
 SWAPPED = "list_concat(list_concat(path[1:i], list_reverse(path[i + 1:k + 1])), path[k + 2:])"
 
 
-@query(f"""WITH RECURSIVE {BEST}, m AS (SELECT graph_id, path, unnest(range(0, {MOVES}))::INTEGER AS move FROM best),
-mv AS (SELECT graph_id, move, path, {move_sql('42', 'graph_id', 'move')} FROM m), q AS (SELECT graph_id, move, i, k, {SWAPPED} AS path FROM mv),
-steps AS (SELECT graph_id, move, i, k, path, unnest(range(1, len(path))) AS s FROM q),
-sc AS (SELECT s.graph_id, move, i, k, sum(e.weight) AS length, count(*) AS c, any_value(len(path)) AS l FROM steps s JOIN e
- ON e.graph_id = s.graph_id AND e.src = path[s] AND e.dst = path[s + 1] GROUP BY 1, 2, 3, 4),
-b AS (SELECT graph_id, min({{'l': length, 'm': move, 'i': i, 'k': k}}) AS b FROM sc WHERE c = l - 1 GROUP BY 1)
-SELECT graph_id, b.m AS move, b.i AS i, b.k AS k, {rs('b.l')} AS length FROM b""")
+@query(f"""WITH RECURSIVE {BEST}, f AS (SELECT graph_id, path, unnest(range(1, len(path) - 2))::INTEGER AS i FROM best),
+m AS (SELECT graph_id, path, i, unnest(range(i + 1, len(path) - 1))::INTEGER AS k FROM f), q AS (SELECT graph_id, i, k, {SWAPPED} AS path FROM m),
+steps AS (SELECT graph_id, i, k, path, unnest(range(1, len(path))) AS s FROM q),
+sc AS (SELECT s.graph_id, i, k, sum(e.weight) AS length, count(*) AS c, any_value(len(path)) AS l FROM steps s JOIN e
+ ON e.graph_id = s.graph_id AND e.src = path[s] AND e.dst = path[s + 1] GROUP BY 1, 2, 3),
+b AS (SELECT graph_id, min({{'l': length, 'i': i, 'k': k}}) AS b FROM sc WHERE c = l - 1 GROUP BY 1)
+SELECT graph_id, b.i AS i, b.k AS k, {rs('b.l')} AS length FROM b""")
 def two_opt_best(spark, sf):
     t, edges, nodes = greedy(spark, sf)
     best = cut(graph.best_tours(t))
-    return rounded(annealing.best_moves(best, edges, nodes, MOVES, keys=["graph_id"]), ["length"])
+    return rounded(annealing.best_moves(best, edges, nodes, keys=["graph_id"]), ["length"])
 
 
 RATES = (0.35, 0.95)
@@ -267,9 +250,3 @@ def anneal_round(spark, sf):
     state = annealing.chains(cut(graph.best_tours(t)), list(RATES), (False, True))
     out = annealing.anneal_round(state, edges, nodes)
     return rounded(out.select("graph_id", "rate", "fast", "length", "best_length", "temp", "rounds"), ["length", "best_length", "temp"])
-
-
-@query()
-def anneal_sweep(spark, sf):
-    t, edges, nodes = greedy(spark, sf)
-    return annealing.sweep(cut(graph.best_tours(t)), edges, nodes)
