@@ -15,6 +15,7 @@ side; rows without a doc_id come first; an empty table has no blocks; extra colu
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 
@@ -29,7 +30,7 @@ from sparkloom.llm import common
 MAX_BITS = 16
 CHECKPOINT = 256
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 300_000
+CACHE_PIECES = 400_000
 _HEAD = struct.Struct("<4sHHIQI")
 _MAGIC = b"SLHC"
 _NO_ID = np.iinfo(np.int64).min
@@ -41,73 +42,96 @@ _NO_ID = np.iinfo(np.int64).min
 
 
 class WordEncoder:
-    """Encodes texts word by word with a tokenizer that drops white space, remembering recent words.
+    """Encodes texts with a byte-level tokenizer that drops white space, remembering recent pieces.
 
-    Splitting at spaces and line breaks is exact for such a tokenizer, as no token spans them.  Two generations of
-    remembered words bound the memory.
+    Texts in the plain alphabet (printable ASCII, line breaks, tabs, Latin-1 letters) are put into small letters and split
+    like the tokenizer splits them; the tokenizer's model encodes each piece it has not seen lately.  Any other text, and
+    one that may hold a special token, goes through the tokenizer whole.  Both give the same ids.  Two generations of
+    remembered pieces bound the memory.
     """
 
     _HELD: dict[str, WordEncoder] = {}
+    #: The pre-tokenizer's pattern over small letters of the plain alphabet.
+    _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\s a-zß-öø-ÿ0-9]+")
+    _PLAIN = re.compile(r"[ -~\n\t\rÀ-ÖØ-öø-ÿ]*")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[str, bytes] = {"": b""}
+        self.wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
+        self.type = "<u4" if self.wide else "<u2"
+        split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # the visible character that stands for each byte of the plain alphabet
+        self.visible = {}
+        for c in map(chr, range(32, 256)):
+            for byte, shown in zip(c.encode(), split.pre_tokenize_str(c)[0][0], strict=True):
+                self.visible[byte] = shown
+        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
-        """One per worker process, so later tasks find the words of earlier ones."""
+        """One per worker process, so later tasks find the pieces of earlier ones."""
         if path not in cls._HELD:
             cls._HELD[path] = cls(path)
         return cls._HELD[path]
 
-    def _learn(self, words: list[str]) -> None:
-        for a in range(0, len(words), 4000):
-            some = words[a:a + 4000]
-            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4")
-            begins = np.cumsum([0] + [len(w) + 1 for w in some])
-            at = np.array([o[0] for o in found.offsets], dtype=np.int64)
-            cuts = np.searchsorted(at, begins).tolist()
-            raw = ids.tobytes()
-            for w, x, y in zip(some, cuts[:-1], cuts[1:], strict=True):
-                self.new[w] = raw[4 * x:4 * y]
+    def _learn(self, pieces: set[str]) -> None:
+        tokenize, visible = self.tokenizer.model.tokenize, self.visible
+        letter = "I" if self.wide else "H"
+        for p in pieces:
+            held = self.old.get(p)
+            if held is None:
+                ids = [t.id for t in tokenize(p.encode().decode("latin-1").translate(visible))]
+                held = struct.pack(f"<{len(ids)}{letter}", *ids)
+            self.new[p] = held
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        """Ids of each text as little-endian integers of `type`."""
+        plain = [self._PLAIN.fullmatch(t) is not None and "<|" not in t for t in texts]
+        split = [self._PIECE.findall(t.lower()) if ok else [] for t, ok in zip(texts, plain, strict=True)]
         unknown = set().union(*split).difference(self.new)
-        if len(self.new) + len(unknown) > CACHE_WORDS:
-            self.old, self.new = self.new, {"": b""}
+        if len(self.new) + len(unknown) > CACHE_PIECES:
+            self.old, self.new = self.new, {}
             unknown = set().union(*split).difference(self.new)
-        known = unknown.intersection(self.old)
-        for w in known:
-            self.new[w] = self.old[w]
-        self._learn(sorted(unknown - known))
+        self._learn(unknown)
         look = self.new.__getitem__
-        return [b"".join(map(look, words)) for words in split]
+        return [b"".join(map(look, pieces)) if ok else self._whole(t) for t, pieces, ok in zip(texts, split, plain, strict=True)]
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
-def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids): ids of each whole text and the end id, as little-endian 32-bit integers."""
-    end = struct.pack("<I", end_id)
 
+def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
+    """(doc_id, width, ids): ids of each whole text and the end id, little-endian integers of `width` bytes."""
     def run(batches):
         encoder = WordEncoder.of(tokenizer_path)
+        end, width = np.array([end_id], encoder.type).tobytes(), 4 if encoder.wide else 2
         for batch in batches:
-            ids, texts = batch["doc_id"], [t or "" for t in batch["text"].to_pylist()]
+            lengths = pa.compute.fill_null(pa.compute.binary_length(batch["text"]), 0).to_pylist()
             a = 0
-            while a < len(texts):
+            while a < len(lengths):
                 b, size = a, 0
-                while b < len(texts) and (b == a or size < 2_000_000):
-                    size += len(texts[b])
+                while b < len(lengths) and (b == a or size < 1_000_000):
+                    size += lengths[b]
                     b += 1
+                texts = [t or "" for t in batch["text"].slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": ids.slice(a, b - a), "ids": pa.array([x + end for x in encoder.encode(texts[a:b])], pa.binary())})
+                    "doc_id": batch["doc_id"].slice(a, b - a), "width": pa.array([width] * (b - a), pa.int8()),
+                    "ids": pa.array([x + end for x in encoder.encode(texts)], pa.binary())})
                 a = b
-    return common.with_ids(docs).mapInArrow(run, "doc_id long, ids binary")
+    return common.with_ids(docs).mapInArrow(run, "doc_id long, width byte, ids binary")
+
+
+def _ids(raw, width: int) -> np.ndarray:
+    return np.frombuffer(raw, "<u4" if width == 4 else "<u2")
+
+
+def _added(total: np.ndarray, rows: list[bytes], width: int) -> np.ndarray:
+    more = np.bincount(_ids(b"".join(rows), width), minlength=len(total))
+    more[:len(total)] += total
+    return more
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
@@ -115,14 +139,18 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch["ids"]:
-                part = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
-                if len(part) > len(total):
-                    total = np.pad(total, (0, len(part) - len(total)))
-                total[:len(part)] += part
+            held: dict[int, list[bytes]] = {}
+            for width, raw in zip(batch["width"].to_pylist(), batch["ids"], strict=True):
+                rows = held.setdefault(width, [])
+                rows.append(raw.as_py())
+                if len(rows) == 500:
+                    total = _added(total, rows, width)
+                    rows.clear()
+            for width, rows in held.items():
+                total = _added(total, rows, width)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"id": pa.array(seen, pa.int64()), "n": pa.array(total[seen], pa.int64())})
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("width", "ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # ---------------------------------------------------------------------------
@@ -235,7 +263,7 @@ def unpack_block(data, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray
 
 
 def write_ids(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
-    """Writes (doc_id, ids) in ascending doc_id order.  The counts that reach the driver are bounded by the vocabulary."""
+    """Writes (doc_id, width, ids) in ascending doc_id order.  The counts that reach the driver are bounded by the vocabulary."""
     spark = tokens.sparkSession
     rows = id_counts(tokens).collect()
     counts = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
@@ -247,12 +275,12 @@ def write_ids(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
 
     def run(batches):
         part, block, first = TaskContext.get().partitionId(), 0, 0
-        held: list[tuple[int, bytes]] = []
+        held: list[tuple[int, np.ndarray]] = []
         size = 0
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True):
-                held.append((_NO_ID if doc_id is None else doc_id, ids))
-                size += len(ids) // 4
+            for doc_id, width, raw in zip(batch["doc_id"].to_pylist(), batch["width"].to_pylist(), batch["ids"].to_pylist(), strict=True):
+                held.append((_NO_ID if doc_id is None else doc_id, _ids(raw, width)))
+                size += len(held[-1][1])
                 if size >= block_ids:
                     yield _block(part, block, first, size, held, codes, lengths)
                     held, block, first, size = [], block + 1, first + size, 0
@@ -265,8 +293,8 @@ def write_ids(tokens: DataFrame, path: str, block_ids: int = BLOCK_IDS) -> None:
 
 def _block(part, block, first, size, held, codes, lengths) -> pa.RecordBatch:
     doc_ids = np.array([x[0] for x in held], np.int64)
-    sizes = np.array([len(x[1]) // 4 for x in held], np.int64)
-    data = pack_block(doc_ids, sizes, np.frombuffer(b"".join(x[1] for x in held), "<u4"), codes, lengths)
+    sizes = np.array([len(x[1]) for x in held], np.int64)
+    data = pack_block(doc_ids, sizes, np.concatenate([x[1] for x in held]), codes, lengths)
     return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "block": pa.array([block], pa.int32()),
                                        "first_id": pa.array([first], pa.int64()), "n_ids": pa.array([size], pa.int64()),
                                        "data": pa.array([data], pa.binary())})

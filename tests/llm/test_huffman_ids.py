@@ -1,6 +1,7 @@
 """Token files: optimal code lengths, exact round trips, random access."""
 
 import heapq
+import random
 import zlib
 
 import numpy as np
@@ -47,13 +48,18 @@ def test_blocks_round_trip(n):
         h.unpack_block(b"x" * 100, h.decode_table(lengths))
 
 
-def test_words_one_by_one_equal_whole_texts(sf):
+ALPHABET = "abcABCstrvemldSTD''''  \n\t\r012.,!?<>|*#$%&éÉßÿØ÷×_`~^\"\\\x7f\x80\xa0"
+
+
+def test_pieces_equal_whole_texts(sf):
+    r = random.Random(3)
     import pyarrow.parquet as pq
     texts = pq.read_table(f"{sf}/documents.parquet")["text"].to_pylist()
     texts += ["", "  a\n\nb\t c", "ΑΣ ΑΣ. İx é e ́", "don't <|endoftext|>x a　b c", "x" * 5000, "it's 12,5 日本 語"]
     t = Tokenizer.from_file(PATH)
+    texts += ["".join(r.choice(ALPHABET) for _ in range(r.randrange(80))) for _ in range(3000)]
     got = h.WordEncoder(PATH).encode(texts)
-    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
 def test_files_round_trip(spark):
