@@ -52,9 +52,12 @@ def distances_from(point: np.ndarray, others: np.ndarray, metric: str) -> np.nda
 
 
 def choose_two(n) -> Column:
-    """n over 2 for counts: n * (n - 1) / 2, zero below two."""
+    """n over 2 for counts as decimal(38, 0): n * (n - 1) / 2, zero below two."""
     n = _column(n).cast("bigint")
-    return F.when(n < 2, F.lit(0).cast("bigint")).otherwise((n * (n - 1)).cast("bigint") / F.lit(2)).cast("bigint")
+    # the even factor is halved first, so nothing is rounded and nothing overflows
+    even = F.shiftright(n, 1).cast("decimal(19,0)") * (n - 1).cast("decimal(19,0)")
+    odd = n.cast("decimal(19,0)") * F.shiftright(n - 1, 1).cast("decimal(19,0)")
+    return F.when(n < 2, F.lit(0).cast("decimal(38,0)")).when(F.pmod(n, F.lit(2)) == 0, even).otherwise(odd).cast("decimal(38,0)")
 
 
 def binomial(n: int, k: int = 2) -> int:

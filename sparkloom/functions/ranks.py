@@ -39,7 +39,8 @@ def _bucket(v: Column, low, high, integral: bool) -> Column:
     if integral:
         width = (high - low) // BUCKETS + 1
         return F.floor((v - F.lit(low)) / F.lit(width)).cast("int")
-    scaled = (v - F.lit(low)) / F.lit(high - low) * F.lit(BUCKETS)
+    # halves first: the distance of two large doubles may be infinite
+    scaled = (v / F.lit(2.0) - F.lit(low / 2.0)) / F.lit(high / 2.0 - low / 2.0) * F.lit(BUCKETS)
     return F.least(F.floor(scaled), F.lit(BUCKETS - 1)).cast("int")
 
 
@@ -90,6 +91,8 @@ def order_statistics(df: DataFrame, wanted: dict[str, list[int]],
             for r in sorted(by_span[index[(t.column, t.low, t.high)]], key=lambda r: r["bucket"]):
                 if t.rank < seen + r["rows"]:
                     lo, hi = (r["nlo"], r["nhi"]) if integral[t.column] else (r["dlo"], r["dhi"])
+                    if (lo, hi) == (t.low, t.high) and r["rows"] > FEW_ROWS:
+                        raise ArithmeticError(f"the values of {t.column!r} between {lo} and {hi} cannot be told apart")
                     t.low, t.high, t.before = lo, hi, seen
                     if lo == hi:
                         t.value = lo

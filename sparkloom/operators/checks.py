@@ -20,8 +20,8 @@ def columns_by_kind(df: DataFrame, kinds: dict[str, str], wanted: set[str] | lis
     return [c for c in df.columns if kinds.get(c) in wanted]
 
 
-def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ("student_id",), limit: int | None = 5) -> list[str]:
-    """Numeric columns in table order without the excluded ones, the first `limit`."""
+def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ("student_id",), limit: int | None = None) -> list[str]:
+    """Numeric columns in table order without the excluded ones; all of them unless a `limit` is given."""
     names = [f.name for f in df.schema.fields
              if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
     return names if limit is None else names[:limit]

@@ -11,12 +11,13 @@ from pyspark.sql.window import Window
 
 from sparkloom.functions.ranks import exact_quantiles, with_position
 from sparkloom.operators.checks import is_missing
-from sparkloom.operators.profile import distinct_counts, entropy, is_numeric
+from sparkloom.operators.profile import QUASI_IDENTIFIER_NAMES, distinct_counts, entropy, is_numeric
 from sparkloom.session import cut
 
+# Bins per level and the usual quasi-identifiers.
 BIN_COUNTS = {"low": 8, "moderate": 4, "high": 2}
 MASK = "***"
-DEFAULT_QIS = ("age", "gender", "parental_education_level", "internet_quality", "part_time_job")
+DEFAULT_QIS = QUASI_IDENTIFIER_NAMES
 
 # Fixed values of the text generalisation.
 GENDER_SHORT = {"Male": "M", "Female": "F", "Other": "O"}
@@ -72,11 +73,14 @@ def group_stats(classes: DataFrame) -> DataFrame:
     """
     h = size_histogram(classes)
     size, times = F.col("group_size").cast("double"), F.col("groups")
-    n, s, q = F.sum(times), F.sum(size * times), F.sum(size * size * times)
+    n, s = F.sum(times), F.sum(size * times)
+    # squares around the mean keep their digits; the histogram is small, so a second pass costs nothing
+    mean = h.agg((s / n).alias("m")).first()["m"] or 0.0
+    q = F.sum((size - F.lit(mean)) * (size - F.lit(mean)) * times)
     return (h.agg(
         n.alias("total_groups"), F.min("group_size").alias("min_group_size"), F.max("group_size").alias("max_group_size"),
         (s / n).alias("mean_group_size"), F.percentile("group_size", 0.5, times).alias("median_group_size"),
-        F.sqrt(F.greatest(F.try_divide(q - s * s / n, n - F.lit(1)), F.lit(0.0))).alias("std_group_size"),
+        F.sqrt(F.try_divide(q, n - F.lit(1))).alias("std_group_size"),
         F.coalesce(F.sum(F.when(size == 1, times)), F.lit(0)).alias("vulnerable_groups"),
         F.coalesce(F.sum(F.when(size == 1, times)), F.lit(0)).alias("vulnerable_rows")))
 
@@ -170,6 +174,7 @@ def compact_report(df: DataFrame, qis: list[str]) -> DataFrame:
 
 # --- generalisation --------------------------------------------------------------
 
+# Limits and steps below.
 def round_edge(b: float) -> float | int:
     """Edge rounded to the step of its magnitude (Python's half-even rounding)."""
     if b == 0:

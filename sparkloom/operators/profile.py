@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from sparkloom.functions.ranks import exact_quantiles
 from sparkloom.operators.checks import is_missing, require_complete, require_numeric
+from sparkloom.session import cut
 from sparkloom.sources.spec import ColumnSpec, TableSpec
 
 # Fixed values of the kind rules.
@@ -23,6 +24,7 @@ ORDINAL_SCALES = (("Poor", "Fair", "Good"),
                   ("None", "High School", "Bachelor", "Master"),
                   ("Poor", "Average", "Good"))
 TOP_VALUES = 10
+MAX_LEVELS = 1000  # levels of an ordinal column; more raise
 
 
 def is_numeric(df: DataFrame, c: str) -> bool:
@@ -188,9 +190,14 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, medians: boo
            .agg(F.sort_array(F.collect_list(F.struct("rank", "value", "count"))).alias("top"))
            .select("column", F.col("top.value")[0].alias("top_value"), F.col("top.count")[0].alias("top_count"),
                    F.col("top.value").alias("categories")))
+    # all values of text columns with at most MAX_LEVELS of them
+    few = distinct.where((F.col("distinct_values") <= MAX_LEVELS) & F.col("column").isin(text)).select("column")
+    levels = (counts.join(F.broadcast(few), "column").groupBy("column")
+              .agg(F.sort_array(F.collect_list("value")).alias("levels")))
     pct = lambda c: F.try_divide(F.lit(100.0) * F.col(c), F.col("rows"))
     # one row per column on every side
     return (stats.join(F.broadcast(distinct), "column", "left").join(F.broadcast(top), "column", "left")
+            .join(F.broadcast(levels), "column", "left")
             .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0).cast("bigint")))
             .withColumns({"distinct_pct": pct("distinct_values"), "missing_pct": pct("missing")}))
 
@@ -239,7 +246,9 @@ def default_spec(profile: DataFrame, seed: int = 42) -> TableSpec:
             encoding = "onehot" if r["distinct_values"] <= 10 else "label"
         elif r["kind"] == "categorical_ordinal":
             encoding = "ordinal"
-            order = ordinal_order(list(r["categories"] or []))
+            if r["levels"] is None and r["distinct_values"]:
+                raise ValueError(f"column {r['column']!r} has {r['distinct_values']} levels, more than {MAX_LEVELS}")
+            order = ordinal_order(list(r["levels"] or []))
         columns[r["column"]] = ColumnSpec(
             name=r["column"], kind=r["kind"], scaling=scaling, encoding=encoding, ordinal=order,
             is_quasi_identifier=r["column"].lower() in QUASI_IDENTIFIER_NAMES)
@@ -279,8 +288,16 @@ def average_ranks(df: DataFrame, column: str) -> DataFrame:
 def cut_blocks(df: DataFrame) -> DataFrame:
     """Adds the number of rows in earlier blocks; one row per block of 100 000 distinct values."""
     totals = df.groupBy("_block").agg(F.sum("times").alias("_t"))
-    earlier = F.sum("_t").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-    return df.join(totals.select("_block", F.coalesce(earlier, F.lit(0)).alias("_before")), "_block")
+    # two levels: inside groups of 1000 blocks, and over the groups, of which there is one per 100 million distinct values
+    group = F.floor(F.col("_block") / F.lit(1000))
+    earlier = F.sum("_t").over(Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    groups, start = [], 0
+    for r in sorted(totals.groupBy(group.alias("g")).agg(F.sum("_t").alias("t")).collect()):
+        groups.append((r["g"], start))
+        start += r["t"]
+    starts = df.sparkSession.createDataFrame(groups, "_g bigint, _start bigint")
+    placed = totals.withColumn("_inside", F.coalesce(earlier, F.lit(0))).withColumn("_g", group).join(F.broadcast(starts), "_g")
+    return df.join(placed.select("_block", (F.col("_start") + F.col("_inside")).alias("_before")), "_block")
 
 
 def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -288,8 +305,14 @@ def spearman(df: DataFrame, columns: list[str]) -> DataFrame:
     med = exact_quantiles(df, columns, [0.5])
     filled = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(med[c][0])).alias(c) for c in columns])
     for i, c in enumerate(columns):
-        ranks = average_ranks(filled, c).select(F.col("value").alias(c), F.col("rank_value").alias(f"_r{i}"))
-        filled = filled.join(ranks, c)
+        ranks = cut(average_ranks(filled, c)).select(F.col("value").alias(c), F.col("rank_value").alias(f"_r{i}"))
+        # the fill value may be a large part of the rows: its rank is a literal, and its rows spread over the join
+        mine = ranks.where(F.col(c) == F.lit(med[c][0])).first()
+        fill = F.col(c) == F.lit(med[c][0])
+        rank = F.lit(mine[f"_r{i}"] if mine else None).cast("double")
+        key = F.when(fill, -1 - F.pmod(F.xxhash64(*filled.columns), F.lit(1000))).otherwise(0)
+        filled = (filled.withColumn("_salt", key).join(ranks.withColumn("_salt", F.lit(0)), [c, "_salt"], "left")
+                  .withColumn(f"_r{i}", F.when(fill, rank).otherwise(F.col(f"_r{i}"))).drop("_salt"))
     ranked = filled.select(*[F.col(f"_r{i}").alias(c) for i, c in enumerate(columns)])
     return correlations(ranked, columns)
 

@@ -156,30 +156,30 @@ def separation_ratio(df: DataFrame, columns: list[str], labels: DataFrame, row_i
 # --- agreement ----------------------------------------------------------------------
 
 def fowlkes_mallows(pairs: DataFrame, left: str = "left_label", right: str = "right_label") -> DataFrame:
-    """One row of the index over rows labelled twice: (rows, pairs_both, pairs_left, pairs_right, fm).
+    """One row of the index over rows labelled twice: (rows, pairs_both, pairs_left, pairs_right, fm); pairs are decimals.
 
     Everything is counted from the contingency table; the margins come from it,
     so the rows are aggregated once.
     """
     cells = pairs.groupBy(left, right).agg(F.count(F.lit(1)).alias("n"))
     both = cells.agg(F.sum("n").alias("rows"), F.sum(choose_two("n")).alias("both"), F.count(F.lit(1)).alias("cells"))
-    nothing = F.lit(0).cast("bigint")
+    nothing = F.lit(0).cast("decimal(38,0)")
 
     def margin(c: str, name: str) -> DataFrame:
         return cells.groupBy(c).agg(F.sum("n").alias("n")).agg(F.sum(choose_two("n")).alias(name))
 
     def pad(d: DataFrame) -> DataFrame:
-        return d.select(*[(F.col(c) if c in d.columns else nothing).alias(c)
+        return d.select(*[(F.col(c).cast("decimal(38,0)") if c in d.columns else nothing).alias(c)
                           for c in ("rows", "both", "cells", "lefts", "rights")])
 
     one = (pad(both).unionByName(pad(margin(left, "lefts"))).unionByName(pad(margin(right, "rights")))
            .agg(*[F.coalesce(F.sum(c), nothing).alias(c) for c in ("rows", "both", "cells", "lefts", "rights")]))
     b, p, q = F.col("both"), F.col("lefts"), F.col("rights")
-    index = F.sqrt(F.try_divide(b, p).cast("double") * F.try_divide(b, q).cast("double"))
+    index = F.sqrt(F.try_divide(b.cast("double"), p.cast("double")) * F.try_divide(b.cast("double"), q.cast("double")))
     fm = (F.when(F.col("rows") < 2, 1.0)
           .when(F.col("rows") == 2, F.when((p > 0) == (q > 0), 1.0).otherwise(0.0))
           .when((p == 0) & (q == 0), 1.0).when((p == 0) | (q == 0), 0.0).otherwise(index))
-    return one.select("rows", b.alias("pairs_both"), p.alias("pairs_left"), q.alias("pairs_right"), fm.alias("fm"))
+    return one.select(F.col("rows").cast("bigint").alias("rows"), b.alias("pairs_both"), p.alias("pairs_left"), q.alias("pairs_right"), fm.alias("fm"))
 
 
 def agreement(first: DataFrame, second: DataFrame) -> DataFrame:

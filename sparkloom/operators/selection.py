@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.checks import feature_quality
+from sparkloom.operators.checks import QualityError, feature_quality
 from sparkloom.operators.linkage import single_linkage
 from sparkloom.operators.profile import variance_ranking
 from sparkloom.operators.quality import silhouette
@@ -112,15 +112,15 @@ class Selection:
 def select_features(df: DataFrame, columns: list[str], n: int, k: int = 3, metric: str = "euclidean",
                     row_id: str = "row_id", max_iterations: int = 1000, seed: int = 42,
                     quality: Callable[[DataFrame, list[str]], float] | None = None) -> Selection:
-    """The n most informative columns; falls back to the largest variances when the search fails."""
+    """The n most informative columns; largest variances where the data check refuses the search (`QualityError`)."""
     table = df.select(row_id, *columns).persist()
     score = quality or (lambda frame, names: subset_quality(frame, names, k, metric, row_id))
     try:
         found, best, history = adaptive_search(
             len(columns), n, lambda s: score(table, [columns[i] for i in s]), max_iterations, seed=seed)
         return Selection([columns[i] for i in found], best, "spa", history)
-    except Exception as failure:  # any failure of the search falls back to variances
-        warnings.warn(f"feature search failed, ranking by variance: {failure}", stacklevel=2)
+    except QualityError as failure:  # a lost executor or any other failure is no reason for another answer
+        warnings.warn(f"the data are unfit for the search, ranking by variance: {failure}", stacklevel=2)
         rows = variance_ranking(table, columns, n).orderBy("rank").collect()
         return Selection([r["column"] for r in rows], rows[0]["quality"], "variance", [])
     finally:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators import clustering, distances, encode, linkage, privacy, quality, selection
 from sparkloom.plans import clustering_run
 from sparkloom.plans.privacy_queries import binned_sql
-from sparkloom.plans.registry import query, r, rounded, rs, table
+from sparkloom.plans.registry import query, r, rounded, rs, table, whole
 from sparkloom.session import cut, scratch_path
 from sparkloom.sources import runs
 from sparkloom.sources.spec import ColumnSpec, TableSpec
@@ -199,6 +199,9 @@ def separation_ratio(spark, sf):
     return spark.createDataFrame([(quality.separation_ratio(e, DIMS, e.select("row_id", "label")),)], "ratio double").select(r("ratio").alias("ratio"))
 
 
+PAIRS = ["pairs_both", "pairs_left", "pairs_right"]
+
+
 def fm_sql(pairs: str) -> str:
     """One row of the index for pairs(a, b)."""
     return f"""(WITH cells AS (SELECT a, b, count(*) AS n FROM {pairs} GROUP BY 1, 2),
@@ -212,14 +215,14 @@ SELECT t.n AS "rows", t.p AS pairs_both, l.p AS pairs_left, q.p AS pairs_right,
 @query("SELECT * FROM " + fm_sql("(SELECT event_type AS a, hour(ts) // 6 AS b FROM events)"))
 def fm_index(spark, sf):
     e = table(spark, sf, "events").select(F.col("event_type").alias("left_label"), F.floor(F.hour("ts") / 6).alias("right_label"))
-    return rounded(quality.fowlkes_mallows(e), ["fm"])
+    return rounded(whole(quality.fowlkes_mallows(e), PAIRS), ["fm"])
 
 
 @query(f"""WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql('8')}
 SELECT * FROM {fm_sql('(SELECT l.label AS a, e.label AS b FROM labels l JOIN embeddings e ON e.vec_id = l.id)')}""")
 def fm_linkage_vs_labels(spark, sf):
     e = emb3(spark, sf)
-    return rounded(quality.agreement(linkage.single_linkage(e, DIMS, 8), e.select("row_id", "label")), ["fm"])
+    return rounded(whole(quality.agreement(linkage.single_linkage(e, DIMS, 8), e.select("row_id", "label")), PAIRS), ["fm"])
 
 
 @query(f"""WITH c AS (SELECT label, count(*) AS size, avg(e1) AS x, avg(e2) AS y FROM {EMB3} GROUP BY 1)

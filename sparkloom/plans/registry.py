@@ -42,5 +42,10 @@ def rs(expr: str, digits: int = 6) -> str:
     return f"(round(({expr})::DOUBLE, {digits}) + 0.0::DOUBLE)"
 
 
+def whole(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Counts as bigint, for tables that are known to be small enough."""
+    return df.withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     return df.withColumns({c: r(c, digits) for c in columns})

@@ -26,6 +26,22 @@ def csv_scan(spark, sf):
     return rounded(out, ["c_acctbal"])
 
 
+@query("SELECT doc_id, text, source FROM documents")
+def csv_documents(spark, sf):
+    """Quotes and line breaks inside fields survive."""
+    d = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return csv.read_csv(spark, csv.write_csv(d, scratch_path(spark, "csv")), "doc_id bigint, text string, source string", strict=True)
+
+
+@query("""SELECT 'p_partkey' AS "column", 0::BIGINT AS bad UNION ALL SELECT 'p_type', count(*) FILTER (TRY_CAST(p_type AS DOUBLE) IS NULL) FROM part
+UNION ALL SELECT 'p_retailprice', count(*) FILTER (p_retailprice <> floor(p_retailprice)) FROM part""")
+def csv_bad_values(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
+    path = csv.write_csv(p.withColumn("p_retailprice", F.when(F.col("p_retailprice") == F.floor("p_retailprice"), "1").otherwise("x")),
+                         scratch_path(spark, "csv"))
+    return csv.bad_values(spark, path, "p_partkey bigint, p_type double, p_retailprice bigint")
+
+
 @query("""SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS "column",
 unnest(['bigint', 'string', 'bigint', 'double', 'string']) AS dtype, (SELECT count(*) FROM customer) AS "rows" """)
 def csv_inferred(spark, sf):
@@ -110,7 +126,7 @@ def spec_roundtrip(spark, sf):
 
 
 @query(f"""SELECT p_partkey AS row_id, {rs('(p_size - min(p_size) OVER ()) / (max(p_size) OVER () - min(p_size) OVER ())::DOUBLE')} AS p_size,
-{rs('(p_retailprice - avg(p_retailprice) OVER ()) / stddev_pop(p_retailprice) OVER ()')} AS p_retailprice, 1::BIGINT AS tables FROM part""")
+{rs('(p_retailprice - avg(p_retailprice) OVER ()) / stddev_pop(p_retailprice) OVER ()')} AS p_retailprice, 1::BIGINT AS tables, 2::BIGINT AS null_tables FROM part""")
 def reusable_table(spark, sf):
     part = table(spark, sf, "part").withColumn("row_id", F.col("p_partkey"))
     folder = scratch_path(spark, "tables")
@@ -118,4 +134,10 @@ def reusable_table(spark, sf):
     reuse.materialise_if_stale(part, FIT_SPEC, folder, build)
     again = reuse.materialise_if_stale(part.repartition(3), FIT_SPEC, folder, build)  # same content, other order
     kept = reuse.stored(spark, folder).count()
-    return rounded(again, ["p_size", "p_retailprice"]).select("row_id", "p_size", "p_retailprice", F.lit(kept).cast("bigint").alias("tables"))
+    # the same values with the null in another column are another table
+    nulls, none = scratch_path(spark, "tables"), F.lit(None).cast("string")
+    for other in ({"p_brand": none}, {"p_name": none, "p_brand": F.col("p_name")}):
+        reuse.materialise_if_stale(part.withColumns(other), FIT_SPEC, nulls, lambda source, spec: source)
+    return rounded(again, ["p_size", "p_retailprice"]).select(
+        "row_id", "p_size", "p_retailprice", F.lit(kept).cast("bigint").alias("tables"),
+        F.lit(reuse.stored(spark, nulls).count()).cast("bigint").alias("null_tables"))

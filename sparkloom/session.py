@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -21,6 +24,7 @@ def build_session(app: str = "sparkloom", master: str | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -39,7 +43,9 @@ def ship_package(spark: SparkSession) -> SparkSession:
     sc = spark.sparkContext
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.abspath(__file__))
-        archive = os.path.join(tempfile.mkdtemp(prefix="sparkloom-code-"), "sparkloom.zip")
+        folder = tempfile.mkdtemp(prefix="sparkloom-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = os.path.join(folder, "sparkloom.zip")
         with zipfile.ZipFile(archive, "w") as z:
             for folder, _, files in os.walk(root):
                 for f in files:
@@ -55,11 +61,17 @@ def work_dir(spark: SparkSession) -> str:
     """Folder all executors can reach.
 
     The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (tests on one machine) a temporary folder is made, once per session.
+    (tests on one machine) a temporary folder is made, once per session, and
+    removed at exit; on any other master a missing setting is an error, because
+    executors would write to disks of their own.
     """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if not named:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors of {master} share")
         named = tempfile.mkdtemp(prefix="sparkloom-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, named)
     return named
 

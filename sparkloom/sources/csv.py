@@ -13,12 +13,18 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def infer_schema(spark: SparkSession, path: str, null_tokens=NULL_TOKENS) -> T.StructType:
+def _reader(spark: SparkSession, multi_line: bool):
+    """Quotes are doubled inside quoted fields; with `multi_line` a field may hold line breaks."""
+    return (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+            .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def infer_schema(spark: SparkSession, path: str, null_tokens=NULL_TOKENS, multi_line: bool = True) -> T.StructType:
     """Narrowest of bigint, double, boolean and string per column, tokens left out.
 
     One pass of the file read as text columns; use an explicit schema in production.
     """
-    raw = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
+    raw = _reader(spark, multi_line).csv(path)
     checks = []
     for i, c in enumerate(raw.columns):
         v = F.when(~F.col(f"`{c}`").isin(*null_tokens), F.trim(f"`{c}`"))
@@ -35,22 +41,46 @@ def infer_schema(spark: SparkSession, path: str, null_tokens=NULL_TOKENS) -> T.S
     return T.StructType(fields)
 
 
+def _typed(f: T.StructField, null_tokens):
+    """The text of a field without null tokens, and its value."""
+    v = F.when(~F.col(f"`{f.name}`").isin(*null_tokens), F.col(f"`{f.name}`"))
+    return v, v if isinstance(f.dataType, T.StringType) else F.trim(v).try_cast(f.dataType)
+
+
+def bad_values(spark: SparkSession, path: str, schema: T.StructType | str, null_tokens=NULL_TOKENS, multi_line: bool = True) -> DataFrame:
+    """(column, bad): present values of each column that do not parse as its type."""
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = _reader(spark, multi_line).schema(text).option("enforceSchema", False).csv(path)
+    tests = [_typed(f, null_tokens) for f in schema.fields]
+    one = raw.agg(*[F.count_if(v.isNotNull() & t.isNull()).alias(f"b{i}") for i, (v, t) in enumerate(tests)])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"b{i}").alias("bad"))
+                                         for i, f in enumerate(schema.fields)])))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None, null_tokens=NULL_TOKENS,
-             row_id: str | None = None, key: str | None = None) -> DataFrame:
+             row_id: str | None = None, key: str | None = None, multi_line: bool = True, strict: bool = False) -> DataFrame:
     """UTF-8 CSV with a header; every null token becomes null before typing.
 
+    `multi_line` lets quoted fields hold line breaks, at the price that one task
+    reads one file.  A value that does not parse becomes null, or fails the job
+    with `strict`; `bad_values` counts them.
+
     `row_id` adds an id: the value of `key` where the table has one, else the
     line's place in the file order.
     """
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    schema = schema or infer_schema(spark, path, null_tokens)
+    schema = schema or infer_schema(spark, path, null_tokens, multi_line)
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(text).option("header", True).option("encoding", "UTF-8").option("enforceSchema", False).csv(path)
+    raw = _reader(spark, multi_line).schema(text).option("enforceSchema", False).csv(path)
     cols = []
     for f in schema.fields:
-        v = F.when(~F.col(f"`{f.name}`").isin(*null_tokens), F.col(f"`{f.name}`"))
-        cols.append((v if isinstance(f.dataType, T.StringType) else F.trim(v).try_cast(f.dataType)).alias(f.name))
+        v, typed = _typed(f, null_tokens)
+        if strict and not isinstance(f.dataType, T.StringType):
+            typed = F.when(v.isNotNull() & typed.isNull(), F.raise_error(F.concat(F.lit(f"column {f.name}: "), v))).otherwise(typed)
+        cols.append(typed.alias(f.name))
     if row_id is None:
         return raw.select(*cols)
     if key is not None:
@@ -61,5 +91,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    (df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path

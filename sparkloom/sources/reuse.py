@@ -16,8 +16,9 @@ def content_fingerprint(df: DataFrame) -> str:
     """Order-free content hash and row count, one pass without a shuffle of rows.
 
     Two independent 64-bit hashes are summed as decimals, which cannot overflow.
+    The hash skips nulls, so each column goes in with its null flag.
     """
-    cols = [F.col(f"`{c}`") for c in sorted(df.columns)]
+    cols = [x for c in sorted(df.columns) for x in (F.isnull(f"`{c}`"), F.col(f"`{c}`"))]
     row = df.agg(F.count(F.lit(1)).alias("n"),
                  F.sum(F.xxhash64(*cols).cast("decimal(20,0)")).alias("a"),
                  F.sum(F.xxhash64(F.lit("second"), *cols).cast("decimal(20,0)")).alias("b")).first()

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.functions.distance import block_distances
+from sparkloom.functions.distance import block_distances, choose_two
 from sparkloom.operators import clustering, distances, linkage, quality, selection
+from sparkloom.operators.checks import QualityError
 from sparkloom.plans import clustering_run
 from sparkloom.sources import csv, reuse, runs
 from sparkloom.sources.spec import ColumnSpec, TableSpec
@@ -116,6 +117,11 @@ def test_fowlkes_mallows_cases(spark):
     assert fm([(0, 5), (0, 5), (1, 9), (1, 9), (2, 9)]) < 1
 
 
+def test_pair_counts_of_large_cells(spark):
+    got = spark.createDataFrame([(0,), (1,), (2,), (200_000_003,), (4_000_000_000,), (9_000_000_000_000_000_000,)], "n bigint").select(choose_two("n").alias("c"))
+    assert [int(r["c"]) for r in got.collect()] == [n * (n - 1) // 2 for n in (0, 1, 2, 200_000_003, 4_000_000_000, 9_000_000_000_000_000_000)]
+
+
 def test_adaptive_search(spark):
     scores = {(0, 2): 0.9}
     found, best, history = selection.adaptive_search(4, 2, lambda s: scores.get(s, 0.1 + 0.01 * sum(s)), seed=1)
@@ -126,10 +132,15 @@ def test_adaptive_search(spark):
     assert len(selection.adaptive_search(5, 2, lambda s: 0.0)[2]) == 10
     df = points(spark, [[i, i * i, 1] for i in range(12)], 1)
 
+    def unfit(frame, names):
+        raise QualityError("no")
+
     def broken(frame, names):
-        raise RuntimeError("no")
+        raise RuntimeError("executor lost")
+    with pytest.raises(RuntimeError):
+        selection.select_features(df, DIMS, 2, quality=broken)
     with pytest.warns(UserWarning):
-        fallback = selection.select_features(df, DIMS, 2, quality=broken)
+        fallback = selection.select_features(df, DIMS, 2, quality=unfit)
     assert fallback.features == ["y", "x"] and fallback.method == "variance"
     assert selection.subset_quality(df, ["x"]) == 0.0 and selection.subset_quality(df, ["x", "z"]) == 0.0
     assert selection.subset_quality(df, ["x", "y"]) > 0
@@ -174,6 +185,40 @@ def test_csv_null_tokens_and_order(spark, tmp_path):
         csv.read_csv(spark, str(tmp_path / "absent.csv"))
 
 
+def test_csv_quotes_breaks_and_bad_values(spark, tmp_path):
+    (tmp_path / "q.csv").write_text('n,t,m\n1,"say ""hi"", ok",5\n2,"two\nlines",x\n', encoding="utf-8")
+    schema = "n bigint, t string, m bigint"
+    path = str(tmp_path / "q.csv")
+    assert sorted(map(tuple, csv.read_csv(spark, path, schema).collect())) == [(1, 'say "hi", ok', 5), (2, "two\nlines", None)]
+    assert {r["column"]: r["bad"] for r in csv.bad_values(spark, path, schema).collect()} == {"n": 0, "t": 0, "m": 1}
+    with pytest.raises(Exception, match="column m: x"):
+        csv.read_csv(spark, path, schema, strict=True).collect()
+    odd = spark.createDataFrame([(1, ' a "b", \\ c\r\nd '), (2, ",")], "n bigint, t string")
+    back = csv.read_csv(spark, csv.write_csv(odd, str(tmp_path / "odd")), "n bigint, t string")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, odd.collect()))
+
+
+def test_a_moved_null_changes_the_fingerprint(spark):
+    a, b = (spark.createDataFrame([r], "k int, s string, t string") for r in ((1, "x", None), (1, None, "x")))
+    assert reuse.content_fingerprint(a) != reuse.content_fingerprint(b)
+
+
+def test_work_folder_must_be_shared(monkeypatch):
+    from types import SimpleNamespace
+
+    from sparkloom import session
+    held = {}
+    def fake(master):
+        conf = SimpleNamespace(get=lambda k, d=None: held.get(k, d), set=held.__setitem__)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="share"):
+            session.work_dir(fake(master))
+    for master in ("local", "local[8]", "local[*]"):
+        held.clear()
+        assert session.work_dir(fake(master)) == held[session.CHECKPOINT_CONF]
+
+
 def test_reusable_tables(spark, tmp_path):
     df = spark.createDataFrame([(i, i % 4) for i in range(20)], "row_id bigint, v int")
     calls = []

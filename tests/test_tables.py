@@ -211,3 +211,21 @@ def test_spearman_averages_ties(spark):
     ra, rb = [1, 2.5, 2.5, 4], [1.5, 1.5, 4, 3]
     assert profile.spearman(df, ["a", "b"]).first()["r"] == pytest.approx(float(np.corrcoef(ra, rb)[0, 1]))
     assert not math.isnan(profile.correlations(df, ["a", "b"]).first()["r"])
+
+
+def test_median_of_values_near_both_limits(spark):
+    from sparkloom.functions.ranks import exact_quantiles
+    big = 1.5e308
+    df = spark.range(6004).select(((F.col("id") - 3001.5) / 3001.5 * big).alias("v"))
+    values = sorted(r["v"] for r in df.collect())
+    got = exact_quantiles(df, ["v"], [0.0, 0.25, 1.0])["v"]
+    assert got[0] == values[0] and got[2] == values[-1] and abs(got[1] - values[1500]) < big / 1000
+
+
+def test_ordinal_order_has_all_levels(spark):
+    df = spark.range(240).select(F.format_string("g%02d", F.col("id") % 12).alias("grade"))
+    spec = profile.default_spec(profile.column_profile(df))
+    assert spec.columns["grade"].ordinal == [f"g{i:02d}" for i in range(12)]
+    many = spark.range(2000).select(F.format_string("level %d", F.col("id")).alias("grade"))
+    with pytest.raises(ValueError, match="2000 levels"):
+        profile.default_spec(profile.column_profile(many))
