@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import struct
 import zlib
 
 import numpy as np
@@ -73,9 +74,12 @@ class Machines:
         self.longest = max(map(len, self.piece))
         self.line_break_alone = not any("\n" in p for p in self.piece)
         self.fallback = -min(self.score[i] for i in self.piece.values()) + 10.0
+        self.rank = {p: self.score[i] for p, i in self.piece.items()}
         self.name = {i: p for p, i in self.piece.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
+        self.joined = {two for p in self.piece for two in zip(p, p[1:], strict=False)}
+        self.part: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
@@ -90,16 +94,19 @@ class Machines:
 
     def merged(self, text: str) -> list[str]:
         """Merges of the best-scored neighbours, leftmost first, on a few characters."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = -math.inf, -1
-            for i in range(len(parts) - 1):
-                k = self.piece.get(parts[i] + parts[i + 1])
-                if k is not None and self.score[k] > best:
-                    best, at = self.score[k], i
-            if at < 0:
+        parts, rank = list(text), self.rank.get
+        gain = [rank(x + y, -math.inf) for x, y in zip(parts, parts[1:], strict=False)]
+        while gain:
+            best = max(gain)
+            if best == -math.inf:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            i = gain.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del gain[i]
+            if i:
+                gain[i - 1] = rank(parts[i - 1] + parts[i], -math.inf)
+            if i < len(gain):
+                gain[i] = rank(parts[i] + parts[i + 1], -math.inf)
         return parts
 
     def follows(self, a: int, b: int) -> bool:
@@ -123,36 +130,65 @@ class Machines:
 
     def shortest(self, unit: str) -> list[int]:
         """Ids on the lightest path of the pieces and bytes composed with a normalised unit."""
-        n = len(unit)
-        cost = [0.0] + [math.inf] * n
-        back: list[tuple[int, int]] = [(-1, -1)] * (n + 1)  # start, piece (-1: bytes)
-        get = self.piece.get
-        for j in range(1, n + 1):
-            for i in range(max(0, j - self.longest), j):
-                k = get(unit[i:j])
-                if k is None or cost[i] == math.inf:
-                    continue
-                if self.merges:
-                    before = back[i][1]
-                    ok = self.stands(k) and (i == 0 or before < 0 or self.follows(before, k))
-                    weight = cost[i] if ok else math.inf
-                else:
-                    weight = cost[i] - self.score[k]
-                if weight < cost[j]:
-                    cost[j], back[j] = weight, (i, k)
-            # a character with a piece of its own never falls back
-            if get(unit[j - 1]) is None:
-                weight = cost[j - 1] + (0.0 if self.merges else self.fallback)
-                if weight < cost[j]:
-                    cost[j], back[j] = weight, (j - 1, -1)
+        back = self._merge_path(unit) if self.merges else self._score_path(unit)
         out: list[int] = []
-        j = n
+        j = len(unit)
         while j:
             i, k = back[j]
             out += [k] if k >= 0 else [self.byte_id[x] for x in reversed(unit[i:j].encode())]
             j = i
         return out[::-1]
 
+    def _merge_path(self, unit: str) -> list[tuple[int, int]]:
+        """Start and piece (-1: bytes) of the arc into each place of a BPE model.
+
+        Every prefix has exactly one path of weight 0, so the first arc found to extend one ends the search at its place.
+        """
+        get, pairs, whole = self.piece.get, self.pairs, self.whole
+        back = [(-1, -1)]
+        for j in range(1, len(unit) + 1):
+            for i in range(j - self.longest if j > self.longest else 0, j):
+                k = get(unit[i:j])
+                if k is None:
+                    continue
+                before = back[i][1]
+                if before >= 0:
+                    ok = pairs.get((before, k))
+                    if ok if ok is not None else self.follows(before, k):
+                        break
+                else:  # the start, or after bytes, which never merge
+                    ok = whole.get(k)
+                    if ok if ok is not None else self.stands(k):
+                        break
+            else:
+                i, k = j - 1, -1
+            back.append((i, k))
+        return back
+
+    def _score_path(self, unit: str) -> list[tuple[int, int]]:
+        n = len(unit)
+        cost = [0.0] + [math.inf] * n
+        back = [(-1, -1)] * (n + 1)
+        for j in range(1, n + 1):
+            for i in range(max(0, j - self.longest), j):
+                k = self.piece.get(unit[i:j])
+                if k is not None and cost[i] - self.score[k] < cost[j]:
+                    cost[j], back[j] = cost[i] - self.score[k], (i, k)
+            # a character with a piece of its own never falls back
+            if unit[j - 1] not in self.piece and cost[j - 1] + self.fallback < cost[j]:
+                cost[j], back[j] = cost[j - 1] + self.fallback, (j - 1, -1)
+        return back
+
+    def parts(self, unit: str) -> list[str]:
+        """The unit cut where no piece holds the two characters around the cut, so no path can span it."""
+        joined, out, a = self.joined, [], 0
+        for b, two in enumerate(zip(unit, unit[1:], strict=False), 1):
+            if two not in joined:
+                out.append(unit[a:b])
+                a = b
+        out.append(unit[a:])
+        return out
+
     def units(self, text: str) -> list[str]:
         """The normalised text in units: escaped spaces with what follows; line breaks stand alone."""
         text = text.replace(ESCAPE, " ")
@@ -188,10 +224,22 @@ class Machines:
             unknown = set().union(*split).difference(self.new)
         for u in unknown:
             held = self.old.get(u)
-            self.new[u] = np.array(self.shortest(u), "<i4").tobytes() if held is None else held
+            if held is None:
+                parts = self.parts(u)
+                held = self._part(u) if len(parts) == 1 else b"".join(map(self._part, parts))
+            self.new[u] = held
         look = self.new.__getitem__
         return [b"".join(map(look, units)) for units in split]
 
+    def _part(self, part: str) -> bytes:
+        held = self.part.get(part)
+        if held is None:
+            if len(self.part) > CACHE_UNITS:
+                self.part.clear()
+            ids = self.shortest(part)
+            held = self.part[part] = struct.pack(f"<{len(ids)}i", *ids)
+        return held
+
     def decode(self, ids: np.ndarray) -> str:
         """The inverse composition: pieces and bytes to text, without the dummy prefix."""
         raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
@@ -213,14 +261,15 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     def run(batches):
         m = Machines.of(model_path)
         for batch in batches:
-            doc_id, texts = batch["doc_id"], [t or "" for t in batch["text"].to_pylist()]
+            lengths = pa.compute.fill_null(pa.compute.binary_length(batch["text"]), 0).to_pylist()
             a = 0
-            while a < len(texts):
+            while a < len(lengths):
                 b, size = a, 0
-                while b < len(texts) and (b == a or size < 1_000_000):
-                    size += len(texts[b])
+                while b < len(lengths) and (b == a or size < 1_000_000):
+                    size += lengths[b]
                     b += 1
-                yield _rows(m, doc_id.slice(a, b - a), texts[a:b])
+                part = batch.slice(a, b - a)
+                yield _rows(m, part["doc_id"], [t or "" for t in part["text"].to_pylist()])
                 a = b
 
     return common.with_ids(docs).mapInArrow(
