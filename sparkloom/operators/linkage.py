@@ -7,11 +7,16 @@ which makes the tree unique.
 1. Equal points are folded to the one with the smallest row id; the others hang
    on it by edges of length 0.  This is exact under the edge order and removes
    the hottest groups first.
-2. Each pair of row blocks builds the spanning tree of its rows (at most two
-   blocks of rows in one task).  An edge missing there is the heaviest of a
+2. Points are put into cells (see `operators.cells`).  A spanning tree made of a
+   star in every cell and a tree over the cells' centres bounds the heaviest
+   edge between any two cells; pairs of cells whose boxes lie farther apart
+   cannot hold an edge of the minimum tree and are never brought together.
+3. Each remaining pair of blocks builds the spanning tree of its rows (at most
+   two blocks of rows in one task).  An edge missing there is the heaviest of a
    cycle and cannot be in the global tree.
-3. The remaining edges are contracted: every component takes its lightest edge,
-   so the number of components at least halves per round.
+4. The remaining edges are contracted: every component takes its lightest edge,
+   so the number of components at least halves per round.  A small remainder is
+   finished by one aggregate in the cluster.
 """
 
 from __future__ import annotations
@@ -23,10 +28,11 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.distance import distances_from, require_metric
 from sparkloom.functions.ranks import with_position
-from sparkloom.operators.distances import BLOCK_ROWS, VECTOR, block_pairs, checked_features, matrix
+from sparkloom.operators.cells import near_pairs
+from sparkloom.operators.distances import BLOCK_ROWS, VECTOR, checked_features, matrix
 from sparkloom.session import cut, scratch_path
 
-# Edge sets up to this size are finished on the driver; larger ones never are.
+# The contraction ends with one aggregate over at most so many edges.
 FEW_EDGES = 100_000
 EDGE_SCHEMA = "i bigint, j bigint, d double"
 
@@ -66,7 +72,7 @@ def candidate_edges(points: DataFrame, n: int, metric: str, block_rows: int = BL
     """Edges that contain the global tree: fewer than two blocks of rows per pair of blocks."""
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
         return block_tree(pdf["row_id"].to_numpy(), matrix(pdf), metric)
-    return block_pairs(points, n, block_rows).groupBy("a", "b").applyInPandas(kernel, EDGE_SCHEMA)
+    return near_pairs(points, n, metric, block_rows).groupBy("a", "i", "b", "j").applyInPandas(kernel, EDGE_SCHEMA)
 
 
 class Forest:
@@ -99,11 +105,7 @@ def contract(edges: DataFrame, few: int = FEW_EDGES) -> tuple[DataFrame, DataFra
     Returns (chosen edges (i, j, d), members (row_id, component)); a component
     is named by its smallest row id.
     """
-    spark = edges.sparkSession
     live = cut(edges.select("i", "j", "d", F.col("i").alias("ci"), F.col("j").alias("cj")))
-    if live.count() <= few:
-        kept, roots = _finish(live)
-        return spark.createDataFrame(kept, EDGE_SCHEMA), spark.createDataFrame(roots, "row_id bigint, component bigint")
     ends = live.select(F.col("i").alias("row_id")).union(live.select(F.col("j"))).distinct()
     members = ends.select("row_id", F.col("row_id").alias("component"))
     chosen: list[DataFrame] = []
@@ -111,10 +113,8 @@ def contract(edges: DataFrame, few: int = FEW_EDGES) -> tuple[DataFrame, DataFra
         left = live.count()
         if left <= few:
             kept, moves = _finish(live)
-            chosen.append(spark.createDataFrame(kept, EDGE_SCHEMA))
-            if moves:
-                # at most two endpoints per edge, so below 2 * few rows
-                members = _relabel(members, spark.createDataFrame(moves, "old bigint, new bigint"))
+            chosen.append(kept)
+            members = _relabel(members, moves)
             break
         # lightest edge of every component; partial minima are taken before the shuffle
         offer = F.struct("d", "i", "j", "ci", "cj")
@@ -148,12 +148,18 @@ def contract(edges: DataFrame, few: int = FEW_EDGES) -> tuple[DataFrame, DataFra
     return tree, members
 
 
-def _finish(live: DataFrame) -> tuple[list[tuple], list[tuple]]:
-    """(kept edges, (endpoint, root)) of an edge set whose small size was checked; a root is its smallest member."""
-    forest = Forest()
-    rows = sorted(live.select("d", "i", "j", "ci", "cj").collect())
-    kept = [(r["i"], r["j"], r["d"]) for r in rows if forest.join(r["ci"], r["cj"])]
-    return kept, [(v, forest.root(v)) for v in forest.parent]
+def _finish(live: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Kept edges (i, j, d) and moves (old, new) of an edge set whose small size was checked; a root is its smallest member."""
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, rows = Forest(), []
+        for d, i, j, ci, cj in pdf[["d", "i", "j", "ci", "cj"]].sort_values(["d", "i", "j"]).itertuples(index=False):
+            if forest.join(ci, cj):
+                rows.append((i, j, d, None, None))
+        rows += [(None, None, None, v, forest.root(v)) for v in forest.parent]
+        return pd.DataFrame(rows, columns=["i", "j", "d", "old", "new"]).astype({c: "Int64" for c in ("i", "j", "old", "new")})
+
+    done = cut(live.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(kernel, "i bigint, j bigint, d double, old bigint, new bigint"))
+    return done.where("old is null").select("i", "j", "d"), done.where("old is not null").select("old", "new")
 
 
 def _relabel(members: DataFrame, moves: DataFrame) -> DataFrame:
@@ -208,8 +214,6 @@ def partition(tree: DataFrame, ids: DataFrame, n: int, k: int, few: int = FEW_ED
         raise ValueError("the number of clusters must be positive")
     if k > n:
         raise ValueError(f"{k} clusters from {n} rows")
-    if k == n:
-        return with_position(ids, ["row_id"], "label").select("row_id", F.col("label").cast("int").alias("label"))
     heavy_from = _heaviest(tree, n, k)
     light = tree if heavy_from is None else tree.where(_edge_key() < heavy_from)
     members = _components(light, ids, few)
@@ -218,12 +222,7 @@ def partition(tree: DataFrame, ids: DataFrame, n: int, k: int, few: int = FEW_ED
     clusters = (members.select("component").distinct().join(last, "component", "left")
                 .select("component", F.coalesce("last.d", F.lit(-1.0)).alias("d"),
                         F.coalesce("last.i", F.lit(-1)).alias("i"), F.coalesce("last.j", F.lit(-1)).alias("j")))
-    if k <= few:
-        # k rows, checked
-        order = sorted(clusters.select("d", "i", "j", "component").collect())
-        named = tree.sparkSession.createDataFrame([(r["component"], n) for n, r in enumerate(order)], "component bigint, label int")
-    else:
-        named = with_position(clusters, ["d", "i", "j", "component"], "label")
+    named = with_position(clusters, ["d", "i", "j", "component"], "label")
     return members.join(named.select("component", F.col("label").cast("int").alias("label")), "component") \
         .select("row_id", "label")
 
@@ -232,10 +231,7 @@ def _heaviest(tree: DataFrame, n: int, k: int):
     """Key of the (k-1)-th heaviest edge as a literal struct, None for k = 1."""
     if k == 1:
         return None
-    if k - 1 <= FEW_EDGES:
-        edge = tree.orderBy(F.desc("d"), F.desc("i"), F.desc("j")).limit(k - 1).orderBy("d", "i", "j").first()
-    else:
-        edge = with_position(tree, ["d", "i", "j"], "step").where(F.col("step") == n - k).first()
+    edge = with_position(tree, ["d", "i", "j"], "step").where(F.col("step") == n - k).first()
     return F.struct(F.lit(edge["d"]).alias("d"), F.lit(edge["i"]).cast("bigint").alias("i"),
                     F.lit(edge["j"]).cast("bigint").alias("j"))
 
@@ -252,62 +248,62 @@ def history(tree: DataFrame, ids: DataFrame, n: int, min_k: int, max_k: int, few
     """(k, row_id, label) for every K in the range; `max_k` is lowered to n.
 
     All partitions share the edges below the max_k - 1 heaviest, so these are
-    contracted once; the few clusters above are replayed on the driver.
+    contracted once.  The max_k clusters above and the edges between them, whose
+    number is the caller's, are replayed by tasks that each write some K's.
     """
     if min_k < 1:
         raise ValueError("min_k must be positive")
     max_k = min(max_k, n)
     if min_k > max_k:
         raise ValueError(f"min_k {min_k} is above max_k {max_k}")
-    if max_k * (max_k - min_k + 1) > 10 * few or max_k == n:
-        parts = [partition(tree, ids, n, k, few).select(F.lit(k).alias("k"), "row_id", "label")
-                 for k in range(min_k, max_k + 1)]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
     bound = _heaviest(tree, n, max_k)
-    light = tree.where(_edge_key() < bound)
+    lighter = F.lit(True) if bound is None else _edge_key() < bound
+    light = tree.where(lighter)
     members = _components(light, ids, few)
     last = light.join(members, light["i"] == members["row_id"]).groupBy("component").agg(
         F.max(F.struct("d", "i", "j")).alias("last"))
     supers = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).join(last, "component", "left").collect()
     ends = members.select(F.col("row_id").alias("_r"), F.col("component").alias("_c"))
-    heavy = (tree.where(_edge_key() >= bound)
+    heavy = (tree.where(~lighter)
              .join(ends, F.col("i") == F.col("_r")).withColumnRenamed("_c", "ci").drop("_r")
              .join(ends, F.col("j") == F.col("_r")).withColumnRenamed("_c", "cj").drop("_r").collect())
-    rows = replay_labels(supers, sorted(heavy, key=lambda r: (r["d"], r["i"], r["j"])), min_k)
+    never = (-1.0, -1, -1)
+    keys = {r["component"]: ((tuple(r["last"]) if r["last"] is not None else never), r["component"]) for r in supers}
+    edges = sorted((r["d"], r["i"], r["j"], r["ci"], r["cj"]) for r in heavy)
+
+    def replay(batches):
+        for pdf in batches:
+            wanted = set(pdf["id"])
+            for k, rows in replay_labels(keys, edges, min(wanted, default=0)):
+                if k in wanted:
+                    yield pd.DataFrame([(k, c, label) for c, label in rows], columns=["k", "component", "label"])
+
     spark = tree.sparkSession
-    table = spark.createDataFrame(rows, "k int, component bigint, label int")
-    # at most max_k rows per K, checked above
-    return members.join(F.broadcast(table), "component").select("k", "row_id", "label")
+    tasks = min(max_k - min_k + 1, spark.sparkContext.defaultParallelism)
+    table = spark.range(min_k, max_k + 1, 1, tasks).mapInPandas(replay, "k int, component bigint, label int")
+    return members.join(table, "component").select("k", "row_id", "label")
 
 
-def replay_labels(supers: list, heavy: list, min_k: int) -> list[tuple]:
-    """(k, component, label) of the contracted clusters while the heavy edges merge them."""
-    never = (-1.0, -1, -1)
-    key = {r["component"]: ((tuple(r["last"]) if r["last"] is not None else never), r["component"]) for r in supers}
+def replay_labels(keys: dict, edges: list, min_k: int):
+    """(k, [(component, label)]) of the contracted clusters while the heavy edges merge them down to `min_k`."""
+    key = dict(keys)
     held = {c: [c] for c in key}
     home = {c: c for c in key}
-    out = []
 
-    def note():
-        for label, c in enumerate(sorted(held, key=key.get)):
-            out.extend((len(held), part, label) for part in held[c])
+    def labels():
+        return len(held), [(part, label) for label, c in enumerate(sorted(held, key=key.get)) for part in held[c]]
 
-    note()
-    for e in heavy:
+    yield labels()
+    for d, i, j, ci, cj in edges:
         if len(held) <= min_k:
-            break
-        a, b = home[e["ci"]], home[e["cj"]]
-        low, high = min(a, b), max(a, b)
+            return
+        low, high = sorted((home[ci], home[cj]))
         held[low] += held.pop(high)
         for part in held[low]:
             home[part] = low
         del key[high]
-        key[low] = ((e["d"], e["i"], e["j"]), low)
-        note()
-    return out
+        key[low] = ((d, i, j), low)
+        yield labels()
 
 
 def single_linkage(df: DataFrame, columns: list[str], k: int, metric: str = "euclidean", row_id: str = "row_id",
@@ -355,9 +351,10 @@ class _Alive:
 def merge_log(tree: DataFrame, ids: DataFrame, n: int, stop_k: int = 1, chunk: int = FEW_EDGES) -> DataFrame:
     """All merges down to `stop_k` clusters with list positions and sizes.
 
-    Merges are replayed in chunks: a chunk needs only the clusters its edges
-    touch and their places in the list, so the driver holds at most 2 * chunk
-    clusters however many rows there are.
+    Positions depend on all earlier merges, so merges are replayed in chunks, one
+    task after the other: a chunk needs only the clusters its edges touch and
+    their places in the list.  Neither the driver nor a task holds more than
+    2 * chunk clusters, however many rows there are.
     """
     spark: SparkSession = tree.sparkSession
     total = n - stop_k
@@ -372,23 +369,45 @@ def merge_log(tree: DataFrame, ids: DataFrame, n: int, stop_k: int = 1, chunk: i
         placed = with_position(alive, ["made", "rep"], "place")
         a = home.select(F.col("row_id").alias("i"), F.col("rep").alias("ri"))
         b = home.select(F.col("row_id").alias("j"), F.col("rep").alias("rj"))
-        edges = sorted(steps.where(F.col("step").between(start, start + chunk - 1)).join(a, "i").join(b, "j")
-                       .select("step", "d", "ri", "rj").collect())
-        touched_ids = spark.createDataFrame([(r,) for r in {v for e in edges for v in (e["ri"], e["rj"])}], "rep bigint")
-        touched = sorted(placed.join(touched_ids, "rep").select("place", "rep", "size", "made").collect())
-        rows, moves, born, dead = _replay_chunk(edges, touched, count)
-        spark.createDataFrame(rows, LOG_SCHEMA).write.mode("append").parquet(path)
-        count -= len(edges)
+        edges = cut(steps.where(F.col("step").between(start, start + chunk - 1)).join(a, "i").join(b, "j").select("step", "d", "ri", "rj"))
+        touched = edges.select(F.col("ri").alias("rep")).union(edges.select("rj")).distinct().join(placed, "rep")
+        none = F.lit(None)
+        both = (edges.select(F.lit(True).alias("is_edge"), "step", "d", "ri", "rj", *[none.cast("bigint").alias(c) for c in ("place", "size", "made")])
+                .unionByName(touched.select(F.lit(False).alias("is_edge"), none.cast("bigint").alias("step"), none.cast("double").alias("d"),
+                                            F.col("rep").alias("ri"), none.cast("bigint").alias("rj"), "place", "size", "made")))
+        done = cut(both.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(_replay_kernel(count), _CHUNK_SCHEMA))
+        names = [c.split()[0].strip("`") for c in LOG_SCHEMA.split(", ")]
+        done.where("kind = 'log'").select(*names).write.mode("append").parquet(path)
+        count -= min(chunk, total - start)
         if start + chunk < total:
-            gone = spark.createDataFrame([(d,) for d in dead], "rep bigint")
-            alive = cut(alive.join(gone, "rep", "left_anti").unionByName(
-                spark.createDataFrame(born, "rep bigint, made bigint, size bigint")))
-            renamed = spark.createDataFrame(moves, "old bigint, new bigint")
+            gone = done.where("kind = 'dead'").select(F.col("old").alias("rep"))
+            born = done.where("kind = 'born'").select(F.col("old").alias("rep"), F.col("new").alias("made"), F.col("new_size").alias("size"))
+            alive = cut(alive.join(gone, "rep", "left_anti").unionByName(born))
+            renamed = done.where("kind = 'move'").select("old", "new")
             home = cut(home.join(renamed, home["rep"] == renamed["old"], "left")
                        .select("row_id", F.coalesce("new", "rep").alias("rep")))
     return spark.read.parquet(path)
 
 
+_CHUNK_SCHEMA = f"kind string, {LOG_SCHEMA}, old bigint, new bigint"
+
+
+def _replay_kernel(count: int):
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["is_edge"].to_numpy(dtype=bool)
+        e, t = pdf[side].sort_values("step"), pdf[~side].sort_values("place")
+        edges = [dict(step=int(s), d=d, ri=int(x), rj=int(y)) for s, d, x, y in e[["step", "d", "ri", "rj"]].itertuples(index=False)]
+        touched = [dict(place=int(p), rep=int(r), size=int(n), made=int(m)) for p, r, n, m in t[["place", "ri", "size", "made"]].itertuples(index=False)]
+        rows, moves, born, dead = _replay_chunk(edges, touched, count)
+        columns = ["kind", *(c.split()[0].strip("`") for c in LOG_SCHEMA.split(", ")), "old", "new"]
+        gap = (None,) * 8
+        out = [("log", *r, None, None) for r in rows] + [("move", *gap, old, new) for old, new in moves]
+        out += [("born", *gap[:5], size, *gap[:2], rep, made) for rep, made, size in born] + [("dead", *gap, v, None) for v in dead]
+        whole = [c for c in columns if c not in ("kind", "distance")]
+        return pd.DataFrame(out, columns=columns).astype({c: "Int64" for c in whole})
+    return kernel
+
+
 def _replay_chunk(edges, touched, count):
     """Replays the merges of one chunk over its touched clusters."""
     m = len(touched)

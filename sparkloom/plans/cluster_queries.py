@@ -12,21 +12,28 @@ from sparkloom.session import cut, scratch_path
 from sparkloom.sources import runs
 from sparkloom.sources.spec import ColumnSpec, TableSpec
 
-DIMS = ["e1", "e2", "e3"]
-EMB3 = "(SELECT vec_id AS id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE AS e2, embedding[3]::DOUBLE AS e3, label FROM embeddings)"
+DIMS = [f"e{i}" for i in range(1, 65)]
 
 
-def emb3(spark, sf):
+def emb_sql(scale=lambda d: "") -> str:
+    """All dimensions as columns, each followed by `scale` of its name."""
+    return "(SELECT vec_id AS id, " + ", ".join(f"embedding[{i}]::DOUBLE{scale(d)} AS {d}" for i, d in enumerate(DIMS, 1)) + ", label FROM embeddings)"
+
+
+EMB = emb_sql()
+
+
+def emb(spark, sf):
     return table(spark, sf, "embeddings").selectExpr(
         "vec_id AS row_id", *[f"cast(embedding[{i}] AS double) AS {d}" for i, d in enumerate(DIMS)], "label")
 
 
 # ten times the embedding, so that the total variance passes the guard of the feature search
-EMB10 = "(SELECT vec_id AS id, embedding[1]::DOUBLE * 10 AS e1, embedding[2]::DOUBLE * 10 AS e2 FROM embeddings)"
+EMB10 = emb_sql(lambda d: " * 10")
 
 
 def emb10(spark, sf):
-    return emb3(spark, sf).withColumns({d: F.col(d) * 10 for d in DIMS})
+    return emb(spark, sf).withColumns({d: F.col(d) * 10 for d in DIMS})
 
 
 def dist_sql(a: str, b: str, dims: list[str], metric: str = "euclidean") -> str:
@@ -76,78 +83,77 @@ def pair_distances(spark, sf):
     return rounded(out, ["d"])
 
 
-@query(f"SELECT a.id AS i, b.id AS j, {rs(dist_sql('a', 'b', DIMS, 'chebyshev'), 9)} AS d FROM {EMB3} a JOIN {EMB3} b ON a.id < b.id")
+@query(f"SELECT a.id AS i, b.id AS j, {rs(dist_sql('a', 'b', DIMS, 'chebyshev'), 9)} AS d FROM {EMB} a JOIN {EMB} b ON a.id < b.id")
 def pair_distances_chebyshev(spark, sf):
-    return rounded(distances.pair_distances(emb3(spark, sf), DIMS, "chebyshev"), ["d"], 9)
+    return rounded(distances.pair_distances(emb(spark, sf), DIMS, "chebyshev"), ["d"], 9)
 
 
-@query(f"SELECT a.id AS i, b.id AS j, {rs(dist_sql('a', 'b', DIMS, 'euclidean_squared'), 9)} AS d FROM {EMB3} a JOIN {EMB3} b ON a.id < b.id")
+@query(f"SELECT a.id AS i, b.id AS j, {rs(dist_sql('a', 'b', DIMS, 'euclidean_squared'), 9)} AS d FROM {EMB} a JOIN {EMB} b ON a.id < b.id")
 def pair_distances_squared(spark, sf):
-    return rounded(distances.pair_distances(emb3(spark, sf), DIMS, "euclidean_squared"), ["d"], 9)
+    return rounded(distances.pair_distances(emb(spark, sf), DIMS, "euclidean_squared"), ["d"], 9)
 
 
 # --- linkage ----------------------------------------------------------------------------
 
-@query(f"WITH RECURSIVE {tree_sql(EMB3, DIMS)} SELECT lo AS i, hi AS j, {rs('d', 9)} AS d FROM mst")
+@query(f"WITH RECURSIVE {tree_sql(EMB, DIMS)} SELECT lo AS i, hi AS j, {rs('d', 9)} AS d FROM mst")
 def spanning_tree(spark, sf):
-    return rounded(linkage.spanning_tree(emb3(spark, sf), DIMS)[0], ["d"], 9)
+    return rounded(linkage.spanning_tree(emb(spark, sf), DIMS)[0], ["d"], 9)
 
 
-@query(f"WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql('5')} SELECT id AS row_id, label::INTEGER AS label FROM labels")
+@query(f"WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql('5')} SELECT id AS row_id, label::INTEGER AS label FROM labels")
 def single_linkage(spark, sf):
-    return linkage.single_linkage(emb3(spark, sf), DIMS, 5)
+    return linkage.single_linkage(emb(spark, sf), DIMS, 5)
 
 
-@query(f"WITH RECURSIVE {tree_sql(EMB3, DIMS, 'chebyshev')}, {labels_sql('4')} SELECT id AS row_id, label::INTEGER AS label FROM labels")
+@query(f"WITH RECURSIVE {tree_sql(EMB, DIMS, 'chebyshev')}, {labels_sql('4')} SELECT id AS row_id, label::INTEGER AS label FROM labels")
 def single_linkage_chebyshev(spark, sf):
-    return clustering.cluster(emb3(spark, sf), DIMS, 4, metric="chebyshev")
+    return clustering.cluster(emb(spark, sf), DIMS, 4, metric="chebyshev")
 
 
-@query(f"WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))} SELECT k, id AS row_id, label::INTEGER AS label FROM labels")
+@query(f"WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))} SELECT k, id AS row_id, label::INTEGER AS label FROM labels")
 def linkage_history(spark, sf):
-    return linkage.linkage_history(emb3(spark, sf), DIMS, 2, 12)
+    return linkage.linkage_history(emb(spark, sf), DIMS, 2, 12)
 
 
-@query(f"""WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))},
+@query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))},
 c AS (SELECT k, label, count(*) AS n FROM labels GROUP BY 1, 2)
 SELECT k, sum(n)::BIGINT AS "rows", count(*) AS clusters, min(label)::INTEGER AS lowest, max(label)::INTEGER AS highest, true AS valid FROM c GROUP BY k""")
 def history_check(spark, sf):
-    points = emb3(spark, sf)
+    points = emb(spark, sf)
     tree, ids, n = linkage.spanning_tree(points, DIMS)
     return linkage.history_report(linkage.history(tree, ids, n, 2, 12), n)
 
 
-@query(f"""WITH RECURSIVE {tree_sql(EMB3, DIMS)},
+@query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)},
 x AS (SELECT m.s, m.l, e.d, least(m.l[e.i], m.l[e.j]) AS a, greatest(m.l[e.i], m.l[e.j]) AS b FROM merges m JOIN mst e ON e.s = m.s),
 y AS (SELECT *, len(list_filter(list_distinct(l), lambda v: v < a)) AS pa, len(list_filter(list_distinct(l), lambda v: v < b)) AS pb,
  len(list_filter(l, lambda v: v = a)) AS na, len(list_filter(l, lambda v: v = b)) AS nb FROM x)
 SELECT s + 1 AS iteration, pa AS "left", pb AS "right", na AS left_size, nb AS right_size, na + nb AS new_size, {rs('d', 9)} AS distance,
 len(l) - s - 1 AS clusters_after FROM y""")
 def merge_log(spark, sf):
-    tree, ids, n = linkage.spanning_tree(emb3(spark, sf), DIMS)
+    tree, ids, n = linkage.spanning_tree(emb(spark, sf), DIMS)
     return rounded(linkage.merge_log(tree, ids, n), ["distance"], 9)
 
 
-@query(f"""WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql('3, 4, 5')}, c AS (SELECT k, label, count(*) AS n FROM labels GROUP BY 1, 2)
+@query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql('3, 4, 5')}, c AS (SELECT k, label, count(*) AS n FROM labels GROUP BY 1, 2)
 SELECT k, max(n) AS max_size, min(n) AS min_size, {rs('max(n) / min(n)')} AS ratio, max(n) / min(n) > 10 AS chain_effect FROM c GROUP BY k""")
 def chain_effect(spark, sf):
-    labels = linkage.linkage_history(emb3(spark, sf), DIMS, 3, 5)
+    labels = linkage.linkage_history(emb(spark, sf), DIMS, 3, 5)
     return rounded(quality.balance(quality.cluster_sizes(labels), ["k"]), ["ratio"])
 
 
-SCALED3 = (f"(SELECT id, {', '.join(f'({d} - avg({d}) OVER ()) / stddev_pop({d}) OVER () AS {d}' for d in DIMS[:2])} FROM "
-           "(SELECT vec_id AS id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE * 50 AS e2 FROM embeddings))")
-RAW3 = "(SELECT vec_id AS id, embedding[1]::DOUBLE AS e1, embedding[2]::DOUBLE * 50 AS e2 FROM embeddings)"
+RAW = emb_sql(lambda d: " * 50" if d == "e2" else "")
+SCALED = f"(SELECT id, {', '.join(f'({d} - avg({d}) OVER ()) / stddev_pop({d}) OVER () AS {d}' for d in DIMS)} FROM {RAW})"
 
 
-@query(f"""WITH RECURSIVE {tree_sql(RAW3, DIMS[:2], prefix='r')}, {labels_sql('4', 'r', 'rl')}, {tree_sql(SCALED3, DIMS[:2], prefix='s')}, {labels_sql('4', 's', 'sl')},
+@query(f"""WITH RECURSIVE {tree_sql(RAW, DIMS, prefix='r')}, {labels_sql('4', 'r', 'rl')}, {tree_sql(SCALED, DIMS, prefix='s')}, {labels_sql('4', 's', 'sl')},
 a AS (SELECT max(n) / min(n) AS x FROM (SELECT count(*) AS n FROM rl GROUP BY label)), b AS (SELECT max(n) / min(n) AS y FROM (SELECT count(*) AS n FROM sl GROUP BY label))
 SELECT {rs('x')} AS raw_ratio, {rs('y')} AS scaled_ratio, y < 0.8 * x AS scaling_helps,
 CASE WHEN y < 0.8 * x THEN 'scaling_helps' ELSE 'scaling_does_not_help' END || '|' ||
 CASE WHEN y > 5 THEN 'use_kmeans|more_clusters|remove_outliers|try_chebyshev' ELSE 'linkage_acceptable' END AS codes FROM a, b""")
 def scaling_verdict(spark, sf):
-    e = emb3(spark, sf).withColumn("e2", F.col("e2") * 50)
-    out = clustering.scaling_verdict(e, DIMS[:2])
+    e = emb(spark, sf).withColumn("e2", F.col("e2") * 50)
+    out = clustering.scaling_verdict(e, DIMS)
     return rounded(out, ["raw_ratio", "scaled_ratio"]).withColumn("codes", F.array_join("codes", "|"))
 
 
@@ -190,12 +196,12 @@ def cluster_stats(spark, sf):
     return rounded(out, ["mean_size", "within_ss", "between_ss"])
 
 
-@query(f"""WITH c AS (SELECT label, avg(e1) AS e1, avg(e2) AS e2, avg(e3) AS e3, count(*) AS n FROM {EMB3} GROUP BY 1),
+@query(f"""WITH c AS (SELECT label, {", ".join(f"avg({d}) AS {d}" for d in DIMS)}, count(*) AS n FROM {EMB} GROUP BY 1),
 i AS (SELECT avg({dist_sql('a', 'b', DIMS)}) AS x FROM c a JOIN c b ON a.label < b.label),
-w AS (SELECT avg({dist_sql('p', 'c', DIMS)}) AS y FROM {EMB3} p JOIN c USING (label) WHERE n > 1)
+w AS (SELECT avg({dist_sql('p', 'c', DIMS)}) AS y FROM {EMB} p JOIN c USING (label) WHERE n > 1)
 SELECT {rs('least(1, x / y / 10)')} AS ratio FROM i, w""")
 def separation_ratio(spark, sf):
-    e = emb3(spark, sf)
+    e = emb(spark, sf)
     return spark.createDataFrame([(quality.separation_ratio(e, DIMS, e.select("row_id", "label")),)], "ratio double").select(r("ratio").alias("ratio"))
 
 
@@ -218,25 +224,25 @@ def fm_index(spark, sf):
     return rounded(whole(quality.fowlkes_mallows(e), PAIRS), ["fm"])
 
 
-@query(f"""WITH RECURSIVE {tree_sql(EMB3, DIMS)}, {labels_sql('8')}
+@query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql('8')}
 SELECT * FROM {fm_sql('(SELECT l.label AS a, e.label AS b FROM labels l JOIN embeddings e ON e.vec_id = l.id)')}""")
 def fm_linkage_vs_labels(spark, sf):
-    e = emb3(spark, sf)
+    e = emb(spark, sf)
     return rounded(whole(quality.agreement(linkage.single_linkage(e, DIMS, 8), e.select("row_id", "label")), PAIRS), ["fm"])
 
 
-@query(f"""WITH c AS (SELECT label, count(*) AS size, avg(e1) AS x, avg(e2) AS y FROM {EMB3} GROUP BY 1)
+@query(f"""WITH c AS (SELECT label, count(*) AS size, avg(e1) AS x, avg(e2) AS y FROM {EMB} GROUP BY 1)
 SELECT label, size, {rs('100.0 * size / sum(size) OVER ()')} AS share_pct, min(size) OVER () AS min_size, max(size) OVER () AS max_size,
 {rs('avg(size) OVER ()')} AS mean_size, {rs('x')} AS center_x, {rs('y')} AS center_y FROM c""")
 def cluster_report(spark, sf):
-    out = quality.k_report(emb3(spark, sf).drop("label"), DIMS, long_labels(spark, sf), 10)
+    out = quality.k_report(emb(spark, sf).drop("label"), DIMS, long_labels(spark, sf), 10)
     return rounded(out, ["share_pct", "mean_size", "center_x", "center_y"])
 
 
-@query(f"""WITH RECURSIVE {tree_sql(EMB10, DIMS[:2])}, {labels_sql('3')}, {silhouette_sql('pts', 'labels', dist_sql('a', 'b', DIMS[:2]))}
+@query(f"""WITH RECURSIVE {tree_sql(EMB10, DIMS)}, {labels_sql('3')}, {silhouette_sql('pts', 'labels', dist_sql('a', 'b', DIMS))}
 SELECT {rs('greatest(0, avg(s))')} AS quality FROM sil""")
 def subset_quality(spark, sf):
-    q = selection.subset_quality(emb10(spark, sf), DIMS[:2], 3)
+    q = selection.subset_quality(emb10(spark, sf), DIMS, 3)
     return spark.createDataFrame([(q,)], "quality double").select(r("quality").alias("quality"))
 
 
@@ -250,12 +256,12 @@ def kmeans(spark, sf):
 
 @query()
 def diagnose(spark, sf):
-    return clustering.diagnose(emb3(spark, sf), DIMS)
+    return clustering.diagnose(emb(spark, sf), DIMS)
 
 
 @query()
 def spa(spark, sf):
-    found = selection.select_features(emb10(spark, sf), DIMS, 2, k=3, max_iterations=12)
+    found = selection.select_features(emb10(spark, sf), DIMS[:3], 2, k=3, max_iterations=12)
     return found.table(spark).select("iteration", r("quality").alias("quality"), r("best_quality").alias("best_quality"), "lr", "features")
 
 

@@ -54,6 +54,19 @@ def test_linkage_labels_and_log_equal_brute_force(spark, block_rows, few, chunk)
     assert [r[6] for r in rows] == pytest.approx([r[6] for r in log])
 
 
+def test_far_cells_are_never_paired(spark):
+    from sparkloom.operators import cells
+    r = np.random.default_rng(3)
+    x = np.concatenate([r.normal(c, 0.2, size=(40, 3)) for c in ((0, 0, 0), (9, 0, 0), (30, 0, 0), (60, 9, 0))])
+    df = points(spark, x, 1)
+    feats, n = distances.checked_features(df, DIMS)
+    for metric in ("euclidean", "euclidean_squared", "chebyshev"):
+        pairs = cells.near_pairs(feats, n, metric, 20).select("a", "i", "b", "j").distinct().count()
+        assert 0 < pairs < 8 * 7 // 2
+        whole = sorted(linkage.spanning_tree(df, DIMS, metric)[0].collect())
+        assert sorted(linkage.spanning_tree(df, DIMS, metric, block_rows=20)[0].collect()) == whole
+
+
 def test_linkage_with_copies_and_limits(spark):
     x = np.random.default_rng(2).normal(size=(30, 3))
     x[5:20] = x[5]  # half of the rows are one point
