@@ -5,13 +5,17 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.operators.distances import VECTOR, with_features
+from sparkloom.functions.distance import block_distances
+from sparkloom.functions.hashing import digest
+from sparkloom.operators.distances import VECTOR, matrix, with_features
 from sparkloom.operators.encode import standard_scale
 from sparkloom.operators.linkage import partition, single_linkage, spanning_tree
 from sparkloom.operators.quality import balance
@@ -48,6 +52,35 @@ def kmeans(df: DataFrame, columns: list[str], k: int, row_id: str = "row_id", se
     return labels, centers.join(F.broadcast(sizes), "label", "left").withColumn("size", F.coalesce("size", F.lit(0).cast("bigint")))
 
 
+def lloyd(df: DataFrame, columns: list[str], k: int, row_id: str = "row_id", seed: int = 42, rounds: int = 10) -> DataFrame:
+    """(label, center, size) after `rounds` rounds from the k rows with the smallest digests.
+
+    The driver holds k centres; rows are summed per cluster in the tasks before a shuffle.  A cluster without rows keeps its centre.
+    """
+    points = with_features(df, columns, row_id)
+    first = points.orderBy(digest(seed, "row_id"), "row_id").limit(k).collect()
+    if len(first) < k:
+        raise ValueError(f"fewer than {k} rows")
+    centers, sizes = np.array([r[VECTOR] for r in first], dtype=float), [0] * k
+    width = centers.shape[1]
+    for _ in range(rounds):
+        def fold(batches, centers=centers):
+            for pdf in batches:
+                if len(pdf):
+                    x = matrix(pdf)
+                    near = block_distances(x, centers, "euclidean_squared").argmin(axis=1)
+                    for label in np.unique(near):
+                        own = x[near == label]
+                        yield pd.DataFrame({"label": [int(label)], "n": [len(own)], "s": [own.sum(axis=0).tolist()]})
+        sums = points.mapInPandas(fold, "label int, n bigint, s array<double>").groupBy("label").agg(
+            F.sum("n").alias("n"), F.array(*[F.sum(F.col("s")[i]) for i in range(width)]).alias("s"))
+        centers, sizes = centers.copy(), [0] * k
+        for r in sums.collect():  # k rows at most
+            centers[r["label"]], sizes[r["label"]] = np.array(r["s"]) / r["n"], r["n"]
+    return df.sparkSession.createDataFrame([(i, [float(v) for v in c], int(n)) for i, (c, n) in enumerate(zip(centers, sizes, strict=True))],
+                                           "label int, center array<double>, size bigint")
+
+
 def cluster(df: DataFrame, columns: list[str], k: int, method: str = "single_linkage", metric: str = "euclidean",
             row_id: str = "row_id", seed: int = 42, chosen: list[str] | None = None) -> DataFrame:
     """(row_id, label) by method name; the chosen features if any, else all."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import math
 import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -42,57 +45,75 @@ def subset_quality(df: DataFrame, features: list[str], k: int = 3, metric: str =
     return max(0.0, score) if score is not None else 0.0
 
 
+@dataclass(frozen=True)
+class Search:
+    """State of a search: what the next round needs, and nothing else."""
+
+    probs: tuple[float, ...]
+    scores: tuple[float, ...] = ()
+    best: float = -math.inf
+    chosen: tuple[int, ...] = ()
+    stale: int = 0
+
+
+def _draw(seed: int, *keys) -> float:
+    """Uniform in (0, 1) hashed from the seed and the keys."""
+    text = ":".join(map(str, (seed, *keys)))
+    return (int(hashlib.md5(text.encode()).hexdigest()[:13], 16) + 0.5) / 2.0 ** 52
+
+
+def propose(state: Search, n: int, seed: int) -> tuple[int, ...]:
+    """n features: every one with its probability, then the likeliest of too many or a weighted draw of what is missing."""
+    t = len(state.scores) + 1
+    inside = [i for i, p in enumerate(state.probs) if _draw(seed, t, i) < p]
+    inside = sorted(inside, key=lambda i: (-state.probs[i], i))[:n]
+    # the smallest exponential waiting times are a weighted draw without replacement
+    waiting = sorted((-math.log(_draw(seed, t, i, "more")) / p, i) for i, p in enumerate(state.probs) if i not in inside)
+    return tuple(sorted(inside + [i for _, i in waiting[:n - len(inside)]]))
+
+
+def update(state: Search, subset: tuple[int, ...], score: float, step: float) -> Search:
+    """The state after a round: a feature's probability follows the standardised score, up if chosen and down if not."""
+    scores = (*state.scores, score)
+    probs = state.probs
+    if len(scores) > 1:
+        z = (score - np.mean(scores)) / max(float(np.std(scores)), 1e-6)
+        move = step * min(max(float(z), -5.0), 5.0)
+        raw = [max(p + (move if i in subset else -move / (len(probs) - len(subset))), 1e-8) for i, p in enumerate(probs)]
+        probs = tuple(p / sum(raw) for p in raw)
+    better = score > state.best
+    return Search(probs, scores, score if better else state.best, subset if better else state.chosen, 0 if better else state.stale + 1)
+
+
+def finished(state: Search, patience: int, tolerance: float) -> bool:
+    return state.stale >= patience or (len(state.scores) >= 10 and float(np.std(state.scores[-10:])) < tolerance)
+
+
+# The defaults below and the constants of `update` and the step are the published settings.
 def adaptive_search(d: int, n: int, quality: Callable[[tuple[int, ...]], float], max_iterations: int = 1000,
                     lr: float = 0.05, min_lr: float = 1e-4, patience: int = 20, tolerance: float = 1e-6,
                     seed: int = 42) -> tuple[list[int], float, list[tuple]]:
-    """Driver loop over d probabilities; `quality` runs a Spark job per new subset.
-
-    Scores are remembered per subset.  A feature's probability moves by the
-    standardised score of the round: up when chosen, down otherwise.
-    """
+    """Driver loop over d probabilities; `quality` runs a Spark job per new subset and is remembered."""
     if n < 1:
         raise ValueError("choose at least one feature")
     if n >= d:
         return list(range(d)), 1.0, []
     if not 0 < lr <= 1 or not 0 < min_lr <= lr:
         raise ValueError("learning rates must satisfy 0 < min_lr <= lr <= 1")
-    rng = np.random.default_rng(seed)
-    p = np.full(d, 1.0 / d)
-    known: dict[tuple[int, ...], float] = {}
-    scores: list[float] = []
-    best, best_features, stale, history = -np.inf, None, 0, []
-    for t in range(max_iterations):
-        step = max(lr * 0.95 ** (t // 10), min_lr)
-        chosen = np.flatnonzero(rng.random(d) < p)
-        if len(chosen) > n:
-            chosen = chosen[np.argsort(-p[chosen], kind="stable")[:n]]
-        elif len(chosen) < n:
-            rest = np.setdiff1d(np.arange(d), chosen)
-            extra = rng.choice(rest, n - len(chosen), replace=False, p=p[rest] / p[rest].sum())
-            chosen = np.concatenate([chosen, extra])
-        subset = tuple(sorted(int(c) for c in chosen))
-        if subset not in known:
-            value = float(quality(subset))
-            known[subset] = value if np.isfinite(value) else 0.0
-        q = known[subset]
-        scores.append(q)
-        if q > best:
-            best, best_features, stale = q, subset, 0
-        else:
-            stale += 1
-        spread = 0.0
-        if len(scores) > 1:
-            spread = max(float(np.std(scores)), 1e-6)
-            z = float(np.clip((q - np.mean(scores)) / spread, -5.0, 5.0))
-            mask = np.zeros(d, dtype=bool)
-            mask[list(subset)] = True
-            p = np.where(mask, p + step * z, p - step * z / (d - n))
-            p = np.maximum(p, 1e-8)
-            p = p / p.sum()
-        history.append((t + 1, q, best, step, list(subset), [float(v) for v in p], spread))
-        if stale >= patience or (len(scores) >= 10 and np.std(scores[-10:]) < tolerance):
-            break
-    return list(best_features), float(best), history
+
+    @functools.cache
+    def score(subset: tuple[int, ...]) -> float:
+        value = float(quality(subset))
+        return value if math.isfinite(value) else 0.0
+
+    state, history = Search((1.0 / d,) * d), []
+    while len(history) < max_iterations and not finished(state, patience, tolerance):
+        step = max(lr * 0.95 ** (len(history) // 10), min_lr)
+        subset = propose(state, n, seed)
+        state = update(state, subset, score(subset), step)
+        spread = max(float(np.std(state.scores)), 1e-6) if len(state.scores) > 1 else 0.0
+        history.append((len(history) + 1, state.scores[-1], state.best, step, list(subset), list(state.probs), spread))
+    return list(state.chosen), state.best, history
 
 
 @dataclass

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sparkloom.functions.hashing import digest_sql
 from sparkloom.operators import clustering, distances, encode, linkage, privacy, quality, selection
 from sparkloom.plans import clustering_run
 from sparkloom.plans.privacy_queries import binned_sql
@@ -117,7 +118,8 @@ def linkage_history(spark, sf):
 
 @query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))},
 c AS (SELECT k, label, count(*) AS n FROM labels GROUP BY 1, 2)
-SELECT k, sum(n)::BIGINT AS "rows", count(*) AS clusters, min(label)::INTEGER AS lowest, max(label)::INTEGER AS highest, true AS valid FROM c GROUP BY k""")
+SELECT k, sum(n)::BIGINT AS "rows", count(*) AS clusters, min(label)::INTEGER AS lowest, max(label)::INTEGER AS highest,
+ sum(n) = (SELECT count(*) FROM embeddings) AND count(*) = k AND min(label) = 0 AND max(label) = k - 1 AS valid FROM c GROUP BY k""")
 def history_check(spark, sf):
     points = emb(spark, sf)
     tree, ids, n = linkage.spanning_tree(points, DIMS)
@@ -143,17 +145,17 @@ def chain_effect(spark, sf):
 
 
 RAW = emb_sql(lambda d: " * 50" if d == "e2" else "")
-SCALED = f"(SELECT id, {', '.join(f'({d} - avg({d}) OVER ()) / stddev_pop({d}) OVER () AS {d}' for d in DIMS)} FROM {RAW})"
+SCALED = f"(SELECT id, {', '.join(f'({d} - avg({d}) OVER ()) / stddev_pop({d}) OVER () AS {d}' for d in DIMS[:2])} FROM {RAW})"
 
 
-@query(f"""WITH RECURSIVE {tree_sql(RAW, DIMS, prefix='r')}, {labels_sql('4', 'r', 'rl')}, {tree_sql(SCALED, DIMS, prefix='s')}, {labels_sql('4', 's', 'sl')},
+@query(f"""WITH RECURSIVE {tree_sql(RAW, DIMS[:2], prefix='r')}, {labels_sql('4', 'r', 'rl')}, {tree_sql(SCALED, DIMS[:2], prefix='s')}, {labels_sql('4', 's', 'sl')},
 a AS (SELECT max(n) / min(n) AS x FROM (SELECT count(*) AS n FROM rl GROUP BY label)), b AS (SELECT max(n) / min(n) AS y FROM (SELECT count(*) AS n FROM sl GROUP BY label))
 SELECT {rs('x')} AS raw_ratio, {rs('y')} AS scaled_ratio, y < 0.8 * x AS scaling_helps,
 CASE WHEN y < 0.8 * x THEN 'scaling_helps' ELSE 'scaling_does_not_help' END || '|' ||
 CASE WHEN y > 5 THEN 'use_kmeans|more_clusters|remove_outliers|try_chebyshev' ELSE 'linkage_acceptable' END AS codes FROM a, b""")
 def scaling_verdict(spark, sf):
     e = emb(spark, sf).withColumn("e2", F.col("e2") * 50)
-    out = clustering.scaling_verdict(e, DIMS)
+    out = clustering.scaling_verdict(e, DIMS)  # on the first two, by rule
     return rounded(out, ["raw_ratio", "scaled_ratio"]).withColumn("codes", F.array_join("codes", "|"))
 
 
@@ -259,10 +261,41 @@ def diagnose(spark, sf):
     return clustering.diagnose(emb(spark, sf), DIMS)
 
 
-@query()
+def subset_sql(dims: list[str]) -> str:
+    """Quality of a subset of features, as a subquery."""
+    return (f"(WITH RECURSIVE {tree_sql(EMB10, dims)}, {labels_sql('3')}, {silhouette_sql('pts', 'labels', dist_sql('a', 'b', dims))} "
+            "SELECT greatest(0, avg(s)) FROM sil)")
+
+
+@query("SELECT features, " + rs("quality") + " AS quality FROM (" + " UNION ALL ".join(
+    f"SELECT '{a}|{b}' AS features, {subset_sql([a, b])} AS quality" for a, b in (("e1", "e2"), ("e1", "e3"), ("e2", "e3")))
+    + ") ORDER BY quality DESC LIMIT 1")
 def spa(spark, sf):
-    found = selection.select_features(emb10(spark, sf), DIMS[:3], 2, k=3, max_iterations=12)
-    return found.table(spark).select("iteration", r("quality").alias("quality"), r("best_quality").alias("best_quality"), "lr", "features")
+    """The search finds the best of all pairs of three features."""
+    found = selection.select_features(emb10(spark, sf), DIMS[:3], 2, k=3)
+    return spark.createDataFrame([("|".join(sorted(found.features)), found.quality)], "features string, quality double") \
+        .select("features", r("quality").alias("quality"))
+
+
+LLOYD_K, LLOYD_ROUNDS = 5, 6
+
+
+@query(f"""WITH RECURSIVE pt AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings),
+it AS (SELECT 0 AS r, row_number() OVER (ORDER BY h, id) - 1 AS label, v AS c, 0::BIGINT AS n FROM
+ (SELECT id, v, {digest_sql(42, 'id')} AS h FROM pt ORDER BY h, id LIMIT {LLOYD_K})
+ UNION ALL SELECT r + 1, near['l'], [{', '.join(f'avg(v[{i}])' for i in range(1, 65))}], count(*) FROM
+ (SELECT it.r, pt.id, any_value(pt.v) AS v, min({{'d': list_distance(pt.v, it.c), 'l': it.label}}) AS near FROM it, pt GROUP BY 1, 2)
+ WHERE r < {LLOYD_ROUNDS} GROUP BY r, near['l'])
+SELECT label::INTEGER AS label, n AS size, {rs('c[1]')} AS first, {rs('c[64]')} AS last FROM it WHERE r = {LLOYD_ROUNDS}""")
+def kmeans_rounds(spark, sf):
+    out = clustering.lloyd(table(spark, sf, "embeddings"), ["embedding"], LLOYD_K, "vec_id", rounds=LLOYD_ROUNDS)
+    return out.select("label", "size", r(F.col("center")[0]).alias("first"), r(F.element_at("center", -1)).alias("last"))
+
+
+@query(f"""WITH RECURSIVE {tree_sql(EMB, DIMS)}, {labels_sql(', '.join(map(str, range(2, 13))))}
+SELECT l[len(l) // 2 + 1] AS k FROM (SELECT list_reverse_sort(list_distinct(list(k))) AS l FROM labels)""")
+def default_k(spark, sf):
+    return runs.default_k(linkage.linkage_history(emb(spark, sf), DIMS, 2, 12))
 
 
 CUSTOMER_SPEC = TableSpec({c.name: c for c in (
@@ -296,8 +329,9 @@ def anonymise_and_cluster(spark, sf):
 
 @query(f"""WITH RECURSIVE {tree_sql(ENCODED, CUSTOMER_DIMS, prefix='e')}, {labels_sql('4', 'e', 'el')},
 {tree_sql(ANONYMOUS, CUSTOMER_DIMS, prefix='a')}, {labels_sql('4', 'a', 'al')},
-x AS (SELECT * FROM {fm_sql('(SELECT el.label AS a, al.label AS b FROM el JOIN al USING (id))')})
-SELECT 'preprocessing_vs_features' AS comparison, "rows", 1.0::DOUBLE AS fm FROM x UNION ALL
+x AS (SELECT * FROM {fm_sql('(SELECT el.label AS a, al.label AS b FROM el JOIN al USING (id))')}),
+same AS (SELECT * FROM {fm_sql('(SELECT p.label AS a, q.label AS b FROM el p JOIN el q USING (id))')})
+SELECT 'preprocessing_vs_features' AS comparison, "rows", fm FROM same UNION ALL
 SELECT 'preprocessing_vs_anonymised', "rows", fm FROM x UNION ALL SELECT 'features_vs_anonymised', "rows", fm FROM x""")
 def compare_clusterings(spark, sf):
     out = clustering_run.compare_clusterings(customers(spark, sf), CUSTOMER_QIS, 4, n_features=3, spec=CUSTOMER_SPEC)

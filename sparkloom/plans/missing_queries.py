@@ -151,7 +151,7 @@ def best_models(spark, sf):
 
 # --- the experiment --------------------------------------------------------------------
 
-SHARES = (0.05, 0.3)
+SHARES = (0.03, 0.05, 0.1, 0.2, 0.3)
 
 
 def experiment_sql(share: float, method: str) -> str:

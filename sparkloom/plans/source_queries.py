@@ -42,8 +42,9 @@ def csv_bad_values(spark, sf):
     return csv.bad_values(spark, path, "p_partkey bigint, p_type double, p_retailprice bigint")
 
 
-@query("""SELECT unnest(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']) AS "column",
-unnest(['bigint', 'string', 'bigint', 'double', 'string']) AS dtype, (SELECT count(*) FROM customer) AS "rows" """)
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", CASE WHEN bool_and(regexp_full_match({c}::VARCHAR, '-?[0-9]+')) THEN 'bigint'
+WHEN bool_and(TRY_CAST({c} AS DOUBLE) IS NOT NULL) THEN 'double' ELSE 'string' END AS dtype, count(*) AS "rows" FROM customer"""
+                          for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
 def csv_inferred(spark, sf):
     path = csv.write_csv(table(spark, sf, "customer"), scratch_path(spark, "csv"))
     df = csv.read_csv(spark, path)
@@ -90,11 +91,6 @@ def latest_results(spark, sf):
     return wide.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(stamp).alias("run_id"), "rows")
 
 
-@query("SELECT 3 AS k FROM (SELECT count(*) FROM part)")
-def default_k(spark, sf):
-    return runs.default_k(part_history(spark, sf)[1])
-
-
 @query(f"SELECT p_partkey AS row_id, p_size::BIGINT AS p_size, {rs('p_retailprice')} AS p_retailprice, p_partkey % 3 AS cluster FROM part")
 def export_k(spark, sf):
     wide, features, _ = runs.read_results(spark, stored_run(spark, sf)[1])

@@ -231,7 +231,8 @@ ELSE 'categorical_nominal' END AS kind FROM ({' UNION ALL '.join(parts)}))"""
 PART = [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")]
 ORDERS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
           ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
-EVENTS = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double")]
+EVENTS = [("event_id", "bigint"), ("ts", "timestamp_ntz"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"),
+          ("props", "string")]
 
 
 @query(f"""SELECT "column", dtype, n AS "rows", missing, dv AS distinct_values, {rs('dp')} AS distinct_pct,
