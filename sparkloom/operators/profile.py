@@ -202,6 +202,48 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, medians: boo
             .withColumns({"distinct_pct": pct("distinct_values"), "missing_pct": pct("missing")}))
 
 
+SKETCH_ERROR = 0.02  # of the distinct counts that `kind_facts` starts from
+
+
+def kind_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """What `column_kinds` needs and no more: one aggregate without an exchange of values.
+
+    Distinct values come from a sketch.  Columns whose sketch is near a limit of
+    the kind rules are counted exactly; so are the values of text columns in
+    which a word of a known scale occurs.  `distinct_values` of other columns is
+    an estimate; the kinds are those of `column_profile`.
+    """
+    columns = columns or df.columns
+    numeric = [c for c in columns if is_numeric(df, c)]
+    text = [c for c in columns if is_text(df, c)]
+    exprs = [F.count(F.lit(1)).alias("rows")]
+    for i, c in enumerate(columns):
+        exprs.append(F.approx_count_distinct(F.when(~is_missing(c, df), F.col(c)), SKETCH_ERROR).alias(f"d{i}"))
+        if c in numeric:
+            v = F.when(~is_missing(c, df), F.col(c).cast("double"))
+            exprs += [F.avg(v).alias(f"av{i}"), F.stddev_samp(v).alias(f"sd{i}")]
+        elif c in text:
+            exprs.append(F.count_if(F.lower(c).isin(*ORDINAL_WORDS)).alias(f"w{i}"))
+    row = df.agg(*exprs).first()
+    n = row["rows"]
+    found = {c: row[f"d{i}"] for i, c in enumerate(columns)}
+    near = [c for c in numeric if found[c] <= 40 or 0.4 * n <= found[c] <= 0.65 * n]
+    if near:
+        found.update({r["column"]: r["distinct_values"] for r in distinct_counts(df, near).collect()})  # one row per column
+    worded = [c for i, c in enumerate(columns) if c in text and row[f"w{i}"]]
+    tops: dict[str, list[str]] = {}
+    if worded:
+        best_first = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+        top = value_counts(df, worded).withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= TOP_VALUES)
+        for r in top.collect():  # TOP_VALUES rows per column
+            tops.setdefault(r["column"], []).append(r["value"])
+    rows = [(i, c, "numeric" if c in numeric else "text" if c in text else "other", found[c], 100.0 * found[c] / n if n else None,
+             row[f"av{i}"] if c in numeric else None, row[f"sd{i}"] if c in numeric else None, tops.get(c, []))
+            for i, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "ordinal int, column string, family string, distinct_values bigint, distinct_pct double, "
+                                                 "mean_value double, std_value double, categories array<string>")
+
+
 def ordinal_test() -> Column:
     """Name hints at a scale, or a top value is a word of a known scale."""
     named = F.lower("column").rlike("|".join(ORDINAL_NAME_PARTS))

@@ -19,63 +19,77 @@ CHAIN_RATIO = 10
 
 # --- silhouette -------------------------------------------------------------------
 
-def silhouette_samples(points: DataFrame, metric: str = "euclidean", block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(row_id, label, silhouette) of labelled feature rows.
+def silhouette_samples(points: DataFrame, ks: list[int], metric: str = "euclidean", block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(k, row_id, label, silhouette) of rows (row_id, features, labels); `labels` holds one label per K of `ks`.
 
-    Each pair of blocks sends, per row, one distance sum per cluster met; the
-    pairs themselves are never emitted.  Singletons score 0.
+    Each pair of blocks computes its distances once for all K and sends, per row
+    and K, one distance sum per cluster met; the pairs themselves are never
+    emitted.  Singletons score 0.
     """
     require_metric(metric)
+    points = cut(points)  # counted, measured and paired
     n = points.count()
     blocks = max(1, math.ceil(n / block_rows))
 
     def sums(ids, labels, d, others):
-        met, code = np.unique(others, return_inverse=True)
-        picked = np.zeros((len(others), len(met)))
-        picked[np.arange(len(others)), code] = 1.0
-        s = d @ picked
-        return pd.DataFrame({"row_id": np.repeat(ids, len(met)), "label": np.repeat(labels, len(met)),
-                             "other": np.tile(met, len(ids)), "s": s.ravel()})
+        for at, k in enumerate(ks):
+            met, code = np.unique(others[:, at], return_inverse=True)
+            picked = np.zeros((len(others), len(met)))
+            picked[np.arange(len(others)), code] = 1.0
+            yield pd.DataFrame({"k": k, "row_id": np.repeat(ids, len(met)), "label": np.repeat(labels[:, at], len(met)),
+                                "other": np.tile(met, len(ids)), "s": (d @ picked).ravel()})
 
     def kernel(key, pdf):
         a, b = int(key[0]), int(key[1])
         side = pdf["in_b"].to_numpy()
-        ids, labels, x = pdf["row_id"].to_numpy(), pdf["label"].to_numpy(), matrix(pdf)
+        ids, x = pdf["row_id"].to_numpy(), matrix(pdf)
+        labels = np.array(pdf["labels"].tolist(), dtype=np.int64).reshape(len(pdf), -1)
         parts = []
         if a != b and side.any() and (~side).any():
             d = block_distances(x[~side], x[side], metric)
-            parts += [sums(ids[~side], labels[~side], d, labels[side]), sums(ids[side], labels[side], d.T, labels[~side])]
+            parts += [*sums(ids[~side], labels[~side], d, labels[side]), *sums(ids[side], labels[side], d.T, labels[~side])]
         for block, mask in ((a, ~side), (b, side)):
             if mask.any() and covers_inside(a, b, block, blocks):
                 d = block_distances(x[mask], x[mask], metric)
-                parts.append(sums(ids[mask], labels[mask], d, labels[mask]))
-        return pd.concat(parts) if parts else pd.DataFrame({"row_id": [], "label": [], "other": [], "s": []})
-
-    schema = "row_id bigint, label int, other int, s double"
-    total = (block_pairs(points, n, block_rows, keep=["label"]).groupBy("a", "b").applyInPandas(kernel, schema)
-             .groupBy("row_id", "label", "other").agg(F.sum("s").alias("s")))
-    sizes = points.groupBy(F.col("label").alias("other")).agg(F.count(F.lit(1)).alias("size"))
+                parts += sums(ids[mask], labels[mask], d, labels[mask])
+        return pd.concat(parts) if parts else pd.DataFrame({c: [] for c in ("k", "row_id", "label", "other", "s")})
+
+    schema = "k int, row_id bigint, label int, other int, s double"
+    total = (block_pairs(points, n, block_rows, keep=["labels"]).groupBy("a", "b").applyInPandas(kernel, schema)
+             .groupBy("k", "row_id", "label", "other").agg(F.sum("s").alias("s")))
+    each = points.select(F.posexplode("labels").alias("at", "other"))
+    sizes = each.groupBy("at", "other").agg(F.count(F.lit(1)).alias("size")).select(
+        F.element_at(F.array(*[F.lit(k) for k in ks]), F.col("at") + 1).alias("k"), "other", "size")
     own = F.col("label") == F.col("other")
-    per_row = (total.join(sizes, "other").groupBy("row_id", "label").agg(
+    per_row = (total.join(sizes, ["k", "other"]).groupBy("k", "row_id", "label").agg(
         F.max(F.when(own, F.col("size"))).alias("size"),
         F.max(F.when(own, F.try_divide(F.col("s"), F.col("size") - 1))).alias("a"),
         F.min(F.when(~own, F.col("s") / F.col("size"))).alias("b")))
     s = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
-    return per_row.select("row_id", "label", F.when(F.col("size") == 1, 0.0).otherwise(s).alias("silhouette"))
+    return per_row.select("k", "row_id", "label", F.when(F.col("size") == 1, 0.0).when(F.col("b").isNotNull(), s).alias("silhouette"))
 
 
-def silhouette(df: DataFrame, columns: list[str], labels: DataFrame, metric: str = "euclidean", row_id: str = "row_id",
-               block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row: mean silhouette; null with fewer than two clusters.
+def silhouettes(df: DataFrame, columns: list[str], labels: DataFrame, metric: str = "euclidean", row_id: str = "row_id",
+                block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(k, silhouette): the mean per K over rows with a label for every K; null with fewer than two clusters.
 
     A squared metric is scored on plain distances.
     """
     metric = "euclidean" if metric == "euclidean_squared" else metric
-    points = with_features(df, columns, row_id).join(
-        labels.select("row_id", F.col("label").cast("int").alias("label")), "row_id")
-    if len(points.select("label").distinct().limit(2).collect()) < 2:
-        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("silhouette"))
-    return silhouette_samples(points, metric, block_rows).agg(F.avg("silhouette").alias("silhouette"))
+    ks = sorted(r["k"] for r in labels.select("k").distinct().collect())  # one row per K
+    if not ks:
+        return df.sparkSession.createDataFrame([], "k int, silhouette double")
+    wide = (labels.groupBy("row_id").agg(F.sort_array(F.collect_list(F.struct("k", F.col("label").cast("int").alias("label")))).alias("l"))
+            .where(F.size("l") == len(ks)).select("row_id", F.col("l.label").alias("labels")))
+    points = with_features(df, columns, row_id).join(wide, "row_id")
+    return silhouette_samples(points, ks, metric, block_rows).groupBy("k").agg(F.avg("silhouette").alias("silhouette"))
+
+
+def silhouette(df: DataFrame, columns: list[str], labels: DataFrame, metric: str = "euclidean", row_id: str = "row_id",
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row: mean silhouette; null with fewer than two clusters."""
+    one = labels.select(F.lit(0).alias("k"), "row_id", "label")
+    return silhouettes(df, columns, one, metric, row_id, block_rows).agg(F.max("silhouette").alias("silhouette"))
 
 
 # --- statistics per K -------------------------------------------------------------
@@ -121,16 +135,8 @@ def cluster_statistics(df: DataFrame, columns: list[str], labels: DataFrame, row
 
 def full_statistics(df: DataFrame, columns: list[str], labels: DataFrame, row_id: str = "row_id",
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """`cluster_statistics` with the silhouette of each K."""
-    spark = df.sparkSession
-    ks = [r["k"] for r in labels.select("k").distinct().orderBy("k").collect()]  # one row per K
-    scores = None
-    for k in ks:
-        one = silhouette(df, columns, labels.where(F.col("k") == k), row_id=row_id, block_rows=block_rows) \
-            .select(F.lit(k).alias("k"), "silhouette")
-        scores = one if scores is None else scores.unionByName(one)
-    if scores is None:
-        scores = spark.createDataFrame([], "k int, silhouette double")
+    """`cluster_statistics` with the silhouette of each K; distances are computed once for all K."""
+    scores = silhouettes(df, columns, labels, row_id=row_id, block_rows=block_rows)
     return cluster_statistics(df, columns, labels, row_id).join(scores, "k")
 
 

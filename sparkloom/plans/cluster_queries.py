@@ -198,6 +198,21 @@ def cluster_stats(spark, sf):
     return rounded(out, ["mean_size", "within_ss", "between_ss"])
 
 
+def k_silhouette_sql(k: int) -> str:
+    labels = f"(SELECT id, label FROM {LONG_LABELS} WHERE k = {k})"
+    return (f"(WITH pt AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings), {silhouette_sql('pt', labels, 'list_distance(a.v, b.v)')} "
+            f"SELECT {k} AS k, {rs('avg(s)')} AS silhouette FROM sil)")
+
+
+@query(f"""WITH v AS (SELECT k, l.label, id, unnest(e.embedding::DOUBLE[]) AS x, unnest(range(64)) AS d FROM {LONG_LABELS} l JOIN embeddings e ON e.vec_id = l.id),
+c AS (SELECT k, label, d, count(*) AS n, var_pop(x) * count(*) AS ss FROM v GROUP BY 1, 2, 3),
+t AS (SELECT k, label, any_value(n) AS n, sum(ss) AS w FROM c GROUP BY 1, 2), s AS (FROM {k_silhouette_sql(10)} UNION ALL FROM {k_silhouette_sql(4)})
+SELECT k, count(*) AS clusters, {rs('sum(w)')} AS within_ss, any_value(silhouette) AS silhouette FROM t JOIN s USING (k) GROUP BY k""")
+def cluster_stats_full(spark, sf):
+    out = quality.full_statistics(table(spark, sf, "embeddings"), ["embedding"], long_labels(spark, sf), "vec_id", block_rows=250)
+    return rounded(out, ["within_ss", "silhouette"]).select("k", "clusters", "within_ss", "silhouette")
+
+
 @query(f"""WITH c AS (SELECT label, {", ".join(f"avg({d}) AS {d}" for d in DIMS)}, count(*) AS n FROM {EMB} GROUP BY 1),
 i AS (SELECT avg({dist_sql('a', 'b', DIMS)}) AS x FROM c a JOIN c b ON a.label < b.label),
 w AS (SELECT avg({dist_sql('p', 'c', DIMS)}) AS y FROM {EMB} p JOIN c USING (label) WHERE n > 1)

@@ -30,7 +30,7 @@ def numeric_projection(spark, sf):
 @query("SELECT p_partkey, p_name, p_brand FROM part")
 def nominal_projection(spark, sf):
     part = table(spark, sf, "part")
-    kinds = {x["column"]: x["kind"] for x in profile.column_kinds(profile.column_profile(part, medians=False)).collect()}
+    kinds = {x["column"]: x["kind"] for x in profile.column_kinds(profile.kind_facts(part)).collect()}
     return part.select("p_partkey", *checks.columns_by_kind(part, kinds, {"categorical_nominal"}))
 
 
@@ -251,7 +251,7 @@ def column_profile(spark, sf):
 def column_kinds(spark, sf):
     out = None
     for name, cols in (("part", PART), ("orders", ORDERS), ("events", EVENTS)):
-        one = profile.column_kinds(profile.column_profile(table(spark, sf, name), [c for c, _ in cols], medians=False)) \
+        one = profile.column_kinds(profile.kind_facts(table(spark, sf, name), [c for c, _ in cols])) \
             .select(F.lit(name).alias("table_name"), "column", "kind")
         out = one if out is None else out.unionByName(one)
     return out
