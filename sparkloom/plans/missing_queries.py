@@ -9,6 +9,7 @@ from sparkloom.operators import missing, ridge
 from sparkloom.plans import repair
 from sparkloom.plans.registry import query, r, rounded, rs, table
 from sparkloom.plans.tables import holes_sql
+from sparkloom.session import cut
 
 ALPHA_ROWS = ", ".join(f"({a}::DOUBLE)" for a in ridge.ALPHAS)
 
@@ -84,7 +85,8 @@ BLOCK = block_sql("orders", KEY, Y, 0.1)
 
 
 def order_holes(spark, sf):
-    return missing.inject_block(table(spark, sf, "orders").select(KEY, X, Y), Y, 0.1, row_id=KEY)
+    # read by every pass of the fit
+    return cut(missing.inject_block(table(spark, sf, "orders").select(KEY, X, Y), Y, 0.1, row_id=KEY))
 
 
 @query(f"""WITH h AS {BLOCK}, {ridge_sql('h', KEY, X, Y)}
@@ -113,7 +115,7 @@ def alpha_search(spark, sf):
 def fill_regression_wide(spark, sf):
     """All feature kinds: numeric, dates, one-hot and frequencies; no closed form in SQL."""
     o = table(spark, sf, "orders").withColumn("clerk", (F.col("o_custkey") % 50).cast("string"))
-    h = missing.inject_block(o, Y, 0.1, row_id=KEY)
+    h = cut(missing.inject_block(o, Y, 0.1, row_id=KEY))
     out = ridge.fill_regression(h, Y, row_id=KEY, numeric=[X], onehot=["o_orderstatus", "o_orderpriority"], freq=["clerk"],
                                 timestamp="o_orderdate")
     return rounded(out.select(KEY, Y), [Y], 2)
@@ -142,10 +144,10 @@ def evaluate(spark, sf):
 
 
 @query(f"""WITH {EVAL} SELECT alpha, {rs('mean_score / 1e6')} AS mean_score, {rs('std_score / 1e6')} AS std_score
-FROM scores ORDER BY scores.mean_score DESC, alpha LIMIT 3""")
+FROM scores ORDER BY scores.mean_score DESC, alpha LIMIT 5""")
 def best_models(spark, sf):
     _, search = ridge.evaluate(table(spark, sf, "orders"), Y, [X], row_id=KEY)
-    top = ridge.best_models(search, 3)
+    top = ridge.best_models(search, 5)
     return top.select("alpha", r(F.col("mean_score") / 1e6).alias("mean_score"), r(F.col("std_score") / 1e6).alias("std_score"))
 
 

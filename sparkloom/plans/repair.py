@@ -12,6 +12,7 @@ from sparkloom.operators.checks import drop_missing
 from sparkloom.operators.missing import fill_mean, fill_mode, inject_block, inject_random, relative_error
 from sparkloom.operators.profile import modes
 from sparkloom.operators.ridge import fill_regression
+from sparkloom.session import cut
 
 SHARES = (0.03, 0.05, 0.10, 0.20, 0.30)
 METHODS = ("drop", "mean", "regression")
@@ -50,7 +51,7 @@ def experiment(df: DataFrame, columns: list[str], shares=SHARES, methods=METHODS
     for c in columns:
         before = statistics(base, c).first()
         for share in shares:
-            holes = inject(base, c, share, seed, row_id)
+            holes = cut(inject(base, c, share, seed, row_id))  # read by every method and its error
             for m in methods:
                 extra = {"row_id": row_id, **roles} if "regression" in m else {}
                 fixed = repair(holes, c, m, **extra)
