@@ -332,3 +332,38 @@ def fit_transform(spark, sf):
     part = missing.inject_random(table(spark, sf, "part"), "p_brand", 0.1, row_id="p_partkey").withColumn("row_id", F.col("p_partkey"))
     out, _ = encode.fit_transform(part, FIT_SPEC)
     return rounded(out, ["p_size", "p_retailprice"])
+
+
+PLAIN_SPEC = TableSpec({c.name: c for c in (
+    ColumnSpec("o_orderkey", "identifier"), ColumnSpec("o_totalprice", "numerical_continuous", scaling="none"),
+    ColumnSpec("o_orderstatus", "categorical_nominal", encoding="label"))})
+
+
+@query("""SELECT o_orderkey AS row_id, o_totalprice, (dense_rank() OVER (ORDER BY o_orderstatus) - 1)::INTEGER AS o_orderstatus FROM orders""")
+def scale_none(spark, sf):
+    orders = table(spark, sf, "orders").withColumn("row_id", F.col("o_orderkey"))
+    return encode.fit_transform(orders, PLAIN_SPEC)[0]
+
+
+@query("""WITH names AS (SELECT 0 AS part, 'p_size' AS name UNION ALL SELECT 1, 'p_retailprice' UNION ALL SELECT 2, 'p_brand'
+UNION ALL SELECT 2 + dense_rank() OVER (ORDER BY p_type), 'p_type_' || p_type FROM (SELECT DISTINCT p_type FROM part) QUALIFY dense_rank() OVER (ORDER BY p_type) > 1)
+SELECT (row_number() OVER (ORDER BY part) - 1)::INTEGER AS place, name, count(*) OVER () AS outputs FROM names""")
+def feature_names(spark, sf):
+    part = table(spark, sf, "part").withColumn("row_id", F.col("p_partkey"))
+    _, fitted = encode.fit_transform(part, FIT_SPEC)
+    outputs = fitted.summary()["output_count"]
+    return spark.createDataFrame([(i, n, outputs) for i, n in enumerate(fitted.feature_names())], "place int, name string, outputs bigint")
+
+
+WANTED = ["c_custkey", "c_income", "c_mktsegment", "c_age"]
+
+
+@query(f"""SELECT name AS absent, (SELECT count(*) FROM customer) AS "rows" FROM (SELECT unnest({WANTED}) AS name)
+WHERE name NOT IN (SELECT column_name FROM (DESCRIBE customer))""")
+def input_check(spark, sf):
+    import warnings
+    customer = table(spark, sf, "customer")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        absent = checks.validate_input(customer, WANTED)
+    return customer.agg(F.count(F.lit(1)).alias("rows")).select(F.explode(F.array(*[F.lit(c) for c in absent])).alias("absent"), "rows")
