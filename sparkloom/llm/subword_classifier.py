@@ -27,7 +27,7 @@ from sparkloom.llm import common
 BUCKETS = 1 << 17
 DIM = 12
 EPOCHS = 8
-SAMPLE = 4000
+SAMPLE = 3000
 _RNG = np.random.default_rng(7)
 _ODD = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.uint64(1)  # stands for the ends of words

@@ -25,3 +25,19 @@ def test_stages(spark, sf):
         before = after
     out = corpus_pipeline.STAGES[-1][1](spark, before, sf).collect()
     assert {r.doc_id for r in out} == left and all(r.round_trip for r in out)
+
+
+def test_stages_take_empty_tables_nulls_and_other_columns(spark, sf, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, fp long, root string"
+    rows = [(1, None, None, None, None, None, None), (2, "", "en", "s", 0, 1, "r"), (None, "no id here", "en", None, 10, 2, "r"),
+            (3, "some words of a text that stay", "en", "s", 30, 3, "r"), (3, "some words of a text that stay", "en", "s", 30, 3, "r"),
+            (4, "w " * 100_000, "en", "s", 200_000, 4, None)]
+    for given in (rows, []):
+        docs = spark.createDataFrame(given, schema)
+        for name, stage in corpus_pipeline.STAGES[1:-1]:
+            after = common.staged(stage(spark, docs, sf), name)
+            assert after.columns == docs.columns and after.count() <= len(given)
+            docs = after
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+    assert corpus_pipeline.STAGES[0][1](spark, spark.createDataFrame([], schema), sf).count() == 0
+    assert simhash_ball.near_duplicates(spark.createDataFrame([], schema)).count() == 0
