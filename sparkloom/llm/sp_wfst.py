@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from sparkloom.llm import common
 
 ESCAPE = "▁"
-CACHE_UNITS = 300_000
+CACHE_UNITS = 200_000
+CACHE_PARTS = 600_000
 CACHE_PAIRS = 2_000_000
 _NORMAL, _USER, _BYTE = 1, 4, 6
 _BPE = 2
@@ -74,12 +75,17 @@ class Machines:
         self.longest = max(map(len, self.piece))
         self.line_break_alone = not any("\n" in p for p in self.piece)
         self.fallback = -min(self.score[i] for i in self.piece.values()) + 10.0
+        self.reach: dict[str, int] = {}
+        for p in self.piece:
+            if len(p) > 2:
+                self.reach[p[-3:]] = max(self.reach.get(p[-3:], 2), len(p))
         self.rank = {p: self.score[i] for p, i in self.piece.items()}
         self.name = {i: p for p, i in self.piece.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
         self.joined = {two for p in self.piece for two in zip(p, p[1:], strict=False)}
         self.part: dict[str, bytes] = {}
+        self.old_part: dict[str, bytes] = {}
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
@@ -92,8 +98,8 @@ class Machines:
 
     # -- weights of a BPE model
 
-    def merged(self, text: str) -> list[str]:
-        """Merges of the best-scored neighbours, leftmost first, on a few characters."""
+    def merged(self, text: str, border: int = 0) -> list[str] | None:
+        """Merges of the best-scored neighbours, leftmost first, on a few characters; None once one spans `border`."""
         parts, rank = list(text), self.rank.get
         gain = [rank(x + y, -math.inf) for x, y in zip(parts, parts[1:], strict=False)]
         while gain:
@@ -101,6 +107,10 @@ class Machines:
             if best == -math.inf:
                 break
             i = gain.index(best)
+            if i < border:  # `border` counts the parts left of it
+                border -= 1
+                if i == border:
+                    return None
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
             del gain[i]
             if i:
@@ -116,7 +126,7 @@ class Machines:
         if known is None:
             if len(self.pairs) > CACHE_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[key] = self.merged(self.name[a] + self.name[b]) == [self.name[a], self.name[b]]
+            known = self.pairs[key] = self.merged(self.name[a] + self.name[b], len(self.name[a])) == [self.name[a], self.name[b]]
         return known
 
     def stands(self, a: int) -> bool:
@@ -146,8 +156,11 @@ class Machines:
         """
         get, pairs, whole = self.piece.get, self.pairs, self.whole
         back = [(-1, -1)]
+        reach = self.reach.get
         for j in range(1, len(unit) + 1):
-            for i in range(j - self.longest if j > self.longest else 0, j):
+            # no piece with these three last characters is longer
+            far = reach(unit[j - 3:j], 2) if j > 2 else j
+            for i in range(j - far if j > far else 0, j):
                 k = get(unit[i:j])
                 if k is None:
                     continue
@@ -181,13 +194,9 @@ class Machines:
 
     def parts(self, unit: str) -> list[str]:
         """The unit cut where no piece holds the two characters around the cut, so no path can span it."""
-        joined, out, a = self.joined, [], 0
-        for b, two in enumerate(zip(unit, unit[1:], strict=False), 1):
-            if two not in joined:
-                out.append(unit[a:b])
-                a = b
-        out.append(unit[a:])
-        return out
+        joined = self.joined
+        cuts = [b for b, two in enumerate(zip(unit, unit[1:], strict=False), 1) if two not in joined]
+        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)] if cuts else [unit]
 
     def units(self, text: str) -> list[str]:
         """The normalised text in units: escaped spaces with what follows; line breaks stand alone."""
@@ -234,10 +243,13 @@ class Machines:
     def _part(self, part: str) -> bytes:
         held = self.part.get(part)
         if held is None:
-            if len(self.part) > CACHE_UNITS:
-                self.part.clear()
-            ids = self.shortest(part)
-            held = self.part[part] = struct.pack(f"<{len(ids)}i", *ids)
+            held = self.old_part.get(part)
+            if held is None:
+                ids = self.shortest(part)
+                held = struct.pack(f"<{len(ids)}i", *ids)
+            if len(self.part) >= CACHE_PARTS:
+                self.old_part, self.part = self.part, {}
+            self.part[part] = held
         return held
 
     def decode(self, ids: np.ndarray) -> str:
