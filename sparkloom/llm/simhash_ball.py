@@ -29,7 +29,7 @@ SEED = 42
 SHINGLE = 3
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 RADIUS = 3
-PART_VARIANTS = 2_000_000
+PART_VARIANTS = 250_000
 _BLOCK = np.uint64(0xFFFF)
 _EMITTED = 49
 
