@@ -9,8 +9,9 @@ A unigram model puts minus the score of a piece on its arc.  A BPE model has no
 infinity otherwise.  An encoding by merges is the only path of weight 0: a merge across a border would already happen for
 the two pieces alone, and every part of an encoding is the encoding of its part.
 
-No piece of a model may continue after a non-space with a space, so texts are composed unit by unit (spaces and the word
-after them), and recent units are remembered.  A model with such a piece, or with a character map, is refused.
+Where no piece holds the two characters around a place, no path spans it.  So texts are composed part by part: a part ends
+before spaces and after a run of letters, which no sign follows inside a piece, and recent parts are remembered.  A model with
+a space after another character inside a piece, or with a character map, is refused.
 
 Defined results: null is the empty text, which has no pieces; the escape character itself reads as a space, as in the
 original format; extra columns play no part.
@@ -20,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
+import string
 import struct
 import zlib
 
@@ -31,8 +34,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm import common
 
 ESCAPE = "▁"
-CACHE_UNITS = 200_000
-CACHE_PARTS = 600_000
+CACHE_PARTS = 400_000
 CACHE_PAIRS = 2_000_000
 _NORMAL, _USER, _BYTE = 1, 4, 6
 _BPE = 2
@@ -73,20 +75,24 @@ class Machines:
         self.is_byte = np.zeros(len(self.score), bool)
         self.is_byte[self.byte_id] = True
         self.longest = max(map(len, self.piece))
-        self.line_break_alone = not any("\n" in p for p in self.piece)
         self.fallback = -min(self.score[i] for i in self.piece.values()) + 10.0
-        self.reach: dict[str, int] = {}
+        ends: dict[str, set[int]] = {}
         for p in self.piece:
             if len(p) > 2:
-                self.reach[p[-3:]] = max(self.reach.get(p[-3:], 2), len(p))
+                ends.setdefault(p[-3:], set()).add(len(p))
+        # lengths of the pieces with these last three characters, longest first
+        self.lengths = {end: (*sorted(n, reverse=True), 2, 1) for end, n in ends.items()}
         self.rank = {p: self.score[i] for p, i in self.piece.items()}
         self.name = {i: p for p, i in self.piece.items()}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
-        self.joined = {two for p in self.piece for two in zip(p, p[1:], strict=False)}
-        self.part: dict[str, bytes] = {}
-        self.old_part: dict[str, bytes] = {}
-        self.new: dict[str, bytes] = {"": b""}
+        self.joined = joined = {two for p in self.piece for two in zip(p, p[1:], strict=False)}
+        letters = set(string.ascii_letters)
+        while more := {b for a, b in joined if a in letters and b != ESCAPE} - letters:
+            letters |= more  # whatever can follow a letter inside a piece
+        run, breaks = "".join(map(re.escape, sorted(letters))), "" if any("\n" in p for p in self.piece) else "\n"
+        self.part = re.compile(f"{ESCAPE}*[^{ESCAPE}{breaks}{run}]*[{run}]+|{ESCAPE}*[^{ESCAPE}{breaks}{run}]+|{ESCAPE}+|\n")
+        self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     @classmethod
@@ -139,7 +145,7 @@ class Machines:
     # -- composition and shortest path
 
     def shortest(self, unit: str) -> list[int]:
-        """Ids on the lightest path of the pieces and bytes composed with a normalised unit."""
+        """Ids on the lightest path of the pieces and bytes composed with a normalised part."""
         back = self._merge_path(unit) if self.merges else self._score_path(unit)
         out: list[int] = []
         j = len(unit)
@@ -156,11 +162,12 @@ class Machines:
         """
         get, pairs, whole = self.piece.get, self.pairs, self.whole
         back = [(-1, -1)]
-        reach = self.reach.get
+        lengths = self.lengths.get
         for j in range(1, len(unit) + 1):
-            # no piece with these three last characters is longer
-            far = reach(unit[j - 3:j], 2) if j > 2 else j
-            for i in range(j - far if j > far else 0, j):
+            for n in lengths(unit[j - 3:j], (2, 1)) if j > 2 else (2, 1):
+                if n > j:
+                    continue
+                i = j - n
                 k = get(unit[i:j])
                 if k is None:
                     continue
@@ -192,64 +199,35 @@ class Machines:
                 cost[j], back[j] = cost[j - 1] + self.fallback, (j - 1, -1)
         return back
 
-    def parts(self, unit: str) -> list[str]:
-        """The unit cut where no piece holds the two characters around the cut, so no path can span it."""
-        joined = self.joined
-        cuts = [b for b, two in enumerate(zip(unit, unit[1:], strict=False), 1) if two not in joined]
-        return [unit[a:b] for a, b in zip([0, *cuts], [*cuts, len(unit)], strict=True)] if cuts else [unit]
-
-    def units(self, text: str) -> list[str]:
-        """The normalised text in units: escaped spaces with what follows; line breaks stand alone."""
-        text = text.replace(ESCAPE, " ")
-        out: list[str] = []
-        if not text:
-            return out
-        for n_line, line in enumerate(text.split("\n") if self.line_break_alone else [text]):
-            words = line.split(" ")
-            first = words[0] if n_line or not self.prefix else ESCAPE + words[0]
-            if n_line:
-                out.append("\n")
-            if "" in words[1:] or first == ESCAPE:  # several spaces in a row belong to one unit
-                spaces = 0
-                for w in ([first] if first != ESCAPE else []) + [ESCAPE + w for w in (words if first == ESCAPE else words[1:])]:
-                    if w == ESCAPE:
-                        spaces += 1
-                    else:
-                        out.append(ESCAPE * spaces + w)
-                        spaces = 0
-                if spaces:
-                    out.append(ESCAPE * spaces)
-            else:
-                out.append(first)
-                out += [ESCAPE + w for w in words[1:]]
-        return out
+    def parts(self, text: str) -> list[str]:
+        """The normalised text in parts."""
+        return self.part.findall((ESCAPE if self.prefix and text else "") + text.replace(" ", ESCAPE))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [self.units(t) for t in texts]
+        split = [self.parts(t) for t in texts]
         unknown = set().union(*split).difference(self.new)
-        if len(self.new) + len(unknown) > CACHE_UNITS:
-            self.old, self.new = self.new, {"": b""}
+        if len(self.new) + len(unknown) > CACHE_PARTS:
+            self.old, self.new = self.new, {}
             unknown = set().union(*split).difference(self.new)
-        for u in unknown:
-            held = self.old.get(u)
-            if held is None:
-                parts = self.parts(u)
-                held = self._part(u) if len(parts) == 1 else b"".join(map(self._part, parts))
-            self.new[u] = held
-        look = self.new.__getitem__
-        return [b"".join(map(look, units)) for units in split]
-
-    def _part(self, part: str) -> bytes:
-        held = self.part.get(part)
+        joined, new = self.joined, self.new
+        for part in unknown:
+            cuts = [b for b, two in enumerate(zip(part, part[1:], strict=False), 1) if two not in joined]
+            if cuts:
+                new[part] = b"".join([self._one(part[a:b]) for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)])
+            else:
+                self._one(part)
+        look = new.__getitem__
+        return [b"".join(map(look, parts)) for parts in split]
+
+    def _one(self, part: str) -> bytes:
+        held = self.new.get(part)
         if held is None:
-            held = self.old_part.get(part)
+            held = self.old.get(part)
             if held is None:
                 ids = self.shortest(part)
                 held = struct.pack(f"<{len(ids)}i", *ids)
-            if len(self.part) >= CACHE_PARTS:
-                self.old_part, self.part = self.part, {}
-            self.part[part] = held
+            self.new[part] = held
         return held
 
     def decode(self, ids: np.ndarray) -> str:
