@@ -202,7 +202,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, medians: boo
             .withColumns({"distinct_pct": pct("distinct_values"), "missing_pct": pct("missing")}))
 
 
-SKETCH_ERROR = 0.02  # of the distinct counts that `kind_facts` starts from
+SKETCH_ERROR = 0.05  # of the distinct counts that `kind_facts` starts from; its margins are five times as wide
 
 
 def kind_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -227,7 +227,7 @@ def kind_facts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     row = df.agg(*exprs).first()
     n = row["rows"]
     found = {c: row[f"d{i}"] for i, c in enumerate(columns)}
-    near = [c for c in numeric if found[c] <= 40 or 0.4 * n <= found[c] <= 0.65 * n]
+    near = [c for c in numeric if found[c] <= 60 or 0.35 * n <= found[c] <= 0.7 * n]
     if near:
         found.update({r["column"]: r["distinct_values"] for r in distinct_counts(df, near).collect()})  # one row per column
     worded = [c for i, c in enumerate(columns) if c in text and row[f"w{i}"]]
