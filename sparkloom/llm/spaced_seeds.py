@@ -1,15 +1,19 @@
 """Benchmark decontamination by spaced seeds.
 
-Texts are sequences of hashed words (runs of letters and digits, small letters).  Fixed masks pick some of 12 neighbouring
-words and ignore the others, so a hash survives substitutions at ignored places.  The seeds of the test items are joined
-with those of the training texts; around every hit the item is laid over the text and the stretch with the most agreement
-is verified: it counts if at least `min_words` words agree (all words of a shorter item) and at least four in five of
-those it spans.
+Texts are sequences of hashed words (runs of letters and digits, small letters).  Fixed masks pick nine of 9 or 10
+neighbouring words and ignore the other, so a hash survives a substitution at the ignored place.  The seeds of the test
+items are joined with those of the training texts; around every hit the item is laid over the text and the stretch with the
+most agreement is verified: it counts if at least `min_words` words agree (all words of a shorter item) and at least four in
+five of those it spans.
+
+No stretch that counts is without a seed.  A word that differs costs four that agree, and no stretch starts with a loss: so it
+starts with five or more words that agree, and with the run after the first word that differs these are nine or more.
+The masks are nine words in a row and nine with a gap after the 5th, 6th, 7th or 8th.
 
 The items are taken in blocks of bounded size; a block is broadcast and all documents are read once per block.  Each
 document is judged alone, so a passage in a third of all documents is no hot key.
 
-Defined results: null texts and items have no words; items shorter than a mask are looked up as a whole, those under
+Defined results: null texts and items have no words; items of nine words or less are looked up as a whole, those under
 `SHORTEST` words not at all; rows that share an id are reported row by row; extra columns play no part.
 """
 
@@ -24,12 +28,11 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm import common
 
-#: Fixed masks: 1 keeps a word, 0 ignores it.
-MASKS = ("111010011011", "110110100111", "101101110101", "111111110000", "100111011011", "110011001111")
 SHORTEST = 5
 MIN_WORDS = 10
 BLOCK_WORDS = 200_000
 PENALTY = 4  # a stretch gains 1 for a word that agrees and loses this for another: four in five
+WEIGHT = 2 * PENALTY + 1  # words that agree before the second one that differs
 _FILTER = 1 << 22
 _ODD = np.random.default_rng(11).integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
 _ALNUM: list[np.ndarray] = []
@@ -46,12 +49,13 @@ def words(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _masks_for(n: int) -> list[tuple[int, ...]]:
+def _masks_for(n: int, min_words: int = MIN_WORDS) -> list[tuple[int, ...]]:
     """Kept places of the masks for an item of n words."""
-    span = len(MASKS[0])
-    if n >= span:
-        return [tuple(i for i, x in enumerate(m) if x == "1") for m in MASKS]
-    return [tuple(range(n))] if n >= SHORTEST else []
+    if n < SHORTEST:
+        return []
+    weight = min(WEIGHT, min_words, n)
+    gaps = range(PENALTY + 1, weight) if weight < n else ()
+    return [tuple(range(weight))] + [tuple(i + (i >= gap) for i in range(weight)) for gap in gaps]
 
 
 def _seed(w: np.ndarray, mask: tuple[int, ...], span: int) -> np.ndarray:
@@ -77,13 +81,13 @@ class Index:
     filter: np.ndarray
 
 
-def build_index(items: list[tuple[object, str]]) -> Index:
+def build_index(items: list[tuple[object, str]], min_words: int = MIN_WORDS) -> Index:
     texts = [words(t or "") for _, t in items]
     shapes: set = set()
     keys, owner, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k, w in enumerate(texts):
-        span = min(len(w), len(MASKS[0]))
-        for mask in _masks_for(len(w)):
+        for mask in _masks_for(len(w), min_words):
+            span = mask[-1] + 1
             shapes.add((mask, span))
             h = _seed(w, mask, span)
             keys.append(h)
@@ -97,12 +101,15 @@ def build_index(items: list[tuple[object, str]]) -> Index:
 
 
 def best_stretch(same: np.ndarray) -> tuple[int, int, int]:
-    """Start, end and agreeing words of the stretch with the largest gain."""
+    """Start, end and agreeing words of the stretch with the largest gain; of several, that with the most agreeing words."""
     gain = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
     low = np.minimum.accumulate(gain)
-    end = int(np.argmax(gain - low))
-    start = int(np.flatnonzero(gain[:end + 1] == low[end])[-1]) if end else 0
-    return start, end, int(same[start:end].sum())
+    best = []
+    for end in np.flatnonzero(gain - low == (gain - low).max()).tolist():
+        start = int(np.flatnonzero(gain[:end + 1] == low[end])[-1])
+        best.append((int(same[start:end].sum()), -start, end))
+    agree, start, end = max(best)
+    return -start, end, agree
 
 
 def overlaps(text: str, index: Index, min_words: int = MIN_WORDS):
@@ -148,7 +155,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS
     out = None
     for k in range(blocks):
         block = [(r["item_id"], r["text"]) for r in items.where(F.col("block") == k).collect()]
-        found = source.mapInArrow(_search(spark.sparkContext.broadcast(build_index(block)), min_words), _SCHEMA)
+        found = source.mapInArrow(_search(spark.sparkContext.broadcast(build_index(block, min_words)), min_words), _SCHEMA)
         out = found if out is None else out.union(found)
     return out
 

@@ -61,3 +61,42 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
     assert s.find_leaks(none, bench).count() == s.find_leaks(some, bench).count() == 0
     assert s.clean(some, bench).count() == 1
+
+
+def test_every_overlap_that_verification_accepts_holds_a_seed():
+    r = random.Random(8)
+    cases = []
+    for _ in range(150):
+        w = made(r, r.randrange(10, 40)).split()
+        other = made(r, 30).split()
+        cut = r.randrange(8, 13)
+        # either end of an item in the middle, at the start and at the end of a text, and alone
+        for part in (w[:cut], w[-cut:]):
+            cases += [(" ".join(before + part + after), w) for before in ([], other) for after in ([], other)]
+    for n in (5, 6, 7, 8, 9, 10, 11, 12, 13, 15, 20, 30):  # substitutions anywhere
+        for _ in range(80):
+            w = made(r, n).split()
+            text = list(w)
+            for i in r.sample(range(n), r.randrange(0, 1 + n // 5)):
+                text[i] = "changed"
+            before, after = made(r, r.choice((0, 5))), made(r, r.choice((0, 5)))
+            cases.append((" ".join([before, *text, after]), w))
+    found = 0
+    for text, w in cases:
+        for min_words in (10, 7):
+            want = brute(text, " ".join(w), min_words)
+            got = s.overlaps(text, s.build_index([(1, " ".join(w))], min_words), min_words)
+            assert bool(got) == want, (text, w, min_words)
+            found += want
+    assert found > 1000
+
+
+def test_first_and_last_words_and_short_texts(spark):
+    item = " ".join(f"w{i}" for i in range(30))
+    eleven = " ".join(f"v{i}" for i in range(11))
+    texts = [" ".join(f"w{i}" for i in range(20, 30)), "x " * 40 + " ".join(f"w{i}" for i in range(19, 30)) + " y" * 40,
+             "x " * 40 + " ".join(f"w{i}" for i in range(10)), eleven.replace("v0 ", "z "), eleven.replace("v5", "z"), "w1 w2 w3 w4 w5 w6"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item), (1, eleven)], "item_id long, text string")
+    got = {(x.doc_id, x.item_id, x.agreeing_words) for x in s.find_leaks(docs, bench).collect()}
+    assert got == {(0, 0, 10), (1, 0, 11), (2, 0, 10), (3, 1, 10), (4, 1, 10)}
