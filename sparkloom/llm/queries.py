@@ -147,6 +147,37 @@ def op5_skip_chain_pii(spark, sf_dir):
     return find_personal(_docs(spark, sf_dir))
 
 
+OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+v AS (SELECT lang, count(*)::HUGEINT AS kept, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+s AS (SELECT DISTINCT lang, source FROM d),
+dense AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+          FROM s JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n::HUGEINT + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * kept) AS p,
+             1 + (1000000000 * (lang_n::HUGEINT + 2)) // (total + 2 * kept) AS q FROM dense JOIN v USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+rows AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM rows)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query("op13_divergence_audit", OP13_SQL)
+def op13_divergence_audit(spark, sf_dir):
+    from sparkloom.llm.divergence_audit import audit
+    return audit(_docs(spark, sf_dir))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
