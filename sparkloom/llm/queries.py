@@ -147,6 +147,47 @@ def op5_skip_chain_pii(spark, sf_dir):
     return find_personal(_docs(spark, sf_dir))
 
 
+OP12_SQL = r"""
+WITH RECURSIVE step(n, k, c) AS (
+  SELECT n, 0, n::BIGINT FROM range(256) t(n)
+  UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS tab FROM step WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(doc_id || ':' || run)), '..'),
+             lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n, length(word) AS len FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS MATERIALIZED (
+  SELECT word, n, len, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(len)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.len = b.len AND a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+formed AS MATERIALIZED (
+  SELECT word, CASE WHEN other_n >= 5 * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain(word, root) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL),
+ends AS (SELECT chain.word, root FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
+@query("op12_spelling_variants", OP12_SQL)
+def op12_spelling_variants(spark, sf_dir):
+    from sparkloom.llm.spelling_partenum import variants
+    return variants(_docs(spark, sf_dir))
+
+
 OP13_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
 t AS (SELECT r, lang, source, unnest(regexp_extract_all(
