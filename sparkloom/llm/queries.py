@@ -147,6 +147,12 @@ def op5_skip_chain_pii(spark, sf_dir):
     return find_personal(_docs(spark, sf_dir))
 
 
+@query("op11_site_style_tree")
+def op11_site_style_tree(spark, sf_dir):
+    from sparkloom.llm.site_style_tree import main_text
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 OP12_SQL = r"""
 WITH RECURSIVE step(n, k, c) AS (
   SELECT n, 0, n::BIGINT FROM range(256) t(n)
