@@ -38,19 +38,21 @@ def default_parallelism(spark: SparkSession) -> int:
 # ---------------------------------------------------------------------------
 
 PIECE = 1 << 19
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
 _BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
 
 
 def pieces(text: str):
-    """The text in pieces of about `PIECE` characters cut at spaces and line breaks; a longer word is cut inside."""
+    """The text in pieces of about `PIECE` characters that end behind white space; no word is ever cut."""
     a = 0
     while len(text) - a > PIECE:
-        cut = max(text.rfind(" ", a, a + PIECE), text.rfind("\n", a, a + PIECE))
-        b = cut + 1 if cut > a else a + PIECE
-        yield text[a:b]
-        a = b
-    yield text[a:] if a else text
+        space = _SPACE.search(text, a + PIECE - 1)
+        if space is None:
+            break
+        yield text[a:space.end()]
+        a = space.end()
+    yield text[a:]
 
 
 def run_hashes(points: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,6 +166,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
+SALTS = 16
+
+
+def least_reached(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component_id) of the nodes in `links`: the smallest `least` of the classes (node, least) in their component.
+
+    A component may hold most nodes, so each smallest value is sent `SALTS` times and the nodes are dealt over these.
+    """
+    linked = staged(components(links).join(classes, "node").select("node", "root", "least"), "linked")
+    low = linked.groupBy("root").agg(F.min("least").alias("component_id"))
+    low = low.select("root", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = linked.select("node", "root", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int").alias("salt"))
+    return salted.join(low, ["root", "salt"]).select("node", "component_id")
+
+
 def _digest(e: DataFrame) -> tuple:
     row = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return tuple(row)
