@@ -182,10 +182,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, part_variants: int
     """(doc_id, fingerprint, component_id, class_size): class_size counts the documents with the same fingerprint."""
     printed = common.staged(fingerprints(docs, shingle), "fingerprints")
     distinct = common.staged(printed.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("class_size")), "distinct")
-    roots = common.components(links(distinct, part_variants))
-    named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "class_size", "component_id")
+    reached = common.least_reached(distinct.select(F.col("fp").alias("node"), "least"), links(distinct, part_variants))
+    classes = (distinct.join(reached, F.col("fp") == F.col("node"), "left")
+               .select("fp", "class_size", F.coalesce("component_id", "least").alias("component_id")))
     return printed.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "class_size")
 

@@ -10,7 +10,8 @@ two class logits.  Scores of whole texts of any length are sums over pieces of a
 
 Defined results: null is the empty text; a text without words has the constant feature alone and gets its score; without
 any label all scores are 0.5; labels that are null play no part, several labels of one document are averaged and a mean of
-0.5 counts as 1; extra columns play no part.
+0.5 counts as 1; rows of `documents` that share an id are scored one by one and teach once; a very long text is scored whole, piece
+by piece; equal scores stay equal; an empty table gives no rows; other columns, of whatever name, play no part.
 """
 
 from __future__ import annotations
@@ -42,8 +43,11 @@ def _bucket(h: np.ndarray, kind: int) -> np.ndarray:
         return (h >> np.uint64(40)).astype(np.int64) % (BUCKETS - 1) + 1
 
 
-def features(text: str):
-    """Buckets of the features of a piece of text that starts and ends at a word border, in arrays."""
+def features(text: str, last: list):
+    """Buckets of the features of a piece of text that starts and ends at a word border, in arrays.
+
+    `last` holds the hash of the last word of the pieces before, if any, and gets that of this one.
+    """
     points = np.frombuffer((" " + text + " ").encode("utf-32-le"), np.uint32)
     gap = (points == 32) | ((points >= 9) & (points <= 13))
     c = points.astype(np.uint64)
@@ -59,6 +63,8 @@ def features(text: str):
             yield _bucket(four[ok], 2)
         words = common.run_hashes(c, inner)[0]
         yield _bucket(words, 3)
+        words = np.concatenate([np.array(last, np.uint64), words])
+        last[:] = words[-1:].tolist()
         if len(words) > 1:
             pair = words[:-1] * _ODD[5] + words[1:]
             pair[words[:-1] == words[1:]] = np.uint64(0)  # a repeated word, whichever it is
@@ -69,8 +75,9 @@ def counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets and their shares of all features."""
     total = np.zeros(BUCKETS, np.int64)
     total[_CONSTANT] = 1
+    last: list = []
     for piece in common.pieces(text):
-        for f in features(piece):
+        for f in features(piece, last):
             total += np.bincount(f, minlength=BUCKETS)
     seen = np.flatnonzero(total)
     return seen.astype(np.int32), (total[seen] / total.sum()).astype(np.float32)
@@ -80,9 +87,9 @@ def _sums(texts: list[str], values: np.ndarray) -> np.ndarray:
     """Mean of `values` over the features of each text."""
     out = np.empty(len(texts))
     for i, text in enumerate(texts):
-        total, n = float(values[_CONSTANT]), 1
+        total, n, last = float(values[_CONSTANT]), 1, []
         for piece in common.pieces(text):
-            for f in features(piece):
+            for f in features(piece, last):
                 total += float(values[f].sum())
                 n += len(f)
         out[i] = total / n
@@ -151,8 +158,10 @@ def sample_of(docs: DataFrame, labels: DataFrame, label: str = "quality", sample
                 "buckets": pa.array([b.tobytes() for b, _ in found], pa.binary()),
                 "shares": pa.array([s.tobytes() for _, s in found], pa.binary())})
 
-    # the sample's size is a parameter, so the broadcast is bounded
-    rows = common.with_ids(docs).join(F.broadcast(chosen), "doc_id").mapInArrow(
+    # the sample's size is a parameter, so the broadcasts are bounded; rows that share an id teach once, by the smallest hash
+    source = common.with_ids(docs).withColumn("h", F.xxhash64(F.coalesce("text", F.lit("")))).join(F.broadcast(chosen), "doc_id")
+    one = source.groupBy("doc_id").agg(F.min("h").alias("h"))
+    rows = source.join(F.broadcast(one), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "y").mapInArrow(
         run, "doc_id long, y double, buckets binary, shares binary").collect()
     rows.sort(key=lambda r: (r["doc_id"], bytes(r["buckets"])))
     return [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["shares"], np.float32), int(r["y"] >= 0.5)) for r in rows]

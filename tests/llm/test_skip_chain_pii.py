@@ -76,3 +76,83 @@ def test_marginals_of_a_chain_are_exact():
             want[i, y[i]] += w
     want /= want.sum(axis=1, keepdims=True)
     assert np.allclose(p.marginals(g, m, rounds=60), want, atol=1e-6)
+
+
+def plain_spans(text):
+    """The patterns as the task words them."""
+    import re
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 12 <= len(digits) <= 19 and p.luhn(digits):
+            out.append((m.start(), 2, m.end()))
+    return sorted(out + [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15])
+
+
+def test_base_spans_equal_the_plain_patterns():
+    r = random.Random(8)
+    for alphabet in ("a@.", "a@.%-", "12.", "1.9@ ", "+1 (0)-", "4 1-", "a1@.+ -%("):
+        for _ in range(3000):
+            t = "".join(r.choices(alphabet, k=r.randint(0, 24)))
+            assert p.base_spans(t) == plain_spans(t), t
+
+
+def test_very_long_runs_take_linear_time():
+    import time
+    for unit in ("9", "a", "1.", "a@", "+1", "1 ", "+1 ((", "4-", "a.b@", "\t", "x1\t"):
+        t = unit * (2_000_000 // len(unit)) + " @"
+        start = time.time()
+        p.base_spans(t)
+        assert time.time() - start < 8, unit
+    g = p.graph_of("9" * 5_000_000 + " a@b.cd", p.base_spans("9" * 5_000_000 + " a@b.cd"))
+    assert len(g.spans) == 2 and g.label.tolist() == [0, 1]
+
+
+def test_numbers_in_blocks_meet_at_hubs():
+    t = "4111 1111 1111 1111 and later 9 4111 1111 1111 1111 2024 end 55 66"
+    g = p.graph_of(t, p.base_spans(t))
+    hubs = {}
+    for word, hub, kind in g.member.tolist():
+        if kind == 2:
+            hubs.setdefault(hub, set()).add(word)
+    assert {0, 1, 2, 3, 5, 6, 7, 8} in hubs.values()
+    alone = p.graph_of("4111 2222 3333 4444 x", [])
+    assert not any(k == 2 for _, _, k in alone.member.tolist())
+
+
+def brute_marginals(g, m):
+    """Sums over all labels of all words and hubs."""
+    k, n = len(p.LABELS), len(g.spans)
+    hubs = sorted({h for _, h, _ in g.member.tolist()})
+    want = np.zeros((n, k))
+    for y in np.ndindex(*[k] * (n + len(hubs))):
+        e = sum(m.weight[a + b, y[i]].sum() for i, (a, b) in enumerate(zip(g.surface, g.context, strict=True)))
+        e += sum(m.move[y[a], y[b]] for a, b in g.chain.tolist())
+        e += sum(m.agree[kind] * (y[w] == y[n + hubs.index(h)]) for w, h, kind in g.member.tolist())
+        for i in range(n):
+            want[i, y[i]] += np.exp(e)
+    return want / want.sum(axis=1, keepdims=True)
+
+
+def test_marginals_with_hubs_equal_sums_over_all_labels():
+    r = np.random.default_rng(3)
+    k = len(p.LABELS)
+
+    def graph(n, chain, member):
+        return p.Graph(np.zeros((n, 2), np.int64), np.zeros(n, np.int64), [[i] for i in range(n)], [[9]] * n,
+                       np.array(chain, np.int64).reshape(-1, 2), np.array(member, np.int64).reshape(-1, 3))
+
+    for _ in range(3):
+        m = p.Model(r.normal(size=(p.WEIGHTS, k)), r.normal(size=(k, k)) * 0.5, r.uniform(0, 2, 3))
+        for g in (graph(4, [], [(0, 0, 0), (2, 0, 0), (3, 0, 0)]), graph(4, [(0, 1)], [(1, 0, 2), (3, 0, 2), (3, 1, 1), (2, 1, 1)])):
+            assert np.allclose(p.marginals(g, m, rounds=60), brute_marginals(g, m), atol=1e-6)  # no loop: exact
+        loop = graph(4, [(0, 1), (1, 2), (2, 3)], [(0, 0, 0), (3, 0, 0)])
+        got, want = p.marginals(loop, m, rounds=80), brute_marginals(loop, m)
+        assert np.abs(got - want).max() < 0.08 and (got.argmax(axis=1) == want.argmax(axis=1)).mean() >= 0.75
+
+
+def test_the_sample_is_bounded_in_rows(spark):
+    rows = [(1, f"a{i}@b.example") for i in range(50)] + [(2, "x1 " * 1000)]
+    got = p.sample_of(spark.createDataFrame(rows, "doc_id long, text string"), sample_chars=30)
+    assert len(got) == 2 and max(len(g.spans) for g in got) == 10

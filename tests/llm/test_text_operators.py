@@ -180,11 +180,12 @@ def test_classifier_ignores_held_out_labels_and_odd_rows(spark):
 
 def test_features_of_pieces_add_up(monkeypatch):
     text = " ".join(random.Random(2).choice(["ab", "cde", "é"]) for _ in range(400))
-    whole = [np.sort(f) for f in subword_classifier.features(text)]
+    whole = [np.sort(f) for f in subword_classifier.features(text, [])]
     monkeypatch.setattr(common, "PIECE", 100)
-    parts = [list(subword_classifier.features(p)) for p in common.pieces(text)]
+    last = []
+    parts = [list(subword_classifier.features(p, last)) for p in common.pieces(text)]
     assert "".join(common.pieces(text)) == text and len(parts) > 5
-    for kind in (0, 1, 2):  # pairs of words across pieces are the only loss
+    for kind in range(4):
         assert (np.sort(np.concatenate([p[kind] for p in parts])) == whole[kind]).all()
 
 
@@ -248,3 +249,35 @@ def test_perfect_hash_is_minimal(n):
         keys[1, 0] = keys[0, 0]  # halves may be equal
     levels = line_mph.build_mph(keys)
     assert sorted(line_mph.mph_slots(levels, keys).tolist()) == list(range(n))
+
+
+def test_long_texts_are_cut_behind_white_space_only(monkeypatch):
+    r = random.Random(6)
+    text = "".join(r.choice(["\t", "\n", " ", "ab", "c" * 30]) for _ in range(2000))
+    whole = subword_classifier.counts(text)
+    monkeypatch.setattr(common, "PIECE", 16)
+    parts = list(common.pieces(text))
+    assert "".join(parts) == text and len(parts) > 100 and all(x[-1] in " \t\n" for x in parts[:-1])
+    got = subword_classifier.counts(text)
+    assert all((a == b).all() for a, b in zip(got, whole, strict=True))  # no pair of words is lost between pieces
+    assert list(common.pieces("x" * 5_000_000)) == ["x" * 5_000_000]
+
+
+def test_scores_equal_the_softmax_of_averaged_vectors():
+    """The collapsed score against vectors that are averaged and sent through layer and softmax."""
+    r = np.random.default_rng(1)
+    matrix, layer = r.normal(size=(subword_classifier.BUCKETS, 5)), r.normal(size=(2, 5))
+    texts = ["", "one", "two words", "a b a b a b", "long " * 2000, "\u00e9t\u00e9 caf\u00e9"]
+    values = matrix @ (layer[1] - layer[0])
+    for t, z in zip(texts, subword_classifier._sums(texts, values), strict=True):
+        buckets, shares = subword_classifier.counts(t)
+        logits = layer @ (shares.astype(float) @ matrix[buckets])
+        want = np.exp(logits - logits.max())
+        assert 1 / (1 + np.exp(-z)) == pytest.approx(want[1] / want.sum(), abs=1e-6)
+
+
+def test_rows_that_share_an_id_teach_once(spark):
+    docs = spark.createDataFrame([(3, f"text {i}") for i in range(40)] + [(6, "other"), (6, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(3, 1), (6, 0)], "doc_id long, quality int")
+    known = {r.doc_id for r in docs.where(~subword_classifier.held_out()).select("doc_id").distinct().collect()}
+    assert len(subword_classifier.sample_of(docs, labels)) == len(known) > 0
