@@ -277,7 +277,7 @@ def test_scores_equal_the_softmax_of_averaged_vectors():
 
 
 def test_rows_that_share_an_id_teach_once(spark):
-    docs = spark.createDataFrame([(3, f"text {i}") for i in range(40)] + [(6, "other"), (6, "other")], "doc_id long, text string")
-    labels = spark.createDataFrame([(3, 1), (6, 0)], "doc_id long, quality int")
+    docs = spark.createDataFrame([(d, f"text {i % 5}") for d in range(8) for i in range(10)], "doc_id long, text string")
+    labels = spark.createDataFrame([(d, d % 2) for d in range(8)], "doc_id long, quality int")
     known = {r.doc_id for r in docs.where(~subword_classifier.held_out()).select("doc_id").distinct().collect()}
     assert len(subword_classifier.sample_of(docs, labels)) == len(known) > 0
