@@ -36,11 +36,15 @@ def build_session(app: str = "sparkloom", master: str | None = None,
 
 
 _SHIPPED: set[str] = set()
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = "2000"  # rows hold whole texts or vectors, so Spark's 10 000 are many megabytes in every worker
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
     """Makes this package importable in the Python workers, once per application."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, BATCH_ROWS)
     if sc.applicationId not in _SHIPPED:
         root = os.path.dirname(os.path.abspath(__file__))
         folder = tempfile.mkdtemp(prefix="sparkloom-code-")
@@ -81,14 +85,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and continue from there.
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Lets the folder's file system delete a scratch folder when the application ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
-    Reliable checkpoint: the rows survive the loss of any executor and the plan
-    of an iterative job stays short.
+
+def cut(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Writes `df` to the shared folder and continues from there.
+
+    The rows survive the loss of any executor, the plan of an iterative job stays
+    short, and its statistics are those of the written rows; a checkpoint would
+    compute the rows twice and carry estimates on from loop to loop.
     """
     spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(work_dir(spark))
-    return df.checkpoint(eager=True)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    drop_at_exit(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
