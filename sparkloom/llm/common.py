@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.session import scratch_path
+from sparkloom.session import cut
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PACK_BYTES = 4 << 20
@@ -19,9 +19,7 @@ PACK_BYTES = 4 << 20
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` to the shared folder and reads it back: lineage ends there and lost executors cost nothing."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return cut(df, name)
 
 
 def with_ids(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
