@@ -7,33 +7,35 @@ which makes the tree unique.
 1. Equal points are folded to the one with the smallest row id; the others hang
    on it by edges of length 0.  This is exact under the edge order and removes
    the hottest groups first.
-2. Points are put into cells (see `operators.cells`).  A spanning tree made of a
-   star in every cell and a tree over the cells' centres bounds the heaviest
-   edge between any two cells; pairs of cells whose boxes lie farther apart
-   cannot hold an edge of the minimum tree and are never brought together.
-3. Each remaining pair of blocks builds the spanning tree of its rows (at most
-   two blocks of rows in one task).  An edge missing there is the heaviest of a
-   cycle and cannot be in the global tree.
-4. The remaining edges are contracted: every component takes its lightest edge,
-   so the number of components at least halves per round.  A small remainder is
-   finished by one aggregate in the cluster.
+2. Points are put into the leaves of a cell tree (see `operators.cells`).  A leaf
+   builds the spanning tree of its own points, and the representatives of
+   neighbouring cells are tied together: a pool of edges that connects all.
+3. Rounds: every component knows its lightest edge in the pool.  Walking down the
+   cell tree, leaves whose boxes are nearer than that are read, once in all
+   rounds; their spanning tree joins the pool.  Now the lightest edge of every
+   component is certain, all of these are taken and components contracted.  Pairs
+   of leaves inside one component are never read again.
+4. Partitions, history and merges come from the tree of merges, which is built by
+   halving the edges by weight: a half sees the other's components as points, so
+   all parts are replayed at once, each in a task of bounded size.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.distance import distances_from, require_metric
 from sparkloom.functions.ranks import with_position
-from sparkloom.operators.cells import near_pairs
-from sparkloom.operators.distances import BLOCK_ROWS, VECTOR, checked_features, matrix
-from sparkloom.session import cut, scratch_path
+from sparkloom.operators.cells import ancestors, fold_nodes, near_leaves, nearest, with_cells
+from sparkloom.operators.distances import VECTOR, checked_features, matrix, spread
+from sparkloom.session import cut
 
-# The contraction ends with one aggregate over at most so many edges.
+# The contraction ends with one aggregate over at most so many edges; so many merges are replayed in one task.
 FEW_EDGES = 100_000
+LEAF_ROWS = 2048
 EDGE_SCHEMA = "i bigint, j bigint, d double"
 
 
@@ -68,11 +70,99 @@ def block_tree(ids: np.ndarray, x: np.ndarray, metric: str) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def candidate_edges(points: DataFrame, n: int, metric: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Edges that contain the global tree: fewer than two blocks of rows per pair of blocks."""
+_OWN_SCHEMA = f"cell bigint, lo array<double>, hi array<double>, rep bigint, {VECTOR} array<double>, i bigint, j bigint, d double"
+
+
+def _own_trees(placed: DataFrame, metric: str) -> tuple[DataFrame, DataFrame]:
+    """(leaves with box and representative, spanning tree edges inside leaves)."""
     def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        return block_tree(pdf["row_id"].to_numpy(), matrix(pdf), metric)
-    return near_pairs(points, n, metric, block_rows).groupBy("a", "i", "b", "j").applyInPandas(kernel, EDGE_SCHEMA)
+        x, ids = matrix(pdf), pdf["row_id"].to_numpy()
+        edges, first = block_tree(ids, x, metric), int(ids.argmin())
+        cell = pd.DataFrame({"cell": [pdf["cell"].iloc[0]], "lo": [x.min(axis=0)], "hi": [x.max(axis=0)], "rep": [ids[first]], VECTOR: [x[first]],
+                             "i": pd.array([None], "Int64"), "j": pd.array([None], "Int64"), "d": [None]})
+        made = pd.DataFrame({"cell": pd.array([None] * len(edges), "Int64"), "lo": None, "hi": None, "rep": pd.array([None] * len(edges), "Int64"),
+                             VECTOR: None, "i": edges["i"], "j": edges["j"], "d": edges["d"]})
+        return pd.concat([cell, made], ignore_index=True).astype({"cell": "Int64", "rep": "Int64", "i": "Int64", "j": "Int64", "d": "float64"})
+
+    done = cut(spread(placed, ["cell"]).groupBy("cell").applyInPandas(kernel, _OWN_SCHEMA))
+    return done.where("cell IS NOT NULL").drop("i", "j", "d"), done.where("i IS NOT NULL").select("i", "j", "d")
+
+
+def _pair_trees(placed: DataFrame, pairs: DataFrame, metric: str) -> DataFrame:
+    """Edges between the two leaves of each pair that their common spanning tree needs."""
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        home = dict(zip(pdf["row_id"], pdf["cell"], strict=True))
+        edges = block_tree(pdf["row_id"].to_numpy(), matrix(pdf), metric)
+        return edges[[home[i] != home[j] for i, j in zip(edges["i"], edges["j"], strict=True)]]
+
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("cell"))
+    return spread(placed.join(sides, "cell").select("a", "b", "cell", "row_id", VECTOR), ["a", "b"]).groupBy("a", "b").applyInPandas(kernel, EDGE_SCHEMA)
+
+
+def _lightest(pool: DataFrame) -> DataFrame:
+    """(c, e): the lightest edge of every component; partial minima are taken before the shuffle."""
+    offer = F.struct("d", "i", "j", "ci", "cj")
+    return pool.select(F.col("ci").alias("c"), offer.alias("e")).union(pool.select(F.col("cj").alias("c"), offer.alias("e"))) \
+        .groupBy("c").agg(F.min("e").alias("e"))
+
+
+def _ended(edges: DataFrame, components: DataFrame) -> DataFrame:
+    """Edges between components (i, j, d, ci, cj), the lightest for each two."""
+    a = components.select(F.col("row_id").alias("i"), F.col("component").alias("ci"))
+    b = components.select(F.col("row_id").alias("j"), F.col("component").alias("cj"))
+    return (edges.select("i", "j", "d").join(a, "i").join(b, "j").where("ci <> cj")
+            .groupBy(F.least("ci", "cj").alias("ci"), F.greatest("ci", "cj").alias("cj")).agg(F.min(F.struct("d", "i", "j")).alias("e"))
+            .select("e.i", "e.j", "e.d", "ci", "cj"))
+
+
+def boruvka(points: DataFrame, n: int, metric: str, leaf_rows: int = LEAF_ROWS, few: int = FEW_EDGES,
+            reads: list[int] | None = None) -> DataFrame:
+    """Edges (i, j, d) of the minimum spanning tree of different points; `reads` gets the pairs of leaves read in each round."""
+    placed = with_cells(points, n, leaf_rows)
+    if n > leaf_rows:
+        placed = cut(placed)
+    leaves, own = _own_trees(placed, metric)
+    if n <= leaf_rows:
+        return own
+    nodes, ties = fold_nodes(leaves, lambda ids, x: block_tree(ids, x, metric))
+    nodes = cut(nodes)
+    homes = cut(placed.select("row_id", "cell"))
+    components = homes.select("row_id", F.col("row_id").alias("component"))
+    pool = cut(_ended(own if ties is None else own.unionByName(ties), components))
+    seen: DataFrame | None = None
+    tree: list[DataFrame] = []
+    while True:
+        asked = 0
+        for step in (nearest, None):  # the nearest pairs first, because they tighten the bounds for all others
+            bounds = _lightest(pool).select(F.col("c").alias("component"), F.col("e.d").alias("bound"))
+            state = (homes.join(components, "row_id").join(bounds, "component").groupBy("cell")
+                     .agg(F.max("bound").alias("bound"), F.min("component").alias("low"), F.max("component").alias("high"))
+                     .withColumn("cell", F.explode(ancestors("cell"))).groupBy("cell")
+                     .agg(F.max("bound").alias("bound"), F.min("low").alias("low"), F.max("high").alias("high")))
+            pairs = near_leaves(nodes, state, metric)
+            if seen is not None:
+                pairs = pairs.join(seen, ["a", "b"], "left_anti")
+            pairs = cut(pairs if step is None else step(cut(pairs)))
+            n_pairs = pairs.count()
+            if not n_pairs:
+                break
+            asked += n_pairs
+            pairs = pairs.select("a", "b")
+            seen = pairs if seen is None else cut(seen.unionByName(pairs))
+            pool = cut(_ended(pool.select("i", "j", "d").unionByName(_pair_trees(placed, pairs, metric)), components))
+        if reads is not None:
+            reads.append(asked)
+        picks = cut(_lightest(pool).select("e.*").distinct())
+        tree.append(picks.select("i", "j", "d"))
+        _, moves = contract(picks.select(F.col("ci").alias("i"), F.col("cj").alias("j"), "d"), few)
+        components = _relabel(components, moves.select(F.col("row_id").alias("old"), F.col("component").alias("new")))
+        pool = cut(_ended(pool, components))
+        if pool.isEmpty():
+            break
+    out = tree[0]
+    for t in tree[1:]:
+        out = out.unionByName(t)
+    return out
 
 
 class Forest:
@@ -178,7 +268,7 @@ def _jump(hooks: DataFrame) -> DataFrame:
 
 
 def spanning_tree(df: DataFrame, columns: list[str], metric: str = "euclidean", row_id: str = "row_id",
-                  block_rows: int = BLOCK_ROWS, few: int = FEW_EDGES) -> tuple[DataFrame, DataFrame, int]:
+                  leaf_rows: int = LEAF_ROWS, few: int = FEW_EDGES) -> tuple[DataFrame, DataFrame, int]:
     """(edges (i, j, d), row ids, number of rows) of the unique minimum spanning tree."""
     require_metric(metric)
     points, n = checked_features(df, columns, row_id)
@@ -192,9 +282,7 @@ def spanning_tree(df: DataFrame, columns: list[str], metric: str = "euclidean",
     m = n - zero.count()
     if m < 2:
         return zero, points.select("row_id"), n
-    edges = candidate_edges(unique, m, metric, block_rows)
-    if m > block_rows:
-        edges, _ = contract(edges, few)
+    edges = boruvka(unique, m, metric, leaf_rows, few)
     return cut(edges.unionByName(zero)), points.select("row_id"), n
 
 
@@ -244,207 +332,138 @@ def _components(light: DataFrame, ids: DataFrame, few: int) -> DataFrame:
                .select("row_id", F.coalesce("component", "row_id").alias("component")))
 
 
-def history(tree: DataFrame, ids: DataFrame, n: int, min_k: int, max_k: int, few: int = FEW_EDGES) -> DataFrame:
-    """(k, row_id, label) for every K in the range; `max_k` is lowered to n.
+# --- tree of merges ------------------------------------------------------------------------
+
+_MERGES = ("step bigint, d double, left_made bigint, left_low bigint, left_size bigint, right_made bigint, right_low bigint, right_size bigint")
+
 
-    All partitions share the edges below the max_k - 1 heaviest, so these are
-    contracted once.  The max_k clusters above and the edges between them, whose
-    number is the caller's, are replayed by tasks that each write some K's.
+def merges(tree: DataFrame, ids: DataFrame, n: int, few: int = FEW_EDGES) -> DataFrame:
+    """All merges in order of (d, i, j): the two clusters by the step that made them (-1: a row), their smallest row and their size.
+
+    While a part has more than `few` edges it is halved by weight.  The heavier half takes the components of the lighter one
+    as its points, so both halves are complete problems; parts are replayed at once, one task each.
+    """
+    edges = with_position(tree.select("i", "j", "d"), ["d", "i", "j"], "step")
+    row = [F.lit(-1).cast("bigint").alias("made"), F.lit(1).cast("bigint").alias("size")]
+    u, v = (F.struct(row[0], F.col(c).alias("low"), row[1]) for c in ("i", "j"))  # (made, low) names a cluster
+    parts = edges.select(F.lit(0).cast("bigint").alias("first"), F.lit(n - 1).cast("bigint").alias("last"), "step", "d", u.alias("u"), v.alias("v"))
+    size = n - 1
+    while size > few:
+        parts = cut(parts.withColumn("middle", F.floor((F.col("first") + F.col("last")) / 2).cast("bigint")))
+        light = parts.where("step < middle")
+        starts = light.select("first", F.explode(F.array("u", "v")).alias("p")).select("first", "p.*").distinct()
+        numbered = with_position(starts, ["first", "made", "low"], "row_id")
+        ends = [numbered.select("first", F.col("made").alias(f"{c}m"), F.col("low").alias(f"{c}l"), F.col("row_id").alias(w)) for c, w in (("u", "i"), ("v", "j"))]
+        named = light.select("first", "step", F.col("step").cast("double").alias("d"), *[F.col(f"{c}.{f}").alias(c + f[0]) for c in "uv" for f in ("made", "low")])
+        joined = cut(named.join(ends[0], ["first", "um", "ul"]).join(ends[1], ["first", "vm", "vl"]))
+        _, members = contract(joined.select("i", "j", "d"), few)
+        homes = cut(numbered.join(members, "row_id"))
+        made = joined.join(homes.select(F.col("row_id").alias("i"), "component"), "i").groupBy("component").agg(F.max("step").alias("into"))
+        whole = homes.groupBy("component").agg(F.min("low").alias("whole_low"), F.sum("size").alias("whole_size")).join(made, "component")
+        known = cut(homes.join(whole, "component").select(
+            "first", F.col("made").alias("_made"), F.col("low").alias("_low"),
+            F.struct(F.col("into").alias("made"), F.col("whole_low").alias("low"), F.col("whole_size").alias("size")).alias("whole")))
+        heavy = parts.where("step >= middle")
+        for c in ("u", "v"):
+            heavy = (heavy.withColumns({"_made": F.col(f"{c}.made"), "_low": F.col(f"{c}.low")}).join(known, ["first", "_made", "_low"], "left")
+                     .withColumn(c, F.coalesce("whole", c)).drop("_made", "_low", "whole"))
+        parts = light.withColumn("last", F.col("middle")).unionByName(heavy.withColumn("first", F.col("middle"))).drop("middle")
+        size = -(-size // 2)
+
+    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
+        forest, now, rows = Forest(), {}, []
+        number: dict[tuple, int] = {}
+        for step, d, *ends in pdf.sort_values("step")[["step", "d", "um", "ul", "us", "vm", "vl", "vs"]].itertuples(index=False):
+            p, q = (number.setdefault(tuple(e[:2]), len(number)) for e in (ends[:3], ends[3:]))
+            a, b = (now.setdefault(forest.root(x), tuple(e)) for x, e in ((p, ends[:3]), (q, ends[3:])))  # (made, low, size)
+            if b[:2] < a[:2]:
+                a, b = b, a
+            rows.append((step, d, *a, *b))
+            forest.join(p, q)
+            now[forest.root(p)] = (step, min(a[1], b[1]), a[2] + b[2])
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in _MERGES.split(", ")])
+
+    flat = parts.select("first", "step", "d", *[F.col(f"{c}.{f}").alias(c + f[0]) for c in "uv" for f in ("made", "low", "size")])
+    return spread(flat, ["first"]).groupBy("first").applyInPandas(replay, _MERGES)
+
+
+def alive(merged: DataFrame, n: int) -> DataFrame:
+    """(made, low, size, k_from, k_to, into): every cluster there ever is, for which K it stands, and the step that takes it in."""
+    sides = merged.select("step", F.explode(F.array(*[F.struct(F.col(f"{s}_made").alias("made"), F.col(f"{s}_low").alias("low"),
+                                                               F.col(f"{s}_size").alias("size")) for s in ("left", "right")])).alias("c"))
+    below = sides.select("c.*", (n - F.col("step")).alias("k_from"), (n - 1 - F.col("c.made")).alias("k_to"), F.col("step").alias("into"))
+    top = merged.where(F.col("step") == n - 2).select(
+        F.col("step").alias("made"), F.least("left_low", "right_low").alias("low"), (F.col("left_size") + F.col("right_size")).alias("size"),
+        F.lit(1).cast("bigint").alias("k_from"), F.lit(1).cast("bigint").alias("k_to"), F.lit(None).cast("bigint").alias("into"))
+    return below.unionByName(top)
+
+
+def intervals(tree: DataFrame, ids: DataFrame, n: int, min_k: int, max_k: int, few: int = FEW_EDGES) -> tuple[DataFrame, DataFrame]:
+    """The history, stored by intervals: (row_id, made, low, k_from, k_to), the cluster of a row for all K between, and (k, made, low, label).
+
+    Labels count clusters in the order of their last merge, rows that never merged first, then by smallest row id.  Rows go up the
+    tree of merges by doubled steps.
     """
     if min_k < 1:
         raise ValueError("min_k must be positive")
     max_k = min(max_k, n)
     if min_k > max_k:
         raise ValueError(f"min_k {min_k} is above max_k {max_k}")
-    bound = _heaviest(tree, n, max_k)
-    lighter = F.lit(True) if bound is None else _edge_key() < bound
-    light = tree.where(lighter)
-    members = _components(light, ids, few)
-    last = light.join(members, light["i"] == members["row_id"]).groupBy("component").agg(
-        F.max(F.struct("d", "i", "j")).alias("last"))
-    supers = members.groupBy("component").agg(F.count(F.lit(1)).alias("size")).join(last, "component", "left").collect()
-    ends = members.select(F.col("row_id").alias("_r"), F.col("component").alias("_c"))
-    heavy = (tree.where(~lighter)
-             .join(ends, F.col("i") == F.col("_r")).withColumnRenamed("_c", "ci").drop("_r")
-             .join(ends, F.col("j") == F.col("_r")).withColumnRenamed("_c", "cj").drop("_r").collect())
-    never = (-1.0, -1, -1)
-    keys = {r["component"]: ((tuple(r["last"]) if r["last"] is not None else never), r["component"]) for r in supers}
-    edges = sorted((r["d"], r["i"], r["j"], r["ci"], r["cj"]) for r in heavy)
-
-    def replay(batches):
-        for pdf in batches:
-            wanted = set(pdf["id"])
-            for k, rows in replay_labels(keys, edges, min(wanted, default=0)):
-                if k in wanted:
-                    yield pd.DataFrame([(k, c, label) for c, label in rows], columns=["k", "component", "label"])
-
-    spark = tree.sparkSession
-    tasks = min(max_k - min_k + 1, spark.sparkContext.defaultParallelism)
-    table = spark.range(min_k, max_k + 1, 1, tasks).mapInPandas(replay, "k int, component bigint, label int")
-    return members.join(table, "component").select("k", "row_id", "label")
-
-
-def replay_labels(keys: dict, edges: list, min_k: int):
-    """(k, [(component, label)]) of the contracted clusters while the heavy edges merge them down to `min_k`."""
-    key = dict(keys)
-    held = {c: [c] for c in key}
-    home = {c: c for c in key}
-
-    def labels():
-        return len(held), [(part, label) for label, c in enumerate(sorted(held, key=key.get)) for part in held[c]]
-
-    yield labels()
-    for d, i, j, ci, cj in edges:
-        if len(held) <= min_k:
-            return
-        low, high = sorted((home[ci], home[cj]))
-        held[low] += held.pop(high)
-        for part in held[low]:
-            home[part] = low
-        del key[high]
-        key[low] = ((d, i, j), low)
-        yield labels()
+    clusters = cut(alive(merges(tree, ids, n, few), n).where((F.col("k_to") >= min_k) & (F.col("k_from") <= max_k))
+                   .withColumns({"k_from": F.greatest("k_from", F.lit(min_k).cast("bigint")), "k_to": F.least("k_to", F.lit(max_k).cast("bigint"))}))
+    light = tree if max_k == 1 else _lighter(tree, n, max_k)
+    members = _components(light, ids, few)  # a component is named by its smallest row
+    # the clusters above each of those that stand at max_k: `jump` leads as many steps up as `spans` has below
+    spans = clusters.where(F.col("k_to") == max_k).select(F.col("low").alias("base"), "made", "low", "k_from", "k_to")
+    above = clusters.select(F.col("made").alias("into"), F.struct("made", "low", "k_from", "k_to").alias("to"))
+    jump = cut(clusters.join(above, "into").select("made", "low", "to"))
+    while not jump.isEmpty():
+        spans = cut(spans.unionByName(spans.select("base", "made", "low").join(jump, ["made", "low"]).select("base", "to.*")))
+        further = jump.select(F.col("made").alias("_m"), F.col("low").alias("_l"), F.col("to").alias("beyond"))
+        jump = cut(jump.join(further, (F.col("to.made") == F.col("_m")) & (F.col("to.low") == F.col("_l"))).select("made", "low", F.col("beyond").alias("to")))
+    rows = members.join(spans, members["component"] == spans["base"]).select("row_id", "made", "low", "k_from", "k_to")
+    standing = clusters.select(F.explode(F.sequence("k_from", "k_to")).alias("k"), "made", "low")
+    # K clusters stand at K, so the first place of each K is known
+    before = (F.col("k") * (F.col("k") - 1) / 2).cast("bigint") - min_k * (min_k - 1) // 2
+    labels = with_position(standing, ["k", "made", "low"], "place").select(
+        F.col("k").cast("int").alias("k"), "made", "low", (F.col("place") - before).cast("int").alias("label"))
+    return rows, labels
+
+
+def _lighter(tree: DataFrame, n: int, k: int) -> DataFrame:
+    bound = _heaviest(tree, n, k)
+    return tree.where(_edge_key() < bound)
+
+
+def history(tree: DataFrame, ids: DataFrame, n: int, min_k: int, max_k: int, few: int = FEW_EDGES) -> DataFrame:
+    """(k, row_id, label) for every K in the range, read from the intervals; `max_k` is lowered to n."""
+    rows, labels = intervals(tree, ids, n, min_k, max_k, few)
+    at = labels.select("k", F.col("made").alias("_made"), F.col("low").alias("_low"), "label")
+    met = (F.col("made") == F.col("_made")) & (F.col("low") == F.col("_low")) & F.col("k").between(F.col("k_from"), F.col("k_to"))
+    return rows.join(at, met).select("k", "row_id", "label")
 
 
 def single_linkage(df: DataFrame, columns: list[str], k: int, metric: str = "euclidean", row_id: str = "row_id",
-                   block_rows: int = BLOCK_ROWS, few: int = FEW_EDGES) -> DataFrame:
+                   leaf_rows: int = LEAF_ROWS, few: int = FEW_EDGES) -> DataFrame:
     """(row_id, label) of the single linkage partition into k clusters."""
-    tree, ids, n = spanning_tree(df, columns, metric, row_id, block_rows, few)
+    tree, ids, n = spanning_tree(df, columns, metric, row_id, leaf_rows, few)
     return partition(tree, ids, n, k, few)
 
 
 def linkage_history(df: DataFrame, columns: list[str], min_k: int = 2, max_k: int = 10, metric: str = "euclidean",
-                    row_id: str = "row_id", block_rows: int = BLOCK_ROWS, few: int = FEW_EDGES) -> DataFrame:
+                    row_id: str = "row_id", leaf_rows: int = LEAF_ROWS, few: int = FEW_EDGES) -> DataFrame:
     """(k, row_id, label) for every K in the range."""
-    tree, ids, n = spanning_tree(df, columns, metric, row_id, block_rows, few)
+    tree, ids, n = spanning_tree(df, columns, metric, row_id, leaf_rows, few)
     return history(tree, ids, n, min_k, max_k, few)
 
 
 # --- merge log -------------------------------------------------------------------------
 
-LOG_SCHEMA = ("iteration bigint, `left` bigint, `right` bigint, left_size bigint, right_size bigint, "
-              "new_size bigint, distance double, clusters_after bigint")
-
-
-class _Alive:
-    """Counts of living clusters below an index (binary indexed tree)."""
-
-    def __init__(self, n: int, alive: int):
-        self.tree = np.zeros(n + 1, dtype=np.int64)
-        for v in range(alive):
-            self.add(v, 1)
-
-    def add(self, v: int, by: int) -> None:
-        v += 1
-        while v < len(self.tree):
-            self.tree[v] += by
-            v += v & -v
-
-    def below(self, v: int) -> int:
-        total = 0
-        while v > 0:
-            total += self.tree[v]
-            v -= v & -v
-        return int(total)
-
-
-def merge_log(tree: DataFrame, ids: DataFrame, n: int, stop_k: int = 1, chunk: int = FEW_EDGES) -> DataFrame:
-    """All merges down to `stop_k` clusters with list positions and sizes.
-
-    Positions depend on all earlier merges, so merges are replayed in chunks, one
-    task after the other: a chunk needs only the clusters its edges touch and
-    their places in the list.  Neither the driver nor a task holds more than
-    2 * chunk clusters, however many rows there are.
-    """
-    spark: SparkSession = tree.sparkSession
-    total = n - stop_k
-    if total <= 0:
-        return spark.createDataFrame([], LOG_SCHEMA)
-    steps = with_position(tree, ["d", "i", "j"], "step").where(F.col("step") < total)
-    home = ids.select("row_id", F.col("row_id").alias("rep"))
-    alive = ids.select(F.col("row_id").alias("rep"), F.lit(-1).cast("bigint").alias("made"), F.lit(1).cast("bigint").alias("size"))
-    path = scratch_path(spark, "merge-log")
-    count = n
-    for start in range(0, total, chunk):
-        placed = with_position(alive, ["made", "rep"], "place")
-        a = home.select(F.col("row_id").alias("i"), F.col("rep").alias("ri"))
-        b = home.select(F.col("row_id").alias("j"), F.col("rep").alias("rj"))
-        edges = cut(steps.where(F.col("step").between(start, start + chunk - 1)).join(a, "i").join(b, "j").select("step", "d", "ri", "rj"))
-        touched = edges.select(F.col("ri").alias("rep")).union(edges.select("rj")).distinct().join(placed, "rep")
-        none = F.lit(None)
-        both = (edges.select(F.lit(True).alias("is_edge"), "step", "d", "ri", "rj", *[none.cast("bigint").alias(c) for c in ("place", "size", "made")])
-                .unionByName(touched.select(F.lit(False).alias("is_edge"), none.cast("bigint").alias("step"), none.cast("double").alias("d"),
-                                            F.col("rep").alias("ri"), none.cast("bigint").alias("rj"), "place", "size", "made")))
-        done = cut(both.withColumn("all", F.lit(True)).groupBy("all").applyInPandas(_replay_kernel(count), _CHUNK_SCHEMA))
-        names = [c.split()[0].strip("`") for c in LOG_SCHEMA.split(", ")]
-        done.where("kind = 'log'").select(*names).write.mode("append").parquet(path)
-        count -= min(chunk, total - start)
-        if start + chunk < total:
-            gone = done.where("kind = 'dead'").select(F.col("old").alias("rep"))
-            born = done.where("kind = 'born'").select(F.col("old").alias("rep"), F.col("new").alias("made"), F.col("new_size").alias("size"))
-            alive = cut(alive.join(gone, "rep", "left_anti").unionByName(born))
-            renamed = done.where("kind = 'move'").select("old", "new")
-            home = cut(home.join(renamed, home["rep"] == renamed["old"], "left")
-                       .select("row_id", F.coalesce("new", "rep").alias("rep")))
-    return spark.read.parquet(path)
-
-
-_CHUNK_SCHEMA = f"kind string, {LOG_SCHEMA}, old bigint, new bigint"
-
-
-def _replay_kernel(count: int):
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        side = pdf["is_edge"].to_numpy(dtype=bool)
-        e, t = pdf[side].sort_values("step"), pdf[~side].sort_values("place")
-        edges = [dict(step=int(s), d=d, ri=int(x), rj=int(y)) for s, d, x, y in e[["step", "d", "ri", "rj"]].itertuples(index=False)]
-        touched = [dict(place=int(p), rep=int(r), size=int(n), made=int(m)) for p, r, n, m in t[["place", "ri", "size", "made"]].itertuples(index=False)]
-        rows, moves, born, dead = _replay_chunk(edges, touched, count)
-        columns = ["kind", *(c.split()[0].strip("`") for c in LOG_SCHEMA.split(", ")), "old", "new"]
-        gap = (None,) * 8
-        out = [("log", *r, None, None) for r in rows] + [("move", *gap, old, new) for old, new in moves]
-        out += [("born", *gap[:5], size, *gap[:2], rep, made) for rep, made, size in born] + [("dead", *gap, v, None) for v in dead]
-        whole = [c for c in columns if c not in ("kind", "distance")]
-        return pd.DataFrame(out, columns=columns).astype({c: "Int64" for c in whole})
-    return kernel
-
-
-def _replay_chunk(edges, touched, count):
-    """Replays the merges of one chunk over its touched clusters."""
-    m = len(touched)
-    index = {t["rep"]: p for p, t in enumerate(touched)}
-    # untouched clusters before each touched one; they stay for the whole chunk
-    before = [t["place"] - p for p, t in enumerate(touched)]
-    size = [t["size"] for t in touched]
-    name = [t["rep"] for t in touched]
-    made = [t["made"] for t in touched]
-    untouched = count - m
-    living = _Alive(m + len(edges), m)
-    forest = Forest()
-    where = dict(index)  # union-find root -> index of its current cluster
-    rows, dead = [], []
-    for e in edges:
-        ra, rb = forest.root(e["ri"]), forest.root(e["rj"])
-        x, y = where[ra], where[rb]
-        px, py = before[x] + living.below(x), before[y] + living.below(y)
-        if px > py:
-            x, y, px, py = y, x, py, px
-        count -= 1
-        rows.append((e["step"] + 1, px, py, size[x], size[y], size[x] + size[y], e["d"], count))
-        forest.join(ra, rb)
-        root = forest.root(ra)
-        where[root] = len(size)
-        living.add(x, -1)
-        living.add(y, -1)
-        living.add(len(size), 1)
-        before.append(untouched)
-        size.append(size[x] + size[y])
-        name.append(root)
-        made.append(e["step"])
-        dead += [v for v in (x, y) if v < m]
-    roots = {forest.root(r) for r in index}
-    moves = [(r, forest.root(r)) for r in index]
-    born = [(r, made[where[r]], size[where[r]]) for r in roots if where[r] >= m]
-    return rows, moves, born, [touched[v]["rep"] for v in dead]
+def merge_log(tree: DataFrame, ids: DataFrame, n: int, stop_k: int = 1, few: int = FEW_EDGES) -> DataFrame:
+    """All merges down to `stop_k` clusters: the smallest row and size of both, the distance, and the clusters left."""
+    return merges(tree, ids, n, few).where(F.col("step") < n - stop_k).select(
+        (F.col("step") + 1).alias("iteration"), F.col("left_low").alias("left"), F.col("right_low").alias("right"), "left_size", "right_size",
+        (F.col("left_size") + F.col("right_size")).alias("new_size"), F.col("d").alias("distance"), (n - 1 - F.col("step")).alias("clusters_after"))
 
 
 # --- checks ------------------------------------------------------------------------------

@@ -35,43 +35,62 @@ def brute(x, metric="euclidean"):
         if len(parts) == 1:
             return found, log
         height, a, b = min((d[np.ix_(p, q)].min(), i, j) for i, p in enumerate(parts) for j, q in enumerate(parts) if i < j)
-        log.append((len(log) + 1, a, b, len(parts[a]), len(parts[b]), len(parts[a]) + len(parts[b]), height, len(parts) - 1))
+        log.append((len(log) + 1, 3 * min(parts[a]), 3 * min(parts[b]), len(parts[a]), len(parts[b]), len(parts[a]) + len(parts[b]), height, len(parts) - 1))
         parts = [p for i, p in enumerate(parts) if i not in (a, b)] + [parts[a] + parts[b]]
 
 
-@pytest.mark.parametrize("block_rows,few,chunk", [(1024, 100_000, 100_000), (9, 12, 7)])
-def test_linkage_labels_and_log_equal_brute_force(spark, block_rows, few, chunk):
+@pytest.mark.parametrize("leaf_rows,few,part", [(1024, 100_000, 100_000), (9, 12, 7)])
+def test_linkage_labels_and_log_equal_brute_force(spark, leaf_rows, few, part):
     x = np.random.default_rng(8).normal(size=(36, 3))
     found, log = brute(x)
-    tree, ids, n = linkage.spanning_tree(points(spark, x), DIMS, block_rows=block_rows, few=few)
-    got = linkage.history(tree, ids, n, 2, 6, few).toPandas()
-    for k in range(2, 7):
+    tree, ids, n = linkage.spanning_tree(points(spark, x), DIMS, leaf_rows=leaf_rows, few=few)
+    top = 6 if few == 12 else 36
+    got = linkage.history(tree, ids, n, 2, top, part).toPandas()
+    for k in range(2, top + 1):
         assert got[got.k == k].sort_values("row_id").label.tolist() == found[k]
     one = linkage.partition(tree, ids, n, 9, few).toPandas().sort_values("row_id").label.tolist()
     assert one == found[9]
-    rows = sorted(map(tuple, linkage.merge_log(tree, ids, n, 1, chunk).collect()))
+    rows = sorted(map(tuple, linkage.merge_log(tree, ids, n, 1, part).collect()))
     assert [r[:6] + r[7:] for r in rows] == [r[:6] + r[7:] for r in log]
     assert [r[6] for r in rows] == pytest.approx([r[6] for r in log])
 
 
 def test_far_cells_are_never_paired(spark):
+    """Most pairs of leaves are read in the first round, and all together stay far below all pairs."""
     from sparkloom.operators import cells
     r = np.random.default_rng(3)
-    x = np.concatenate([r.normal(c, 0.2, size=(40, 3)) for c in ((0, 0, 0), (9, 0, 0), (30, 0, 0), (60, 9, 0))])
+    x = np.concatenate([r.normal(c, 0.2, size=(45, 3)) for c in r.uniform(-60, 60, size=(12, 3))])
     df = points(spark, x, 1)
     feats, n = distances.checked_features(df, DIMS)
-    for metric in ("euclidean", "euclidean_squared", "chebyshev"):
-        pairs = cells.near_pairs(feats, n, metric, 20).select("a", "i", "b", "j").distinct().count()
-        assert 0 < pairs < 8 * 7 // 2
-        whole = sorted(linkage.spanning_tree(df, DIMS, metric)[0].collect())
-        assert sorted(linkage.spanning_tree(df, DIMS, metric, block_rows=20)[0].collect()) == whole
+    leaves = cells.with_cells(feats, n, 15).select("cell").distinct().count()
+    for metric in ("chebyshev",):
+        reads = []
+        tree = linkage.boruvka(feats, n, metric, 15, reads=reads).collect()
+        assert leaves >= 40 and sum(reads) < 0.2 * leaves * (leaves - 1) / 2 and max(reads[1:]) < reads[0], reads
+        assert sorted(linkage.spanning_tree(df, DIMS, metric)[0].collect()) == sorted(tree)
+
+
+def test_cells_deeper_than_one_round_of_learning(spark, monkeypatch):
+    from sparkloom.operators import cells
+    monkeypatch.setattr(cells, "LEVELS", 2)
+    x = np.random.default_rng(5).normal(size=(300, 3)) ** 3  # skewed, so that leaves differ in depth
+    feats, n = distances.checked_features(points(spark, x, 1), DIMS)
+    placed = cells.with_cells(feats, n, 8)
+    sizes = {c["cell"]: c["count"] for c in placed.groupBy("cell").count().collect()}
+    assert sum(sizes.values()) == 300 and max(sizes.values()) <= 8
+    assert not any(a >> s in sizes for a in sizes for s in range(1, a.bit_length()))  # no leaf above another
+    up = {r["cell"]: (r["ups"], r["up"]) for r in placed.select("cell", cells.ancestors("cell").alias("ups"), cells.parent("cell").alias("up")).distinct().collect()}
+    for cell, (ups, parent) in up.items():
+        depth = cell.bit_length() - 1
+        assert ups == [cell >> (depth - d) for d in range(0, depth, 3)] + [cell] and parent == ups[-2]
+    assert sorted(linkage.boruvka(feats, n, "euclidean", 8).collect()) == sorted(linkage.boruvka(feats, n, "euclidean").collect())
 
 
 def test_linkage_with_copies_and_limits(spark):
     x = np.random.default_rng(2).normal(size=(30, 3))
     x[5:20] = x[5]  # half of the rows are one point
     whole = linkage.spanning_tree(points(spark, x), DIMS)[0].collect()
-    parts = linkage.spanning_tree(points(spark, x).repartition(5), DIMS, block_rows=4, few=3)[0].collect()
+    parts = linkage.spanning_tree(points(spark, x).repartition(5), DIMS, leaf_rows=4, few=3)[0].collect()
     assert sorted(whole) == sorted(parts) and len(whole) == 29
     small = points(spark, [[0, 0, 0], [1, 0, 0], [3, 0, 0], [7, 0, 0]], 1)
     got = [r["label"] for r in linkage.single_linkage(small, ["x"], 2).orderBy("row_id").collect()]
