@@ -7,6 +7,8 @@ in one table; every key starts with graph_id.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,11 +45,42 @@ def build_edges(edges: DataFrame, directed: bool = True, self_loops: bool = True
     return forward.unionByName(back)
 
 
+FEISTEL_ROUNDS, MAX_WALK = 4, 64
+
+
+def permuted(number: Column, size: int, seed) -> Column:
+    """The image of 0 <= number < size under a permutation hashed from the seed.
+
+    The number is written as two digits to the base `side`; in each round one
+    digit is moved by a hash of the other one.  That permutes side * side
+    numbers; an image beyond `size` is permuted again until one falls inside.
+    """
+    side = math.isqrt(max(size - 1, 0)) + 1
+
+    def moved(x: Column, by: Column, k: int) -> Column:
+        return (x + F.conv(F.substring(digest(f"{seed}/{k}", by), 1, 13), 16, 10).cast("bigint") % side) % side
+
+    def round_of(k: int):
+        if k % 2:
+            return lambda p: F.struct(moved(p["l"], p["r"], k).alias("l"), p["r"].alias("r"))
+        return lambda p: F.struct(p["l"].alias("l"), moved(p["r"], p["l"], k).alias("r"))
+
+    def once(x: Column) -> Column:
+        pair = F.struct(F.floor(x / side).cast("bigint").alias("l"), (x % side).alias("r"))
+        for k in range(1, FEISTEL_ROUNDS + 1):
+            pair = F.transform(F.array(pair), round_of(k))[0]  # a transform of one element, so that no round is written out twice
+        return F.transform(F.array(pair), lambda p: p["l"] * side + p["r"])[0]
+
+    inside = F.aggregate(F.sequence(F.lit(1), F.lit(MAX_WALK)), once(number), lambda x, _: F.when(x < size, x).otherwise(once(x)))
+    return F.transform(F.array(inside), lambda x: F.when(x < size, x).otherwise(F.raise_error(F.lit("no image inside")).cast("bigint")))[0]
+
+
 def random_graph(nodes: DataFrame, m: int, width: float = 800.0, height: float = 600.0, seed: int = 0,
                  node: str = "node") -> tuple[DataFrame, DataFrame]:
     """(nodes with a jittered grid layout, m edges): exactly m of the n(n-1) ordered pairs, weights 1..50.
 
-    Pairs are numbered, so none is formed twice and no table is crossed.
+    Pairs are numbered, and edge t is the pair that a permutation of the numbers
+    puts in place t: none is formed twice, and nothing but the m edges is scanned.
     """
     placed = with_position(nodes.select(F.col(node).cast("bigint").alias("node")), ["node"], "place")
     n = placed.count()
@@ -63,13 +96,10 @@ def random_graph(nodes: DataFrame, m: int, width: float = 800.0, height: float =
         F.lit(0).alias("graph_id"), "node",
         (F.lit(pad) + F.col("place") % cols * F.lit(xs) + uniform_int(f"{seed}/x", -10, 10, "node")).cast("double").alias("x"),
         (F.lit(pad) + F.floor(F.col("place") / cols) * F.lit(ys) + uniform_int(f"{seed}/y", -10, 10, "node")).cast("double").alias("y"))
-    numbered = nodes.sparkSession.range(pairs).select(
-        F.col("id").alias("pair"), F.floor(F.col("id") / max(n - 1, 1)).cast("bigint").alias("a"),
-        (F.col("id") % max(n - 1, 1)).alias("r"))
-    numbered = numbered.withColumn("b", F.col("r") + F.when(F.col("r") >= F.col("a"), 1).otherwise(0))
-    h = digest(f"{seed}/edge", "pair")
-    bound = smallest_digest_bound(numbered, h, m)
-    chosen = numbered.where(h <= F.lit(bound)) if bound is not None else numbered.limit(0)
+    pair = permuted(F.col("id"), pairs, f"{seed}/edge")
+    chosen = nodes.sparkSession.range(m).select(pair.alias("pair"))
+    a, r = F.floor(F.col("pair") / max(n - 1, 1)).cast("bigint"), F.col("pair") % max(n - 1, 1)
+    chosen = chosen.select("pair", a.alias("a"), (r + F.when(r >= a, 1).otherwise(0)).alias("b"))
     ends = placed.select("place", "node")
     edges = (chosen.join(ends.select(F.col("place").alias("a"), F.col("node").alias("src")), "a")
              .join(ends.select(F.col("place").alias("b"), F.col("node").alias("dst")), "b")

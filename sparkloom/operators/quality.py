@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.distance import block_distances, choose_two, require_metric
-from sparkloom.operators.distances import (BLOCK_ROWS, VECTOR, block_pairs, covers_inside, matrix, pair_distances,
+from sparkloom.operators.distances import (BLOCK_ROWS, VECTOR, block_pairs, covers_inside, matrix, pair_distances, spread,
                                            with_features)
 from sparkloom.session import cut
 
@@ -69,6 +69,48 @@ def silhouette_samples(points: DataFrame, ks: list[int], metric: str = "euclidea
     return per_row.select("k", "row_id", "label", F.when(F.col("size") == 1, 0.0).when(F.col("b").isNotNull(), s).alias("silhouette"))
 
 
+def silhouette_sampled(df: DataFrame, columns: list[str], labels: DataFrame, metric: str = "euclidean", row_id: str = "row_id",
+                       every: int = 50, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(queries, silhouette, standard_error): rows whose id is divisible by `every`, each against all rows.
+
+    A task meets one block of queries and one block of rows and sends a distance sum per query and cluster.  The exact mean over
+    all rows is `silhouettes`; this one costs an `every`-th of it and says how far off it may be.
+    """
+    require_metric(metric)
+    metric = "euclidean" if metric == "euclidean_squared" else metric
+    points = cut(with_features(df, columns, row_id).join(labels.select("row_id", F.col("label").cast("int").alias("label")), "row_id"))
+    queries = points.where(F.col("row_id") % every == 0)
+    n, m = points.count(), queries.count()
+    blocks, asking = max(1, math.ceil(n / block_rows)), max(1, math.ceil(m / block_rows))
+
+    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
+        side = pdf["asks"].to_numpy()
+        if not side.any() or side.all():
+            return pd.DataFrame({c: [] for c in ("row_id", "label", "other", "s")})
+        x, label, ids = matrix(pdf), pdf["label"].to_numpy(), pdf["row_id"].to_numpy()
+        met, code = np.unique(label[~side], return_inverse=True)
+        picked = np.zeros((len(code), len(met)))
+        picked[np.arange(len(code)), code] = 1.0
+        sums = block_distances(x[side], x[~side], metric) @ picked
+        return pd.DataFrame({"row_id": np.repeat(ids[side], len(met)), "label": np.repeat(label[side], len(met)),
+                             "other": np.tile(met, int(side.sum())), "s": sums.ravel()})
+
+    def dealt(rows: DataFrame, own: str, parts: int, other: str, others: int, asks: bool) -> DataFrame:
+        return rows.select(F.pmod(F.xxhash64("row_id"), F.lit(parts)).alias(own), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(others - 1).cast("bigint"))).alias(other),
+                           F.lit(asks).alias("asks"), "row_id", "label", VECTOR)
+
+    met = dealt(points, "b", blocks, "a", asking, False).unionByName(dealt(queries, "a", asking, "b", blocks, True))
+    total = (spread(met, ["a", "b"], blocks * asking).groupBy("a", "b").applyInPandas(kernel, "row_id bigint, label int, other int, s double")
+             .groupBy("row_id", "label", "other").agg(F.sum("s").alias("s")))
+    sizes = points.groupBy(F.col("label").alias("other")).agg(F.count(F.lit(1)).alias("size"))
+    own = F.col("label") == F.col("other")
+    per_row = total.join(sizes, "other").groupBy("row_id").agg(
+        F.max(F.when(own, F.col("size"))).alias("size"), F.max(F.when(own, F.try_divide(F.col("s"), F.col("size") - 1))).alias("a"),
+        F.min(F.when(~own, F.col("s") / F.col("size"))).alias("b"))
+    s = F.when(F.col("size") == 1, 0.0).when(F.col("b").isNotNull(), F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
+    return per_row.agg(F.count(s).alias("queries"), F.avg(s).alias("silhouette"), (F.stddev_samp(s) / F.sqrt(F.count(s))).alias("standard_error"))
+
+
 def silhouettes(df: DataFrame, columns: list[str], labels: DataFrame, metric: str = "euclidean", row_id: str = "row_id",
                 block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(k, silhouette): the mean per K over rows with a label for every K; null with fewer than two clusters.

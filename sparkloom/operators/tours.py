@@ -178,37 +178,38 @@ def attraction(alpha: float, beta: float) -> Column:
     return F.pow("pheromone", F.lit(alpha)) * F.pow(F.lit(1.0) / F.col("weight"), F.lit(beta))
 
 
-def transition_weights(walkers: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 2.0, salts: int = SALTS) -> DataFrame:
-    """(graph_id, walker, dst, attraction, share) of the unvisited successors of each walker's node.
-
-    Parallel edges to one node add up.  A walker has at most n - 1 candidates.
-    """
+def _offered(walkers: DataFrame, edges: DataFrame, alpha: float, beta: float, salts: int) -> DataFrame:
+    """(graph_id, walker, dst, attraction) of the unvisited successors of each walker's node; parallel edges add up."""
     if "pheromone" not in edges.columns:
         edges = edges.withColumn("pheromone", F.lit(0.1))
     e = salted(edges.groupBy(F.col("graph_id").alias("_g"), "src", "dst").agg(F.sum(attraction(alpha, beta)).alias("attraction")), salts)
     reach = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("_salt") == F.col("_part"))
              & ~F.array_contains("path", F.col("dst")))
-    offered = (per_salt(walkers, salts).join(e.withColumnRenamed("_salt", "_part"), reach)
-               .select("graph_id", "walker", "dst", "attraction"))
+    return (per_salt(walkers, salts).join(e.withColumnRenamed("_salt", "_part"), reach)
+            .select("graph_id", "walker", "dst", "attraction"))
+
+
+def transition_weights(walkers: DataFrame, edges: DataFrame, alpha: float = 1.0, beta: float = 2.0, salts: int = SALTS) -> DataFrame:
+    """(graph_id, walker, dst, attraction, share) of the unvisited successors of each walker's node.
+
+    Parallel edges to one node add up.  A walker has at most n - 1 candidates.
+    """
     total = F.sum("attraction").over(Window.partitionBy("graph_id", "walker"))
-    return offered.withColumn("share", F.col("attraction") / total)
+    return _offered(walkers, edges, alpha, beta, salts).withColumn("share", F.col("attraction") / total)
 
 
 def walk_step(walkers: DataFrame, edges: DataFrame, draw: Column, alpha: float = 1.0, beta: float = 2.0,
-              template: DataFrame | None = None) -> DataFrame:
-    """walkers + `next`: the template's successor if unvisited, else the wheel at `draw`; null at a dead end.
+              template: DataFrame | None = None, salts: int = SALTS) -> DataFrame:
+    """walkers + `next`: the template's successor if unvisited, else one drawn by attraction; null at a dead end.
 
-    The wheel runs over the candidates in node order; the last one is the
-    default when rounding leaves nothing.
+    The draw is a race: every candidate waits an exponential time with its
+    attraction as rate, and the first one wins.  So a walker needs one minimum,
+    taken in parts, and its candidates are never sorted or gathered.
     """
-    w = Window.partitionBy("graph_id", "walker")
-    turned = (transition_weights(walkers, edges, alpha, beta)
-              .withColumn("_run", F.sum("attraction").over(w.orderBy("dst").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_all", F.max("_run").over(w))
-              .join(walkers.select("graph_id", "walker", draw.alias("_u")), ["graph_id", "walker"]))
-    hit = (turned.groupBy("graph_id", "walker").agg(
-        F.min(F.when(F.col("_run") >= F.col("_u") * F.col("_all"), F.col("dst"))).alias("_hit"), F.max("dst").alias("_last")))
-    out = walkers.join(hit, ["graph_id", "walker"], "left").withColumn("next", F.coalesce("_hit", "_last")).drop("_hit", "_last")
+    waits = -F.log(F.lit(1.0) - draw) / F.col("attraction")
+    hit = (_offered(walkers, edges, alpha, beta, salts).groupBy("graph_id", "walker")
+           .agg(F.min(F.struct(waits.alias("wait"), "dst")).alias("_first")))
+    out = walkers.join(hit, ["graph_id", "walker"], "left").withColumn("next", F.col("_first.dst")).drop("_first")
     if template is None:
         return out
     t = template.select(F.col("graph_id").alias("_g"), F.col("src").alias("_s"), F.col("dst").alias("_t"))
@@ -217,10 +218,10 @@ def walk_step(walkers: DataFrame, edges: DataFrame, draw: Column, alpha: float =
 
 
 def draw(seed, round_: int | Column, step: int | Column) -> Column:
-    """The uniform of one walker in one step."""
+    """The uniform of one walker and candidate in one step."""
     r = F.lit(round_) if isinstance(round_, int) else round_
     s = F.lit(step) if isinstance(step, int) else step
-    return uniform(seed, F.col("graph_id"), F.col("walker"), r, s)
+    return uniform(seed, F.col("graph_id"), F.col("walker"), F.col("dst"), r, s)
 
 
 def reinforce(edges: DataFrame, tours: DataFrame, rho: float = 0.1, q: float = 100.0) -> DataFrame:

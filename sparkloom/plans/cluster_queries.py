@@ -161,11 +161,11 @@ def scaling_verdict(spark, sf):
 
 # --- quality -------------------------------------------------------------------------------
 
-def silhouette_sql(points: str, labels: str, dist: str) -> str:
-    """CTEs ending in `sil` (id, label, s) for points(id, ...) and labels(id, label)."""
+def silhouette_sql(points: str, labels: str, dist: str, only: str = "true") -> str:
+    """CTEs ending in `sil` (id, label, s) for points(id, ...) and labels(id, label), for the rows a of `only`."""
     return f"""lp AS MATERIALIZED (SELECT p.*, l.label AS lab FROM {points} p JOIN {labels} l USING (id)),
 ls AS MATERIALIZED (SELECT lab, count(*) AS n FROM lp GROUP BY 1),
-ds AS (SELECT a.id, a.lab AS own, b.lab AS other, sum({dist}) AS s FROM lp a JOIN lp b ON a.id <> b.id GROUP BY 1, 2, 3),
+ds AS (SELECT a.id, a.lab AS own, b.lab AS other, sum({dist}) AS s FROM lp a JOIN lp b ON a.id <> b.id WHERE {only} GROUP BY 1, 2, 3),
 ab AS (SELECT id, own, max(CASE WHEN own = other THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b,
  (SELECT n FROM ls q WHERE q.lab = own) AS n FROM ds JOIN ls ON ls.lab = ds.other GROUP BY id, own),
 sil AS (SELECT id, own AS label, CASE WHEN n = 1 THEN 0.0::DOUBLE ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END AS s FROM ab)"""
@@ -179,6 +179,15 @@ def silhouette(spark, sf):
     return rounded(quality.silhouette(e, ["embedding"], labels, row_id="vec_id", block_rows=250), ["silhouette"])
 
 
+@query(f"""WITH pt AS (SELECT vec_id AS id, embedding::DOUBLE[] AS v FROM embeddings), lb AS (SELECT vec_id AS id, label FROM embeddings),
+{silhouette_sql('pt', 'lb', 'list_distance(a.v, b.v)', 'a.id % 50 = 0')}
+SELECT count(*) AS queries, {rs('avg(s)')} AS silhouette, {rs('stddev_samp(s) / sqrt(count(*))')} AS standard_error FROM sil""")
+def silhouette_sampled(spark, sf):
+    e = table(spark, sf, "embeddings")
+    labels = e.select(F.col("vec_id").alias("row_id"), "label")
+    return rounded(quality.silhouette_sampled(e, ["embedding"], labels, row_id="vec_id", block_rows=250), ["silhouette", "standard_error"])
+
+
 LONG_LABELS = "(SELECT 10 AS k, vec_id AS id, label FROM embeddings UNION ALL SELECT 4, vec_id, label % 4 FROM embeddings)"
 
 
@@ -276,18 +285,10 @@ def diagnose(spark, sf):
     return clustering.diagnose(emb(spark, sf), DIMS)
 
 
-def subset_sql(dims: list[str]) -> str:
-    """Quality of a subset of features, as a subquery."""
-    return (f"(WITH RECURSIVE {tree_sql(EMB10, dims)}, {labels_sql('3')}, {silhouette_sql('pts', 'labels', dist_sql('a', 'b', dims))} "
-            "SELECT greatest(0, avg(s)) FROM sil)")
-
-
-@query("SELECT features, " + rs("quality") + " AS quality FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}|{b}' AS features, {subset_sql([a, b])} AS quality" for a, b in (("e1", "e2"), ("e1", "e3"), ("e2", "e3")))
-    + ") ORDER BY quality DESC LIMIT 1")
+@query()
 def spa(spark, sf):
-    """The search finds the best of all pairs of three features."""
-    found = selection.select_features(emb10(spark, sf), DIMS[:3], 2, k=3)
+    """The search over all 64 dimensions; SQL has no search, tests compare it with all subsets of a small table."""
+    found = selection.select_features(emb10(spark, sf), DIMS, 2, k=3, max_iterations=12)
     return spark.createDataFrame([("|".join(sorted(found.features)), found.quality)], "features string, quality double") \
         .select("features", r("quality").alias("quality"))
 
@@ -342,22 +343,53 @@ def anonymise_and_cluster(spark, sf):
     return clustering_run.anonymise_and_cluster(customers(spark, sf), CUSTOMER_QIS, 4)
 
 
+# --- features chosen by the search, from all pairs of three ------------------------------------
+
+CHOICES = [(0, 1), (0, 2), (1, 2)]
+
+
+def pair_ctes(source: str, dims: list[str], ks: str, metric: str, p: str) -> str:
+    """Trees and labels (CTE {p}{n}l) of every pair of features."""
+    return ", ".join(f"{tree_sql(source, [dims[i], dims[j]], metric, prefix=f'{p}{n}')}, {labels_sql(ks, f'{p}{n}', f'{p}{n}l')}" for n, (i, j) in enumerate(CHOICES))
+
+
+def chosen_sql(source: str, dims: list[str], k: int, metric: str, p: str) -> str:
+    """CTE {p}chosen (n): the best pair, or the first one proposed where none has a quality above 0."""
+    def score(n: int, a: str, b: str) -> str:
+        sil = silhouette_sql(f"{p}{n}pts", f"(SELECT id, label FROM {p}{n}l WHERE k = {k})", dist_sql("a", "b", [a, b], metric))
+        fit = f"(SELECT least(count(DISTINCT {a}), count(DISTINCT {b})) >= 10 AND least(stddev_pop({a}), stddev_pop({b})) >= 1e-6 AND var_pop({a}) + var_pop({b}) >= 0.1 FROM {source})"
+        return f"SELECT {n} AS n, CASE WHEN {fit} THEN (WITH {sil} SELECT greatest(0, avg(s)) FROM sil) ELSE 0 END AS q"
+    hashed = lambda key: f"((('0x' || substr(md5({key}), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496)"
+    pairs = ", ".join(f"({n}, [{i}, {j}])" for n, (i, j) in enumerate(CHOICES))
+    first = f"""(SELECT n FROM (VALUES {pairs}) v(n, l) WHERE l = (SELECT list(i ORDER BY i) FROM (SELECT i FROM
+ (SELECT i, {hashed("'42:1:' || i")} AS u, -ln({hashed("'42:1:' || i || ':more'")}) AS w FROM range(3) r(i)) ORDER BY u >= 1 / 3::DOUBLE, CASE WHEN u < 1 / 3::DOUBLE THEN i ELSE w END, i LIMIT 2)))"""
+    scores = " UNION ALL ".join(score(n, dims[i], dims[j]) for n, (i, j) in enumerate(CHOICES))
+    return f"{p}chosen AS MATERIALIZED (SELECT CASE WHEN max(q) > 0 THEN arg_max(n, q) ELSE {first} END AS n FROM ({scores}))"
+
+
+def chosen_labels(p: str, name: str) -> str:
+    return f"{name} AS (" + " UNION ALL ".join(f"SELECT k, id, label FROM {p}{n}l WHERE (SELECT n FROM {p}chosen) = {n}" for n in range(len(CHOICES))) + ")"
+
+
 @query(f"""WITH RECURSIVE {tree_sql(ENCODED, CUSTOMER_DIMS, prefix='e')}, {labels_sql('4', 'e', 'el')},
-{tree_sql(ANONYMOUS, CUSTOMER_DIMS, prefix='a')}, {labels_sql('4', 'a', 'al')},
-x AS (SELECT * FROM {fm_sql('(SELECT el.label AS a, al.label AS b FROM el JOIN al USING (id))')}),
-same AS (SELECT * FROM {fm_sql('(SELECT p.label AS a, q.label AS b FROM el p JOIN el q USING (id))')})
-SELECT 'preprocessing_vs_features' AS comparison, "rows", fm FROM same UNION ALL
-SELECT 'preprocessing_vs_anonymised', "rows", fm FROM x UNION ALL SELECT 'features_vs_anonymised', "rows", fm FROM x""")
+{pair_ctes(ENCODED, CUSTOMER_DIMS, '4', 'euclidean', 'f')}, {chosen_sql(ENCODED, CUSTOMER_DIMS, 4, 'euclidean', 'f')}, {chosen_labels('f', 'fl')},
+{pair_ctes(ANONYMOUS, CUSTOMER_DIMS, '4', 'euclidean', 'a')}, {chosen_sql(ANONYMOUS, CUSTOMER_DIMS, 4, 'euclidean', 'a')}, {chosen_labels('a', 'al')},
+x AS (SELECT * FROM {fm_sql('(SELECT el.label AS a, fl.label AS b FROM el JOIN fl USING (id))')}),
+y AS (SELECT * FROM {fm_sql('(SELECT el.label AS a, al.label AS b FROM el JOIN al USING (id))')}),
+z AS (SELECT * FROM {fm_sql('(SELECT fl.label AS a, al.label AS b FROM fl JOIN al USING (id))')})
+SELECT 'preprocessing_vs_features' AS comparison, "rows", fm FROM x UNION ALL
+SELECT 'preprocessing_vs_anonymised', "rows", fm FROM y UNION ALL SELECT 'features_vs_anonymised', "rows", fm FROM z""")
 def compare_clusterings(spark, sf):
-    out = clustering_run.compare_clusterings(customers(spark, sf), CUSTOMER_QIS, 4, n_features=3, spec=CUSTOMER_SPEC)
+    """Two of three features, searched on the encoded and on the anonymised table."""
+    out = clustering_run.compare_clusterings(customers(spark, sf), CUSTOMER_QIS, 4, n_features=2, spec=CUSTOMER_SPEC)
     return rounded(out, ["fm"])
 
 
-@query(f"""WITH RECURSIVE {tree_sql("(SELECT c_custkey AS id, (c_nationkey - avg(c_nationkey) OVER ()) / stddev_pop(c_nationkey) OVER () AS c_nationkey, (c_acctbal - avg(c_acctbal) OVER ()) / stddev_pop(c_acctbal) OVER () AS c_acctbal FROM customer)", CUSTOMER_DIMS[:2], 'chebyshev')},
-{labels_sql('2, 3, 4, 5, 6')}, c AS (SELECT k, label, count(*) AS n FROM labels GROUP BY 1, 2)
+@query(f"""WITH RECURSIVE {pair_ctes(ENCODED, CUSTOMER_DIMS, '2, 3, 4, 5, 6', 'chebyshev', 'f')},
+{chosen_sql(ENCODED, CUSTOMER_DIMS, 3, 'chebyshev', 'f')}, {chosen_labels('f', 'fl')}, c AS (SELECT k, label, count(*) AS n FROM fl GROUP BY 1, 2)
 SELECT k, label::INTEGER AS label, n AS size FROM c""")
 def full_run(spark, sf):
-    run = clustering_run.full_run(customers(spark, sf), scratch_path(spark, "run"), 2, 6, spec=CUSTOMER_SPEC, features=CUSTOMER_DIMS[:2])
-    # read back what was stored
+    """Chooses its two features, clusters, stores, and reads back what was stored."""
+    run = clustering_run.full_run(customers(spark, sf), scratch_path(spark, "run"), 2, 6, spec=CUSTOMER_SPEC)
     wide, _, ks = runs.read_results(spark, run.results_path)
     return quality.cluster_sizes(runs.long_labels(wide, ks))

@@ -77,10 +77,21 @@ def successor(spark, sf):
 RANDOM_SHARE = 3
 
 
-@query(f"""WITH p AS (SELECT s_suppkey AS node, row_number() OVER (ORDER BY s_suppkey) - 1 AS place, count(*) OVER () AS n FROM supplier),
-pairs AS (SELECT a.node AS src, b.node AS dst, a.place * (a.n - 1) + b.place - CASE WHEN b.place > a.place THEN 1 ELSE 0 END AS pair, a.n FROM p a JOIN p b ON a.place <> b.place)
-SELECT 0 AS graph_id, src, dst, (1 + floor({uniform_sql('0/weight', 'pair')} * 50))::DOUBLE AS weight, pair AS ord FROM pairs
-QUALIFY row_number() OVER (ORDER BY {digest_sql('0/edge', 'pair')}) <= n * (n - 1) // {RANDOM_SHARE}""")
+def round_sql(x: str, key: str, k: int) -> str:
+    return f"({x} + (('0x' || substr({digest_sql(f'0/edge/{k}', key)}, 1, 13))::BIGINT % side)) % side"
+
+
+@query(f"""WITH RECURSIVE p AS (SELECT s_suppkey AS node, row_number() OVER (ORDER BY s_suppkey) - 1 AS place, count(*) OVER () AS n FROM supplier),
+size AS (SELECT count(*) * (count(*) - 1) AS pairs, ceil(sqrt(count(*) * (count(*) - 1)))::BIGINT AS side FROM supplier),
+walk AS (SELECT t, t AS x, pairs, side, false AS met FROM (SELECT pairs, side, unnest(range(pairs // {RANDOM_SHARE})) AS t FROM size)
+ UNION ALL SELECT t, l2 * side + r2, pairs, side, l2 * side + r2 < pairs FROM (
+  SELECT *, {round_sql('r1', 'l2', 4)} AS r2 FROM (SELECT *, {round_sql('l1', 'r1', 3)} AS l2 FROM (
+  SELECT *, {round_sql('r0', 'l1', 2)} AS r1 FROM (SELECT *, {round_sql('l0', 'r0', 1)} AS l1 FROM (
+  SELECT *, x // side AS l0, x % side AS r0 FROM walk WHERE NOT met)))))),
+picked AS (SELECT t, x AS pair FROM walk WHERE met),
+ends AS (SELECT t, pair, pair // (n - 1) AS a, pair % (n - 1) + CASE WHEN pair % (n - 1) >= pair // (n - 1) THEN 1 ELSE 0 END AS b FROM picked, (SELECT any_value(n) AS n FROM p))
+SELECT 0 AS graph_id, s.node AS src, d.node AS dst, (1 + floor({uniform_sql('0/weight', 'pair')} * 50))::DOUBLE AS weight, pair AS ord
+FROM ends JOIN p s ON s.place = a JOIN p d ON d.place = b""")
 def random_edges(spark, sf):
     s = table(spark, sf, "supplier")
     n = s.count()
@@ -150,51 +161,73 @@ def edge_report(spark, sf):
 
 # --- walks -------------------------------------------------------------------------------
 
-# walkers stand at the fourth node of every greedy path
-PREFIX = 4
-WALKERS = "walkers AS (SELECT graph_id, start AS walker, path[4] AS node, path[1:4] AS path FROM tours WHERE len(path) > 4)"
+# a walker on every node, at the start of its walk
+WALKERS = "walkers AS (SELECT graph_id, node AS walker, node, [node] AS path FROM nodes)"
 PULL = "(SELECT w.graph_id, w.walker, e.dst, sum(0.1::DOUBLE * (1.0::DOUBLE / e.weight) ** 2) AS a FROM walkers w JOIN e ON e.graph_id = w.graph_id AND e.src = w.node WHERE NOT list_contains(w.path, e.dst) GROUP BY 1, 2, 3)"
 
 
-def walkers(t):
-    return (t.where(F.size("path") > PREFIX)
-            .select("graph_id", F.col("start").alias("walker"), F.element_at("path", PREFIX).alias("node"),
-                    F.slice("path", 1, PREFIX).alias("path")))
+def walkers(nodes):
+    return nodes.select("graph_id", F.col("node").alias("walker"), "node", F.array("node").alias("path"))
 
 
-@query(f"""WITH RECURSIVE {GREEDY}, {WALKERS}, p AS {PULL}
+@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, p AS {PULL}
 SELECT graph_id, walker, dst, {rs('a * 1e6')} AS attraction, {rs('a / sum(a) OVER (PARTITION BY graph_id, walker)')} AS share FROM p""")
 def transition_weights(spark, sf):
-    t, edges, _ = greedy(spark, sf)
-    out = tours.transition_weights(walkers(t), edges.withColumn("pheromone", F.lit(0.1)))
+    edges, nodes = trade(spark, sf)
+    out = tours.transition_weights(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)))
     return rounded(out.withColumn("attraction", F.col("attraction") * 1e6), ["attraction", "share"])
 
 
+def race_sql(step: str) -> str:
+    """Waiting time of a candidate `dst` with attraction `a`."""
+    return f"-ln(1 - {uniform_sql('42', 'graph_id', 'walker', 'dst', '0', step)}) / a"
+
+
 STEP = f"""p AS {PULL},
-run AS (SELECT *, sum(a) OVER (PARTITION BY graph_id, walker ORDER BY dst) AS run FROM p),
-hit AS (SELECT graph_id, walker, coalesce(min(dst) FILTER (WHERE run >= u * total), max(dst)) AS next FROM
- (SELECT *, max(run) OVER (PARTITION BY graph_id, walker) AS total, {uniform_sql('42', 'graph_id', 'walker', '0', '1')} AS u FROM run) GROUP BY 1, 2)"""
+hit AS (SELECT graph_id, walker, arg_min(dst, {{'w': {race_sql('1')}, 'd': dst}}) AS next FROM p GROUP BY 1, 2)"""
 
 
-@query(f"""WITH RECURSIVE {GREEDY}, {WALKERS}, {STEP}
+@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, {STEP}
 SELECT w.graph_id, w.walker, w.node, h.next FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker""")
 def walk_step(spark, sf):
-    t, edges, _ = greedy(spark, sf)
-    out = tours.walk_step(walkers(t), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1))
+    edges, nodes = trade(spark, sf)
+    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1))
     return out.select("graph_id", "walker", "node", "next")
 
 
-@query(f"""WITH RECURSIVE {GREEDY}, {WALKERS}, {STEP},
+@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, {STEP},
 t AS (SELECT graph_id, src, b.d AS dst FROM (SELECT graph_id, src, min({{'w': weight, 'h': {digest_sql(42, 'graph_id', 'src', 'dst', 'ord')}, 'd': dst}}) AS b FROM e GROUP BY 1, 2))
 SELECT w.graph_id, w.walker, w.node, CASE WHEN t.dst IS NOT NULL AND NOT list_contains(w.path, t.dst) THEN t.dst ELSE h.next END AS next
 FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker LEFT JOIN t ON t.graph_id = w.graph_id AND t.src = w.node""")
 def walk_step_template(spark, sf):
-    t, edges, _ = greedy(spark, sf)
-    out = tours.walk_step(walkers(t), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1),
+    edges, nodes = trade(spark, sf)
+    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1),
                           template=graph.lightest_successor(edges))
     return out.select("graph_id", "walker", "node", "next")
 
 
+@query(f"""WITH RECURSIVE {EDGES}, {NODES},
+walk AS (SELECT graph_id, node AS walker, node, [node] AS path, 0 AS step FROM nodes
+ UNION ALL SELECT graph_id, walker, next, list_append(path, next), step + 1 FROM
+ (SELECT graph_id, walker, path, step, arg_min(dst, {{'w': {race_sql('step + 1')}, 'd': dst}}) AS next FROM
+  (SELECT w.graph_id, w.walker, w.path, w.step, e.dst, sum(0.1::DOUBLE * (1.0::DOUBLE / e.weight) ** 2) AS a
+   FROM walk w JOIN e ON e.graph_id = w.graph_id AND e.src = w.node WHERE NOT list_contains(w.path, e.dst) GROUP BY ALL) GROUP BY 1, 2, 3, 4)),
+ended AS (SELECT * FROM walk QUALIFY row_number() OVER (PARTITION BY graph_id, walker ORDER BY step DESC) = 1)
+SELECT graph_id, walker, array_to_string(path, '-') AS path_text, len(path) = n AS complete FROM ended JOIN sizes USING (graph_id)""")
+def whole_walks(spark, sf):
+    """Every walker from its first node to the end of its walk."""
+    edges, nodes = trade(spark, sf)
+    state = cut(walkers(nodes))
+    e = cut(edges.withColumn("pheromone", F.lit(0.1)))
+    sizes = graph.node_counts(nodes)
+    for step in range(1, sizes.agg(F.max("n")).first()[0]):
+        moved = tours.walk_step(state, e, tours.draw(42, 0, step))
+        state = moved.select("graph_id", "walker", F.coalesce("next", "node").alias("node"),
+                             F.when(F.col("next").isNotNull(), F.array_append("path", F.col("next"))).otherwise(F.col("path")).alias("path"))
+        state = cut(state)  # read twice by the next step
+    return state.join(sizes, "graph_id").select("graph_id", "walker", graph.path_text("path").alias("path_text"), (F.size("path") == F.col("n")).alias("complete"))
+
+
 @query(f"""WITH RECURSIVE {GREEDY}, steps AS (SELECT graph_id, path, length, unnest(range(1, len(path))) AS i FROM tours WHERE status = 'ok'),
 gain AS (SELECT graph_id, path[i] AS src, path[i + 1] AS dst, sum(100.0::DOUBLE / length) AS g FROM steps GROUP BY 1, 2, 3)
 SELECT e.graph_id, e.src, e.dst, {rs('0.1::DOUBLE * 0.9 + coalesce(g, 0)', 9)} AS pheromone FROM e LEFT JOIN gain USING (graph_id, src, dst)""")

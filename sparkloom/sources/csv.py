@@ -5,26 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from sparkloom.functions.ranks import with_position
+from sparkloom.session import cut
 
 # Texts a table reader commonly treats as missing.
 NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
                "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def _reader(spark: SparkSession, multi_line: bool):
-    """Quotes are doubled inside quoted fields; with `multi_line` a field may hold line breaks."""
-    return (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
-            .option("multiLine", multi_line).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+BLOCK_LINES = 50_000
+_MARK = "\ufeff"
+
+
+def _reader(spark: SparkSession):
+    """Quotes are doubled inside quoted fields; a record is a line."""
+    return spark.read.options(**OPTIONS).option("header", True).option("encoding", "UTF-8")
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """(_f, _line, record) of UTF-8 files whose quoted fields may hold line breaks, the header of each file included.
+
+    Files are read in ranges by many tasks, line by line.  A line starts a record if the quotes before it in its file are even;
+    the parity comes from counts per block of lines, of which only one small row each is put in order.  The lines of a record
+    are then joined.  An unbalanced quote makes the rest of its file one record, as in any reader.
+    """
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
+             .withColumn("q", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))))
+    placed = with_position(lines, ["_f", "_b", "_m"], "_line").withColumn("_k", F.floor(F.col("_line") / BLOCK_LINES))
+    in_order = Window.partitionBy("_f").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+    blocks = placed.groupBy("_f", "_k").agg(F.sum("q").alias("q")).withColumn("before", F.coalesce(F.sum("q").over(in_order), F.lit(0))).drop("q")
+    here = Window.partitionBy("_f", "_k").orderBy("_line")
+    marked = placed.join(blocks, ["_f", "_k"]).withColumn(
+        "start", (F.col("before") + F.coalesce(F.sum("q").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2 == 0)
+    marked = cut(marked.withColumn("own", F.max(F.when(F.col("start"), F.col("_line"))).over(here)).select("_f", "_k", "_line", "value", "own"))
+    last = marked.groupBy("_f", "_k").agg(F.max("own").alias("last")).withColumn("open", F.last("last", True).over(in_order)).drop("last")
+    of = marked.join(last, ["_f", "_k"]).withColumn("_record", F.coalesce("own", "open"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_line", "value"))), lambda x: x["value"]), "\n")
+    joined = of.groupBy("_f", F.col("_record").alias("_line")).agg(text.alias("record"))
+    return joined.withColumn("record", F.regexp_replace("record", "\r$", "")).where("record <> ''")
+
+
+def _texts(spark: SparkSession, path: str, multi_line: bool, names: list[str] | None = None) -> DataFrame:
+    """All fields as text, with `_f`, `_b` and `_m`, which order the rows; checks `names` against the header."""
+    if not multi_line:
+        reader = _reader(spark)
+        if names is not None:
+            reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in names])).option("enforceSchema", False)
+        return reader.csv(path).select("*", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
+                                       F.monotonically_increasing_id().alias("_m"))
+    found = cut(records(spark, path))
+    heads = found.groupBy("_f").agg(F.min("_line").alias("_line"))
+    headers = [r["record"].removeprefix(_MARK) for r in found.join(heads, ["_f", "_line"]).select("record").distinct().limit(2).collect()]
+    if len(headers) != 1:
+        raise ValueError("the files have no header" if not headers else "the files have different headers")
+    many = headers[0].count(",") + 1
+    split = spark.range(1).select(F.from_csv(F.lit(headers[0]), ", ".join(f"c{i} string" for i in range(many)), OPTIONS).alias("h")).first()["h"]
+    columns = [c for c in split if c is not None]
+    if names is not None and list(names) != columns:
+        raise ValueError(f"the header is {columns}, not {list(names)}")
+    ddl = ", ".join(f"`{c.replace('`', '``')}` string" for c in columns)
+    rows = found.join(heads.select("_f", F.col("_line").alias("_head")), "_f").where(F.col("_line") != F.col("_head"))
+    parsed = rows.select(F.from_csv("record", ddl, OPTIONS).alias("r"), "_f", "_line")
+    return parsed.select("r.*", "_f", F.lit(0).cast("bigint").alias("_b"), F.col("_line").alias("_m"))
 
 
 def infer_schema(spark: SparkSession, path: str, null_tokens=NULL_TOKENS, multi_line: bool = True) -> T.StructType:
     """Narrowest of bigint, double, boolean and string per column, tokens left out.
 
-    One pass of the file read as text columns; use an explicit schema in production.
+    One pass of the file read as text columns.
     """
-    raw = _reader(spark, multi_line).csv(path)
+    raw = cut(_texts(spark, path, multi_line)).drop("_f", "_b", "_m")
     checks = []
     for i, c in enumerate(raw.columns):
         v = F.when(~F.col(f"`{c}`").isin(*null_tokens), F.trim(f"`{c}`"))
@@ -51,8 +105,7 @@ def bad_values(spark: SparkSession, path: str, schema: T.StructType | str, null_
     """(column, bad): present values of each column that do not parse as its type."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = _reader(spark, multi_line).schema(text).option("enforceSchema", False).csv(path)
+    raw = _texts(spark, path, multi_line, schema.names)
     tests = [_typed(f, null_tokens) for f in schema.fields]
     one = raw.agg(*[F.count_if(v.isNotNull() & t.isNull()).alias(f"b{i}") for i, (v, t) in enumerate(tests)])
     return one.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"b{i}").alias("bad"))
@@ -63,8 +116,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
              row_id: str | None = None, key: str | None = None, multi_line: bool = True, strict: bool = False) -> DataFrame:
     """UTF-8 CSV with a header; every null token becomes null before typing.
 
-    `multi_line` lets quoted fields hold line breaks, at the price that one task
-    reads one file.  A value that does not parse becomes null, or fails the job
+    `multi_line` lets quoted fields hold line breaks; files are read by many
+    tasks all the same (see `records`), with two shuffles of the lines.  A value that does not parse becomes null, or fails the job
     with `strict`; `bad_values` counts them.
 
     `row_id` adds an id: the value of `key` where the table has one, else the
@@ -73,8 +126,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     schema = schema or infer_schema(spark, path, null_tokens, multi_line)
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = _reader(spark, multi_line).schema(text).option("enforceSchema", False).csv(path)
+    raw = _texts(spark, path, multi_line, schema.names)
     cols = []
     for f in schema.fields:
         v, typed = _typed(f, null_tokens)
@@ -85,9 +137,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
         return raw.select(*cols)
     if key is not None:
         return raw.select(*cols).withColumn(row_id, F.col(key).cast("bigint"))
-    placed = raw.select(*cols, F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"),
-                        F.monotonically_increasing_id().alias("_m"))
-    return with_position(placed, ["_f", "_b", "_m"], row_id).drop("_f", "_b", "_m")
+    return with_position(raw.select(*cols, "_f", "_b", "_m"), ["_f", "_b", "_m"], row_id).drop("_f", "_b", "_m")
 
 
 def write_csv(df: DataFrame, path: str) -> str:
