@@ -1,9 +1,9 @@
 """Greedy tours, weighted walks and colonies over many graphs at once.
 
-State is one row per tour.  Each round joins the open tours with the edges that
-leave their last node and keeps one of them.  Parallel edges are reduced first,
-and the edges of a node are dealt over salts, so a hub is met in parts whose
-minima or sums are combined afterwards.
+State is one row per tour or walker.  Greedy tours meet the sorted successors of
+their node a shelf at a time; walks join the edges that leave it, dealt over
+salts, so that a hub is met in parts whose minima or sums are combined.  Parallel
+edges are reduced first.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkloom.functions.hashing import digest, uniform
+from sparkloom.functions.ranks import rank_within
 from sparkloom.operators.distances import spread
 from sparkloom.operators.graph import (DEAD_END, NO_CLOSING, OK, UNKNOWN_START, first_edges, lightest_successor,
                                        node_counts, score_tours, tour_steps)
@@ -66,13 +67,29 @@ def random_starts(nodes: DataFrame, seed: int = 42) -> DataFrame:
     return nodes.groupBy("graph_id").agg(pick.alias("start"))
 
 
+SHELF = 64
+
+
+def adjacency(lightest: DataFrame, shelf: int = SHELF) -> DataFrame:
+    """(_g, src, shelf, last, next): a node's successors (weight, ord, dst) in that order, `shelf` of them in a row.
+
+    Places come from ranks over range partitions, so a hub's edges are never sorted in one task.
+    """
+    ranked = rank_within(lightest, ["_g", "src"], ["weight", "ord", "dst"], "place").withColumn("shelf", F.floor((F.col("place") - 1) / shelf).cast("bigint"))
+    rows = ranked.groupBy("_g", "src", "shelf").agg(F.array_sort(F.collect_list(F.struct("weight", "ord", "dst"))).alias("next"))
+    top = rows.groupBy("_g", "src").agg(F.max("shelf").alias("top"))
+    return rows.join(top, ["_g", "src"]).select("_g", "src", "shelf", (F.col("shelf") == F.col("top")).alias("last"), "next")
+
+
 def greedy_tours(nodes: DataFrame, edges: DataFrame, starts: DataFrame | None = None, strategy: str = "joins",
-                 salts: int = SALTS) -> DataFrame:
+                 shelf: int = SHELF) -> DataFrame:
     """(graph_id, start, path, length, status): lightest edge to an unvisited node from every start.
 
     `starts` defaults to all nodes.  A dead end keeps the partial path and its
     length; so does a tour without a closing edge.  Equal weights go to the
-    smaller `ord`.  `strategy` "joins" takes graphs of any size; "batches" hands
+    smaller `ord`.  `strategy` "joins" takes graphs of any size: a tour meets one
+    row with its node's next `SHELF` successors and asks for more only where all
+    of them are visited, so a hub sends one row.  "batches" hands
     batches of starts with all lightest edges of their graph to a task, which is
     faster where a matrix of node pairs fits into a worker.
     """
@@ -91,28 +108,30 @@ def greedy_tours(nodes: DataFrame, edges: DataFrame, starts: DataFrame | None =
                 .select("_g", "src", "dst", "e.weight", "e.ord"))
     if strategy == "batches":
         return with_graphs(state, lightest.withColumnRenamed("_g", "graph_id"), F.col("start"), _greedy_kernel, TOUR_SCHEMA)
-    e = cut(salted(lightest, salts))
-    rounds = (node_counts(nodes).agg(F.max("n")).first()[0] or 1) - 1
+    e = cut(lightest)
+    shelves = cut(adjacency(e, shelf)).select("_g", "src", F.col("shelf").alias("_shelf"), "last", "next")
     open_ = F.col("status").isNull()
     state = state.select(
         "graph_id", "start", "n", F.col("start").alias("node"), F.when(F.col("known"), F.array("start"))
         .otherwise(F.array().cast("array<bigint>")).alias("path"), F.lit(0.0).alias("length"),
-        F.when(~F.col("known"), UNKNOWN_START).alias("status")).repartition("graph_id", "start")
-    offers = e.withColumnRenamed("_salt", "_part")
-    for r in range(rounds):
-        reach = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("_salt") == F.col("_part")) & open_
-                 & (F.size("path") < F.col("n")) & ~F.array_contains("path", F.col("dst")))
-        step = (per_salt(state, salts).join(offers, reach, "left").groupBy("graph_id", "start")
-                .agg(*[F.first(c).alias(c) for c in ("n", "node", "path", "length", "status")],
-                     F.min(F.when(F.col("dst").isNotNull(), F.struct("weight", "ord", "dst"))).alias("b")))
-        moved = F.col("b").isNotNull()
-        state = step.select(
-            "graph_id", "start", "n", F.coalesce("b.dst", "node").alias("node"),
-            F.when(moved, F.array_append("path", F.col("b.dst"))).otherwise(F.col("path")).alias("path"),
-            (F.col("length") + F.coalesce("b.weight", F.lit(0.0))).alias("length"),
-            F.when(open_ & ~moved & (F.size("path") < F.col("n")), DEAD_END).otherwise(F.col("status")).alias("status"))
-        if (r + 1) % ROUNDS_PER_CUT == 0:
-            state = cut(state)
+        F.when(~F.col("known"), UNKNOWN_START).alias("status"), F.lit(0).cast("bigint").alias("shelf"))
+    state = cut(state)
+    while True:
+        for _ in range(ROUNDS_PER_CUT):
+            at = ((F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("shelf") == F.col("_shelf"))
+                  & open_ & (F.size("path") < F.col("n")))
+            free = F.filter("next", lambda x: ~F.array_contains("path", x["dst"]))
+            step = state.join(shelves, at, "left").withColumn("b", F.get(free, F.lit(0)))
+            moved, more = F.col("b").isNotNull(), F.col("last") == False  # noqa: E712
+            state = step.select(
+                "graph_id", "start", "n", F.coalesce("b.dst", "node").alias("node"),
+                F.when(moved, F.array_append("path", F.col("b.dst"))).otherwise(F.col("path")).alias("path"),
+                (F.col("length") + F.coalesce("b.weight", F.lit(0.0))).alias("length"),
+                F.when(open_ & ~moved & ~F.coalesce(more, F.lit(False)) & (F.size("path") < F.col("n")), DEAD_END).otherwise(F.col("status")).alias("status"),
+                F.when(moved, F.lit(0).cast("bigint")).when(more, F.col("shelf") + 1).otherwise(F.col("shelf")).alias("shelf"))
+        state = cut(state)
+        if state.where(open_ & (F.size("path") < F.col("n"))).isEmpty():
+            break
     ends = (F.col("graph_id") == F.col("_g")) & (F.col("node") == F.col("src")) & (F.col("start") == F.col("dst"))
     done = state.join(e.select("_g", "src", "dst", F.col("weight").alias("close")), ends, "left")
     closed = open_ & F.col("close").isNotNull()
@@ -217,11 +236,16 @@ def walk_step(walkers: DataFrame, edges: DataFrame, draw: Column, alpha: float =
     return out.join(t, free, "left").withColumn("next", F.coalesce("_t", "next")).drop("_g", "_s", "_t")
 
 
-def draw(seed, round_: int | Column, step: int | Column) -> Column:
-    """The uniform of one walker and candidate in one step."""
+def draw(seed, round_: int | Column, step: int | Column, *more: Column) -> Column:
+    """The uniform of one walker in one step."""
     r = F.lit(round_) if isinstance(round_, int) else round_
     s = F.lit(step) if isinstance(step, int) else step
-    return uniform(seed, F.col("graph_id"), F.col("walker"), F.col("dst"), r, s)
+    return uniform(seed, F.col("graph_id"), F.col("walker"), *more, r, s)
+
+
+def race_draw(seed, round_: int | Column, step: int | Column) -> Column:
+    """The uniform of one candidate `dst` of a walker in one step."""
+    return draw(seed, round_, step, F.col("dst"))
 
 
 def reinforce(edges: DataFrame, tours: DataFrame, rho: float = 0.1, q: float = 100.0) -> DataFrame:
@@ -271,7 +295,7 @@ def walk_round(walkers: DataFrame, edges: DataFrame, nodes: DataFrame, seed, rou
     steps = node_counts(nodes).agg(F.max("n")).first()[0] or 1
     state = walkers.repartition("graph_id", "walker")
     for step in range(1, steps):
-        moved = walk_step(state, edges, draw(seed, round_, step), alpha, beta, template)
+        moved = walk_step(state, edges, race_draw(seed, round_, step), alpha, beta, template)
         grown = F.col("next").isNotNull()
         state = moved.select("graph_id", "walker", F.coalesce("next", "node").alias("node"),
                              F.when(grown, F.array_append("path", F.col("next"))).otherwise(F.col("path")).alias("path"), "n")

@@ -191,7 +191,7 @@ hit AS (SELECT graph_id, walker, arg_min(dst, {{'w': {race_sql('1')}, 'd': dst}}
 SELECT w.graph_id, w.walker, w.node, h.next FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker""")
 def walk_step(spark, sf):
     edges, nodes = trade(spark, sf)
-    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1))
+    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1))
     return out.select("graph_id", "walker", "node", "next")
 
 
@@ -201,7 +201,7 @@ SELECT w.graph_id, w.walker, w.node, CASE WHEN t.dst IS NOT NULL AND NOT list_co
 FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker LEFT JOIN t ON t.graph_id = w.graph_id AND t.src = w.node""")
 def walk_step_template(spark, sf):
     edges, nodes = trade(spark, sf)
-    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.draw(42, 0, 1),
+    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1),
                           template=graph.lightest_successor(edges))
     return out.select("graph_id", "walker", "node", "next")
 
@@ -221,7 +221,7 @@ def whole_walks(spark, sf):
     e = cut(edges.withColumn("pheromone", F.lit(0.1)))
     sizes = graph.node_counts(nodes)
     for step in range(1, sizes.agg(F.max("n")).first()[0]):
-        moved = tours.walk_step(state, e, tours.draw(42, 0, step))
+        moved = tours.walk_step(state, e, tours.race_draw(42, 0, step))
         state = moved.select("graph_id", "walker", F.coalesce("next", "node").alias("node"),
                              F.when(F.col("next").isNotNull(), F.array_append("path", F.col("next"))).otherwise(F.col("path")).alias("path"))
         state = cut(state)  # read twice by the next step

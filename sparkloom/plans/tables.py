@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions.hashing import digest_sql
 from sparkloom.operators import checks, encode, missing, profile
 from sparkloom.plans.registry import query, r, rounded, rs, table
+from sparkloom.session import cut
 from sparkloom.sources.spec import ColumnSpec, TableSpec
 
 # Order of the priorities for the ordinal code.
@@ -228,6 +229,7 @@ WHEN family = 'text' AND (regexp_matches(lower("column"), 'quality|level|grade|r
 ELSE 'categorical_nominal' END AS kind FROM ({' UNION ALL '.join(parts)}))"""
 
 
+NUMBERS = ("bigint", "int", "double")
 PART = [("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"), ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double")]
 ORDERS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"),
           ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
@@ -246,6 +248,38 @@ def column_profile(spark, sf):
                                       F.array_join("categories", "|").alias("categories"))
 
 
+def halves(spark, sf):
+    """Profiles of the orders with even and with odd keys, stored as one table."""
+    orders = table(spark, sf, "orders").select([c for c, _ in ORDERS])
+    parts = [profile.sketch_profile(orders.where(F.col("o_orderkey") % 2 == i)) for i in (0, 1)]
+    return orders, cut(parts[0].unionByName(parts[1]))
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS "rows", count(*) FILTER ({c} IS NULL) AS missing,
+{rs(f'min({c})') if k in NUMBERS else 'NULL::DOUBLE'} AS min_value, {rs(f'max({c})') if k in NUMBERS else 'NULL::DOUBLE'} AS max_value,
+{rs(f'avg({c})') if k in NUMBERS else 'NULL::DOUBLE'} AS mean_value, {rs(f'stddev_samp({c})') if k in NUMBERS else 'NULL::DOUBLE'} AS std_value FROM orders"""
+                          for c, k in ORDERS))
+def profile_merged(spark, sf):
+    """What is exact in the merged profile of two halves."""
+    numbers = ["min_value", "max_value", "mean_value", "std_value"]
+    out = profile.estimated_profile(profile.merge_profiles(halves(spark, sf)[1]))
+    return rounded(out, numbers).select("column", "rows", "missing", *numbers)
+
+
+@query()
+def profile_errors(spark, sf):
+    """How far the merged sketches are from the exact values: distinct counts, rank of the median, count of the top value."""
+    orders, parts = halves(spark, sf)
+    told = cut(profile.estimated_profile(profile.merge_profiles(parts)))
+    exact = profile.column_profile(orders).select("column", F.col("distinct_values").alias("exact"), F.col("top_count"))
+    medians = {x["column"]: x["median_value"] for x in told.where("median_value IS NOT NULL").collect()}  # one row per column
+    below = orders.agg(*[F.avg(F.when(F.col(c) <= v, 1.0).otherwise(0.0)).alias(c) for c, v in medians.items()])
+    ranks = below.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("median_rank")) for c in medians])))
+    return (told.join(exact, "column").join(ranks, "column", "left").select(
+        "column", r(F.abs(F.col("distinct_values") - F.col("exact")) / F.col("exact")).alias("distinct_error"), r("median_rank").alias("median_rank"),
+        r(F.abs(F.col("top")[0]["count"] - F.col("top_count")) / F.col("top_count")).alias("top_error")))
+
+
 @query(" UNION ALL ".join(f"""SELECT '{t}' AS table_name, "column", kind FROM {profile_sql(t, c)}"""
                           for t, c in (("part", PART), ("orders", ORDERS), ("events", EVENTS))))
 def column_kinds(spark, sf):

@@ -77,7 +77,7 @@ def test_scores_best_and_reports(small):
 
 def test_greedy_strategies_agree(dense):
     edges, nodes = dense
-    assert rows(tours.greedy_tours(nodes, edges, strategy="batches")) == rows(tours.greedy_tours(nodes, edges, salts=3))
+    assert rows(tours.greedy_tours(nodes, edges, strategy="batches")) == rows(tours.greedy_tours(nodes, edges, shelf=2))
 
 
 def test_reinforcement(spark):

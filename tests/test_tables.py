@@ -229,3 +229,27 @@ def test_ordinal_order_has_all_levels(spark):
     many = spark.range(2000).select(F.format_string("level %d", F.col("id")).alias("grade"))
     with pytest.raises(ValueError, match="2000 levels"):
         profile.default_spec(profile.column_profile(many))
+
+
+def test_profiles_of_parts_merge(spark):
+    rows = [(i, f"t{min(i % 50, 7)}" if i % 9 else None, float(i % 400) if i % 5 else None, i % 3 == 0) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k bigint, word string, v double, flag boolean")
+    parts = None
+    for i in range(4):
+        one = profile.sketch_profile(df.where(F.pmod(F.xxhash64("k"), F.lit(4)) == i))
+        parts = one if parts is None else parts.unionByName(one)
+    got = {x["column"]: x for x in profile.estimated_profile(profile.merge_profiles(parts)).collect()}
+    want = {x["column"]: x for x in profile.column_profile(df).collect()}
+    assert list(got) == ["k", "word", "v", "flag"] or sorted(got) == sorted(want)
+    for c, w in want.items():
+        g = got[c]
+        assert (g.rows, g.missing, g.min_value, g.max_value) == (w.rows, w.missing, w.min_value, w.max_value)
+        assert abs(g.distinct_values - w.distinct_values) <= 0.06 * w.distinct_values
+        if w.mean_value is not None:
+            assert g.mean_value == pytest.approx(w.mean_value) and g.std_value == pytest.approx(w.std_value)
+            rank = df.where(F.col(c) <= g.median_value).count() / df.where(F.col(c).isNotNull()).count()
+            assert abs(rank - 0.5) < 0.02
+    assert [(x["item"], x["count"]) for x in got["word"].top][:1] == [(want["word"].top_value, want["word"].top_count)]
+    assert [x["item"] for x in got["word"].top][:8] and got["word"].distinct_values == 8
+    none = profile.estimated_profile(profile.merge_profiles(profile.sketch_profile(df.limit(0).select("k", "word")))).collect()
+    assert {(x["rows"], x["distinct_values"], x["mean_value"]) for x in none} == {(0, 0, None)}
