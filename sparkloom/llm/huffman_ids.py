@@ -1,15 +1,16 @@
 """Token ids in files of canonical, length-limited Huffman codes.
 
-Ids are counted over the whole corpus, code lengths come from package-merge with a limit of 16 bits, and codes are
-canonical, so a file needs the lengths only.  Documents are written in ascending doc_id order into blocks.  A block is
+Ids are counted over the whole corpus, code lengths come from package-merge with a limit of 16 bits (more for more than 65,536
+different ids), and codes are canonical, so a file needs the lengths only.  Documents are written in ascending doc_id order into blocks.  A block is
 readable alone: header, document ids and lengths, the bit offset of every 256th id, and the bits.  Decoding looks 16 bits
-up in one table; the checkpoints let all stretches of a block be decoded side by side.
+up in one table, and longer codes among the ordered ones; the checkpoints let all stretches of a block be decoded side by side.
 
 Files: Parquet with one row per block (`part`, `block`, `first_id` inside the part, `n_ids`, `data`) under `blocks`, and
 the code lengths under `codebook`.  Any store that Spark writes will do.
 
 Defined results: null is the empty text, which has the end id alone; rows that share a doc_id are kept apart, side by
-side; rows without a doc_id come first; an empty table has no blocks; extra columns play no part.
+side; rows without a doc_id come first; a very long text is one entry of a block of its own size; ids that are equally frequent get
+codes in their order; an empty table has no blocks; other columns, of whatever name, play no part.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import os
 import re
 import struct
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -158,10 +160,17 @@ def id_counts(tokens: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
+def bit_limit(n_used: int) -> int:
+    """Longest code for so many ids: `MAX_BITS`, or four bits more than plain numbers of a larger vocabulary take."""
+    plain = max(1, n_used - 1).bit_length()
+    return MAX_BITS if plain <= MAX_BITS else min(32, plain + 4)
+
+
+def code_lengths(counts: np.ndarray, limit: int | None = None) -> np.ndarray:
     """Lengths of an optimal prefix code with at most `limit` bits (package-merge); zero where the count is zero."""
     used = np.flatnonzero(counts)
     lengths = np.zeros(len(counts), np.uint8)
+    limit = bit_limit(len(used)) if limit is None else limit
     if len(used) > 1 << limit:
         raise ValueError(f"{len(used)} ids do not fit into codes of {limit} bits")
     if len(used) < 2:
@@ -189,26 +198,44 @@ def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
     return lengths
 
 
-def canonical_codes(lengths: np.ndarray) -> np.ndarray:
-    """Codes in the order of (length, id)."""
+def _in_order(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Ids in the order of (length, id), their codes at the upper end of a number of as many bits as the longest has, and these bits."""
     order = np.lexsort((np.arange(len(lengths)), lengths))
     order = order[lengths[order] > 0]
-    step = np.int64(1) << (MAX_BITS - lengths[order].astype(np.int64))
-    begin = np.cumsum(step) - step
+    top = max(MAX_BITS, int(lengths.max(initial=0)))
+    step = np.int64(1) << (top - lengths[order].astype(np.int64))
+    return order, np.cumsum(step) - step, top
+
+
+def canonical_codes(lengths: np.ndarray) -> np.ndarray:
+    """Codes in the order of (length, id)."""
+    order, begin, top = _in_order(lengths)
     codes = np.zeros(len(lengths), np.int64)
-    codes[order] = begin >> (MAX_BITS - lengths[order].astype(np.int64))
+    codes[order] = begin >> (top - lengths[order].astype(np.int64))
     return codes
 
 
-def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id and code length for each value of the next 16 bits."""
-    order = np.lexsort((np.arange(len(lengths)), lengths))
-    order = order[lengths[order] > 0]
-    n = 1 << (MAX_BITS - lengths[order].astype(np.int64))
-    ids, bits = np.zeros(1 << MAX_BITS, np.int64), np.ones(1 << MAX_BITS, np.int64)
+@dataclass(frozen=True)
+class Table:
+    """Id and code length for each value of the next 16 bits; where the length is 0 the code is longer, and the ordered long codes are searched."""
+
+    ids: np.ndarray
+    bits: np.ndarray
+    long_begin: np.ndarray
+    long_ids: np.ndarray
+    long_bits: np.ndarray
+    top: int
+
+
+def decode_table(lengths: np.ndarray) -> Table:
+    order, begin, top = _in_order(lengths)
+    own = lengths[order].astype(np.int64)
+    short = own <= MAX_BITS  # in front, because codes are ordered by length
+    n = 1 << (MAX_BITS - own[short])
+    ids, bits = np.zeros(1 << MAX_BITS, np.int64), np.full(1 << MAX_BITS, 0 if len(order) > short.sum() else 1, np.int64)
     filled = int(n.sum())
-    ids[:filled], bits[:filled] = np.repeat(order, n), np.repeat(lengths[order], n)
-    return ids, bits
+    ids[:filled], bits[:filled] = np.repeat(order[short], n), np.repeat(own[short], n)
+    return Table(ids, bits, begin[~short], order[~short], own[~short], top)
 
 
 # ---------------------------------------------------------------------------
@@ -234,7 +261,7 @@ def pack_block(doc_ids: np.ndarray, sizes: np.ndarray, ids: np.ndarray, codes: n
                      out.astype(">u4").tobytes()])
 
 
-def unpack_block(data, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpack_block(data, table: Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document ids, lengths and all ids of a block."""
     magic, version, every, n_docs, n_ids, n_points = _HEAD.unpack_from(data, 0)
     if magic != _MAGIC or version != 1:
@@ -244,16 +271,22 @@ def unpack_block(data, table: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray
     sizes = np.frombuffer(data, "<u4", n_docs, at + 8 * n_docs)
     points = np.frombuffer(data, "<u8", n_points, at + 12 * n_docs).astype(np.int64)
     raw = np.frombuffer(data, np.uint8, -1, at + 12 * n_docs + 8 * n_points).astype(np.int64)
-    raw = np.concatenate([raw, np.zeros(4, np.int64)])
-    three = raw[:-2] << 16 | raw[1:-1] << 8 | raw[2:]
-    symbol, length = table
+    raw = np.concatenate([raw, np.zeros(6, np.int64)])
+    three = raw[:-4] << 16 | raw[1:-3] << 8 | raw[2:-2]
+    five = three << 16 | raw[3:-1] << 8 | raw[4:] if len(table.long_ids) else None
     out = np.zeros((every, n_points), np.int64)
     pos = points.copy()
     last = len(three) - 1
     for step in range(min(every, n_ids)):  # all stretches side by side
-        peek = three[np.minimum(pos >> 3, last)] >> (8 - (pos & 7)) & 0xFFFF
-        out[step] = symbol[peek]
-        pos += length[peek]
+        at = np.minimum(pos >> 3, last)
+        peek = three[at] >> (8 - (pos & 7)) & 0xFFFF
+        symbol, length = table.ids[peek], table.bits[peek]
+        if five is not None and len(rest := np.flatnonzero(length == 0)):
+            wide = five[at[rest]] >> (40 - table.top - (pos[rest] & 7)) & ((1 << table.top) - 1)
+            k = np.maximum(np.searchsorted(table.long_begin, wide, side="right") - 1, 0)
+            symbol[rest], length[rest] = table.long_ids[k], table.long_bits[k]
+        out[step] = symbol
+        pos += length
     return doc_ids, sizes, out.T.reshape(-1)[:n_ids]
 
 

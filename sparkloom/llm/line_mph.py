@@ -7,7 +7,9 @@ Lines themselves are never joined or shuffled.
 
 Defined results: a null or empty text is one empty line; lines whose key has fewer than `min_chars` code points always
 stay; equal lines inside one document alone stay; rows that share a doc_id are one document; rows without a doc_id keep
-all lines and are no copy of others; extra columns play no part.
+all lines and are no copy of others; a very long text or line is
+read whole; of equal lines the smallest doc_id keeps its own; an empty table gives no rows; columns to carry along must not be
+named like results, and all others, of whatever name, play no part.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Every record draws one number per shard from its key and the shard; the shard wi
 A new shard can only win records for itself, and a shard takes its share of the weights.
 
 Defined results: a null text has no bytes and the checksum of the empty text; a null key is the key of its own name, so
-such records share a shard; rows that share a key share a shard and have slots of their own; extra columns play no part.
+such records share a shard; rows that share a key share a shard and have slots of their own; a very long text counts its
+bytes; equal scores go to the larger shard; an empty table gives no rows; other columns, of whatever name, play no part.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ what a policy would keep without one of its rules (ablation) are bitwise questio
 histogram of bit patterns.
 
 Defined results: null is the empty text, which has no words and fails the rules on too few words; rules on shares of
-nothing do not fail; equal doc_ids are judged row by row; extra columns play no part.
+nothing do not fail; equal doc_ids are judged row by row; a very long text is measured whole;
+values at a limit pass; an empty table gives no rows; other columns, of whatever name, play no part.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ within three, so one link joins them.  Links grow with the members, not with the
 
 Defined results: null is the empty text; texts without words have fingerprint zero, which links like any other; rows that
 share a doc_id are documents of their own with the same id; rows without a doc_id link, and a component of only such rows
-has the null id; extra columns play no part.
+has the null id; a very long text is
+read whole, once; ties at half of the hashes leave a bit 0; an empty table gives no rows; other columns, of whatever name, play no
+part.
 """
 
 from __future__ import annotations

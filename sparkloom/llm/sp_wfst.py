@@ -14,7 +14,9 @@ before spaces and after a run of letters, which no sign follows inside a piece,
 a space after another character inside a piece, or with a character map, is refused.
 
 Defined results: null is the empty text, which has no pieces; the escape character itself reads as a space, as in the
-original format; extra columns play no part.
+original format; rows that share a doc_id are encoded one by one; a very long text is cut only where no piece can span;
+of equal paths the one with the longer last piece stays; an empty table gives no rows; other columns, of whatever name, play no
+part.
 """
 
 from __future__ import annotations

@@ -81,3 +81,15 @@ def test_empty_table(spark):
     path = scratch_path(spark, "ids")
     h.encode_corpus(spark.createDataFrame([], "doc_id long, text string"), path, PATH)
     assert h.read_ids(spark, path).count() == 0
+
+
+def test_more_ids_than_sixteen_bits_can_tell():
+    r = np.random.default_rng(5)
+    ids = np.concatenate([np.arange(100_000), r.zipf(1.3, 300_000) % 100_000])
+    r.shuffle(ids)
+    lengths = h.code_lengths(np.bincount(ids))
+    assert h.bit_limit(100_000) == 21 and h.bit_limit(65_536) == 16 and lengths.max() > 16 and lengths.min() > 0
+    assert abs(sum(2.0 ** -lengths.astype(float)) - 1) < 1e-9
+    data = h.pack_block(np.array([1, 2]), np.array([150_000, 250_000]), ids, h.canonical_codes(lengths), lengths)
+    _, sizes, back = h.unpack_block(data, h.decode_table(lengths))
+    assert (back == ids).all() and sizes.tolist() == [150_000, 250_000]
