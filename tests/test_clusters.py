@@ -73,11 +73,11 @@ def test_far_cells_are_never_paired(spark):
 def test_cells_deeper_than_one_round_of_learning(spark, monkeypatch):
     from sparkloom.operators import cells
     monkeypatch.setattr(cells, "LEVELS", 2)
-    x = np.random.default_rng(5).normal(size=(300, 3)) ** 3  # skewed, so that leaves differ in depth
+    x = np.random.default_rng(5).normal(size=(140, 3)) ** 3  # skewed, so that leaves differ in depth
     feats, n = distances.checked_features(points(spark, x, 1), DIMS)
     placed = cells.with_cells(feats, n, 8)
     sizes = {c["cell"]: c["count"] for c in placed.groupBy("cell").count().collect()}
-    assert sum(sizes.values()) == 300 and max(sizes.values()) <= 8
+    assert sum(sizes.values()) == 140 and max(sizes.values()) <= 8
     assert not any(a >> s in sizes for a in sizes for s in range(1, a.bit_length()))  # no leaf above another
     up = {r["cell"]: (r["ups"], r["up"]) for r in placed.select("cell", cells.ancestors("cell").alias("ups"), cells.parent("cell").alias("up")).distinct().collect()}
     for cell, (ups, parent) in up.items():
@@ -217,6 +217,22 @@ def test_csv_null_tokens_and_order(spark, tmp_path):
         csv.read_csv(spark, str(tmp_path / "absent.csv"))
 
 
+def test_one_csv_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    rows = [(i, f"a {i}\n\"b\", {'x' * (i % 7)}\r\n\n" if i % 3 else f"plain {i}", None if i % 5 == 0 else f"c,{i}") for i in range(3000)]
+    path = csv.write_csv(spark.createDataFrame(rows, "k bigint, t string, u string").coalesce(1), str(tmp_path / "t.csv"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        lines = spark.read.option("lineSep", "\n").text(path)
+        assert lines.rdd.getNumPartitions() > 4
+        got = csv.read_csv(spark, path, "k bigint, t string, u string", row_id="row_id", strict=True)
+        assert [tuple(x) for x in got.orderBy("row_id").select("k", "t", "u").collect()] == rows
+        with pytest.raises(ValueError):
+            csv.read_csv(spark, path, "k bigint, other string, u string")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_csv_quotes_breaks_and_bad_values(spark, tmp_path):
     (tmp_path / "q.csv").write_text('n,t,m\n1,"say ""hi"", ok",5\n2,"two\nlines",x\n', encoding="utf-8")
     schema = "n bigint, t string, m bigint"

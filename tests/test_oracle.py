@@ -10,7 +10,8 @@ from oracle import compare, connect
 SECTION = ("numeric_projection null_report feature_quality column_profile entropy iqr_outliers encode_label "
            "fit_transform k_classes k_report generalise_numeric suppress_rare inject_random inject_block fill_regression fm_index "
            "nation_edges greedy_tours walk_step stored_results csv_documents csv_bad_values reusable_table column_kinds merge_log "
-           "two_opt_best kmeans_rounds cluster_stats_full default_k feature_names input_check scale_none").split()
+           "two_opt_best kmeans_rounds cluster_stats_full default_k feature_names input_check scale_none random_edges "
+           "transition_weights linkage_history silhouette_sampled profile_merged").split()
 NAMES = [n for n in entry.queries() if n in SECTION or os.environ.get("SPARKLOOM_ALL")]
 
 
