@@ -288,7 +288,7 @@ def diagnose(spark, sf):
 @query()
 def spa(spark, sf):
     """The search over all 64 dimensions; SQL has no search, tests compare it with all subsets of a small table."""
-    found = selection.select_features(emb10(spark, sf), DIMS, 2, k=3, max_iterations=5)
+    found = selection.select_features(emb10(spark, sf), DIMS, 2, k=3, max_iterations=3)
     return spark.createDataFrame([("|".join(sorted(found.features)), found.quality)], "features string, quality double") \
         .select("features", r("quality").alias("quality"))
 
