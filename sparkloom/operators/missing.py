@@ -59,6 +59,24 @@ def inject_block(df: DataFrame, column: str, share: float, seed: int = 42, row_i
     return _blank(df, column, F.col(row_id).between(F.lit(ends[start]), F.lit(ends[start + m - 1])))
 
 
+def hole_flags(df: DataFrame, shares, seed: int = 42, row_id: str = "row_id", injection: str = "block") -> list[Column]:
+    """One flag per share: the rows that `inject_block` or `inject_random` would blank.
+
+    The bounds of the blocks of all shares are found by the same counting passes.
+    """
+    n = df.count()
+    counts = [_count_for(n, s) for s in shares]
+    if injection == "random":
+        h = digest(seed, row_id)
+        bounds = [smallest_digest_bound(df, h, m) for m in counts]
+        return [F.lit(False) if b is None else h <= F.lit(b) for b in bounds]
+    if injection != "block":
+        raise ValueError(f"unknown injection {injection!r}")
+    spans = [(a, a + m - 1) if m else None for m in counts for a in (hashed_start(seed, n, m),)]
+    ids = order_statistics(df, {row_id: sorted({p for s in spans if s for p in s})})[row_id]
+    return [F.col(row_id).between(F.lit(ids[s[0]]), F.lit(ids[s[1]])) if s else F.lit(False) for s in spans]
+
+
 def fill_mean(df: DataFrame, column: str) -> DataFrame:
     """Missing values take the mean of the present ones."""
     require_numeric(df, column)

@@ -52,8 +52,11 @@ class Design:
         out += [F.coalesce(F.col(f"_freq{i}"), F.lit(0.0)) for i in range(len(self.freq))]
         return out
 
-    def linear(self, weights: np.ndarray, intercept: float) -> Column:
-        """intercept + w . x; a one-hot block is one map lookup, not one term per class."""
+    def linear(self, weights: np.ndarray, intercept: float, freq: list[Column] | None = None) -> Column:
+        """intercept + w . x; a one-hot block is one map lookup, not one term per class.
+
+        `freq` replaces the frequency columns that `prepared` adds.
+        """
         w = list(map(float, weights))
         terms: list[Column] = [F.lit(float(intercept))]
         for (c, m), b in zip(self.numeric.items(), w):
@@ -65,8 +68,8 @@ class Design:
                 v = F.coalesce(F.col(c).cast("string"), F.lit(fill))
                 terms.append(F.coalesce(F.try_element_at(F.create_map(*pairs), v), F.lit(0.0)))
             k += len(values) - 1
-        for i in range(len(self.freq)):
-            terms.append(F.lit(w[k + i]) * F.coalesce(F.col(f"_freq{i}"), F.lit(0.0)))
+        for i, column in enumerate(freq or [F.col(f"_freq{i}") for i in range(len(self.freq))]):
+            terms.append(F.lit(w[k + i]) * F.coalesce(column, F.lit(0.0)))
         total = terms[0]
         for t in terms[1:]:
             total = total + t
@@ -110,7 +113,7 @@ def moment_sums(df: DataFrame, features: list[Column], target: Column, fold: Col
     the driver receives folds * (p+2)^2 numbers.
     """
     width = len(features) + 2
-    cols = [fold.cast("int").alias("fold")] + [
+    cols = [fold.cast("bigint").alias("fold")] + [
         (c.cast("double") - F.lit(s)).alias(f"x{i}") for i, (c, s) in enumerate(zip([*features, target], shift))]
 
     def partial(batches):
@@ -120,9 +123,9 @@ def moment_sums(df: DataFrame, features: list[Column], target: Column, fold: Col
                 z = np.hstack([np.ones((len(part), 1)), part.iloc[:, 1:].to_numpy(dtype=np.float64)])
                 sums[f] = sums.get(f, 0.0) + z.T @ z
         for f, m in sums.items():
-            yield pd.DataFrame({"fold": np.int32(f), "cell": np.arange(width * width, dtype=np.int32), "s": m.ravel()})
+            yield pd.DataFrame({"fold": np.int64(f), "cell": np.arange(width * width, dtype=np.int32), "s": m.ravel()})
 
-    rows = (df.select(*cols).mapInPandas(partial, "fold int, cell int, s double")
+    rows = (df.select(*cols).mapInPandas(partial, "fold bigint, cell int, s double")
             .groupBy("fold", "cell").agg(F.sum("s").alias("s")).collect())
     out: dict[int, np.ndarray] = {}
     for r in rows:
@@ -195,14 +198,24 @@ def search_alpha(sums: dict[int, np.ndarray], alphas=ALPHAS, scale_per_fold: boo
 
 def contiguous_folds(train: DataFrame, folds: int, row_id: str, n: int) -> Column:
     """Fold number by position of row_id; the first n % folds folds hold one row more."""
+    starts = fold_starts(n, folds)
+    ids = order_statistics(train, {row_id: starts})[row_id] if starts else {}
+    return fold_of(row_id, [ids[s] for s in starts])
+
+
+def fold_starts(n: int, folds: int) -> list[int]:
+    """Positions at which the second and later of the contiguous folds of n rows start."""
     if n < folds:
         raise ValueError(f"{n} training rows cannot form {folds} folds")
     sizes = [n // folds + (1 if i < n % folds else 0) for i in range(folds)]
-    starts = np.cumsum([0, *sizes])[1:-1].tolist()
-    ids = order_statistics(train, {row_id: starts})[row_id] if starts else {}
+    return np.cumsum([0, *sizes])[1:-1].tolist()
+
+
+def fold_of(row_id: str, first_ids: list) -> Column:
+    """Fold number of a row from the smallest ids of the second and later folds."""
     out = F.lit(0)
-    for i, s in enumerate(starts, 1):
-        out = F.when(F.col(row_id) >= F.lit(ids[s]), i).otherwise(out)
+    for i, low in enumerate(first_ids, 1):
+        out = F.when(F.col(row_id) >= F.lit(low), i).otherwise(out)
     return out
 
 
@@ -223,7 +236,7 @@ class RegressionFill:
         return self.design.linear(self.search.weights, self.search.intercept)
 
 
-def _roles(df: DataFrame, column: str, row_id: str, numeric, onehot, freq, timestamp):
+def roles_of(df: DataFrame, column: str, row_id: str, numeric, onehot, freq, timestamp):
     taken = {column, row_id, timestamp}
     if numeric is None:
         numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -232,7 +245,7 @@ def _roles(df: DataFrame, column: str, row_id: str, numeric, onehot, freq, times
     return numeric + parts, [c for c in onehot or [] if c in df.columns], [c for c in freq or [] if c in df.columns]
 
 
-def _with_dates(df: DataFrame, timestamp: str | None) -> DataFrame:
+def with_dates(df: DataFrame, timestamp: str | None) -> DataFrame:
     if not timestamp or timestamp not in df.columns:
         return df
     return date_parts(df.withColumn("_ts", F.col(timestamp)), "_ts", ("_year", "_month", "_day"))
@@ -243,8 +256,8 @@ def fit_regression(df: DataFrame, column: str, row_id: str = "row_id", numeric:
                    alphas=ALPHAS, folds: int = 5) -> RegressionFill:
     """Fit the repair model of `column` on the rows where it is present."""
     require_numeric(df, column)
-    num, hot, frq = _roles(df, column, row_id, numeric, onehot, freq, timestamp)
-    train = _with_dates(df, timestamp).where(~is_missing(column, df))
+    num, hot, frq = roles_of(df, column, row_id, numeric, onehot, freq, timestamp)
+    train = with_dates(df, timestamp).where(~is_missing(column, df))
     design = fit_design(train, num, hot, frq)
     head = train.agg(F.count(F.lit(1)), F.avg(column)).first()
     fold = contiguous_folds(train, folds, row_id, head[0])
@@ -270,7 +283,7 @@ def fill_regression(df: DataFrame, column: str, row_id: str = "row_id", numeric:
     guess = fitted.prediction()
     if noise_seed is not None:
         guess = guess + F.lit(fitted.search.residual_std) * normal(noise_seed, row_id)
-    wide = fitted.design.prepared(_with_dates(df, timestamp))
+    wide = fitted.design.prepared(with_dates(df, timestamp))
     value = F.when(is_missing(column, df), guess).otherwise(F.col(column).cast("double"))
     return wide.withColumn(column, value).select(*df.columns)
 

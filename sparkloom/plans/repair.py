@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.ranks import exact_quantiles
 from sparkloom.operators.checks import drop_missing
-from sparkloom.operators.missing import fill_mean, fill_mode, inject_block, inject_random, relative_error
+from sparkloom.operators.missing import fill_mean, fill_mode
 from sparkloom.operators.profile import modes
-from sparkloom.operators.ridge import fill_regression
-from sparkloom.session import cut
+from sparkloom.operators.repair_grid import RepairGrid
+from sparkloom.operators.ridge import ALPHAS, fill_regression
 
 SHARES = (0.03, 0.05, 0.10, 0.20, 0.30)
 METHODS = ("drop", "mean", "regression")
@@ -43,22 +43,15 @@ def statistics(df: DataFrame, column: str) -> DataFrame:
 
 
 def experiment(df: DataFrame, columns: list[str], shares=SHARES, methods=METHODS, seed: int = 42,
-               row_id: str = "row_id", injection: str = "block", **roles) -> DataFrame:
-    """One row per column, share and method: statistics of the repaired column and its error."""
-    base = df.persist()
-    inject = {"block": inject_block, "random": inject_random}[injection]
+               row_id: str = "row_id", injection: str = "block", alphas=ALPHAS, folds: int = 5, noise_seed: int = 42,
+               **roles) -> DataFrame:
+    """One row per column, share and method: statistics of the repaired column and its error.
+
+    All shares and methods of a column are answered by the same passes (`RepairGrid`); the rows equal those of
+    injecting, repairing and measuring one setting after the other.
+    """
     out = []
     for c in columns:
-        before = statistics(base, c).first()
-        for share in shares:
-            holes = cut(inject(base, c, share, seed, row_id))  # read by every method and its error
-            for m in methods:
-                extra = {"row_id": row_id, **roles} if "regression" in m else {}
-                fixed = repair(holes, c, m, **extra)
-                error = relative_error(base, holes, fixed, c, rows_removed=(m == "drop"), row_id=row_id).first()
-                out.append(statistics(fixed, c).select(
-                    F.lit(c).alias("column"), F.lit(share).alias("share"), F.lit(m).alias("method"),
-                    F.lit(before["mean"]).alias("mean_before"), F.lit(before["median"]).alias("median_before"),
-                    "mean", "median", "first_mode", "mode_count",
-                    F.lit(error["error_pct"]).cast("double").alias("error_pct")))
+        grid = RepairGrid(df, c, shares, seed, row_id, injection, **roles)
+        out.append(grid.measure(methods, alphas, folds, noise_seed).select(F.lit(c).alias("column"), "*"))
     return reduce(DataFrame.unionByName, out)

@@ -141,3 +141,41 @@ def test_repair_by_name(spark):
     assert repair.repair(df, "v", "drop").count() == 2
     with pytest.raises(ValueError):
         repair.repair(df, "v", "magic")
+
+
+@pytest.mark.parametrize("injection", ["block", "random"])
+def test_grid_equals_one_setting_after_the_other(spark, injection):
+    rng = np.random.default_rng(8)
+    n = 240
+    x, g, b = rng.normal(50, 9, n), rng.integers(0, 4, n), rng.integers(0, 6, n)
+    y = np.round(2 * x + 15 * (g == 2) + rng.normal(size=n))
+    rows = [(i, None if i % 17 == 3 else float(x[i]), None if i % 13 == 5 else f"g{g[i]}", None if i % 19 == 1 else f"b{b[i]}",
+             0.0 if i == 7 else float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(rows, "row_id bigint, x double, g string, b string, y double")
+    roles = {"numeric": ["x"], "onehot": ["g"], "freq": ["b"]}
+    methods = ("drop", "mean", "mode", "regression", "stochastic_regression")
+    got = {(r["share"], r["method"]): r for r in repair.experiment(
+        df, ["y"], (0.05, 0.3), methods, injection=injection, noise_seed=3, **roles).collect()}
+    assert len(got) == 10
+    inject = {"block": missing.inject_block, "random": missing.inject_random}[injection]
+    before = repair.statistics(df, "y").first()
+    for share in (0.05, 0.3):
+        holes = inject(df, "y", share)
+        for m in methods:
+            extra = {**roles, **({"noise_seed": 3} if m.startswith("stoch") else {})} if "regression" in m else {}
+            fixed = repair.repair(holes, "y", m, **extra)
+            want = {**repair.statistics(fixed, "y").first().asDict(), "mean_before": before["mean"], "median_before": before["median"],
+                    "error_pct": missing.relative_error(df, holes, fixed, "y", rows_removed=m == "drop").first()["error_pct"]}
+            for k, v in want.items():
+                assert got[share, m][k] == (v if v is None else pytest.approx(v, rel=1e-7)), (share, m, k)
+
+
+def test_grid_with_missing_from_the_start(spark):
+    df = numbers(spark, [1.0, None, 3.0, float("nan"), 5.0, 5.0, 7.0, 9.0, 2.0, 4.0])
+    rows = repair.experiment(df, ["v"], (0.2, 0.01), ("drop", "mean"), injection="random").collect()
+    small = {r["method"]: r for r in rows if r["share"] == 0.01}  # no hole is made, the missing values are repaired
+    assert small["mean"]["mean"] == pytest.approx(4.5) and small["drop"]["first_mode"] == 5.0 and small["mean"]["error_pct"] is None
+    with pytest.raises(ValueError):
+        repair.experiment(df, ["v"], (0.2,), ("magic",))
+    with pytest.raises(ValueError):
+        repair.experiment(df, ["v"], (0.2,), ("mean",), injection="odd")
