@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators import encode, profile
 from sparkloom.plans.registry import query, r, rounded, rs, table
 from sparkloom.plans.tables import FIT_SPEC
-from sparkloom.session import scratch_path
+from sparkloom.session import drop_at_exit, scratch_path
 from sparkloom.sources import csv, reuse, runs
 from sparkloom.sources.spec import TableSpec
 
@@ -137,3 +137,21 @@ def reusable_table(spark, sf):
     return rounded(again, ["p_size", "p_retailprice"]).select(
         "row_id", "p_size", "p_retailprice", F.lit(kept).cast("bigint").alias("tables"),
         F.lit(reuse.stored(spark, nulls).count()).cast("bigint").alias("null_tables"))
+
+
+@query("""SELECT * FROM (VALUES (1, 3::BIGINT, 3::BIGINT, (SELECT count(*) FROM part), true), (2, 3::BIGINT, 0::BIGINT, (SELECT count(*) FROM part), true),
+(3, 4::BIGINT, 1::BIGINT, (SELECT count(*) + count(*) FILTER (p_size > 25) FROM part), true)) t(step, files, hashed_files, n_rows, same)""")
+def file_ledger(spark, sf):
+    """Fingerprints of a growing table of files: all new, nothing new, one file more."""
+    part = table(spark, sf, "part")
+    root, ledger = scratch_path(spark, "files"), scratch_path(spark, "ledger")
+    drop_at_exit(spark, root)
+    drop_at_exit(spark, ledger)
+    steps = []
+    for more in (part.repartition(3, "p_partkey"), None, part.where("p_size > 25").coalesce(1)):
+        if more is not None:
+            more.write.mode("append").parquet(root)
+        files = spark.read.parquet(root)
+        got = reuse.file_fingerprint(files, root, ledger)
+        steps.append((len(steps) + 1, got.files, got.hashed_files, got.rows, got.fingerprint == reuse.content_fingerprint(files)))
+    return spark.createDataFrame(steps, "step int, files bigint, hashed_files bigint, n_rows bigint, same boolean")

@@ -284,3 +284,24 @@ def test_reusable_tables(spark, tmp_path):
     reuse.materialise_if_stale(df.where("v > 0"), a, folder, build)
     assert len(calls) == 3 and reuse.stored(spark, folder).count() == 3
     assert reuse.clear(spark, folder) == 3 and reuse.stored(spark, folder).count() == 0
+
+
+def test_file_fingerprint_reads_new_files_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reuse, "FILES_A_PASS", 2)
+    root, ledger = str(tmp_path / "in [put] %20 é"), str(tmp_path / "ledger")
+
+    def write(value: int, rows: int, folder: str):
+        spark.range(rows).selectExpr(f"id + {value} AS path", "if(id % 3 = 0, NULL, 'x') AS n").coalesce(1).write.mode("overwrite").parquet(f"{root}/{folder}")
+
+    def look():
+        df = spark.read.option("recursiveFileLookup", "true").schema("path bigint, n string").parquet(root.replace("[", "\\[").replace("]", "\\]"))
+        got = reuse.file_fingerprint(df, root.replace("[", "\\[").replace("]", "\\]"), ledger)
+        assert got.fingerprint == reuse.content_fingerprint(df) and got.rows == df.count()
+        return got.files, got.hashed_files
+
+    for k, folder in enumerate(["a", "b b", "c"]):
+        write(k, 10 * k, folder)
+    assert look() == (3, 3) and look() == (3, 0)
+    write(7, 5, "d")
+    write(9, 11, "c")  # overwritten: another file
+    assert look() == (4, 2)
