@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding as a shortest path through weighted finite-state transducers.
 
-Three machines are compiled from a model file: the normaliser (space escape, dummy prefix), the pieces (one path per piece)
-and byte fallback (a character without a piece becomes its UTF-8 bytes).  They are composed with each text and the
-tropical-semiring shortest path gives the pieces.
+Pieces (one path per piece) and byte fallback (a character without a piece becomes its UTF-8 bytes) are read from a model
+file and composed with each text as a lattice; the tropical-semiring shortest path gives the pieces.  The normaliser (space
+escape, dummy prefix) has one state and is applied as a mapping of characters; other normalisers are refused.
 
 A unigram model puts minus the score of a piece on its arc.  A BPE model has no additive weights; there an arc from piece
 `a` to piece `b` weighs 0 if merging the characters of `ab` by the model's priorities ends in exactly `a`, `b`, and
