@@ -161,8 +161,9 @@ def edge_report(spark, sf):
 
 # --- walks -------------------------------------------------------------------------------
 
-# a walker on every node, at the start of its walk
-WALKERS = "walkers AS (SELECT graph_id, node AS walker, node, [node] AS path FROM nodes)"
+# a walker on every place of every greedy path, the closing node left out; its name tells start and place apart
+STANDING = """standing AS (SELECT t.graph_id, t.start, t.path, n, unnest(range(1, least(len(t.path), n) + 1)) AS place FROM tours t JOIN sizes USING (graph_id)),
+walkers AS (SELECT graph_id, start * (n + 1) + place AS walker, start, place, path[place] AS node, path[1:place] AS path FROM standing)"""
 PULL = "(SELECT w.graph_id, w.walker, e.dst, sum(0.1::DOUBLE * (1.0::DOUBLE / e.weight) ** 2) AS a FROM walkers w JOIN e ON e.graph_id = w.graph_id AND e.src = w.node WHERE NOT list_contains(w.path, e.dst) GROUP BY 1, 2, 3)"
 
 
@@ -170,11 +171,25 @@ def walkers(nodes):
     return nodes.select("graph_id", F.col("node").alias("walker"), "node", F.array("node").alias("path"))
 
 
-@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, p AS {PULL}
-SELECT graph_id, walker, dst, {rs('a * 1e6')} AS attraction, {rs('a / sum(a) OVER (PARTITION BY graph_id, walker)')} AS share FROM p""")
+def standing(t, nodes):
+    """(graph_id, walker, start, place, node, path): a walker on every place of every greedy path `t`."""
+    sizes = graph.node_counts(nodes)
+    places = F.sequence(F.lit(1).cast("bigint"), F.least(F.size("path").cast("bigint"), F.col("n")))
+    # a path that is empty has no place
+    placed = t.join(sizes, "graph_id").where(F.size("path") > 0).withColumn("place", F.explode(places))
+    at = F.col("place").cast("int")
+    return cut(placed.select("graph_id", (F.col("start") * (F.col("n") + 1) + F.col("place")).alias("walker"), "start", "place",
+                             F.element_at("path", at).alias("node"), F.slice("path", 1, at).alias("path")))
+
+
+@query(f"""WITH RECURSIVE {GREEDY}, {STANDING}, p AS {PULL}
+SELECT graph_id, walker, dst, {rs('a * 1e6')} AS attraction, {rs('a / sum(a) OVER (PARTITION BY graph_id, walker)')} AS share, start, place
+FROM p JOIN walkers USING (graph_id, walker)""")
 def transition_weights(spark, sf):
-    edges, nodes = trade(spark, sf)
-    out = tours.transition_weights(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)))
+    t, edges, nodes = greedy(spark, sf)
+    w = standing(t, nodes)
+    out = tours.transition_weights(w, edges.withColumn("pheromone", F.lit(0.1)))
+    out = out.join(w.select("graph_id", "walker", "start", "place"), ["graph_id", "walker"])
     return rounded(out.withColumn("attraction", F.col("attraction") * 1e6), ["attraction", "share"])
 
 
@@ -187,23 +202,23 @@ STEP = f"""p AS {PULL},
 hit AS (SELECT graph_id, walker, arg_min(dst, {{'w': {race_sql('1')}, 'd': dst}}) AS next FROM p GROUP BY 1, 2)"""
 
 
-@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, {STEP}
-SELECT w.graph_id, w.walker, w.node, h.next FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker""")
+@query(f"""WITH RECURSIVE {GREEDY}, {STANDING}, {STEP}
+SELECT w.graph_id, w.walker, w.start, w.place, w.node, h.next FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker""")
 def walk_step(spark, sf):
-    edges, nodes = trade(spark, sf)
-    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1))
-    return out.select("graph_id", "walker", "node", "next")
+    t, edges, nodes = greedy(spark, sf)
+    out = tours.walk_step(standing(t, nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1))
+    return out.select("graph_id", "walker", "start", "place", "node", "next")
 
 
-@query(f"""WITH {EDGES}, {NODES}, {WALKERS}, {STEP},
+@query(f"""WITH RECURSIVE {GREEDY}, {STANDING}, {STEP},
 t AS (SELECT graph_id, src, b.d AS dst FROM (SELECT graph_id, src, min({{'w': weight, 'h': {digest_sql(42, 'graph_id', 'src', 'dst', 'ord')}, 'd': dst}}) AS b FROM e GROUP BY 1, 2))
-SELECT w.graph_id, w.walker, w.node, CASE WHEN t.dst IS NOT NULL AND NOT list_contains(w.path, t.dst) THEN t.dst ELSE h.next END AS next
+SELECT w.graph_id, w.walker, w.start, w.place, w.node, CASE WHEN t.dst IS NOT NULL AND NOT list_contains(w.path, t.dst) THEN t.dst ELSE h.next END AS next
 FROM walkers w LEFT JOIN hit h ON h.graph_id = w.graph_id AND h.walker = w.walker LEFT JOIN t ON t.graph_id = w.graph_id AND t.src = w.node""")
 def walk_step_template(spark, sf):
-    edges, nodes = trade(spark, sf)
-    out = tours.walk_step(walkers(nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1),
+    t, edges, nodes = greedy(spark, sf)
+    out = tours.walk_step(standing(t, nodes), edges.withColumn("pheromone", F.lit(0.1)), tours.race_draw(42, 0, 1),
                           template=graph.lightest_successor(edges))
-    return out.select("graph_id", "walker", "node", "next")
+    return out.select("graph_id", "walker", "start", "place", "node", "next")
 
 
 @query(f"""WITH RECURSIVE {EDGES}, {NODES},

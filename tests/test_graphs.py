@@ -133,3 +133,16 @@ def test_annealing_cools_or_raises(dense):
     assert all(r["temp"] < 1 and r["best_length"] <= start for r in out)
     with pytest.raises(RuntimeError, match="still warm"):
         annealing.anneal(annealing.chains(best, [0.99]), edges, nodes, 3)
+
+
+def test_walkers_stand_on_every_place_of_every_greedy_path(spark, small):
+    """Paths of four nodes and fewer count too, and no walker shares its name with another."""
+    from sparkloom.plans.graph_queries import standing
+    e, n = small
+    t = cut(tours.greedy_tours(n, e))
+    found = standing(t, n).collect()
+    want = {(r["graph_id"], r["start"], i + 1, r["path"][i], tuple(r["path"][:i + 1]))
+            for r in t.collect() for i in range(len(set(r["path"])))}
+    assert {(r["graph_id"], r["start"], r["place"], r["node"], tuple(r["path"])) for r in found} == want
+    assert len(found) == len(want) == len({(r["graph_id"], r["walker"]) for r in found})
+    assert {len(r["path"]) for r in found} == {1, 2, 3, 4}
