@@ -305,3 +305,18 @@ def test_file_fingerprint_reads_new_files_only(spark, tmp_path, monkeypatch):
     write(7, 5, "d")
     write(9, 11, "c")  # overwritten: another file
     assert look() == (4, 2)
+
+
+@pytest.mark.parametrize("block_rows,few", [(2048, 100_000), (5, 7)])
+def test_merge_log_places_are_those_of_the_list(spark, monkeypatch, block_rows, few):
+    """Ties and copies included; small blocks count through the grid."""
+    x = np.random.default_rng(3).integers(0, 3, size=(40, 3)).astype(float)
+    tree, ids, n = linkage.spanning_tree(points(spark, x), DIMS)
+    parts, want = [[i] for i in range(0, 3 * n, 3)], []
+    for d, i, j in sorted((r["d"], r["i"], r["j"]) for r in tree.collect()):
+        a, b = sorted(next(at for at, p in enumerate(parts) if row in p) for row in (i, j))
+        want.append((a, b))
+        parts = [p for at, p in enumerate(parts) if at not in (a, b)] + [parts[a] + parts[b]]
+    monkeypatch.setattr(linkage.list_places, "__defaults__", (block_rows,))
+    got = linkage.merge_log(tree, ids, n, 1, few, places=True).orderBy("iteration").collect()
+    assert [(r["left_place"], r["right_place"]) for r in got] == want
