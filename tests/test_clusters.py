@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.functions.distance import block_distances, choose_two
+from sparkloom.functions.distance import block_distances, choose_two, quick_distances
 from sparkloom.operators import clustering, distances, linkage, quality, selection
 from sparkloom.operators.checks import QualityError
 from sparkloom.plans import clustering_run
@@ -320,3 +320,49 @@ def test_merge_log_places_are_those_of_the_list(spark, monkeypatch, block_rows,
     monkeypatch.setattr(linkage.list_places, "__defaults__", (block_rows,))
     got = linkage.merge_log(tree, ids, n, 1, few, places=True).orderBy("iteration").collect()
     assert [(r["left_place"], r["right_place"]) for r in got] == want
+
+
+def test_rows_are_copied_into_no_more_blocks_when_there_are_more_rows(spark):
+    """Ten times the rows make ten times the copies, until a block is full."""
+    few, many = (distances.block_count(spark.range(1), n, 250) for n in (20_000, 200_000))
+    assert few == many < 20 and distances.block_count(spark.range(1), 400, 250) == 2
+    assert distances.block_count(spark.range(1), 10_000_000, 250) == -(-10_000_000 // distances.MOST_ROWS)
+
+
+def test_pairs_are_made_tile_by_tile(spark, monkeypatch):
+    x = np.random.default_rng(6).normal(size=(50, 3))
+    d = block_distances(x, x, "euclidean")
+    df = points(spark, x, 1)
+    rows = distances.pair_distances(df, DIMS, block_rows=1000).collect()
+    assert {(r["i"], r["j"], r["d"]) for r in rows} == {(i, j, d[i, j]) for i in range(50) for j in range(i + 1, 50)}
+    monkeypatch.setattr(distances, "TILE", 7)
+    cells = np.zeros((50, 50), int)
+    for p, q in distances.tiles(50, 50, True):
+        cells[p, q] += 1
+    assert (cells[np.triu_indices(50)] == 1).all()
+
+
+@pytest.mark.parametrize("scale,off", [(1.0, 0.0), (1e-6, 0.0), (1e6, 1e9), (1.0, 1e12), (1.0, np.nan)])
+def test_quick_distances(scale, off):
+    x = np.random.default_rng(7).normal(size=(60, 9)) * scale + (off if off == off else 0)
+    x[40:50] = x[3]
+    if off != off:
+        x[5, 2] = np.nan
+    for metric in ("euclidean", "euclidean_squared", "chebyshev"):
+        exact, quick = block_distances(x[:45], x[30:], metric), quick_distances(x[:45], x[30:], metric)
+        assert np.allclose(quick, exact, rtol=1e-9, atol=0, equal_nan=True)
+        assert (quick[exact == 0] == 0).all()
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
+def test_block_trees_are_exact(metric):
+    """Ties, copies and columns far from 0: the edges of Kruskal over all exact distances in the order (d, i, j)."""
+    r = np.random.default_rng(2)
+    for x in (r.normal(size=(60, 5)), r.integers(0, 3, size=(60, 3)) * 1e6 + 1e9, r.normal(size=(40, 2)) * 1e-9 + 1):
+        ids = r.permutation(len(x)) * 2
+        d, forest, want = block_distances(x, x, metric), linkage.Forest(), set()
+        for e in sorted((d[a, b], *sorted((int(ids[a]), int(ids[b])))) for a in range(len(x)) for b in range(a)):
+            if forest.join(*e[1:]):
+                want.add(e)
+        got = linkage.block_tree(ids, x, metric)
+        assert set(zip(got["d"], got["i"], got["j"], strict=True)) == want
