@@ -146,3 +146,17 @@ def test_walkers_stand_on_every_place_of_every_greedy_path(spark, small):
     assert {(r["graph_id"], r["start"], r["place"], r["node"], tuple(r["path"])) for r in found} == want
     assert len(found) == len(want) == len({(r["graph_id"], r["walker"]) for r in found})
     assert {len(r["path"]) for r in found} == {1, 2, 3, 4}
+
+
+def test_permuted_numbers_are_all_different_and_the_walk_ends(spark):
+    """Also where numbers beyond the size only lead to each other."""
+    for size, seed in ((0, "a"), (1, "a"), (2, "b"), (3, "c"), (5, "0/edge"), (90, "0/edge")):
+        got = [r["image"] for r in graph.permuted(spark.range(size), size, seed).collect()]
+        assert sorted(got) == list(range(size))
+
+
+def test_random_edges_are_looked_up_by_broadcast(spark):
+    """m rows are neither hashed for their place nor shuffled."""
+    nodes = spark.range(300).withColumnRenamed("id", "node")
+    plan = graph.random_graph(nodes, 1000)[1]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and plan.count("md5") == 1
