@@ -63,7 +63,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             fp = np.array([fingerprint(t or "", shingle) for t in batch["text"].to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "fp": pa.array(fp.view(np.int64), pa.int64())})
-    return common.with_ids(docs).mapInArrow(run, "doc_id long, fp long")
+    return common.with_ids(docs).mapInArrow(common.released(run), "doc_id long, fp long")
 
 
 # ---------------------------------------------------------------------------
