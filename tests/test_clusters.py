@@ -366,3 +366,51 @@ def test_block_trees_are_exact(metric):
                 want.add(e)
         got = linkage.block_tree(ids, x, metric)
         assert set(zip(got["d"], got["i"], got["j"], strict=True)) == want
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
+@pytest.mark.parametrize("width", [2, 20])
+def test_forests_are_exact(metric, width):
+    r = np.random.default_rng(width)
+    x = np.unique(np.round(r.normal(size=(120, width)) + 1e6 * (width > 2), 1), axis=0)  # with ties
+    ids = r.permutation(len(x)) * 3
+    assert sorted(map(tuple, linkage.forest(ids, x, metric).values)) == sorted(map(tuple, linkage.block_tree(ids, x, metric).values))
+    side = r.random(len(x)) < 0.3
+    d = block_distances(x, x, metric)
+    edges = sorted((d[p, q], *sorted((ids[p], ids[q]))) for p in np.flatnonzero(side) for q in np.flatnonzero(~side))
+    home, want = {i: i for i in ids}, []
+    for w, i, j in edges:
+        if home[i] != home[j]:
+            old, new = home[i], home[j]
+            home = {v: new if h == old else h for v, h in home.items()}
+            want.append((i, j, w))
+    assert sorted(map(tuple, linkage.forest(ids, x, metric, side).values)) == sorted(want)
+
+
+def test_few_points_take_few_jobs(spark):
+    """Blocks compared all with all give the tree of the rounds over cells, and a history of few K adds few jobs."""
+    x = np.random.default_rng(6).normal(size=(90, 3))
+    df = points(spark, x)
+    sc = spark.sparkContext
+    sc.setJobGroup("few jobs", "few jobs")
+    tree, ids, n = linkage.spanning_tree(df, DIMS, leaf_rows=8)
+    got = linkage.history(tree, ids, n, 2, 7).toPandas()
+    jobs = len(sc.statusTracker().getJobIdsForGroup("few jobs"))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 40, jobs
+    assert sorted(linkage.spanning_tree(df, DIMS, leaf_rows=8, all_rows=0)[0].collect()) == sorted(tree.collect())
+    found, _ = brute(x)
+    for k in range(2, 8):
+        assert got[got.k == k].sort_values("row_id").label.tolist() == found[k]
+    rows, names = linkage.intervals(tree, ids, n, 1, 7)
+    assert got.shape[0] == 6 * 90 and names.where("k = 7").count() == 7
+    one = linkage.history(tree, ids, n, 1, 1).collect()
+    assert len(one) == 90 and {r["label"] for r in one} == {0}
+
+
+def test_contraction_at_once_equals_rounds(spark):
+    r = np.random.default_rng(1)
+    edges = [(int(i), int(j), float(d)) for i, j, d in zip(r.integers(0, 40, 150), r.integers(40, 80, 150), r.integers(0, 5, 150), strict=True)]
+    df = spark.createDataFrame(edges, "i bigint, j bigint, d double").dropDuplicates(["i", "j"])
+    (tree, members), (slow, theirs) = linkage.contract(df), linkage.contract(df, 3)
+    assert sorted(tree.collect()) == sorted(slow.collect()) and sorted(members.collect()) == sorted(theirs.collect())
