@@ -414,3 +414,19 @@ def test_contraction_at_once_equals_rounds(spark):
     df = spark.createDataFrame(edges, "i bigint, j bigint, d double").dropDuplicates(["i", "j"])
     (tree, members), (slow, theirs) = linkage.contract(df), linkage.contract(df, 3)
     assert sorted(tree.collect()) == sorted(slow.collect()) and sorted(members.collect()) == sorted(theirs.collect())
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
+def test_block_distances_keep_two_matrices(metric):
+    """No new matrix per dimension; sums go dimension by dimension."""
+    import tracemalloc
+    r = np.random.default_rng(9)
+    a, b = r.normal(size=(200, 9)), r.normal(size=(300, 9))
+    tracemalloc.start()
+    got = block_distances(a, b, metric)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * got.nbytes
+    diff = np.abs(a[:, None] - b[None])
+    want = diff.max(axis=2) if metric == "chebyshev" else np.cumsum(diff * diff, axis=2)[:, :, -1]
+    assert (got == (np.sqrt(want) if metric == "euclidean" else want)).all()
