@@ -370,7 +370,8 @@ def test_block_trees_are_exact(metric):
 
 @pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
 @pytest.mark.parametrize("width", [2, 20])
-def test_forests_are_exact(metric, width):
+def test_forests_are_exact(metric, width, monkeypatch):
+    monkeypatch.setattr(linkage, "CELL_ROWS", 8)
     r = np.random.default_rng(width)
     x = np.unique(np.round(r.normal(size=(120, width)) + 1e6 * (width > 2), 1), axis=0)  # with ties
     ids = r.permutation(len(x)) * 3
