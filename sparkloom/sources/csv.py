@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,6 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 
 OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-BLOCK_LINES = 50_000
 _MARK = "\ufeff"
 
 
@@ -25,25 +25,43 @@ def _reader(spark: SparkSession):
     return spark.read.options(**OPTIONS).option("header", True).option("encoding", "UTF-8")
 
 
+def _marked(batches):
+    """Lines of one task in file order: their place, their quotes, and the last line at or before them that starts a record if the
+    quotes before their block are even, or odd."""
+    now, at, quotes, own = None, 0, 0, [None, None]
+    for pdf in batches:
+        count = pdf["value"].str.count('"').to_numpy()
+        line, even, odd = [], [], []
+        for f, b, q in zip(pdf["_f"], pdf["_b"], count, strict=True):
+            if (f, b) != now:
+                now, at, quotes, own = (f, b), 0, 0, [None, None]
+            place = 2 * b + at  # a block has no more lines than bytes, and one
+            own[quotes % 2] = place
+            line.append(place)
+            even.append(own[0])
+            odd.append(own[1])
+            at += 1
+            quotes += int(q)
+        yield pdf.assign(_line=line, q=count, even=pd.array(even, "Int64"), odd=pd.array(odd, "Int64"))
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(_f, _line, record) of UTF-8 files whose quoted fields may hold line breaks, the header of each file included.
 
-    Files are read in ranges by many tasks, line by line.  A line starts a record if the quotes before it in its file are even;
-    the parity comes from counts per block of lines, of which only one small row each is put in order.  The lines of a record
-    are then joined.  An unbalanced quote makes the rest of its file one record, as in any reader.
+    Files are read in ranges by many tasks, line by line.  A line starts a record if the quotes before it in its file are even.  A
+    task counts them inside its ranges for both parities; the parity of a range comes from the counts of those before it, one
+    small row each.  The lines of a record are then joined, the only shuffle of the lines.  An unbalanced quote makes the rest of its
+    file one record, as in any reader.
     """
     lines = (spark.read.option("lineSep", "\n").text(path)
-             .select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-             .withColumn("q", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))))
-    placed = with_position(lines, ["_f", "_b", "_m"], "_line").withColumn("_k", F.floor(F.col("_line") / BLOCK_LINES))
-    in_order = Window.partitionBy("_f").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
-    blocks = placed.groupBy("_f", "_k").agg(F.sum("q").alias("q")).withColumn("before", F.coalesce(F.sum("q").over(in_order), F.lit(0))).drop("q")
-    here = Window.partitionBy("_f", "_k").orderBy("_line")
-    marked = placed.join(blocks, ["_f", "_k"]).withColumn(
-        "start", (F.col("before") + F.coalesce(F.sum("q").over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) % 2 == 0)
-    marked = cut(marked.withColumn("own", F.max(F.when(F.col("start"), F.col("_line"))).over(here)).select("_f", "_k", "_line", "value", "own"))
-    last = marked.groupBy("_f", "_k").agg(F.max("own").alias("last")).withColumn("open", F.last("last", True).over(in_order)).drop("last")
-    of = marked.join(last, ["_f", "_k"]).withColumn("_record", F.coalesce("own", "open"))
+             .select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b")))
+    marked = cut(lines.mapInPandas(_marked, "value string, _f string, _b bigint, _line bigint, q bigint, even bigint, odd bigint"))
+    in_order = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    blocks = (marked.groupBy("_f", "_b").agg(F.sum("q").alias("q"), F.max("even").alias("even"), F.max("odd").alias("odd"))
+              .withColumn("is_even", F.coalesce(F.sum("q").over(in_order), F.lit(0)) % 2 == 0)
+              .withColumn("open", F.last(F.when(F.col("is_even"), F.col("even")).otherwise(F.col("odd")), True).over(in_order)))
+    of = marked.join(cut(blocks.select("_f", "_b", "is_even", "open")), ["_f", "_b"]).withColumn(
+        "_record", F.coalesce(F.when(F.col("is_even"), F.col("even")).otherwise(F.col("odd")), F.col("open")))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_line", "value"))), lambda x: x["value"]), "\n")
     joined = of.groupBy("_f", F.col("_record").alias("_line")).agg(text.alias("record"))
     return joined.withColumn("record", F.regexp_replace("record", "\r$", "")).where("record <> ''")
@@ -117,7 +135,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     """UTF-8 CSV with a header; every null token becomes null before typing.
 
     `multi_line` lets quoted fields hold line breaks; files are read by many
-    tasks all the same (see `records`), with two shuffles of the lines.  A value that does not parse becomes null, or fails the job
+    tasks all the same (see `records`), with one shuffle of the lines.  A value that does not parse becomes null, or fails the job
     with `strict`; `bad_values` counts them.
 
     `row_id` adds an id: the value of `key` where the table has one, else the

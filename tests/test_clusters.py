@@ -431,3 +431,23 @@ def test_block_distances_keep_two_matrices(metric):
     diff = np.abs(a[:, None] - b[None])
     want = diff.max(axis=2) if metric == "chebyshev" else np.cumsum(diff * diff, axis=2)[:, :, -1]
     assert (got == (np.sqrt(want) if metric == "euclidean" else want)).all()
+
+
+def test_csv_lines_are_shuffled_once(spark, tmp_path, monkeypatch):
+    """Records across many ranges of two files, without an order over all lines."""
+    import csv as plain
+    monkeypatch.setattr(csv, "with_position", lambda *a: pytest.fail("lines were put in order by a shuffle"))
+    r = np.random.default_rng(3)
+    want = []
+    for f in range(2):
+        rows = [[str(100 * f + i), "".join(r.choice(list('ab",\n'), size=int(r.integers(1, 60))))] for i in range(60)]
+        want += rows
+        with open(tmp_path / f"{f}.csv", "w", newline="", encoding="utf-8") as out:
+            plain.writer(out, lineterminator="\n").writerows([["k", "t"], *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        got = csv.read_csv(spark, str(tmp_path), "k bigint, t string", null_tokens=()).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted((str(x["k"]), x["t"]) for x in got) == sorted(map(tuple, want))
