@@ -253,3 +253,14 @@ def test_profiles_of_parts_merge(spark):
     assert [x["item"] for x in got["word"].top][:8] and got["word"].distinct_values == 8
     none = profile.estimated_profile(profile.merge_profiles(profile.sketch_profile(df.limit(0).select("k", "word")))).collect()
     assert {(x["rows"], x["distinct_values"], x["mean_value"]) for x in none} == {(0, 0, None)}
+
+
+def test_order_statistics_count_numbers_of_any_distance(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "FEW_ROWS", 3)
+    wide = [-2 ** 63, 2 ** 63 - 1, 0, None, 5, 5, 5, 5, -7, 2 ** 62, 2 ** 53 + 1, 2 ** 53]
+    real = [0.0, -0.5, None, -1e308, 1e308, 2.5, 2.5, 2.5, 2.5, 1e-9, -3.0, 7.0]
+    df = spark.createDataFrame(list(zip(wide, real, strict=True)), "n bigint, d double")
+    n, d = sorted(v for v in wide if v is not None), sorted(v for v in real if v is not None)
+    got = ranks.order_statistics(df, {"n": list(range(len(n))), "d": list(range(len(d)))})
+    assert [got["n"][i] for i in range(len(n))] == n  # their differences do not fit into 64 bits
+    assert [got["d"][i] for i in range(len(d))] == d
