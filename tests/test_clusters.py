@@ -190,6 +190,48 @@ def test_kmeans_and_dispatch(spark):
             clustering.cluster(df, DIMS, **bad)
 
 
+def test_kmeans_runs_take_their_rounds_together_and_end_like_sparks(spark):
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    x = np.random.default_rng(3).uniform(size=(300, 3))
+    df = points(spark, x, 1)
+    vectors = df.select(array_to_vector(F.array(*DIMS)).alias("v")).cache()
+    own = [KMeans(k=6, featuresCol="v", maxIter=300, seed=42 + s, tol=1e-4).fit(vectors).summary for s in range(6)]
+    sc = spark.sparkContext
+    sc.setJobGroup("kmeans", "rounds")
+    try:
+        _, clusters = clustering.kmeans(df, DIMS, 6, starts=6)
+        rows = clusters.collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    best = min(own, key=lambda m: m.trainingCost)
+    assert rows[0]["inertia"] == pytest.approx(best.trainingCost)
+    assert sorted(r["size"] for r in rows) == sorted(best.clusterSizes)
+    # one job a round for all runs: the first centres take at most 13 jobs a run, reading and writing a few
+    assert len(sc.statusTracker().getJobIdsForGroup("kmeans")) <= 6 * 13 + max(m.numIter for m in own) + 10
+
+
+def test_kmeans_of_fewer_different_rows_than_clusters(spark):
+    lab, clusters = clustering.kmeans(points(spark, np.array([[0, 0, 0], [4, 0, 0]] * 5), 1), DIMS, 3, starts=2)
+    assert [r["size"] for r in clusters.orderBy("label").collect()] == [5, 5] and clusters.first()["inertia"] == pytest.approx(0)
+    assert lab.groupBy("label").count().count() == 2
+
+
+def test_scaling_verdict_grows_both_trees_at_once(spark, monkeypatch):
+    import threading
+
+    both, one = threading.Barrier(2, timeout=60), clustering.single_linkage
+
+    def linked(*a, **b):
+        both.wait()
+        return one(*a, **b)
+    monkeypatch.setattr(clustering, "single_linkage", linked)
+    x = np.random.default_rng(4).normal(size=(40, 3)) * [1, 50, 1]
+    row = clustering.scaling_verdict(points(spark, x), DIMS).first()
+    assert row["raw_ratio"] >= 1 and row["scaled_ratio"] >= 1
+
+
 def test_runs_are_stored_and_read_back(spark, tmp_path):
     x = np.random.default_rng(6).normal(size=(40, 2))
     df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "row_id bigint, a double, b double")
