@@ -209,7 +209,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = T
     # lines are at least min_chars long, so text bytes bound the number of entries
     total = held.agg(F.sum("n_bytes")).first()[0] or 0
     n_shards = max(1, -(-total // (64 * SHARD_KEYS)), common.default_parallelism(spark) * 2)
-    asked = common.staged(held.mapInArrow(_ask(n_shards, min_chars), _ASK), "line-hashes")
+    asked = common.staged(held.mapInArrow(common.released(_ask(n_shards, min_chars)), _ASK), "line-hashes")
     index = common.staged(line_index(asked), "line-index")
     replies = asked.select("shard", "pack_id", "hashes").groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(_probe, _REPLY)
 
@@ -224,7 +224,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, with_text: bool = T
     schema = StructType.fromDDL("doc_id long, n_lines long, n_dropped long, kept_sha256 string" + (", text string" if with_text else ""))
     for c in carry:
         schema.add(docs.schema[c])
-    return common.with_replies(held, replies).mapInArrow(finish, schema)
+    return common.with_replies(held, replies).mapInArrow(common.released(finish), schema)
 
 
 def _owners(docs: list, replies: list, n_shards: int) -> dict[bytes, int]:

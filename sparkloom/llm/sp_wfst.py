@@ -240,6 +240,9 @@ class Machines:
         return raw.decode("utf-8", errors="replace")
 
 
+common.KEPT["sp_wfst"] = Machines._HELD
+
+
 # ---------------------------------------------------------------------------
 # operator
 # ---------------------------------------------------------------------------
@@ -265,7 +268,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                 a = b
 
     return common.with_ids(docs).mapInArrow(
-        common.released(run), "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, ids array<int>, decoded_sha256 string, round_trip boolean")
+        common.released(run, "sp_wfst"), "doc_id long, n_ids long, n_byte_ids long, ids_crc32 long, ids array<int>, decoded_sha256 string, round_trip boolean")
 
 
 def _rows(m: Machines, doc_id: pa.Array, texts: list[str]) -> pa.RecordBatch:

@@ -155,7 +155,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS
     out = None
     for k in range(blocks):
         block = [(r["item_id"], r["text"]) for r in items.where(F.col("block") == k).collect()]
-        found = source.mapInArrow(_search(spark.sparkContext.broadcast(build_index(block, min_words)), min_words), _SCHEMA)
+        found = source.mapInArrow(common.released(_search(spark.sparkContext.broadcast(build_index(block, min_words)), min_words)), _SCHEMA)
         out = found if out is None else out.union(found)
     return out
 

@@ -191,7 +191,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFram
         for batch in batches:
             z = _sums([t or "" for t in batch["text"].to_pylist()], shared.value)
             yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(z, -500, 500))) >= threshold, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(common.released(run), docs.schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> DataFrame:

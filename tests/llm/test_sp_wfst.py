@@ -7,8 +7,9 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
+from pyspark import cloudpickle
 
-from sparkloom.llm import sp_wfst
+from sparkloom.llm import common, sp_wfst
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "  ", "a", " a", "a ", "a  b", "   a   b   ", "\n", "\n\n a\n", "a\nb", "▁", "a▁b", "▁▁ ▁x", "日本語テキスト", "😀é́", "\t\x00x",
@@ -91,3 +92,11 @@ def test_weights_decide_in_a_unigram_model(unigram):
         found = list(ways(unit))
         least = min(found)[0]
         assert m.shortest(unit) in [ids for cost, ids in found if cost == least]
+
+
+def test_other_operators_drop_the_caches_of_the_machines():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    kept = sp_wfst.Machines.of(path)
+    sent = [cloudpickle.loads(cloudpickle.dumps(common.released(lambda batches: batches, owner))) for owner in ("sp_wfst", "")]
+    assert list(sent[0]([1, 2])) == [1, 2] and sp_wfst.Machines.of(path) is kept
+    assert list(sent[1]([3])) == [3] and not sp_wfst.Machines._HELD
