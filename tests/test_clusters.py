@@ -430,6 +430,46 @@ def test_forests_are_exact(metric, width, monkeypatch):
     assert sorted(map(tuple, linkage.forest(ids, x, metric, side).values)) == sorted(want)
 
 
+@pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
+def test_many_dimensions_skip_the_cell_tree(spark, metric, monkeypatch):
+    """Boxes separate nothing there, so leaves would be read in nearly all pairs; a first tree rules out pairs instead."""
+    for name in ("boruvka", "with_cells"):
+        monkeypatch.setattr(linkage, name, None)
+    monkeypatch.setattr(linkage, "FEW_PARTS", 6)
+    monkeypatch.setattr(linkage, "PART_ROWS", 20)
+    r = np.random.default_rng(12)
+    x = np.round(r.normal(size=(180, 10)), 1)  # with ties
+    x[:60, 0] += 300
+    x[170:] *= r.uniform(20, 900, (10, 1))
+    x[90:95] = x[80:85]
+    df = spark.createDataFrame([(i * 7 % 181, [float(v) for v in p]) for i, p in enumerate(x)], "row_id bigint, v array<double>")
+    got = linkage.spanning_tree(df, ["v"], metric, leaf_rows=8)[0].collect()
+    want = linkage.block_tree(np.array([i * 7 % 181 for i in range(180)]), x, metric)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want.values))
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "chebyshev"])
+@pytest.mark.parametrize("dense", [0.0, 0.02])
+def test_pairs_ruled_out_by_a_first_tree(metric, dense, monkeypatch):
+    """The forest under a bound per pair of parts is the forest of all pairs without longer edges; where it rules out little, all pairs are met."""
+    monkeypatch.setattr(linkage, "HELD_EDGES", 0 if dense == 0.0 else 500)
+    monkeypatch.setattr(linkage, "DENSE", dense)
+    monkeypatch.setattr(linkage, "TILE_ROWS", 100)
+    monkeypatch.setattr(linkage, "PART_ROWS", 50)
+    r = np.random.default_rng(4)
+    n = 400
+    x, ids, side = r.normal(size=(n, 12)), r.permutation(n) * 3, r.random(n) < 0.4
+    part = np.minimum(r.integers(0, 9, n), 5)
+    most = r.uniform(0.6, 1.1, (6, 6)) * np.median(block_distances(x, x, metric))
+    most = np.maximum(most, most.T)
+    for s in (side, None):
+        whole = linkage.forest(ids, x, metric, s)
+        at = {int(i): k for k, i in enumerate(ids)}
+        within = {(int(i), int(j), d) for i, j, d in whole.values if d <= most[part[at[int(i)]], part[at[int(j)]]]}
+        got = set(zip(*(c.tolist() for c in linkage._pair_forest(ids, x, part, most, metric, s)), strict=True))
+        assert within <= got and len(within) > n / 2
+
+
 def test_few_points_take_few_jobs(spark):
     """Blocks compared all with all give the tree of the rounds over cells, and a history of few K adds few jobs."""
     x = np.random.default_rng(6).normal(size=(90, 3))
