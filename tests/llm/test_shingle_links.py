@@ -152,3 +152,16 @@ def test_the_stage_asks_the_balls_and_verifies_what_they_propose(spark, monkeypa
     monkeypatch.setattr(corpus_pipeline.simhash_ball, "near_duplicates", lambda *a: asked.append(a[1:]) or real(*a))
     left = corpus_pipeline.near_duplicate_stage(spark, docs, "").select("doc_id").collect()
     assert asked == [(5,)] and sorted(x[0] or 0 for x in left) == [0, 1, 3, 3]
+
+
+def test_members_of_a_proposed_group_link_without_its_first(spark, monkeypatch):
+    """Members that are like each other but not like the first of their group link by the proposal alone."""
+    r = random.Random(10)
+    words = [["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(200)] for _ in range(2)]
+    texts = [words[0], words[1], words[1][:99] + ["changed"] + words[1][100:], words[1][:150] + ["other"] + words[1][151:], words[0][:50]]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts, 1)], "doc_id long, text string")
+    proposed = spark.createDataFrame([(i, 1) for i in range(1, 6)], "doc_id long, component_id long")
+    monkeypatch.setattr(s, "_banded", lambda batches: iter(()))  # nothing comes from the bands
+    got = {x["doc_id"]: x["component_id"] for x in s.near_duplicates(docs, proposed=proposed).collect()}
+    assert got == {1: 1, 2: 2, 3: 2, 4: 2, 5: 5}
+    assert {x["component_id"] for x in s.near_duplicates(docs).collect()} == {1, 2, 3, 4, 5}
