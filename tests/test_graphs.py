@@ -160,3 +160,17 @@ def test_random_edges_are_looked_up_by_broadcast(spark):
     nodes = spark.range(300).withColumnRenamed("id", "node")
     plan = graph.random_graph(nodes, 1000)[1]._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan and plan.count("md5") == 1
+
+
+def test_random_edges_are_not_shuffled(spark):
+    """All tables that the edges meet have the square root of their number of rows at most, so they come to the edges."""
+    nodes = spark.range(40).select(F.col("id").alias("node"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges = graph.random_graph(nodes, 500)[1]
+        assert edges.select("src", "dst").distinct().count() == 500 and edges.where("src = dst").count() == 0
+        plan = edges._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
