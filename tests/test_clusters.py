@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.functions import summed
 from sparkloom.functions.distance import block_distances, choose_two, quick_distances
 from sparkloom.operators import clustering, distances, linkage, quality, selection
 from sparkloom.operators.checks import QualityError
@@ -430,6 +431,27 @@ def test_forests_are_exact(metric, width, monkeypatch):
     assert sorted(map(tuple, linkage.forest(ids, x, metric, side).values)) == sorted(want)
 
 
+@pytest.mark.parametrize("metric,width", [("euclidean", 1), ("euclidean", 2), ("euclidean", 3), ("chebyshev", 1), ("chebyshev", 2)])
+def test_sums_of_distances_form_few_pairs(metric, width, monkeypatch):
+    """Sums per cluster equal those over all pairs, of which only near ones are formed."""
+    formed = []
+    monkeypatch.setattr(summed, "CELL", 300)
+    monkeypatch.setattr(summed, "block_distances", lambda x, y, m: formed.append(len(x) * len(y)) or block_distances(x, y, m))
+    r = np.random.default_rng(width)
+    shapes = [lambda n: r.normal(size=(n, width)), lambda n: r.lognormal(0, 1.5, size=(n, width)),
+              lambda n: np.c_[r.integers(0, 5, n) / 2.0, r.uniform(-1.7, 1.7, (n, width - 1))], lambda n: np.ones((n, width)) + r.integers(0, 2, (n, 1)) * 1e-9]
+    for shape in shapes:
+        x, y = shape(4000), shape(5000)
+        ours, theirs = np.eye(3)[r.choice(3, 4000, p=[0.98, 0.019, 0.001])], np.eye(4)[r.integers(0, 4, 5000)]
+        formed.clear()
+        out, back = summed.summed_distances(x, y, theirs, ours, metric)
+        met = sum(formed)
+        d = block_distances(x, y, metric)
+        np.testing.assert_allclose(out, d @ theirs, rtol=1e-10, atol=0)
+        np.testing.assert_allclose(back, d.T @ ours, rtol=1e-10, atol=0)
+        assert met < {1: 0.6, 2: 0.9, 3: 1.1}[width] * 4000 * 5000, met  # near cells only, which few rows of three dimensions all are
+
+
 @pytest.mark.parametrize("metric", ["euclidean", "euclidean_squared", "chebyshev"])
 def test_many_dimensions_skip_the_cell_tree(spark, metric, monkeypatch):
     """Boxes separate nothing there, so leaves would be read in nearly all pairs; a first tree rules out pairs instead."""
